@@ -47,3 +47,7 @@ RIDGE = 1e-3
 RIDGE_CANDIDATES = [1e-3, 1.0, 10.0]
 # rows of a dimension table that may be broadcast without a shuffle
 BROADCAST_MAX_ROWS = 1_000_000
+# arrival slices of the history (version b = readings before cutoff b); half past
+# the hour, so open hourly windows are re-emitted as updates
+BATCH_CUTOFFS = ["2024-01-05 12:30:00", "2024-01-10 12:30:00", "2024-01-15 12:30:00",
+                 "2024-01-20 12:30:00", "2024-01-25 12:30:00"]

@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.columns import ntz_all, round_doubles
-from ..operators import aggregate, features
+from ..operators import aggregate, changelog, features
+from ..session import scratch_path
+from ..sources import files
+from ..streaming.medallion import KEYS, Medallion, stream_in_slices
 from .views import Views
 
 
@@ -58,10 +61,6 @@ def enriched_assets(spark, sf_dir):
     return _out(Views(spark, sf_dir).enriched)
 
 
-def asset_output(spark, sf_dir):
-    return _out(Views(spark, sf_dir).output)
-
-
 def gold_readings(spark, sf_dir):
     return _out(Views(spark, sf_dir).gold.orderBy("asset_id", "window_start"))
 
@@ -83,6 +82,92 @@ def life_curve(spark, sf_dir):
     return _out(features.life_curve(Views(spark, sf_dir).features))
 
 
+# --- change log -------------------------------------------------------------
+
+def _backfilled_log(spark, sf_dir) -> DataFrame:
+    """History written into a change log as the versions of an update-mode stream."""
+    v = Views(spark, sf_dir)
+    path = scratch_path(spark, "silver_log")
+    changelog.write_log(changelog.backfill_versions(v.readings, config.BATCH_CUTOFFS, config.WINDOW,
+                                                    config.CHANNELS), path)
+    return spark.read.parquet(path)
+
+
+def upsert_latest(spark, sf_dir):
+    return _out(changelog.current(_backfilled_log(spark, sf_dir), KEYS))
+
+
+def change_feed(spark, sf_dir):
+    feed = changelog.change_feed(_backfilled_log(spark, sf_dir), KEYS)
+    return _out(feed.drop(changelog.TIMESTAMP))
+
+
+def latest_change(spark, sf_dir):
+    feed = changelog.change_feed(_backfilled_log(spark, sf_dir), KEYS)
+    return _out(changelog.latest_change(feed, KEYS))
+
+
+# --- streaming ---------------------------------------------------------------
+
+def _medallion(spark, sf_dir) -> Medallion:
+    v = Views(spark, sf_dir)
+    m = Medallion(spark, scratch_path(spark, "medallion"), assets=lambda: Views(spark, sf_dir).assets)
+    return stream_in_slices(m, v.readings, config.BATCH_CUTOFFS)
+
+
+def windowed_avg_stream(spark, sf_dir):
+    """CSV landing -> bronze -> watermarked window means -> silver log, current state."""
+    m = Medallion(spark, scratch_path(spark, "medallion"))
+    stream_in_slices(m, Views(spark, sf_dir).readings, config.BATCH_CUTOFFS)
+    return _out(m.silver_current().drop(changelog.TIMESTAMP))
+
+
+def enriched_upsert(spark, sf_dir):
+    """The whole chain: silver log changes -> join metadata -> gold log, current state."""
+    m = _medallion(spark, sf_dir)
+    return _out(m.gold_current().drop(changelog.TIMESTAMP))
+
+
+# --- idempotent side-table loads ---------------------------------------------
+
+def _load_twice(spark, raw: DataFrame, schema: str, select: list[str], name: str) -> DataFrame:
+    """Land ``raw`` as JSON files, load them twice; the second load must add nothing."""
+    root = scratch_path(spark, name)
+    raw.write.mode("append").json(f"{root}/src")
+    for _ in range(2):
+        files.idempotent_load(spark, f"{root}/src", schema, select, f"{root}/table", f"{root}/_ckpt")
+    return spark.read.parquet(f"{root}/table")
+
+
+def idempotent_load(spark, sf_dir):
+    a = Views(spark, sf_dir).assets
+    raw = a.select("country", "manufacturer", F.col("asset_id").cast("string").alias("asset_id"), "region")
+    return _out(_load_twice(spark, raw, "country string, manufacturer string, asset_id string, region string",
+                            ["country", "manufacturer", "cast(asset_id as int) as asset_id", "region"],
+                            "asset_load"))
+
+
+def maintenance_events(spark, sf_dir):
+    m = Views(spark, sf_dir).maintenance
+    raw = m.select(F.col("reading_date").cast("string").alias("reading_date"), "maintenance",
+                   F.col("asset_id").cast("string").alias("asset_id"))
+    return _out(_load_twice(spark, raw, "reading_date string, maintenance boolean, asset_id string",
+                            ["cast(reading_date as date) as reading_date", "maintenance",
+                             "cast(asset_id as int) as asset_id"], "maintenance_load"))
+
+
+def asset_output(spark, sf_dir):
+    o = Views(spark, sf_dir).output
+    raw = o.select(F.col("reading_date").cast("string").alias("reading_date"),
+                   F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                   F.col("asset_id").cast("string").alias("asset_id"), "oil_output")
+    return _out(_load_twice(spark, raw,
+                            "reading_date string, window_start string, asset_id string, oil_output double",
+                            ["cast(reading_date as date) as reading_date",
+                             "cast(window_start as timestamp) as window_start",
+                             "cast(asset_id as int) as asset_id", "oil_output"], "output_load"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_readings": bronze_readings,
     "hourly_min": hourly_min,
@@ -90,8 +175,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "windowed_avg": windowed_avg,
     "date_bounds": date_bounds,
     "reading_dates": reading_dates,
+    "idempotent_load": idempotent_load,
+    "windowed_avg_stream": windowed_avg_stream,
     "dedup_keys": dedup_keys,
+    "upsert_latest": upsert_latest,
+    "change_feed": change_feed,
+    "latest_change": latest_change,
     "enriched_assets": enriched_assets,
+    "enriched_upsert": enriched_upsert,
+    "maintenance_events": maintenance_events,
     "asset_output": asset_output,
     "gold_readings": gold_readings,
     "asset_age": asset_age,

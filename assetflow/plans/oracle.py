@@ -68,6 +68,31 @@ _CTES: dict[str, tuple[str, list[str]]] = {
       SELECT *, lead(oil_output, 72, oil_output) OVER (PARTITION BY asset_id ORDER BY window_start)
                 AS output_6_hours_ahead
       FROM fbase""", ["fbase"]),
+    "per_slice": ("""
+      SELECT asset_id, date_trunc('hour', event_time) AS window_start,
+             CAST((event_time >= TIMESTAMP '2024-01-05 12:30:00') AS INTEGER)
+           + CAST((event_time >= TIMESTAMP '2024-01-10 12:30:00') AS INTEGER)
+           + CAST((event_time >= TIMESTAMP '2024-01-15 12:30:00') AS INTEGER)
+           + CAST((event_time >= TIMESTAMP '2024-01-20 12:30:00') AS INTEGER)
+           + CAST((event_time >= TIMESTAMP '2024-01-25 12:30:00') AS INTEGER) AS v,
+             """ + ", ".join(f"sum({c}) AS s_{c}, count({c}) AS n_{c}" for c in CH) + """
+      FROM reading GROUP BY 1, 2, 3""", ["reading"]),
+    "versions": ("""
+      SELECT asset_id, CAST(window_start AS DATE) AS reading_date, window_start,
+             window_start + INTERVAL 1 HOUR AS window_end, CAST(v AS BIGINT) AS _commit_version,
+             """ + ", ".join(f"sum(s_{c}) OVER w / nullif(sum(n_{c}) OVER w, 0) AS {c}" for c in CH) + """
+      FROM per_slice
+      WINDOW w AS (PARTITION BY asset_id, window_start ORDER BY v
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""", ["per_slice"]),
+    "feed": ("""
+      SELECT * FROM (
+        SELECT asset_id, window_start,
+               lag(reading_date) OVER w AS p_reading_date, lag(window_end) OVER w AS p_window_end,
+               """ + ", ".join(f"lag({c}) OVER w AS p_{c}" for c in CH) + """,
+               reading_date, window_end, """ + ", ".join(CH) + """, _commit_version,
+               row_number() OVER w AS rn
+        FROM versions WINDOW w AS (PARTITION BY asset_id, window_start ORDER BY _commit_version))""",
+             ["versions"]),
 }
 
 
@@ -112,6 +137,20 @@ SQL: dict[str, str] = {
       FROM (SELECT *, date_trunc('hour', event_time) AS window_start FROM reading)
       QUALIFY row_number() OVER (PARTITION BY asset_id, window_start
                                  ORDER BY event_time DESC, {", ".join(f"{c} DESC NULLS LAST" for c in CH)}) = 1""",
+    "idempotent_load": _with("asset") + "SELECT * FROM asset",
+    "windowed_avg_stream": _with("hourly") + f"SELECT {_r(CH)} FROM hourly",
+    "upsert_latest": _with("hourly") + f"SELECT {_r(CH)} FROM hourly",
+    "latest_change": _with("hourly") + f"SELECT {_r(CH)} FROM hourly",
+    "change_feed": _with("feed") + f"""
+      SELECT asset_id, window_start, reading_date, window_end, {", ".join(f"round({c}, 6) AS {c}" for c in CH)},
+             CASE WHEN rn = 1 THEN 'insert' ELSE 'update_postimage' END AS _change_type, _commit_version
+      FROM feed
+      UNION ALL
+      SELECT asset_id, window_start, p_reading_date, p_window_end, {", ".join(f"round(p_{c}, 6)" for c in CH)},
+             'update_preimage', _commit_version
+      FROM feed WHERE rn > 1""",
+    "enriched_upsert": _with("enriched") + f"SELECT {_r(CH)} FROM enriched",
+    "maintenance_events": _with("maint") + "SELECT * FROM maint",
     "enriched_assets": _with("enriched") + f"SELECT {_r(CH)} FROM enriched",
     "asset_output": _with("output_t") + "SELECT * REPLACE (round(oil_output, 6) AS oil_output) FROM output_t",
     "gold_readings": _with("gold") + f"SELECT {_r(GOLD_D)} FROM gold ORDER BY asset_id, window_start",
