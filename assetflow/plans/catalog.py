@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.columns import ntz_all, round_doubles
-from ..operators import aggregate, changelog, features
+from ..operators import aggregate, changelog, features, models, scenario
 from ..session import scratch_path
 from ..sources import files
 from ..streaming.medallion import KEYS, Medallion, stream_in_slices
+from . import modeling as M
 from .views import Views
 
 
@@ -168,6 +169,98 @@ def asset_output(spark, sf_dir):
                              "cast(asset_id as int) as asset_id", "oil_output"], "output_load"))
 
 
+# --- models --------------------------------------------------------------------
+
+def split_counts(spark, sf_dir):
+    return _out(models.split_counts(M.training_frame(Views(spark, sf_dir))))
+
+
+def linear_model(spark, sf_dir):
+    """Per-asset least squares of the look-ahead label on current output (no penalty)."""
+    f = M.training_frame(Views(spark, sf_dir))
+    c = models.fit(f, M.G, ["oil_output"], M.OUT_LABEL, 0.0, M.train())
+    return _out(c.select("asset_id", "n_train", F.col("b_oil_output").alias("slope"),
+                         F.col("intercept")))
+
+
+def output_predictions(spark, sf_dir):
+    return _out(M.output_predictions(Views(spark, sf_dir)))
+
+
+def life_predictions(spark, sf_dir):
+    return _out(M.life_predictions(Views(spark, sf_dir)))
+
+
+def actual_vs_predicted(spark, sf_dir):
+    """Daily mean label and prediction over rows above the label's median."""
+    p = M.output_predictions(Views(spark, sf_dir))
+    med = p.agg(F.median(M.OUT_LABEL).alias("_thr"))
+    return _out(p.crossJoin(F.broadcast(med)).where(F.col(M.OUT_LABEL) > F.col("_thr"))
+                .groupBy("reading_date")
+                .agg(F.avg(M.OUT_LABEL).alias("actual"), F.avg(M.OUT_PRED).alias("predicted"))
+                .orderBy("reading_date"))
+
+
+def life_actual_vs_predicted(spark, sf_dir):
+    p = M.life_predictions(Views(spark, sf_dir))
+    return _out(p.groupBy("reading_date")
+                .agg(F.avg(M.LIFE_LABEL).alias("actual_life"), F.avg(M.LIFE_PRED).alias("predicted_life"))
+                .orderBy("reading_date"))
+
+
+def model_rmse(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    o = models.rmse(M.output_predictions(v), M.G, M.OUT_LABEL, M.OUT_PRED).withColumn("model", F.lit(M.OUTPUT_MODEL))
+    life = models.rmse(M.life_predictions(v), M.G, M.LIFE_LABEL, M.LIFE_PRED).withColumn("model", F.lit(M.LIFE_MODEL))
+    return _out(o.unionByName(life))
+
+
+def best_model(spark, sf_dir):
+    runs, _, _ = M.candidates(Views(spark, sf_dir))
+    return _out(models.best_runs(runs, M.G))
+
+
+def promoted_models(spark, sf_dir):
+    return _out(models.registry_stages(M.registrations(spark, sf_dir)))
+
+
+def group_model(spark, sf_dir):
+    """One model per region (a group of similar assets) instead of per asset."""
+    v = Views(spark, sf_dir)
+    f = M.training_frame(v).join(F.broadcast(v.assets.select("asset_id", "region")), "asset_id")
+    c = models.fit(f, ["region"], config.FEATURES, M.OUT_LABEL, config.RIDGE, M.train())
+    s = models.score(f, c, ["region"], config.FEATURES, M.OUT_PRED)
+    return _out(models.rmse(s, ["region"], M.OUT_LABEL, M.OUT_PRED))
+
+
+def feature_importance(spark, sf_dir):
+    return _out(models.importance(M.output_coefs(Views(spark, sf_dir)), M.G, config.FEATURES))
+
+
+# --- scenario --------------------------------------------------------------------
+
+def sweep_grid(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    return _out(scenario.sweep_grid(scenario.latest_payload(M.training_frame(v))))
+
+
+def sweep_predictions(spark, sf_dir):
+    return _out(M.sweep(Views(spark, sf_dir)))
+
+
+def profit_curve(spark, sf_dir):
+    return _out(scenario.profit(M.sweep(Views(spark, sf_dir))))
+
+
+def optimal_setting(spark, sf_dir):
+    return _out(scenario.optimal_setting(scenario.profit(M.sweep(Views(spark, sf_dir)))))
+
+
+def fleet_kpis(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    return _out(scenario.fleet_kpis(scenario.optimal_setting(scenario.profit(M.sweep(v))), v.assets))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_readings": bronze_readings,
     "hourly_min": hourly_min,
@@ -190,4 +283,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feature_table": feature_table,
     "label_by_time": label_by_time,
     "life_curve": life_curve,
+    "split_counts": split_counts,
+    "linear_model": linear_model,
+    "output_predictions": output_predictions,
+    "life_predictions": life_predictions,
+    "actual_vs_predicted": actual_vs_predicted,
+    "life_actual_vs_predicted": life_actual_vs_predicted,
+    "model_rmse": model_rmse,
+    "best_model": best_model,
+    "promoted_models": promoted_models,
+    "group_model": group_model,
+    "feature_importance": feature_importance,
+    "sweep_grid": sweep_grid,
+    "sweep_predictions": sweep_predictions,
+    "profit_curve": profit_curve,
+    "optimal_setting": optimal_setting,
+    "fleet_kpis": fleet_kpis,
 }

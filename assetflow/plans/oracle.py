@@ -93,6 +93,11 @@ _CTES: dict[str, tuple[str, list[str]]] = {
                row_number() OVER w AS rn
         FROM versions WINDOW w AS (PARTITION BY asset_id, window_start ORDER BY _commit_version))""",
              ["versions"]),
+    "train": ("""
+      SELECT reading_date, window_start, asset_id, remaining_life, age, """ + ", ".join(CH) + """,
+             oil_output, output_6_hours_ahead,
+             ((CAST(floor(epoch(window_start) / 3600) AS BIGINT) * 7919 + asset_id) % 10) >= 8 AS is_test
+      FROM feat""", ["feat"]),
 }
 
 
@@ -164,4 +169,18 @@ SQL: dict[str, str] = {
     "life_curve": _with("feat") + """
       SELECT reading_date, round(avg(age), 6) AS age, round(avg(remaining_life), 6) AS life
       FROM feat WHERE asset_id = 7 GROUP BY reading_date ORDER BY reading_date""",
+    "split_counts": _with("train") + """
+      SELECT asset_id, is_test, count(*) AS n_rows FROM train GROUP BY asset_id, is_test""",
+    "linear_model": _with("train") + """
+      SELECT asset_id, regr_count(output_6_hours_ahead, oil_output) AS n_train,
+             round(regr_slope(output_6_hours_ahead, oil_output), 6) AS slope,
+             round(regr_intercept(output_6_hours_ahead, oil_output), 6) AS intercept
+      FROM train WHERE NOT is_test AND oil_output IS NOT NULL AND output_6_hours_ahead IS NOT NULL
+      GROUP BY asset_id""",
+    "sweep_grid": _with("train") + f"""
+      SELECT {_r(["sensor1"] + [c for c in CH if c != "sensor1"] + ["oil_output", "output_6_hours_ahead"])} FROM (
+        SELECT l.* EXCLUDE (sensor1), CAST(g.setting AS INTEGER) AS setting,
+               round(-0.015 + g.setting * 0.001, 3) AS sensor1
+        FROM (SELECT * FROM train QUALIFY row_number() OVER (PARTITION BY asset_id ORDER BY window_start DESC) = 1) l,
+             range(0, 8) g(setting))""",
 }
