@@ -39,13 +39,24 @@ def windowed_avg(readings: DataFrame, length: str = config.WINDOW,
 
     The calendar date is derived from the window start, so a window never splits
     over two dates (the date is not an independent group key).
+
+    On a stream the group key is the ``window`` struct itself: it carries the
+    event-time watermark, which is what lets Spark drop late rows and evict
+    closed windows from the state store (a flat start column would keep every
+    window in state forever). In batch the flat start is the key, so the
+    result stays hash-partitioned on ``(asset_id, window_start)`` for joins.
     """
-    return (readings
-            .groupBy("asset_id", window_start(ts, length).alias("window_start"))
-            .agg(*avg_channels(channels))
-            .select("asset_id", F.to_date("window_start").alias("reading_date"), "window_start",
-                    (F.col("window_start") + F.expr(f"INTERVAL {length}")).alias("window_end"),
-                    *channels))
+    if readings.isStreaming:
+        agg = (readings.groupBy("asset_id", F.window(ts, length).alias("window"))
+               .agg(*avg_channels(channels))
+               .select("asset_id", F.col("window.start").alias("window_start"),
+                       F.col("window.end").alias("window_end"), *channels))
+    else:
+        agg = (readings.groupBy("asset_id", window_start(ts, length).alias("window_start"))
+               .agg(*avg_channels(channels))
+               .withColumn("window_end", F.col("window_start") + F.expr(f"INTERVAL {length}")))
+    return agg.select("asset_id", F.to_date("window_start").alias("reading_date"), "window_start",
+                      "window_end", *channels)
 
 
 def date_bounds(df: DataFrame, col: str = "reading_date") -> DataFrame:
