@@ -219,3 +219,37 @@ def importance(coefs: DataFrame, group: list[str], features: list[str]) -> DataF
     return long.select(*group, "feature",
                        F.coalesce(F.col("w") / F.nullif(F.sum("w").over(tot), F.lit(0.0)), F.lit(0.0))
                        .alias("importance"))
+
+
+# --- boosted trees (fleet-wide) ------------------------------------------------
+
+def fit_trees(df: DataFrame, features: list[str], label: str, train: Column,
+              params: dict = config.GBT_PARAMS, seed: int = 42):
+    """One gradient-boosted tree ensemble for the whole fleet (MLlib, distributed).
+
+    Depth 5, learning rate 0.5, half the features per tree. MLlib trains one
+    model per fit, so this is the fleet (or group) model; the asset key can be
+    passed as a feature. NULL inputs are imputed with training means.
+    """
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import Imputer, VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+
+    dbl = [f"_x_{c}" for c in features]
+    prep = df.select("*", *[F.col(c).cast("double").alias(d) for c, d in zip(features, dbl)])
+    pipe = Pipeline(stages=[
+        Imputer(inputCols=dbl, outputCols=dbl, strategy="mean"),
+        VectorAssembler(inputCols=dbl, outputCol="_features", handleInvalid="keep"),
+        GBTRegressor(featuresCol="_features", labelCol=label, predictionCol="_gbt", seed=seed, **params)])
+    model = pipe.fit(prep.where(train & F.col(label).isNotNull()))
+    return model, dbl
+
+
+def score_trees(model, dbl: list[str], df: DataFrame, features: list[str], out: str) -> DataFrame:
+    prep = df.select("*", *[F.col(c).cast("double").alias(d) for c, d in zip(features, dbl)])
+    return model.transform(prep).withColumnRenamed("_gbt", out).drop("_features", *dbl)
+
+
+def tree_importance(model, features: list[str]) -> list[tuple[str, float]]:
+    imp = model.stages[-1].featureImportances.toArray()
+    return [(c, float(w)) for c, w in zip(features, imp)]

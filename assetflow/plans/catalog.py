@@ -123,6 +123,18 @@ def windowed_avg_stream(spark, sf_dir):
     return _out(m.silver_current().drop(changelog.TIMESTAMP))
 
 
+HOURLY_MIN_SQL = """SELECT min(sensor1) AS sensor1, min(sensor2) AS sensor2,
+                          date_trunc('hour', event_time) AS event_hour
+                   FROM sensor_stream GROUP BY date_trunc('hour', event_time)"""
+
+
+def hourly_min_stream(spark, sf_dir):
+    """The hourly-minimum SQL run live over the raw CSV stream (a temp view)."""
+    m = Medallion(spark, scratch_path(spark, "live"), live={"hourly_min": (HOURLY_MIN_SQL, ["event_hour"])})
+    stream_in_slices(m, Views(spark, sf_dir).readings, config.BATCH_CUTOFFS, chain=False)
+    return _out(m.live_current("hourly_min").drop(changelog.TIMESTAMP))
+
+
 def enriched_upsert(spark, sf_dir):
     """The whole chain: silver log changes -> join metadata -> gold log, current state."""
     m = _medallion(spark, sf_dir)
@@ -192,10 +204,15 @@ def life_predictions(spark, sf_dir):
 
 
 def actual_vs_predicted(spark, sf_dir):
-    """Daily mean label and prediction over rows above the label's median."""
+    """Daily mean label and prediction over rows above the label's median.
+
+    The reference's fixed threshold is in its data's units; the median is the
+    scale-free equivalent here.
+    """
     p = M.output_predictions(Views(spark, sf_dir))
-    med = p.agg(F.median(M.OUT_LABEL).alias("_thr"))
-    return _out(p.crossJoin(F.broadcast(med)).where(F.col(M.OUT_LABEL) > F.col("_thr"))
+    # a scalar subquery over a mergeable quantile sketch (bounded memory per task)
+    thr = p.agg(F.percentile_approx(M.OUT_LABEL, 0.5, 100000)).scalar()
+    return _out(p.where(F.col(M.OUT_LABEL) > thr)
                 .groupBy("reading_date")
                 .agg(F.avg(M.OUT_LABEL).alias("actual"), F.avg(M.OUT_PRED).alias("predicted"))
                 .orderBy("reading_date"))
@@ -237,6 +254,16 @@ def feature_importance(spark, sf_dir):
     return _out(models.importance(M.output_coefs(Views(spark, sf_dir)), M.G, config.FEATURES))
 
 
+def tree_model(spark, sf_dir):
+    """Fleet-wide boosted trees for the look-ahead output (asset key as a feature):
+    train and held-out RMSE per asset."""
+    f = M.training_frame(Views(spark, sf_dir))
+    feats = config.FEATURES + ["asset_id"]
+    model, dbl = models.fit_trees(f, feats, M.OUT_LABEL, M.train())
+    s = models.score_trees(model, dbl, f, feats, M.OUT_PRED)
+    return _out(models.rmse(s, M.G, M.OUT_LABEL, M.OUT_PRED).withColumn("model", F.lit("fleet_gbt")))
+
+
 # --- scenario --------------------------------------------------------------------
 
 def sweep_grid(spark, sf_dir):
@@ -261,6 +288,21 @@ def fleet_kpis(spark, sf_dir):
     return _out(scenario.fleet_kpis(scenario.optimal_setting(scenario.profit(M.sweep(v))), v.assets))
 
 
+# --- layout ----------------------------------------------------------------------
+
+def compacted_rows(spark, sf_dir):
+    """Gold rows written as many small files per date, then compacted and clustered
+    by (asset, window) for every closed date; the rows must be unchanged."""
+    from ..operators import layout
+    v = Views(spark, sf_dir)
+    path = scratch_path(spark, "gold_table")
+    v.gold.repartition(4 * spark.sparkContext.defaultParallelism) \
+        .write.mode("overwrite").partitionBy("reading_date").parquet(path)
+    last = spark.read.parquet(path).agg(F.max("reading_date")).first()[0]  # one value
+    layout.compact(spark, path, "reading_date", last, ["asset_id", "window_start"])
+    return _out(spark.read.parquet(path))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_readings": bronze_readings,
     "hourly_min": hourly_min,
@@ -270,6 +312,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reading_dates": reading_dates,
     "idempotent_load": idempotent_load,
     "windowed_avg_stream": windowed_avg_stream,
+    "hourly_min_stream": hourly_min_stream,
     "dedup_keys": dedup_keys,
     "upsert_latest": upsert_latest,
     "change_feed": change_feed,
@@ -294,9 +337,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "promoted_models": promoted_models,
     "group_model": group_model,
     "feature_importance": feature_importance,
+    "tree_model": tree_model,
     "sweep_grid": sweep_grid,
     "sweep_predictions": sweep_predictions,
     "profit_curve": profit_curve,
     "optimal_setting": optimal_setting,
     "fleet_kpis": fleet_kpis,
+    "compacted_rows": compacted_rows,
 }

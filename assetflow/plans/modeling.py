@@ -22,24 +22,16 @@ def train():
 
 
 def training_frame(v: Views) -> DataFrame:
-    """Feature rows with the split flag, checkpointed once per ``Views``.
-
-    Every fit, score and metric below reads this frame; a reliable checkpoint
-    (in the shared checkpoint folder) cuts the lineage so the view stack is
-    computed once, and a lost executor re-reads files instead of recomputing.
-    """
-    cached = v.__dict__.get("_training")
-    if cached is None:
-        cols = ["reading_date", "window_start", "asset_id", LIFE_LABEL] + \
-            [c for c in config.FEATURES if c != LIFE_LABEL] + [OUT_LABEL]
-        checkpoint_root(v.spark)
-        cached = models.with_split(v.features.select(*cols)).checkpoint(eager=True)
-        v.__dict__["_training"] = cached
-    return cached
+    """Feature rows with the split flag, materialised once: every fit, score
+    and metric below reads it."""
+    cols = ["reading_date", "window_start", "asset_id", LIFE_LABEL] + \
+        [c for c in config.FEATURES if c != LIFE_LABEL] + [OUT_LABEL]
+    return v.materialized("training", lambda: models.with_split(v.features.select(*cols)))
 
 
-def output_coefs(v: Views, ridges=config.RIDGE) -> DataFrame:
-    return models.fit(training_frame(v), G, config.FEATURES, OUT_LABEL, ridges, train())
+def output_coefs(v: Views) -> DataFrame:
+    return v.materialized("output_coefs", lambda: models.fit(training_frame(v), G, config.FEATURES,
+                                                             OUT_LABEL, config.RIDGE, train()))
 
 
 def output_predictions(v: Views) -> DataFrame:
@@ -68,22 +60,35 @@ def life_predictions(v: Views, outp: DataFrame | None = None) -> DataFrame:
     return models.score(f, coefs, G, config.FEATURES, LIFE_PRED)
 
 
+def candidate_coefs(v: Views) -> DataFrame:
+    """Coefficient rows of every candidate (model, asset, penalty), materialised once."""
+    def build():
+        f = training_frame(v)
+        oc = models.fit(f, G, config.FEATURES, OUT_LABEL, config.RIDGE_CANDIDATES, train())
+        lc = models.fit(f, G, config.FEATURES, LIFE_LABEL, config.RIDGE_CANDIDATES, train())
+        return oc.withColumn("model", F.lit(OUTPUT_MODEL)).unionByName(lc.withColumn("model", F.lit(LIFE_MODEL)))
+    return v.materialized("candidate_coefs", build)
+
+
 def candidates(v: Views, round_no: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Candidate fits for both targets, their run log, and the coefficient rows."""
     f = training_frame(v)
-    oc = models.fit(f, G, config.FEATURES, OUT_LABEL, config.RIDGE_CANDIDATES, train())
-    lc = models.fit(f, G, config.FEATURES, LIFE_LABEL, config.RIDGE_CANDIDATES, train())
-    runs = models.run_log(f, oc, G, config.FEATURES, OUT_LABEL, OUTPUT_MODEL, round_no).unionByName(
-        models.run_log(f, lc, G, config.FEATURES, LIFE_LABEL, LIFE_MODEL, round_no))
-    coefs = oc.withColumn("model", F.lit(OUTPUT_MODEL)).unionByName(lc.withColumn("model", F.lit(LIFE_MODEL)))
+    coefs = candidate_coefs(v)
+    runs = None
+    for model, label in ((OUTPUT_MODEL, OUT_LABEL), (LIFE_MODEL, LIFE_LABEL)):
+        r = models.run_log(f, coefs.where(F.col("model") == model).drop("model"), G, config.FEATURES,
+                           label, model, round_no)
+        runs = r if runs is None else runs.unionByName(r)
     return runs, coefs, f
 
 
 def promoted_coefs(v: Views) -> DataFrame:
     """Coefficients of the best run per (model, asset): what serving loads."""
-    runs, coefs, _ = candidates(v)
-    best = models.best_runs(runs, G).select("model", *G, "ridge")
-    return coefs.join(best, ["model", *G, "ridge"], "inner")
+    def build():
+        runs, coefs, _ = candidates(v)
+        best = models.best_runs(runs, G).select("model", *G, "ridge")
+        return coefs.join(best, ["model", *G, "ridge"], "inner")
+    return v.materialized("promoted_coefs", build)
 
 
 def registrations(spark, sf_dir) -> DataFrame:

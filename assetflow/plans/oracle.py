@@ -130,6 +130,10 @@ SQL: dict[str, str] = {
       SELECT round(min(sensor1), 6) AS sensor1, round(min(sensor2), 6) AS sensor2,
              date_trunc('hour', event_time) AS event_hour
       FROM reading GROUP BY date_trunc('hour', event_time)""",
+    "hourly_min_stream": _with("reading") + """
+      SELECT round(min(sensor1), 6) AS sensor1, round(min(sensor2), 6) AS sensor2,
+             date_trunc('hour', event_time) AS event_hour
+      FROM reading GROUP BY date_trunc('hour', event_time)""",
     "count_by_asset": _with("reading") + """
       SELECT asset_id, count(sensor1) AS n_sensor1, count(sensor9) AS n_sensor9
       FROM reading GROUP BY asset_id ORDER BY asset_id""",
@@ -183,4 +187,5 @@ SQL: dict[str, str] = {
                round(-0.015 + g.setting * 0.001, 3) AS sensor1
         FROM (SELECT * FROM train QUALIFY row_number() OVER (PARTITION BY asset_id ORDER BY window_start DESC) = 1) l,
              range(0, 8) g(setting))""",
+    "compacted_rows": _with("gold") + f"SELECT {_r(GOLD_D)} FROM gold",
 }

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import config
 from ..operators import aggregate, enrich, features
-from ..session import ensure_utc
+from ..session import checkpoint_root, ensure_utc
 from ..sources import fixtures
 
 
@@ -22,6 +22,19 @@ class Views:
         ensure_utc(spark)
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
 
+    def materialized(self, name: str, build) -> DataFrame:
+        """``build()`` computed once and checkpointed to the shared checkpoint folder.
+
+        Used for artifacts read by several later jobs (training rows, model
+        coefficients): the lineage is cut, so consumers read files instead of
+        recomputing the stack, and a lost executor does not trigger a rebuild.
+        """
+        memo = self.__dict__.setdefault("_materialized", {})
+        if name not in memo:
+            checkpoint_root(self.spark)
+            memo[name] = build().checkpoint(eager=True)
+        return memo[name]
+
     @cached_property
     def readings(self) -> DataFrame:
         return fixtures.readings(self.spark, self.sf_dir)

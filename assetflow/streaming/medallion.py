@@ -51,7 +51,8 @@ class Medallion:
 
     def __init__(self, spark: SparkSession, root: str, assets: Callable[[], DataFrame] | None = None,
                  length: str = config.WINDOW, watermark: str = config.WATERMARK,
-                 schema: T.StructType = READING_SCHEMA, max_files: int | None = None):
+                 schema: T.StructType = READING_SCHEMA, max_files: int | None = None,
+                 live: dict[str, tuple[str, list[str]]] | None = None):
         self.spark, self.root = spark, root.rstrip("/")
         self.assets, self.length, self.watermark = assets, length, watermark
         self.schema, self.max_files = schema, max_files
@@ -60,6 +61,8 @@ class Medallion:
         self.silver = f"{self.root}/silver_log"
         self.gold = f"{self.root}/gold_log"
         self.queries: dict[str, StreamingQuery] = {}
+        # name -> (SQL over the view "sensor_stream", group keys): live aggregates
+        self.live = dict(live or {})
 
     def ckpt(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
@@ -92,6 +95,31 @@ class Medallion:
         return (s.writeStream.foreachBatch(self._upsert_gold)
                 .option("checkpointLocation", self.ckpt("gold")))
 
+    def live_log(self, name: str) -> str:
+        return f"{self.root}/live_{name}_log"
+
+    def live_writer(self, name: str):
+        """A SQL aggregate over the raw stream, kept current in a change log.
+
+        The CSV stream is registered as the temp view ``sensor_stream``; the SQL
+        result is emitted in update mode (only groups that changed) and
+        appended as a version, so ``current`` is the live table.
+        """
+        sql, keys = self.live[name]
+        files.csv_stream(self.spark, self.landing, self.schema, self.max_files)\
+            .createOrReplaceTempView("sensor_stream")
+        agg = self.spark.sql(sql)
+        path = self.live_log(name)
+
+        def upsert(batch: DataFrame, batch_id: int) -> None:
+            changelog.append_version(batch, path, batch_id)
+
+        return (agg.writeStream.foreachBatch(upsert).outputMode("update")
+                .option("checkpointLocation", self.ckpt(f"live_{name}")))
+
+    def live_current(self, name: str) -> DataFrame:
+        return changelog.current(self.spark.read.parquet(self.live_log(name)), self.live[name][1])
+
     # -- lifecycle ----------------------------------------------------------
     def _ensure_dirs(self) -> None:
         # file stream sources need their folder to exist before the first file lands
@@ -101,11 +129,15 @@ class Medallion:
             .partitionBy("reading_date").parquet(self.bronze)
         self.spark.createDataFrame([], self.schema).write.mode("append").csv(self.landing)
 
-    def start(self, gold: bool = True, trigger: dict | None = None) -> "Medallion":
+    def start(self, gold: bool = True, trigger: dict | None = None, chain: bool = True) -> "Medallion":
+        """Start the chain (bronze, silver, gold when metadata is given) and any
+        live aggregates; ``chain=False`` starts only the live aggregates."""
         self._ensure_dirs()
-        stages = [("bronze", self.bronze_writer), ("silver", self.silver_writer)]
-        if gold and self.assets is not None:
+        stages = [("bronze", self.bronze_writer), ("silver", self.silver_writer)] if chain else []
+        if chain and gold and self.assets is not None:
             stages.append(("gold", self.gold_writer))
+        for name in self.live:
+            stages.append((f"live_{name}", lambda n=name: self.live_writer(n)))
         for name, writer in stages:
             w = writer()
             if trigger:
@@ -115,7 +147,7 @@ class Medallion:
 
     def drain(self) -> None:
         """Block until every stage has processed everything available, in order."""
-        for name in ("bronze", "silver", "gold"):
+        for name in ["bronze", "silver", "gold"] + [f"live_{n}" for n in self.live]:
             if name in self.queries:
                 self.queries[name].processAllAvailable()
 
@@ -155,13 +187,13 @@ def slice_index(ts: str, cutoffs: list):
     return sum((F.col(ts) >= F.lit(c).cast("timestamp")).cast("int") for c in cutoffs) if cutoffs else F.lit(0)
 
 
-def stream_in_slices(m: Medallion, readings: DataFrame, cutoffs: list) -> Medallion:
+def stream_in_slices(m: Medallion, readings: DataFrame, cutoffs: list, **start) -> Medallion:
     """Feed history to a running chain one time slice at a time, draining in between.
 
     Slices arrive in event-time order, as a live feed would, so no row falls
     behind the watermark; each slice is written by a distributed job.
     """
-    m.start()
+    m.start(**start)
     try:
         cols = [f.name for f in m.schema.fields]
         sl = slice_index("event_time", cutoffs)
