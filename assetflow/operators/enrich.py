@@ -18,12 +18,14 @@ def gold_readings(enriched: DataFrame, output: DataFrame, maintenance: DataFrame
 
     Output is joined on ``(asset_id, window_start)``: the date is a function of
     the window start on both sides, and this key order matches how both
-    aggregates are partitioned, so the join needs no extra exchange. A day with
+    aggregates are partitioned, so the sort-merge join needs no extra exchange.
+    Maintenance has at most one row per (asset, day); it is broadcast when its
+    row count allows, so the joined readings are not shuffled again. A day with
     two maintenance rows repeats the readings of that day, as a plain LEFT JOIN does.
     """
     o = output.select("asset_id", "window_start", "oil_output")
     m = maintenance.select("reading_date", "asset_id", F.col("maintenance").alias("_m"))
-    return (enriched.join(o, ["asset_id", "window_start"], "inner")
-            .join(m, ["reading_date", "asset_id"], "left")
+    return (join_small(enriched.join(o, ["asset_id", "window_start"], "inner"), m,
+                       ["reading_date", "asset_id"], "left")
             .withColumn("maintenance", F.coalesce(F.col("_m"), F.lit(False)))
             .drop("_m"))

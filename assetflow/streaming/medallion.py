@@ -129,16 +129,20 @@ class Medallion:
             .partitionBy("reading_date").parquet(self.bronze)
         self.spark.createDataFrame([], self.schema).write.mode("append").csv(self.landing)
 
+    def stages(self, gold: bool = True, chain: bool = True) -> list:
+        out = [("bronze", self.bronze_writer), ("silver", self.silver_writer)] if chain else []
+        if chain and gold and self.assets is not None:
+            out.append(("gold", self.gold_writer))
+        for name in self.live:
+            out.append((f"live_{name}", lambda n=name: self.live_writer(n)))
+        return out
+
     def start(self, gold: bool = True, trigger: dict | None = None, chain: bool = True) -> "Medallion":
         """Start the chain (bronze, silver, gold when metadata is given) and any
-        live aggregates; ``chain=False`` starts only the live aggregates."""
+        live aggregates as continuous queries; ``chain=False`` starts only the
+        live aggregates."""
         self._ensure_dirs()
-        stages = [("bronze", self.bronze_writer), ("silver", self.silver_writer)] if chain else []
-        if chain and gold and self.assets is not None:
-            stages.append(("gold", self.gold_writer))
-        for name in self.live:
-            stages.append((f"live_{name}", lambda n=name: self.live_writer(n)))
-        for name, writer in stages:
+        for name, writer in self.stages(gold, chain):
             w = writer()
             if trigger:
                 w = w.trigger(**trigger)
@@ -151,12 +155,14 @@ class Medallion:
             if name in self.queries:
                 self.queries[name].processAllAvailable()
 
-    def run_available_now(self, gold: bool = True) -> None:
-        """One bounded run of each stage in order (batch-style scheduling)."""
-        self.start(gold=gold, trigger={"availableNow": True})
-        for name in ("bronze", "silver", "gold"):
-            if name in self.queries:
-                self.queries[name].awaitTermination()
+    def run_available_now(self, gold: bool = True, chain: bool = True) -> None:
+        """One bounded run per stage, each after the previous one finished
+        (batch-style scheduling, e.g. a daily job)."""
+        self._ensure_dirs()
+        for name, writer in self.stages(gold, chain):
+            q = writer().trigger(availableNow=True).start()
+            self.queries[name] = q
+            q.awaitTermination()
 
     def stop(self) -> None:
         for q in self.queries.values():

@@ -90,3 +90,19 @@ def test_sweep_grid_is_exact_and_life_zero_keeps_row(spark):
     p = {r.asset_id: r for r in scenario.profit(pred).collect()}
     assert p[1].cost is None and p[1].profit is None and p[1].revenue == 87600.0
     assert p[2].profit == 87600.0 - 21900.0
+
+
+def test_fleet_trees_beat_the_mean_on_training_rows(spark):
+    from assetflow.plans import modeling as M
+    from assetflow.plans.views import Views
+    from assetflow import config
+    from conftest import SF_CHECK
+    f = M.training_frame(Views(spark, SF_CHECK))
+    model, dbl = models.fit_trees(f, config.FEATURES, M.OUT_LABEL, M.train(), dict(config.GBT_PARAMS, maxIter=3))
+    s = models.score_trees(model, dbl, f, config.FEATURES, "p").where(~F.col("is_test"))
+    mean = s.agg(F.avg(M.OUT_LABEL)).first()[0]
+    r = s.agg(F.sqrt(F.avg(F.pow(F.col(M.OUT_LABEL) - F.col("p"), 2))).alias("m"),
+              F.sqrt(F.avg(F.pow(F.col(M.OUT_LABEL) - F.lit(mean), 2))).alias("b")).first()
+    assert r.m <= r.b
+    imp = models.tree_importance(model, config.FEATURES)
+    assert len(imp) == 11 and abs(sum(w for _, w in imp) - 1.0) < 1e-6

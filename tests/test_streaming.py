@@ -93,3 +93,15 @@ def test_midnight_window_in_half_hour_zone(spark):
         assert out[0].sensor1 == 2.0 and out[0].reading_date == dt.date(2024, 1, 1)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_rate_limit_one_file_per_trigger(spark):
+    m = Medallion(spark, scratch_path(spark, "t_rate"), max_files=1)
+    base = dt.datetime(2024, 1, 3, 0, 0)
+    for h in range(3):  # three files, in time order
+        files.write_landing(spark.createDataFrame([_reading(base + dt.timedelta(hours=h))], READING_SCHEMA)
+                            .coalesce(1), m.landing)
+    m.run_available_now(gold=False)
+    batches = [p for p in m.queries["bronze"].recentProgress if p["numInputRows"] > 0]
+    assert len(batches) == 3 and all(p["numInputRows"] == 1 for p in batches)
+    assert m.silver_current().count() == 3
