@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
+from ..functions.joins import join_small
 
 
 def asset_age(dates: DataFrame, events: DataFrame, only_true: bool = False,
@@ -60,11 +61,12 @@ def feature_base(gold: DataFrame, age: DataFrame, as_of: _dt.date = config.AS_OF
     """Gold readings with age and remaining life, strictly before ``as_of``.
 
     The date filter sits below the look-ahead window, so rows of ``as_of`` and
-    later never serve as labels.
+    later never serve as labels. Age has one row per (asset, day) and is
+    broadcast when its row count allows.
     """
     a = age.select("reading_date", "asset_id", "age", "remaining_life")
-    return (gold.where(F.col("reading_date") < F.lit(as_of))
-            .join(a, ["reading_date", "asset_id"], "inner"))
+    return join_small(gold.where(F.col("reading_date") < F.lit(as_of)), a,
+                      ["reading_date", "asset_id"], "inner")
 
 
 def feature_table(gold: DataFrame, age: DataFrame, as_of: _dt.date = config.AS_OF,
@@ -76,18 +78,20 @@ def feature_table(gold: DataFrame, age: DataFrame, as_of: _dt.date = config.AS_O
 
 
 def label_by_time(base: DataFrame, horizon: str = config.HORIZON, value: str = "oil_output",
-                  label: str = "output_6h_by_time", default_own: bool = False) -> DataFrame:
-    """Value exactly ``horizon`` later on the same asset (an equi self-join).
-
-    Unlike the row-based lead this does not stretch over gaps in the series;
+                  label: str = "output_6h_by_time", default_own: bool = False,
+                  order: str = "window_start", partition: str = "asset_id") -> DataFrame:
+    """Value exactly ``horizon`` later on the same asset.
+
+    A RANGE frame offset by an interval on both ends selects the row whose
+    time is exactly ``horizon`` ahead: one window pass over the asset's series
+    (the same partitioning and order as the row-based lead), no self-join.
+    Unlike the row-based lead it does not stretch over gaps in the series;
     with no observation at that time the label is NULL (or the own value).
     """
-    ahead = base.select("asset_id",
-                        (F.col("window_start") - F.expr(f"INTERVAL {horizon}")).alias("window_start"),
-                        F.col(value).alias("_ahead"))
-    out = base.join(ahead, ["asset_id", "window_start"], "left")
-    lab = F.coalesce("_ahead", value) if default_own else F.col("_ahead")
-    return out.withColumn(label, lab).drop("_ahead")
+    ahead = F.expr(f"first({value}) OVER (PARTITION BY {partition} ORDER BY {order} "
+                   f"RANGE BETWEEN INTERVAL {horizon} FOLLOWING AND INTERVAL {horizon} FOLLOWING)")
+    lab = F.coalesce(ahead, F.col(value)) if default_own else ahead
+    return base.withColumn(label, lab)
 
 
 def life_curve(features: DataFrame, asset_id: int = config.LIFE_CURVE_ASSET) -> DataFrame:
