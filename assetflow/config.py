@@ -45,8 +45,9 @@ SPLIT_TRAIN_BUCKETS = 8
 RIDGE = 1e-3
 # ridge penalties tried as candidate runs for model selection
 RIDGE_CANDIDATES = [1e-3, 1.0, 10.0]
-# rows of a dimension table that may be broadcast without a shuffle
-BROADCAST_MAX_ROWS = 1_000_000
+# bounds for broadcasting a dimension-sized table (rows and bytes, both checked)
+BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 # arrival slices of the history (version b = readings before cutoff b); half past
 # the hour, so open hourly windows are re-emitted as updates
 BATCH_CUTOFFS = ["2024-01-05 12:30:00", "2024-01-10 12:30:00", "2024-01-15 12:30:00",

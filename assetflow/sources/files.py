@@ -56,10 +56,18 @@ def evolving_schema(spark: SparkSession, landing_dir: str, location: str) -> T.S
 
 
 def csv_stream(spark: SparkSession, landing_dir: str, schema: T.StructType,
-               max_files: int | None = None) -> DataFrame:
-    """Incremental CSV source; ``max_files`` caps files per micro-batch."""
+               max_files: int | None = None, corrupt_column: str | None = None) -> DataFrame:
+    """Incremental CSV source; ``max_files`` caps files per micro-batch.
+
+    With ``corrupt_column``, a line whose cells do not parse keeps NULLs in the
+    typed columns and its raw text in that column instead of failing the batch.
+    """
+    if corrupt_column:
+        schema = T.StructType(list(schema.fields) + [T.StructField(corrupt_column, T.StringType())])
     r = (spark.readStream.schema(schema).option("header", True)
          .option("timestampFormat", TS_FORMAT))
+    if corrupt_column:
+        r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_column)
     if max_files:
         r = r.option("maxFilesPerTrigger", int(max_files))
     return r.csv(landing_dir)

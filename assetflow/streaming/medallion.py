@@ -52,7 +52,7 @@ class Medallion:
     def __init__(self, spark: SparkSession, root: str, assets: Callable[[], DataFrame] | None = None,
                  length: str = config.WINDOW, watermark: str = config.WATERMARK,
                  schema: T.StructType = READING_SCHEMA, max_files: int | None = None,
-                 live: dict[str, tuple[str, list[str]]] | None = None):
+                 live: dict[str, tuple[str, list[str]]] | None = None, gold_from_version: int = 0):
         self.spark, self.root = spark, root.rstrip("/")
         self.assets, self.length, self.watermark = assets, length, watermark
         self.schema, self.max_files = schema, max_files
@@ -63,6 +63,8 @@ class Medallion:
         self.queries: dict[str, StreamingQuery] = {}
         # name -> (SQL over the view "sensor_stream", group keys): live aggregates
         self.live = dict(live or {})
+        # first silver version the gold stream consumes (a change feed's starting version)
+        self.gold_from_version = gold_from_version
 
     def ckpt(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
@@ -92,6 +94,8 @@ class Medallion:
 
     def gold_writer(self):
         s = self.spark.readStream.schema(log_schema(SILVER_FIELDS)).parquet(self.silver)
+        if self.gold_from_version:
+            s = s.where(F.col(changelog.VERSION) >= F.lit(self.gold_from_version))
         return (s.writeStream.foreachBatch(self._upsert_gold)
                 .option("checkpointLocation", self.ckpt("gold")))
 

@@ -62,3 +62,21 @@ def test_lead_rows_equals_lead_time_on_gap_free_series(spark):
     j = by_rows.join(by_time, ["asset_id", "window_start"])
     assert j.where(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
     assert j.where(F.col("a").isNotNull()).count() == 24
+
+
+def test_join_small_broadcasts_only_within_bounds(spark):
+    from assetflow.functions.joins import join_small, size_of
+    big = spark.range(100).withColumnRenamed("id", "k")
+    small = spark.createDataFrame([(i, "x" * i) for i in range(10)], "k long, s string")
+    n, b = size_of(small)
+    assert n == 10 and b == 10 * 8 + sum(range(10))
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" in plan(join_small(big, small, "k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Broadcast" not in plan(join_small(big, small, "k", max_bytes=50))
+        assert "Broadcast" not in plan(join_small(big, small, "k", max_rows=5))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

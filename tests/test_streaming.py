@@ -105,3 +105,20 @@ def test_rate_limit_one_file_per_trigger(spark):
     batches = [p for p in m.queries["bronze"].recentProgress if p["numInputRows"] > 0]
     assert len(batches) == 3 and all(p["numInputRows"] == 1 for p in batches)
     assert m.silver_current().count() == 3
+
+
+def test_corrupt_cells_are_kept_aside(spark):
+    root = scratch_path(spark, "t_corrupt")
+    land = f"{root}/landing"
+    spark.createDataFrame([("2024-01-01T01:00:00.000000Z", "1", "1.5"), ("2024-01-01T02:00:00.000000Z", "2", "oops")],
+                          "event_time string, asset_id string, sensor1 string")\
+        .coalesce(1).write.option("header", True).csv(land)
+    from pyspark.sql import types as T
+    schema = T.StructType(READING_SCHEMA.fields[:3])
+    s = files.csv_stream(spark, land, schema, corrupt_column="_corrupt")
+    q = s.writeStream.format("parquet").option("path", f"{root}/out")\
+        .option("checkpointLocation", f"{root}/_c").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = {r.asset_id: (r.sensor1, r._corrupt) for r in spark.read.parquet(f"{root}/out").collect()}
+    assert got[1] == (1.5, None)
+    assert got[2][0] is None and "oops" in got[2][1]
