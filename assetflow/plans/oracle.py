@@ -184,7 +184,7 @@ SQL: dict[str, str] = {
     "sweep_grid": _with("train") + f"""
       SELECT {_r(["sensor1"] + [c for c in CH if c != "sensor1"] + ["oil_output", "output_6_hours_ahead"])} FROM (
         SELECT l.* EXCLUDE (sensor1), CAST(g.setting AS INTEGER) AS setting,
-               round(-0.015 + g.setting * 0.001, 3) AS sensor1
+               round(CAST(-0.015 AS DOUBLE) + g.setting * CAST(0.001 AS DOUBLE), 3) AS sensor1
         FROM (SELECT * FROM train QUALIFY row_number() OVER (PARTITION BY asset_id ORDER BY window_start DESC) = 1) l,
              range(0, 8) g(setting))""",
     "compacted_rows": _with("gold") + f"SELECT {_r(GOLD_D)} FROM gold",

@@ -46,17 +46,48 @@ def canon(cols, rows):
     return [cols[i] for i in order], out
 
 
+def _spark_family(dt) -> str:
+    n = type(dt).__name__
+    return {"ByteType": "int", "ShortType": "int", "IntegerType": "int", "LongType": "int",
+            "FloatType": "float", "DoubleType": "float", "DecimalType": "decimal", "StringType": "str",
+            "BooleanType": "bool", "DateType": "date", "TimestampType": "ts", "TimestampNTZType": "ts"}.get(n, n)
+
+
+def _duck_family(t: str) -> str:
+    t = str(t).upper()
+    if t in ("TINYINT", "SMALLINT", "INTEGER", "BIGINT", "HUGEINT", "UTINYINT", "USMALLINT", "UINTEGER", "UBIGINT"):
+        return "int"
+    if t in ("FLOAT", "DOUBLE"):
+        return "float"
+    if t.startswith("DECIMAL"):
+        return "decimal"
+    if t == "VARCHAR":
+        return "str"
+    if t == "BOOLEAN":
+        return "bool"
+    if t == "DATE":
+        return "date"
+    if t.startswith("TIMESTAMP"):
+        return "ts"
+    return t
+
+
 def compare(spark_df, con, sql):
     s_cols = spark_df.columns
+    s_types = {f.name: _spark_family(f.dataType) for f in spark_df.schema.fields}
     s_rows = [tuple(r) for r in spark_df.collect()]
     res = con.execute(sql)
     d_cols = [d[0] for d in res.description]
+    d_types = {d[0]: _duck_family(d[1]) for d in res.description}
     d_rows = res.fetchall()
     sc, sr = canon(s_cols, s_rows)
     dc, dr = canon(d_cols, d_rows)
     problems = []
     if sc != dc:
         problems.append(f"columns spark={sc} duck={dc}")
+    bad_t = {c: (s_types[c], d_types[c]) for c in s_types if c in d_types and s_types[c] != d_types[c]}
+    if bad_t:
+        problems.append(f"types spark/duck {bad_t}")
     if len(sr) != len(dr):
         problems.append(f"rows spark={len(sr)} duck={len(dr)}")
     elif sr != dr:
