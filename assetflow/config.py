@@ -35,8 +35,6 @@ HOURS_PER_YEAR = 24 * 365
 AS_OF = _dt.date(2024, 2, 1)
 # price per unit of output (the formulas carry a price, the code uses 1)
 PRICE = 1.0
-# asset whose life curve is reported
-LIFE_CURVE_ASSET = 7
 # deterministic 80/20 split: pmod(hour_index * SPLIT_PRIME + asset_id, 10) < 8 trains
 SPLIT_PRIME = 7919
 SPLIT_BUCKETS = 10

@@ -94,9 +94,13 @@ def label_by_time(base: DataFrame, horizon: str = config.HORIZON, value: str = "
     return base.withColumn(label, lab)
 
 
-def life_curve(features: DataFrame, asset_id: int = config.LIFE_CURVE_ASSET) -> DataFrame:
-    """Mean age and remaining life per day for one asset."""
-    return (features.where(F.col("asset_id") == F.lit(asset_id))
-            .groupBy("reading_date")
+def life_curve(features: DataFrame, asset_id: int | None = None) -> DataFrame:
+    """Mean age and remaining life per (asset, day); one asset's curve with ``asset_id``.
+
+    A filter on the asset key sits on the window's partition column, so
+    Catalyst pushes it through the look-ahead window down to the scan.
+    """
+    f = features if asset_id is None else features.where(F.col("asset_id") == F.lit(asset_id))
+    return (f.groupBy("asset_id", "reading_date")
             .agg(F.avg("age").alias("age"), F.avg("remaining_life").alias("life"))
-            .orderBy("reading_date"))
+            .orderBy("asset_id", "reading_date"))

@@ -171,8 +171,8 @@ SQL: dict[str, str] = {
         FROM fbase b LEFT JOIN fbase n
           ON (n.asset_id = b.asset_id AND n.window_start = b.window_start + INTERVAL 6 HOUR))""",
     "life_curve": _with("feat") + """
-      SELECT reading_date, round(avg(age), 6) AS age, round(avg(remaining_life), 6) AS life
-      FROM feat WHERE asset_id = 7 GROUP BY reading_date ORDER BY reading_date""",
+      SELECT asset_id, reading_date, round(avg(age), 6) AS age, round(avg(remaining_life), 6) AS life
+      FROM feat GROUP BY asset_id, reading_date ORDER BY asset_id, reading_date""",
     "split_counts": _with("train") + """
       SELECT asset_id, is_test, count(*) AS n_rows FROM train GROUP BY asset_id, is_test""",
     "linear_model": _with("train") + """
