@@ -13,38 +13,43 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.joins import join_small
 
 
-def asset_age(dates: DataFrame, events: DataFrame, only_true: bool = False,
-              censored_as_null: bool = False) -> DataFrame:
-    """Days since the last and until the next event, for every (date, asset).
-
-    A two-way as-of join done as one window pass: reading dates and event dates
-    are unioned per asset and ordered by day; the greatest event day at or
-    before a date (RANGE frame, so the same day counts both ways) and the least
-    one at or after it are found without a fan-out join. ``dates`` must be
-    distinct per (date, asset). No earlier event gives
-    age 0, no later event remaining life 0, unless ``censored_as_null``.
+def with_age(rows: DataFrame, events: DataFrame, only_true: bool = False,
+             censored_as_null: bool = False, date_col: str = "reading_date",
+             key: str = "asset_id") -> DataFrame:
+    """Add days since the last and until the next event to every row.
+
+    A two-way as-of join done as one window pass: event days are unioned into
+    the rows of each asset and ordered by day; the greatest event day at or
+    before a row's day (RANGE frame, so the same day counts both ways) and the
+    least one at or after it are found without a fan-out join. No earlier
+    event gives age 0, no later event remaining life 0, unless
+    ``censored_as_null``. Rows may be any grain (dates, hourly readings).
     """
     if only_true:
         events = events.where(F.col("maintenance"))
-    d = dates.select("reading_date", "asset_id", F.lit(True).alias("_is_date"),
-                     F.lit(None).cast("date").alias("_event"))
-    ev = events.select("reading_date", "asset_id", F.lit(False).alias("_is_date"),
-                       F.col("reading_date").alias("_event"))
-    day = F.unix_date("reading_date")
-    w = Window.partitionBy("asset_id").orderBy(day)
-    both = d.unionByName(ev).select(
-        "reading_date", "asset_id", "_is_date",
+    tagged = rows.withColumn("_is_row", F.lit(True)).withColumn("_event", F.lit(None).cast("date"))
+    ev = events.select(F.col(date_col), F.col(key), F.lit(False).alias("_is_row"),
+                       F.col(date_col).alias("_event"))
+    w = Window.partitionBy(key).orderBy(F.unix_date(date_col))
+    both = tagged.unionByName(ev, allowMissingColumns=True).select(
+        "*",
         F.max("_event").over(w.rangeBetween(Window.unboundedPreceding, 0)).alias("_last"),
         F.min("_event").over(w.rangeBetween(0, Window.unboundedFollowing)).alias("_next"))
-    age = F.datediff("reading_date", "_last")
-    life = F.datediff("_next", "reading_date")
+    age = F.datediff(date_col, "_last")
+    life = F.datediff("_next", date_col)
     if not censored_as_null:
         age, life = F.coalesce(age, F.lit(0)), F.coalesce(life, F.lit(0))
-    return (both.where("_is_date")
-            .select("reading_date", "asset_id", age.alias("age"), life.alias("remaining_life")))
+    return (both.where("_is_row").withColumn("age", age).withColumn("remaining_life", life)
+            .drop("_is_row", "_event", "_last", "_next"))
+
+
+def asset_age(dates: DataFrame, events: DataFrame, only_true: bool = False,
+              censored_as_null: bool = False) -> DataFrame:
+    """Age and remaining life in days for distinct (date, asset) pairs."""
+    return with_age(dates.select("reading_date", "asset_id"), events, only_true, censored_as_null)\
+        .select("reading_date", "asset_id", "age", "remaining_life")
 
 
 def lead_rows(value: str, n: int, order: str, partition: str = "asset_id",
@@ -57,22 +62,21 @@ def lead_rows(value: str, n: int, order: str, partition: str = "asset_id",
     return F.expr(expr).over(Window.partitionBy(partition).orderBy(order))
 
 
-def feature_base(gold: DataFrame, age: DataFrame, as_of: _dt.date = config.AS_OF) -> DataFrame:
-    """Gold readings with age and remaining life, strictly before ``as_of``.
+def feature_base(gold: DataFrame, maintenance: DataFrame, as_of: _dt.date = config.AS_OF) -> DataFrame:
+    """Gold readings before ``as_of`` with age and remaining life.
 
     The date filter sits below the look-ahead window, so rows of ``as_of`` and
-    later never serve as labels. Age has one row per (asset, day) and is
-    broadcast when its row count allows.
+    later never serve as labels. Age is computed on the readings themselves
+    (a reading's age depends only on its date and the events), so there is no
+    separate age table to build and join back.
     """
-    a = age.select("reading_date", "asset_id", "age", "remaining_life")
-    return join_small(gold.where(F.col("reading_date") < F.lit(as_of)), a,
-                      ["reading_date", "asset_id"], "inner")
+    return with_age(gold.where(F.col("reading_date") < F.lit(as_of)), maintenance)
 
 
-def feature_table(gold: DataFrame, age: DataFrame, as_of: _dt.date = config.AS_OF,
+def feature_table(gold: DataFrame, maintenance: DataFrame, as_of: _dt.date = config.AS_OF,
                   horizon_rows: int = config.HORIZON_ROWS, label: str = "output_6_hours_ahead",
                   default_own: bool = True) -> DataFrame:
-    base = feature_base(gold, age, as_of)
+    base = feature_base(gold, maintenance, as_of)
     return base.withColumn(label, lead_rows("oil_output", horizon_rows, "window_start",
                                             default_own=default_own))
 

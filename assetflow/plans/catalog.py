@@ -76,7 +76,7 @@ def feature_table(spark, sf_dir):
 
 def label_by_time(spark, sf_dir):
     v = Views(spark, sf_dir)
-    return _out(features.label_by_time(features.feature_base(v.gold, v.age, v.as_of)))
+    return _out(features.label_by_time(features.feature_base(v.gold, v.maintenance, v.as_of)))
 
 
 def life_curve(spark, sf_dir):

@@ -43,17 +43,13 @@ class Views:
     def assets(self) -> DataFrame:
         return fixtures.assets(self.spark, self.sf_dir)
 
-    # Output and maintenance are stored side tables (loaded once, small: one row
-    # per asset-hour and per asset-day). Materialising them once means the view
-    # stack scans the readings once for the hourly means, instead of once per
-    # place each side table is used (gold, age).
     @cached_property
     def output(self) -> DataFrame:
-        return self.materialized("output", lambda: fixtures.output(self.spark, self.sf_dir))
+        return fixtures.output(self.spark, self.sf_dir)
 
     @cached_property
     def maintenance(self) -> DataFrame:
-        return self.materialized("maintenance", lambda: fixtures.maintenance(self.spark, self.sf_dir))
+        return fixtures.maintenance(self.spark, self.sf_dir)
 
     @cached_property
     def hourly(self) -> DataFrame:
@@ -73,4 +69,4 @@ class Views:
 
     @cached_property
     def features(self) -> DataFrame:
-        return features.feature_table(self.gold, self.age, self.as_of)
+        return features.feature_table(self.gold, self.maintenance, self.as_of)
