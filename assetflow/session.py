@@ -63,3 +63,26 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the checkpoint root for one run's tables."""
     return f"{checkpoint_root(spark)}/assetflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_settings(total_cores: int, scan_split_bytes: int = 256 * 1024 * 1024,
+                   shuffle_target_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a large cluster, to pass as ``build_session(extra=...)``.
+
+    * shuffle partitions start at three per core; AQE then merges small ones
+      toward ``shuffle_target_bytes`` and splits skewed ones, so the count does
+      not have to be tuned per input size (the heavy shuffles here run after a
+      partial aggregate, so they are far smaller than the input);
+    * scan tasks read ``scan_split_bytes`` of Parquet each;
+    * streaming state lives in RocksDB instead of the JVM heap.
+    """
+    return {
+        "spark.sql.shuffle.partitions": str(max(8, 3 * int(total_cores))),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_target_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
