@@ -251,7 +251,17 @@ def group_model(spark, sf_dir):
 
 
 def feature_importance(spark, sf_dir):
-    return _out(models.importance(M.output_coefs(Views(spark, sf_dir)), M.G, config.FEATURES))
+    """Per-asset shares of the ridge output models, plus the fleet trees' importances
+    (asset_id NULL: one model for the fleet)."""
+    v = Views(spark, sf_dir)
+    lin = models.importance(M.output_coefs(v), M.G, config.FEATURES)\
+        .withColumn("model", F.lit(M.OUTPUT_MODEL))
+    feats = config.FEATURES + ["asset_id"]
+    model, _ = models.fit_trees(M.training_frame(v), feats, M.OUT_LABEL, M.train())
+    trees = spark.createDataFrame(models.tree_importance(model, feats), "feature string, importance double")\
+        .select(F.lit(None).cast("int").alias("asset_id"), "feature", "importance",
+                F.lit("fleet_gbt").alias("model"))
+    return _out(lin.unionByName(trees))
 
 
 def tree_model(spark, sf_dir):
