@@ -47,6 +47,29 @@ def current(log: DataFrame, keys: list[str]) -> DataFrame:
             .select(*keys, "_row.*"))
 
 
+def fold(log: DataFrame, keys: list[str], snapshot_path: str) -> int:
+    """Write the current state as a snapshot (a base) and return the version it covers.
+
+    Reads after a fold take the base plus only the newer log versions
+    (``current_from``), so the cost of ``current`` stops growing with history;
+    partitions up to the base version are no longer read.
+    """
+    through = log.agg(F.max(VERSION)).first()[0]  # one value
+    if through is None:
+        return -1
+    (current(log.where(F.col(VERSION) <= F.lit(through)), keys)
+     .withColumn(VERSION, F.lit(int(through)).cast("long"))
+     .write.mode("overwrite").parquet(snapshot_path))
+    return int(through)
+
+
+def current_from(base: DataFrame, log: DataFrame, keys: list[str], base_version: int) -> DataFrame:
+    """``current`` over a folded base and the log versions after it (pruned by partition)."""
+    newer = log.where(F.col(VERSION) > F.lit(int(base_version)))
+    cols = [c for c in newer.columns if c != TIMESTAMP]
+    return current(base.select(*cols).unionByName(newer.select(*cols)), keys)
+
+
 def current_between(log: DataFrame, keys: list[str], date_col: str, lo, hi) -> DataFrame:
     """``current`` restricted to a date range (the pruning bound of an upsert)."""
     return current(log.where(F.col(date_col).between(F.lit(lo), F.lit(hi))), keys)

@@ -74,3 +74,15 @@ def test_backfill_versions_mean_over_prefix(spark):
     out = changelog.backfill_versions(df, ["2024-01-01 10:30:00"], "1 hour", ["sensor1"])
     got = sorted((r._commit_version, r.sensor1) for r in out.collect())
     assert got == [(0, 12.5), (1, 28.75)]
+
+
+def test_fold_then_read_base_plus_newer_versions(spark):
+    path = scratch_path(spark, "t_fold")
+    changelog.append_version(batch(spark, [("a", 0.0), ("b", 0.0)]), path, 0)
+    changelog.append_version(batch(spark, [("b", 1.0)]), path, 1)
+    base_v = changelog.fold(spark.read.parquet(path), K, path + "_base")
+    assert base_v == 1
+    changelog.append_version(batch(spark, [("a", 2.0), ("c", 2.0)]), path, 2)
+    log = spark.read.parquet(path)
+    got = changelog.current_from(spark.read.parquet(path + "_base"), log, K, base_v)
+    assert rows(got) == rows(changelog.current(log, K)) == [("a", 2.0), ("b", 1.0), ("c", 2.0)]
