@@ -122,3 +122,39 @@ def test_corrupt_cells_are_kept_aside(spark):
     got = {r.asset_id: (r.sensor1, r._corrupt) for r in spark.read.parquet(f"{root}/out").collect()}
     assert got[1] == (1.5, None)
     assert got[2][0] is None and "oops" in got[2][1]
+
+
+class _CrashOnce(Medallion):
+    """Once armed, fails after writing a version, before the micro-batch is committed."""
+    armed = False
+    crashed = False
+
+    def _upsert_silver(self, batch, batch_id):
+        super()._upsert_silver(batch, batch_id)
+        if _CrashOnce.armed and not _CrashOnce.crashed:
+            _CrashOnce.crashed = True
+            raise RuntimeError("simulated failure after the write")
+
+
+def test_replay_after_failure_keeps_the_log_exact(spark):
+    r = fixtures.readings(spark, SF_SMALL)
+    root = scratch_path(spark, "t_crash")
+    m = _CrashOnce(spark, root)
+    cols = [f.name for f in READING_SCHEMA.fields]
+    first = r.where(F.col("event_time") < F.lit("2024-01-15 12:30:00").cast("timestamp")).select(*cols)
+    rest = r.where(F.col("event_time") >= F.lit("2024-01-15 12:30:00").cast("timestamp")).select(*cols)
+    files.write_landing(first, m.landing)
+    m.run_available_now(gold=False)
+    files.write_landing(rest, m.landing)
+    _CrashOnce.armed = True
+    try:
+        m.run_available_now(gold=False)
+    except Exception:
+        pass
+    assert _CrashOnce.crashed
+    # restart from the checkpoints: the failed batch is replayed and replaces its own version
+    m2 = Medallion(spark, root)
+    m2.run_available_now(gold=False)
+    log = m2.silver_log()
+    assert log.groupBy("asset_id", "window_start", "_commit_version").count().where("count > 1").count() == 0
+    assert _round(m2.silver_current()) == _round(aggregate.windowed_avg(r))
