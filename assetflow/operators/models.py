@@ -253,3 +253,24 @@ def score_trees(model, dbl: list[str], df: DataFrame, features: list[str], out:
 def tree_importance(model, features: list[str]) -> list[tuple[str, float]]:
     imp = model.stages[-1].featureImportances.toArray()
     return [(c, float(w)) for c, w in zip(features, imp)]
+
+
+def usage_clusters(df: DataFrame, features: list[str], k: int = 4, key: str = "asset_id",
+                   seed: int = 42) -> DataFrame:
+    """Group similar assets: KMeans over each asset's mean (standardised) profile.
+
+    The profile is one partial aggregate per asset; KMeans then runs on one
+    row per asset. Returns ``key, cluster``.
+    """
+    from pyspark.ml import Pipeline
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+
+    prof = df.groupBy(key).agg(*[F.avg(F.col(c).cast("double")).alias(f"_m_{c}") for c in features])
+    cols = [f"_m_{c}" for c in features]
+    pipe = Pipeline(stages=[
+        Imputer(inputCols=cols, outputCols=cols, strategy="mean"),
+        VectorAssembler(inputCols=cols, outputCol="_v"),
+        StandardScaler(inputCol="_v", outputCol="_z", withMean=True, withStd=True),
+        KMeans(featuresCol="_z", predictionCol="cluster", k=k, seed=seed)])
+    return pipe.fit(prof).transform(prof).select(key, F.col("cluster").cast("int"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.columns import ntz_all, round_doubles
+from ..functions.joins import join_small
 from ..operators import aggregate, changelog, features, models, scenario
 from ..session import scratch_path
 from ..sources import files
@@ -242,12 +243,23 @@ def promoted_models(spark, sf_dir):
 
 
 def group_model(spark, sf_dir):
-    """One model per region (a group of similar assets) instead of per asset."""
+    """One model per group of similar assets instead of per asset: groups by
+    region (location) and by usage cluster (KMeans on each asset's mean profile).
+    Train and held-out RMSE per group."""
     v = Views(spark, sf_dir)
-    f = M.training_frame(v).join(F.broadcast(v.assets.select("asset_id", "region")), "asset_id")
-    c = models.fit(f, ["region"], config.FEATURES, M.OUT_LABEL, config.RIDGE, M.train())
-    s = models.score(f, c, ["region"], config.FEATURES, M.OUT_PRED)
-    return _out(models.rmse(s, ["region"], M.OUT_LABEL, M.OUT_PRED))
+    f = M.training_frame(v)
+    by_region = join_small(f, v.assets.select("asset_id", F.col("region").alias("grp")), "asset_id")
+    clusters = models.usage_clusters(f, config.FEATURES)
+    by_usage = join_small(f, clusters.select("asset_id", F.col("cluster").cast("string").alias("grp")),
+                          "asset_id")
+    out = None
+    for name, g in (("region", by_region), ("usage_cluster", by_usage)):
+        c = models.fit(g, ["grp"], config.FEATURES, M.OUT_LABEL, config.RIDGE, M.train())
+        s = models.score(g, c, ["grp"], config.FEATURES, M.OUT_PRED)
+        r = models.rmse(s, ["grp"], M.OUT_LABEL, M.OUT_PRED).select(
+            F.lit(name).alias("grouping"), F.col("grp").alias("group"), "train_rmse", "test_rmse")
+        out = r if out is None else out.unionByName(r)
+    return _out(out)
 
 
 def feature_importance(spark, sf_dir):
