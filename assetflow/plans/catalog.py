@@ -192,8 +192,10 @@ def linear_model(spark, sf_dir):
     """Per-asset least squares of the look-ahead label on current output (no penalty)."""
     f = M.training_frame(Views(spark, sf_dir))
     c = models.fit(f, M.G, ["oil_output"], M.OUT_LABEL, 0.0, M.train())
-    return _out(c.select("asset_id", "n_train", F.col("b_oil_output").alias("slope"),
-                         F.col("intercept")))
+    defined = F.col("sd_oil_output") > 0  # no variance in the feature: no slope (as regr_slope)
+    return _out(c.select("asset_id", "n_train",
+                         F.when(defined, F.col("b_oil_output")).alias("slope"),
+                         F.when(defined, F.col("intercept")).alias("intercept")))
 
 
 def output_predictions(spark, sf_dir):
