@@ -118,7 +118,7 @@ def _with(*names: str) -> str:
 
 def _r(cols: list[str]) -> str:
     """``* REPLACE`` list rounding the named double columns to 6 digits."""
-    return "* REPLACE (" + ", ".join(f"round({c}, 6) AS {c}" for c in cols) + ")"
+    return "* REPLACE (" + ", ".join(f"round(round({c}, 10), 6) AS {c}" for c in cols) + ")"
 
 
 GOLD_D = CH + ["oil_output"]
@@ -127,11 +127,11 @@ FEAT_D = GOLD_D + ["output_6_hours_ahead"]
 SQL: dict[str, str] = {
     "bronze_readings": _with("reading") + f"SELECT {_r(CH)} FROM reading",
     "hourly_min": _with("reading") + """
-      SELECT round(min(sensor1), 6) AS sensor1, round(min(sensor2), 6) AS sensor2,
+      SELECT round(round(min(sensor1), 10), 6) AS sensor1, round(round(min(sensor2), 10), 6) AS sensor2,
              date_trunc('hour', event_time) AS event_hour
       FROM reading GROUP BY date_trunc('hour', event_time)""",
     "hourly_min_stream": _with("reading") + """
-      SELECT round(min(sensor1), 6) AS sensor1, round(min(sensor2), 6) AS sensor2,
+      SELECT round(round(min(sensor1), 10), 6) AS sensor1, round(round(min(sensor2), 10), 6) AS sensor2,
              date_trunc('hour', event_time) AS event_hour
       FROM reading GROUP BY date_trunc('hour', event_time)""",
     "count_by_asset": _with("reading") + """
@@ -142,7 +142,7 @@ SQL: dict[str, str] = {
       SELECT min(reading_date) AS min_date, max(reading_date) AS max_date FROM reading""",
     "reading_dates": _with("output_t") + "SELECT DISTINCT reading_date, asset_id FROM output_t",
     "dedup_keys": _with("reading") + f"""
-      SELECT asset_id, window_start, event_time, reading_date, {", ".join(f"round({c}, 6) AS {c}" for c in CH)}
+      SELECT asset_id, window_start, event_time, reading_date, {", ".join(f"round(round({c}, 10), 6) AS {c}" for c in CH)}
       FROM (SELECT *, date_trunc('hour', event_time) AS window_start FROM reading)
       QUALIFY row_number() OVER (PARTITION BY asset_id, window_start
                                  ORDER BY event_time DESC, {", ".join(f"{c} DESC NULLS LAST" for c in CH)}) = 1""",
@@ -151,17 +151,17 @@ SQL: dict[str, str] = {
     "upsert_latest": _with("hourly") + f"SELECT {_r(CH)} FROM hourly",
     "latest_change": _with("hourly") + f"SELECT {_r(CH)} FROM hourly",
     "change_feed": _with("feed") + f"""
-      SELECT asset_id, window_start, reading_date, window_end, {", ".join(f"round({c}, 6) AS {c}" for c in CH)},
+      SELECT asset_id, window_start, reading_date, window_end, {", ".join(f"round(round({c}, 10), 6) AS {c}" for c in CH)},
              CASE WHEN rn = 1 THEN 'insert' ELSE 'update_postimage' END AS _change_type, _commit_version
       FROM feed
       UNION ALL
-      SELECT asset_id, window_start, p_reading_date, p_window_end, {", ".join(f"round(p_{c}, 6)" for c in CH)},
+      SELECT asset_id, window_start, p_reading_date, p_window_end, {", ".join(f"round(round(p_{c}, 10), 6)" for c in CH)},
              'update_preimage', _commit_version
       FROM feed WHERE rn > 1""",
     "enriched_upsert": _with("enriched") + f"SELECT {_r(CH)} FROM enriched",
     "maintenance_events": _with("maint") + "SELECT * FROM maint",
     "enriched_assets": _with("enriched") + f"SELECT {_r(CH)} FROM enriched",
-    "asset_output": _with("output_t") + "SELECT * REPLACE (round(oil_output, 6) AS oil_output) FROM output_t",
+    "asset_output": _with("output_t") + "SELECT * REPLACE (round(round(oil_output, 10), 6) AS oil_output) FROM output_t",
     "gold_readings": _with("gold") + f"SELECT {_r(GOLD_D)} FROM gold ORDER BY asset_id, window_start",
     "asset_age": _with("age") + "SELECT * FROM age",
     "feature_table": _with("feat") + f"SELECT {_r(FEAT_D)} FROM feat",
@@ -171,14 +171,14 @@ SQL: dict[str, str] = {
         FROM fbase b LEFT JOIN fbase n
           ON (n.asset_id = b.asset_id AND n.window_start = b.window_start + INTERVAL 6 HOUR))""",
     "life_curve": _with("feat") + """
-      SELECT asset_id, reading_date, round(avg(age), 6) AS age, round(avg(remaining_life), 6) AS life
+      SELECT asset_id, reading_date, round(round(avg(age), 10), 6) AS age, round(round(avg(remaining_life), 10), 6) AS life
       FROM feat GROUP BY asset_id, reading_date ORDER BY asset_id, reading_date""",
     "split_counts": _with("train") + """
       SELECT asset_id, is_test, count(*) AS n_rows FROM train GROUP BY asset_id, is_test""",
     "linear_model": _with("train") + """
       SELECT asset_id, regr_count(output_6_hours_ahead, oil_output) AS n_train,
-             round(regr_slope(output_6_hours_ahead, oil_output), 6) AS slope,
-             round(regr_intercept(output_6_hours_ahead, oil_output), 6) AS intercept
+             round(round(regr_slope(output_6_hours_ahead, oil_output), 10), 6) AS slope,
+             round(round(regr_intercept(output_6_hours_ahead, oil_output), 10), 6) AS intercept
       FROM train WHERE NOT is_test AND oil_output IS NOT NULL AND output_6_hours_ahead IS NOT NULL
       GROUP BY asset_id""",
     "sweep_grid": _with("train") + f"""

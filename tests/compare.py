@@ -103,7 +103,8 @@ if __name__ == "__main__":
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = set(sys.argv[2:])
-    spark = build_session("local[8]", shuffle_partitions=8)
+    import os
+    spark = build_session(os.environ.get("CMP_MASTER", "local[8]"), shuffle_partitions=int(os.environ.get("CMP_SHUFFLE", "8")))
     con = duck(sf_dir)
     sql = E.oracle_sql()
     for name, fn in E.queries().items():
