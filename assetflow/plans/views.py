@@ -69,4 +69,15 @@ class Views:
 
     @cached_property
     def features(self) -> DataFrame:
-        return features.feature_table(self.gold, self.maintenance, self.as_of)
+        """Feature rows: gold readings before ``as_of`` with age and the label.
+
+        The readings and output are bounded by ``as_of`` at the scan (a pushed
+        Parquet filter on the event time); the same bound also applies to the
+        gold rows inside ``feature_table``. Maintenance is not bounded: events
+        after ``as_of`` still define the remaining life of earlier days.
+        """
+        r = fixtures.readings(self.spark, self.sf_dir, before=self.as_of)
+        o = fixtures.output(self.spark, self.sf_dir, before=self.as_of)
+        hourly = aggregate.windowed_avg(r)
+        gold = enrich.gold_readings(enrich.enrich_assets(hourly, self.assets), o, self.maintenance)
+        return features.feature_table(gold, self.maintenance, self.as_of)

@@ -7,6 +7,8 @@ the events. All of it is lazy DataFrame code: the scans prune to the columns use
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def events(spark: SparkSession, sf_dir: str, before=None) -> DataFrame:
+    """The events table; ``before`` (a date) keeps events before its midnight.
+
+    The bound is a plain comparison on the stored ``ts`` column, so Parquet
+    skips row groups by their statistics (events arrive in time order).
+    """
+    e = table(spark, sf_dir, "events")
+    if before is not None:
+        e = e.where(F.col("ts") < F.lit(_dt.datetime.combine(before, _dt.time())).cast("timestamp_ntz"))
+    return e
+
+
 def _k(props: str = "props"):
     return F.get_json_object(F.col(props), "$.k").try_cast("int")
 
@@ -52,8 +66,8 @@ def reading_columns(events: DataFrame) -> DataFrame:
                      .otherwise(v + k).alias("sensor9")))
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reading_columns(table(spark, sf_dir, "events"))
+def readings(spark: SparkSession, sf_dir: str, before=None) -> DataFrame:
+    return reading_columns(events(spark, sf_dir, before))
 
 
 def assets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,13 +82,13 @@ def assets(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("r_name").alias("region")))
 
 
-def output(spark: SparkSession, sf_dir: str, length: str = config.WINDOW) -> DataFrame:
+def output(spark: SparkSession, sf_dir: str, length: str = config.WINDOW, before=None) -> DataFrame:
     """Output per (asset, window): sum of ``value`` over non-signup events.
 
     Grouped on ``(asset_id, window_start)`` in that order, the same keys the
     hourly sensor aggregate uses, so the two can be joined without a re-shuffle.
     """
-    e = table(spark, sf_dir, "events")
+    e = events(spark, sf_dir, before)
     return (e.where(F.col("event_type") != "signup")
             .select(F.col("ts").cast("timestamp").alias("event_time"),
                     (F.col("user_id") % N_ASSETS).cast("int").alias("asset_id"), "value")
@@ -86,7 +100,7 @@ def output(spark: SparkSession, sf_dir: str, length: str = config.WINDOW) -> Dat
 
 def maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Maintenance history: one row per (date, asset) with a severe error."""
-    e = table(spark, sf_dir, "events")
+    e = events(spark, sf_dir)
     return (e.where((F.col("event_type") == "error"))
             .select(F.col("ts").cast("timestamp").alias("event_time"),
                     (F.col("user_id") % N_ASSETS).cast("int").alias("asset_id"),
