@@ -80,3 +80,19 @@ def test_join_small_broadcasts_only_within_bounds(spark):
         assert "Broadcast" not in plan(join_small(big, small, "k", max_rows=5))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_same_day_double_maintenance_repeats_the_reading(spark):
+    from assetflow.operators import enrich
+    t = dt.datetime(2024, 1, 5, 10, 0)
+    hourly = spark.createDataFrame([(1, dt.date(2024, 1, 5), t, 1.0)],
+                                   "asset_id int, reading_date date, window_start timestamp, sensor1 double")
+    out = spark.createDataFrame([(dt.date(2024, 1, 5), t, 1, 9.0)],
+                                "reading_date date, window_start timestamp, asset_id int, oil_output double")
+    raw = spark.createDataFrame([(dt.date(2024, 1, 5), True, 1), (dt.date(2024, 1, 5), False, 1)],
+                                "reading_date date, maintenance boolean, asset_id int")
+    g = enrich.gold_readings(hourly, out, raw).collect()
+    assert sorted(r.maintenance for r in g) == [False, True]  # a plain LEFT JOIN keeps both
+    # the fixture aggregates maintenance to one row per day first
+    one = raw.groupBy("reading_date", "asset_id").agg(F.bool_or("maintenance").alias("maintenance"))
+    assert [r.maintenance for r in enrich.gold_readings(hourly, out, one).collect()] == [True]
