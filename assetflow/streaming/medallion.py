@@ -11,6 +11,11 @@ Stages hand over through storage, never memory, and every stage keeps its
 progress in a checkpoint under the shared checkpoint root, so any stage can be
 stopped, restarted or lose executors and resume where it committed. Upserts
 are replay-safe (see ``operators.changelog``).
+
+The silver stage keeps Spark's no-data micro-batches: rows are judged late
+against the watermark of the previous batch, and a no-data batch is what
+advances it after the last rows arrived. Without it a late row would be
+accepted for one more trigger.
 """
 
 from __future__ import annotations
