@@ -28,7 +28,13 @@ def _out(df: DataFrame) -> DataFrame:
 
 
 def bronze_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _out(Views(spark, sf_dir).readings)
+    """Readings landed as CSV files, ingested by the bronze stream into a
+    date-partitioned table, read back."""
+    m = Medallion(spark, scratch_path(spark, "bronze"))
+    m.ensure_dirs()
+    files.write_landing(Views(spark, sf_dir).readings.select(*[f.name for f in m.schema.fields]), m.landing)
+    m.run_available_now(upto="bronze")
+    return _out(m.bronze_table())
 
 
 def hourly_min(spark, sf_dir):

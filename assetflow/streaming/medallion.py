@@ -130,7 +130,7 @@ class Medallion:
         return changelog.current(self.spark.read.parquet(self.live_log(name)), self.live[name][1])
 
     # -- lifecycle ----------------------------------------------------------
-    def _ensure_dirs(self) -> None:
+    def ensure_dirs(self) -> None:
         # file stream sources need their folder to exist before the first file lands
         empty = self.spark.createDataFrame([], log_schema(SILVER_FIELDS))
         empty.write.mode("append").partitionBy(changelog.VERSION).parquet(self.silver)
@@ -138,10 +138,12 @@ class Medallion:
             .partitionBy("reading_date").parquet(self.bronze)
         self.spark.createDataFrame([], self.schema).write.mode("append").csv(self.landing)
 
-    def stages(self, gold: bool = True, chain: bool = True) -> list:
+    def stages(self, gold: bool = True, chain: bool = True, upto: str = "gold") -> list:
         out = [("bronze", self.bronze_writer), ("silver", self.silver_writer)] if chain else []
         if chain and gold and self.assets is not None:
             out.append(("gold", self.gold_writer))
+        order = ["bronze", "silver", "gold"]
+        out = [st for st in out if order.index(st[0]) <= order.index(upto)]
         for name in self.live:
             out.append((f"live_{name}", lambda n=name: self.live_writer(n)))
         return out
@@ -150,7 +152,7 @@ class Medallion:
         """Start the chain (bronze, silver, gold when metadata is given) and any
         live aggregates as continuous queries; ``chain=False`` starts only the
         live aggregates."""
-        self._ensure_dirs()
+        self.ensure_dirs()
         for name, writer in self.stages(gold, chain):
             w = writer()
             if trigger:
@@ -164,11 +166,11 @@ class Medallion:
             if name in self.queries:
                 self.queries[name].processAllAvailable()
 
-    def run_available_now(self, gold: bool = True, chain: bool = True) -> None:
+    def run_available_now(self, gold: bool = True, chain: bool = True, upto: str = "gold") -> None:
         """One bounded run per stage, each after the previous one finished
-        (batch-style scheduling, e.g. a daily job)."""
-        self._ensure_dirs()
-        for name, writer in self.stages(gold, chain):
+        (batch-style scheduling, e.g. a daily job); ``upto`` stops after a stage."""
+        self.ensure_dirs()
+        for name, writer in self.stages(gold, chain, upto):
             q = writer().trigger(availableNow=True).start()
             self.queries[name] = q
             q.awaitTermination()
@@ -185,6 +187,9 @@ class Medallion:
                    for p in q.recentProgress for op in p.get("stateOperators", []))
 
     # -- readers ------------------------------------------------------------
+    def bronze_table(self) -> DataFrame:
+        return self.spark.read.schema(BRONZE_SCHEMA).parquet(self.bronze)
+
     def silver_log(self) -> DataFrame:
         return self.spark.read.schema(log_schema(SILVER_FIELDS)).parquet(self.silver)
 
