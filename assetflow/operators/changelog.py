@@ -35,6 +35,12 @@ def append_version(df: DataFrame, log_path: str, version: int) -> None:
      .partitionBy(VERSION).parquet(log_path))
 
 
+def read_log(spark, log_path: str) -> DataFrame:
+    """Read a change log; the version comes back from directory names, whose
+    type inference narrows it, so it is restored to BIGINT."""
+    return spark.read.parquet(log_path).withColumn(VERSION, F.col(VERSION).cast("long"))
+
+
 def current(log: DataFrame, keys: list[str]) -> DataFrame:
     """Newest row per key.
 

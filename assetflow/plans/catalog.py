@@ -98,7 +98,7 @@ def _backfilled_log(spark, sf_dir) -> DataFrame:
     path = scratch_path(spark, "silver_log")
     changelog.write_log(changelog.backfill_versions(v.readings, config.BATCH_CUTOFFS, config.WINDOW,
                                                     config.CHANNELS), path)
-    return spark.read.parquet(path)
+    return changelog.read_log(spark, path)
 
 
 def upsert_latest(spark, sf_dir):

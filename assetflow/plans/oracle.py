@@ -176,7 +176,7 @@ SQL: dict[str, str] = {
     "split_counts": _with("train") + """
       SELECT asset_id, is_test, count(*) AS n_rows FROM train GROUP BY asset_id, is_test""",
     "linear_model": _with("train") + """
-      SELECT asset_id, regr_count(output_6_hours_ahead, oil_output) AS n_train,
+      SELECT asset_id, CAST(regr_count(output_6_hours_ahead, oil_output) AS BIGINT) AS n_train,
              round(round(regr_slope(output_6_hours_ahead, oil_output), 10), 6) AS slope,
              round(round(regr_intercept(output_6_hours_ahead, oil_output), 10), 6) AS intercept
       FROM train WHERE NOT is_test AND oil_output IS NOT NULL AND output_6_hours_ahead IS NOT NULL

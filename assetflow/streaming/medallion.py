@@ -127,7 +127,7 @@ class Medallion:
                 .option("checkpointLocation", self.ckpt(f"live_{name}")))
 
     def live_current(self, name: str) -> DataFrame:
-        return changelog.current(self.spark.read.parquet(self.live_log(name)), self.live[name][1])
+        return changelog.current(changelog.read_log(self.spark, self.live_log(name)), self.live[name][1])
 
     # -- lifecycle ----------------------------------------------------------
     def ensure_dirs(self) -> None:
@@ -194,7 +194,7 @@ class Medallion:
         return self.spark.read.schema(log_schema(SILVER_FIELDS)).parquet(self.silver)
 
     def gold_log(self) -> DataFrame:
-        return self.spark.read.parquet(self.gold)
+        return changelog.read_log(self.spark, self.gold)
 
     def silver_current(self) -> DataFrame:
         return changelog.current(self.silver_log(), KEYS)

@@ -46,6 +46,16 @@ def canon(cols, rows):
     return [cols[i] for i in order], out
 
 
+_EXACT = {"IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+          "BooleanType": "BOOLEAN", "DateType": "DATE", "TimestampNTZType": "TIMESTAMP",
+          "TimestampType": "TIMESTAMP WITH TIME ZONE", "FloatType": "FLOAT", "ShortType": "SMALLINT",
+          "ByteType": "TINYINT"}
+
+
+def _spark_exact(dt) -> str:
+    return _EXACT.get(type(dt).__name__, str(dt))
+
+
 def _spark_family(dt) -> str:
     n = type(dt).__name__
     return {"ByteType": "int", "ShortType": "int", "IntegerType": "int", "LongType": "int",
@@ -75,10 +85,12 @@ def _duck_family(t: str) -> str:
 def compare(spark_df, con, sql):
     s_cols = spark_df.columns
     s_types = {f.name: _spark_family(f.dataType) for f in spark_df.schema.fields}
+    s_exact = {f.name: _spark_exact(f.dataType) for f in spark_df.schema.fields}
     s_rows = [tuple(r) for r in spark_df.collect()]
     res = con.execute(sql)
     d_cols = [d[0] for d in res.description]
     d_types = {d[0]: _duck_family(d[1]) for d in res.description}
+    d_exact = {d[0]: str(d[1]) for d in res.description}
     d_rows = res.fetchall()
     sc, sr = canon(s_cols, s_rows)
     dc, dr = canon(d_cols, d_rows)
@@ -88,6 +100,9 @@ def compare(spark_df, con, sql):
     bad_t = {c: (s_types[c], d_types[c]) for c in s_types if c in d_types and s_types[c] != d_types[c]}
     if bad_t:
         problems.append(f"types spark/duck {bad_t}")
+    bad_x = {c: (s_exact[c], d_exact[c]) for c in s_exact if c in d_exact and s_exact[c] != d_exact[c]}
+    if bad_x and not bad_t:
+        problems.append(f"exact types spark/duck {bad_x}")
     if len(sr) != len(dr):
         problems.append(f"rows spark={len(sr)} duck={len(dr)}")
     elif sr != dr:
