@@ -72,7 +72,12 @@ def test_join_small_broadcasts_only_within_bounds(spark):
     assert n == 10 and b == 10 * 8 + sum(range(10))
 
     def plan(df):
-        return df._jdf.queryExecution().executedPlan().toString()
+        import contextlib
+        import io
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        return buf.getvalue()
     assert "Broadcast" in plan(join_small(big, small, "k"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
