@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # microsecond timestamps survive a CSV round trip
@@ -32,7 +33,7 @@ def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
         row = spark.read.text(location).first()
     except Exception:  # nothing saved yet
         return None
-    return T.StructType.fromJson(__import__("json").loads(row[0])) if row else None
+    return T.StructType.fromJson(json.loads(row[0])) if row else None
 
 
 def merge_schemas(old: T.StructType, new: T.StructType) -> T.StructType:

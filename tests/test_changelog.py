@@ -1,7 +1,6 @@
 import datetime as dt
 
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from assetflow.operators import changelog
 from assetflow.session import scratch_path
