@@ -3,6 +3,23 @@
 Readings -> hourly windows -> change log (upsert / change feed) -> enriched gold
 -> features (age, remaining life, look-ahead label) -> per-asset models ->
 operating-point sweep and profit, all expressed with the DataFrame API.
+
+Where to start:
+
+* ``assetflow.session.build_session`` / ``scale_settings``: a configured session.
+* ``assetflow.sources.files``: CSV landing zone, evolving schemas, idempotent loads.
+* ``assetflow.streaming.Medallion``: the bronze -> silver -> gold streams
+  (also ``python -m assetflow.streaming``).
+* ``assetflow.operators.aggregate`` / ``enrich`` / ``features``: window means,
+  gold readings, two-way as-of age, row and time look-ahead labels.
+* ``assetflow.operators.changelog``: ``append_version``, ``current``,
+  ``change_feed``, ``latest_change``, ``fold``.
+* ``assetflow.operators.models``: ``fit`` / ``score`` (per-group ridge from
+  sufficient statistics), ``run_log``, ``best_runs``, ``registry_stages``,
+  ``fit_trees``, ``usage_clusters``.
+* ``assetflow.operators.scenario``: sweep grid, profit, optimum, fleet KPIs.
+* ``assetflow.operators.layout``: compaction and clustering of closed partitions.
+* ``assetflow.plans.catalog.QUERIES``: every registered analytic by name.
 """
 
 __version__ = "0.1.0"
