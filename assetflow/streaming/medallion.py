@@ -57,7 +57,8 @@ class Medallion:
     def __init__(self, spark: SparkSession, root: str, assets: Callable[[], DataFrame] | None = None,
                  length: str = config.WINDOW, watermark: str = config.WATERMARK,
                  schema: T.StructType = READING_SCHEMA, max_files: int | None = None,
-                 live: dict[str, tuple[str, list[str]]] | None = None, gold_from_version: int = 0):
+                 live: dict[str, tuple[str, list[str]]] | None = None, gold_from_version: int = 0,
+                 corrupt_column: str | None = None):
         self.spark, self.root = spark, root.rstrip("/")
         self.assets, self.length, self.watermark = assets, length, watermark
         self.schema, self.max_files = schema, max_files
@@ -70,13 +71,15 @@ class Medallion:
         self.live = dict(live or {})
         # first silver version the gold stream consumes (a change feed's starting version)
         self.gold_from_version = gold_from_version
+        # keep unparseable CSV lines in bronze under this column instead of failing
+        self.corrupt_column = corrupt_column
 
     def ckpt(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
 
     # -- stream definitions ----------------------------------------------
     def bronze_writer(self):
-        src = files.csv_stream(self.spark, self.landing, self.schema, self.max_files)
+        src = files.csv_stream(self.spark, self.landing, self.schema, self.max_files, self.corrupt_column)
         return (aggregate.with_reading_date(src).writeStream.format("parquet")
                 .partitionBy("reading_date").option("path", self.bronze)
                 .option("checkpointLocation", self.ckpt("bronze")))

@@ -158,3 +158,18 @@ def test_replay_after_failure_keeps_the_log_exact(spark):
     log = m2.silver_log()
     assert log.groupBy("asset_id", "window_start", "_commit_version").count().where("count > 1").count() == 0
     assert _round(m2.silver_current()) == _round(aggregate.windowed_avg(r))
+
+
+def test_chain_keeps_bad_lines_in_bronze(spark):
+    m = Medallion(spark, scratch_path(spark, "t_bad"), corrupt_column="_corrupt")
+    m.ensure_dirs()
+    good = spark.createDataFrame([_reading(dt.datetime(2024, 1, 4, 1, 0))], READING_SCHEMA)
+    files.write_landing(good, m.landing)
+    spark.createDataFrame([("2024-01-04T02:00:00.000000Z", "1") + ("x",) * len(config.CHANNELS)],
+                          ", ".join(f"c{i} string" for i in range(2 + len(config.CHANNELS))))\
+        .coalesce(1).write.mode("append").option("header", True).csv(m.landing)
+    m.run_available_now(gold=False)
+    bronze = spark.read.parquet(m.bronze)
+    assert bronze.count() == 2
+    assert bronze.where(F.col("_corrupt").isNotNull()).count() == 1
+    assert m.silver_current().count() == 2  # the bad line's typed cells are NULL; its window still counts
