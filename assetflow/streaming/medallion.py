@@ -74,6 +74,19 @@ class Medallion:
         # keep unparseable CSV lines in bronze under this column instead of failing
         self.corrupt_column = corrupt_column
 
+    @classmethod
+    def evolving(cls, spark: SparkSession, root: str, **kw) -> "Medallion":
+        """A chain whose reading schema is inferred from the landed files and
+        remembered under ``<root>/_schema``; on each restart it widens by any new
+        trailing columns (older rows read NULL in them). The remembered schema
+        must keep the reading columns the silver stage aggregates."""
+        m = cls(spark, root, **kw)
+        m.schema = files.evolving_schema(spark, m.landing, f"{m.root}/_schema")
+        missing = {f.name for f in READING_SCHEMA.fields} - {f.name for f in m.schema.fields}
+        if missing:
+            raise ValueError(f"landed files lack reading columns {sorted(missing)}")
+        return m
+
     def ckpt(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
 

@@ -173,3 +173,23 @@ def test_chain_keeps_bad_lines_in_bronze(spark):
     assert bronze.count() == 2
     assert bronze.where(F.col("_corrupt").isNotNull()).count() == 1
     assert m.silver_current().count() == 2  # the bad line's typed cells are NULL; its window still counts
+
+
+def test_restart_with_a_widened_schema(spark):
+    root = scratch_path(spark, "t_evolve")
+    land = f"{root}/landing"
+    first = spark.createDataFrame([_reading(dt.datetime(2024, 1, 6, 1, 0))], READING_SCHEMA)
+    files.write_landing(first, land)
+    m = Medallion.evolving(spark, root)
+    m.run_available_now(gold=False)
+    # a new device firmware adds a tenth channel at the end of the file
+    wide = first.withColumn("event_time", F.lit("2024-01-06 02:00:00").cast("timestamp"))\
+        .withColumn("sensor10", F.lit(5.0))
+    files.write_landing(wide, land)
+    m2 = Medallion.evolving(spark, root)
+    assert m2.schema.fieldNames()[-1] == "sensor10"
+    m2.run_available_now(gold=False)
+    got = {r.event_time.hour: r.sensor10 for r in
+           spark.read.option("mergeSchema", True).parquet(m2.bronze).collect()}
+    assert got == {1: None, 2: 5.0}
+    assert m2.silver_current().count() == 2
