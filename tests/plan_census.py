@@ -43,12 +43,23 @@ if __name__ == "__main__":
     import __spark_entry__ as E
     from assetflow.session import build_session
 
+    import os
+
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[4]", shuffle_partitions=8)
-    print(f"# Plan census ({sf_dir}, final adaptive plans)\n")
-    print("Operators in the physical plan that produces each registered analytic (the last job; "
-          "eager steps such as stream runs, loads and checkpoints run before it). Generated by "
-          "`python tests/plan_census.py`.\n")
+    at_scale = os.environ.get("CENSUS_AT_SCALE") == "1"
+    extra = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"} if at_scale else {}
+    spark = build_session("local[4]", shuffle_partitions=8, extra=extra)
+    if at_scale:
+        print(f"## At-scale shape ({sf_dir}, size-based automatic broadcasts off)\n")
+        print("With the planner's own broadcast thresholds disabled, as they would not fire on "
+              "large inputs, only the size-checked broadcasts of dimension-sized tables remain.\n")
+    else:
+        print(f"# Plan census ({sf_dir}, final adaptive plans)\n")
+    if not at_scale:
+        print("Operators in the physical plan that produces each registered analytic (the last job; "
+              "eager steps such as stream runs, loads and checkpoints run before it). Generated by "
+              "`python tests/plan_census.py`.\n")
     print("| query | " + " | ".join(PATTERNS) + " |")
     print("|---|" + "---|" * len(PATTERNS))
     for name, fn in E.queries().items():
