@@ -24,10 +24,11 @@ def main() -> None:
     ap.add_argument("--max-files", type=int, default=None)
     ap.add_argument("--window", default=config.WINDOW)
     ap.add_argument("--watermark", default=config.WATERMARK)
+    ap.add_argument("--state-partitions", type=int, default=None)
     a = ap.parse_args()
     spark = build_session(app="assetflow-streams")
     m = Medallion(spark, a.root, assets=lambda: spark.read.parquet(a.assets), length=a.window,
-                  watermark=a.watermark, max_files=a.max_files)
+                  watermark=a.watermark, max_files=a.max_files, state_partitions=a.state_partitions)
     m.start(trigger={"processingTime": a.trigger})
     spark.streams.awaitAnyTermination()
 

@@ -58,7 +58,7 @@ class Medallion:
                  length: str = config.WINDOW, watermark: str = config.WATERMARK,
                  schema: T.StructType = READING_SCHEMA, max_files: int | None = None,
                  live: dict[str, tuple[str, list[str]]] | None = None, gold_from_version: int = 0,
-                 corrupt_column: str | None = None):
+                 corrupt_column: str | None = None, state_partitions: int | None = None):
         self.spark, self.root = spark, root.rstrip("/")
         self.assets, self.length, self.watermark = assets, length, watermark
         self.schema, self.max_files = schema, max_files
@@ -73,6 +73,9 @@ class Medallion:
         self.gold_from_version = gold_from_version
         # keep unparseable CSV lines in bronze under this column instead of failing
         self.corrupt_column = corrupt_column
+        # shuffle partitions of the streams, fixed by the first start of a checkpoint:
+        # sized for the state (assets x open windows), not for a batch job's input
+        self.state_partitions = int(state_partitions or spark.sparkContext.defaultParallelism)
 
     @classmethod
     def evolving(cls, spark: SparkSession, root: str, **kw) -> "Medallion":
@@ -164,6 +167,20 @@ class Medallion:
             out.append((f"live_{name}", lambda n=name: self.live_writer(n)))
         return out
 
+    def _start(self, w) -> StreamingQuery:
+        """Start a stream with ``state_partitions`` shuffle partitions.
+
+        A query copies the session's SQL settings when it starts, so the value
+        is set for the start only and the session's own value is restored.
+        """
+        key = "spark.sql.shuffle.partitions"
+        before = self.spark.conf.get(key)
+        self.spark.conf.set(key, str(self.state_partitions))
+        try:
+            return w.start()
+        finally:
+            self.spark.conf.set(key, before)
+
     def start(self, gold: bool = True, trigger: dict | None = None, chain: bool = True) -> "Medallion":
         """Start the chain (bronze, silver, gold when metadata is given) and any
         live aggregates as continuous queries; ``chain=False`` starts only the
@@ -173,7 +190,7 @@ class Medallion:
             w = writer()
             if trigger:
                 w = w.trigger(**trigger)
-            self.queries[name] = w.start()
+            self.queries[name] = self._start(w)
         return self
 
     def drain(self) -> None:
@@ -187,7 +204,7 @@ class Medallion:
         (batch-style scheduling, e.g. a daily job); ``upto`` stops after a stage."""
         self.ensure_dirs()
         for name, writer in self.stages(gold, chain, upto):
-            q = writer().trigger(availableNow=True).start()
+            q = self._start(writer().trigger(availableNow=True))
             self.queries[name] = q
             q.awaitTermination()
 
