@@ -193,3 +193,12 @@ def test_restart_with_a_widened_schema(spark):
            spark.read.option("mergeSchema", True).parquet(m2.bronze).collect()}
     assert got == {1: None, 2: 5.0}
     assert m2.silver_current().count() == 2
+
+
+def test_stream_start_keeps_the_session_setting(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    m = Medallion(spark, scratch_path(spark, "t_parts"), state_partitions=3)
+    files.write_landing(spark.createDataFrame([_reading(dt.datetime(2024, 1, 8, 1, 0))], READING_SCHEMA), m.landing)
+    m.run_available_now(gold=False)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert m.silver_current().count() == 1
