@@ -83,7 +83,8 @@ def fit(df: DataFrame, vocabulary: str, text: str = "text", lang: str = "lang",
     below = F.lit(False)
     for r in sizes:
         share = min(1.0, (2 * sample + 100) / r["n"])
-        below = below | ((F.col("lang") == r["lang"]) & (F.col("draw") <= int(-(1 << 63) + share * ((1 << 64) - 1024))))
+        bound = min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))
+        below = below | ((F.col("lang") == r["lang"]) & (F.col("draw") <= bound))
     pick = Window.partitionBy("lang").orderBy("draw", "key")
     chosen = rows.where(below).withColumn("rank", F.row_number().over(pick)).where(F.col("rank") <= sample)
 
