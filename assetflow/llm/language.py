@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from . import pieces as P
 from .common import id_remainder, slices, text_buffers
-from .words import split, distinct
+from .words import Known, distinct, split
 
 #: Labelled texts per language that a model is fitted on; the only bound of this operator.
 SAMPLE = 1500
@@ -128,9 +128,24 @@ def identify(df: DataFrame, model: tuple[list[str], np.ndarray], vocabulary: str
     held = df.sparkSession.sparkContext.broadcast(probs)
     schema = df.withColumn(lang_col, F.lit("")).withColumn(score_col, F.lit(0.0)).schema
 
+    def seen(v, known, values, data, w, first) -> np.ndarray:
+        """Scores of the slice's word forms, from the task's memo where they are known."""
+        h1, h2 = w.h1[first], w.h2[first]
+        if known.size > known.most:
+            known.clear()
+            values[0] = values[0][:0]
+        rows = known.find(h1, h2)
+        miss = np.flatnonzero(rows < 0)
+        start = w.start[first[miss]]
+        new = forward(v, held.value, data, start, w.end[first[miss]] - start)
+        rows[miss] = known.add(h1[miss], h2[miss])
+        values[0] = np.concatenate([values[0], new])
+        return values[0][rows]
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = P.load(vocabulary)
-        for b in slices(batches, text, 12 << 20):
+        known, values = Known(), [np.zeros((0, len(names)))]
+        for b in slices(batches, text, 3 << 20):
             col = b.column(b.schema.get_field_index(text))
             letters = pc.fill_null(pc.match_substring_regex(col, r"\p{L}"), False).to_numpy(zero_copy_only=False)
             data, off = text_buffers(pc.utf8_lower(col))
@@ -138,7 +153,7 @@ def identify(df: DataFrame, model: tuple[list[str], np.ndarray], vocabulary: str
             w = split(data, off)
             if len(w.start) and names:
                 first, inverse = distinct(w.h1, w.h2)
-                ll = forward(v, held.value, data, w.start[first], w.end[first] - w.start[first])
+                ll = seen(v, known, values, data, w, first)
                 for j in range(len(names)):
                     total[:, j] = np.bincount(w.doc, weights=ll[inverse, j], minlength=b.num_rows)
             if names:

@@ -100,3 +100,42 @@ def distinct(h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         both["a"], both["b"] = h1, h2
         _, first, inverse = np.unique(both, return_index=True, return_inverse=True)
     return first, inverse.reshape(-1)
+
+
+class Known:
+    """Row numbers of 128-bit hashes met so far in a task, up to ``most`` of them.
+
+    A memo only: when it is full it starts afresh, and what is not known is worked out again.
+    """
+
+    def __init__(self, most: int = 600_000):
+        self.most = most
+        self.clear()
+
+    def clear(self) -> None:
+        self.h1 = np.zeros(0, np.uint64)
+        self.h2 = np.zeros(0, np.uint64)
+        self.row = np.zeros(0, np.int64)
+        self.size = 0
+
+    def find(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+        """Row of each hash, -1 where it is not known."""
+        if not len(self.h1):
+            return np.full(len(h1), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.h1, h1), len(self.h1) - 1)
+        return np.where((self.h1[at] == h1) & (self.h2[at] == h2), self.row[at], -1)
+
+    def add(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+        """Rows given to new hashes (each once in the call), numbered on from the last."""
+        new = np.arange(self.size, self.size + len(h1))
+        self.size += len(h1)
+        order = np.argsort(h1, kind="stable")
+        at = np.searchsorted(self.h1, h1[order])
+        fresh = np.ones(len(order), bool)
+        if len(self.h1):
+            fresh = self.h1[np.minimum(at, len(self.h1) - 1)] != h1[order]
+        order, at = order[fresh], at[fresh]
+        self.h1 = np.insert(self.h1, at, h1[order])
+        self.h2 = np.insert(self.h2, at, h2[order])
+        self.row = np.insert(self.row, at, new[order])
+        return new
