@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import language
+from . import language, packing, viterbi
 
 QUERIES = {
     "op1_language_id": language.query,
+    "op2_best_fit_packing": packing.query,
+    "op6_piece_encoding": viterbi.query,
 }
 
 SQL: dict[str, str] = {}
