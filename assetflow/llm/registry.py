@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from . import language, packing, viterbi
+from . import chat, language, licenses, packing, viterbi
 
 QUERIES = {
     "op1_language_id": language.query,
     "op2_best_fit_packing": packing.query,
     "op6_piece_encoding": viterbi.query,
+    "op9_chat_formatting": chat.query,
+    "op10_license_scan": licenses.query,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op9_chat_formatting": chat.SQL,
+    "op10_license_scan": licenses.SQL,
+}
