@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import groups_for, ragged, slices, table, text_buffers
-from .words import Known, distinct, split
+from .words import LOWER, Known, distinct, split
 
 CAPACITY = 2048
 #: Id that ends each document.
@@ -45,12 +45,19 @@ class WordIds:
     """Ids of texts, each distinct white-space-delimited word tokenized once.
 
     The vocabulary's pre-tokenizer never joins characters across white space and its
-    normalizer acts within a word, so a text's ids are those of its words in a row.
+    normalizer acts within a word, so a text's ids are those of its words in a row. It also
+    starts a new token at a stop that follows a letter, and ignores case, so words are cut
+    there and met in lower case (not where a control token, which minds case, may stand).
     """
 
+    letter = np.zeros(256, bool)
+    letter[65:91] = letter[97:123] = True
+    stop = np.zeros(256, bool)
+    stop[list(b".,;:!?")] = True
+
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        self.known = Known()
+        self.known = Known(1_000_000)
         self._reset()
 
     def _reset(self) -> None:
@@ -60,14 +67,17 @@ class WordIds:
     def encode(self, data: np.ndarray, off: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows, ``end`` closing each row, and the rows' offsets among them."""
         n = len(off) - 1
-        w = split(data, off)
+        raw = data.tobytes()
+        if b"<|" not in raw:
+            data = LOWER[data]
+            raw = data.tobytes()
+        w = split(data, off, np.flatnonzero(self.stop[data[1:]] & self.letter[data[:-1]]) + 1)
         first, inverse = distinct(w.h1, w.h2)
         if self.known.size > self.known.most:
             self._reset()
         rows = self.known.find(w.h1[first], w.h2[first])
         miss = np.flatnonzero(rows < 0)
         if len(miss):
-            raw = data.tobytes()
             a, b = w.start[first[miss]].tolist(), w.end[first[miss]].tolist()
             got = self.tokenizer.encode_batch_fast(
                 [raw[x:y].decode("utf-8", "replace") for x, y in zip(a, b, strict=True)], add_special_tokens=False)

@@ -66,8 +66,11 @@ class Words(NamedTuple):
     h2: np.ndarray
 
 
-def boundaries(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of each run of bytes that are not ASCII white space, within rows."""
+def boundaries(data: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of each run of bytes that are not ASCII white space, within rows.
+
+    ``cuts``: positions where a run is cut besides.
+    """
     n = len(data)
     if not n:
         z = np.zeros(0, np.int64)
@@ -75,6 +78,8 @@ def boundaries(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     inside = ~SPACE[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
+    if cuts is not None:
+        edge[cuts] = True
     before = np.empty(n, bool)
     before[0] = False
     before[1:] = inside[:-1]
@@ -87,8 +92,8 @@ def boundaries(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return start, end, doc
 
 
-def split(data: np.ndarray, offsets: np.ndarray) -> Words:
-    start, end, doc = boundaries(data, offsets)
+def split(data: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None = None) -> Words:
+    start, end, doc = boundaries(data, offsets, cuts)
     return Words(start, end, doc, Prefix(data, 0).of(start, end), Prefix(data, 1).of(start, end))
 
 
