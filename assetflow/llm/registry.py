@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat, language, licenses, packing, viterbi
+from . import chat, language, licenses, packing, substrings, viterbi
 
 QUERIES = {
     "op1_language_id": language.query,
     "op2_best_fit_packing": packing.query,
+    "op5_suffix_dedup": substrings.query,
     "op6_piece_encoding": viterbi.query,
     "op9_chat_formatting": chat.query,
     "op10_license_scan": licenses.query,
