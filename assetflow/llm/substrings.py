@@ -296,7 +296,8 @@ def _firsts(h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def remove(df: DataFrame, key: str = "doc_id", text: str = "text", group_bytes: int = GROUP_BYTES, common: int = COMMON,
            keep_text: bool = True) -> DataFrame:
     """``df`` with n_bytes, n_removed, n_spans and kept_sha256 for every row, and with what is left of its text
-    (bytes that no longer form a character are dropped from it, not from the digest)."""
+    (bytes that no longer form a character are dropped from it, not from the digest). A column of ``df``
+    with the name of one of these is replaced; without ``keep_text`` the text column is left out."""
     total = df.agg(F.sum(F.octet_length(F.col(text)).cast("long")).alias("b")).first()["b"]
     n = groups_for(total, group_bytes, 48)
     names = df.columns
@@ -306,10 +307,9 @@ def remove(df: DataFrame, key: str = "doc_id", text: str = "text", group_bytes:
     place = F.coalesce(F.col(key).cast("long"), F.lit(_NULL))
     grouped = df.select("*", place.alias("__key"), F.coalesce(F.col(text), F.lit("")).alias("__text"),
                         F.pmod(F.xxhash64(place), F.lit(n)).cast("int").alias("__group"))
-    if keep_text:
-        grouped = grouped.drop(text)
-    extra = [f for f in df.schema.fields if not (keep_text and f.name == text)]
-    out_cols = [f.name for f in extra]
+    grouped = grouped.drop(text)
+    digests = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    out_cols = [c for c in names if c != text and c.lower() not in digests]
 
     def take_out(t: pa.Table, found: pa.Table) -> pa.Table:
         t, data, off, ids, copy = _ordered(t)
@@ -336,16 +336,16 @@ def remove(df: DataFrame, key: str = "doc_id", text: str = "text", group_bytes:
             cols.append(pa.array([x.decode("utf-8", "ignore") for x in left], pa.string()))
         cols += [pa.array(np.diff(off)), pa.array(np.diff(total[off]).astype(np.int64)), pa.array(np.diff(spans[off]).astype(np.int64)),
                  pa.array([hashlib.sha256(x).hexdigest() for x in left], pa.string())]
-        return pa.Table.from_arrays(cols, names=[*out_cols, *([text] if keep_text else []), "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        return pa.Table.from_arrays(cols, names=[*out_cols, *([text] if keep_text else []), *digests])
 
     schema = df.select(*out_cols, *([text] if keep_text else [])).withColumns({
         "n_bytes": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "n_spans": F.lit(0).cast("long"), "kept_sha256": F.lit("")}).schema
-    found = repeats(grouped.select("__group", "__key", "__text"), n, common)
+    found = repeats(grouped, n, common)  # the same rows each time, so that they are dealt to the groups once
     out = grouped.groupBy("__group").cogroup(found.groupBy("__group")).applyInArrow(take_out, schema)
-    return out.select(*names, "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return out.select(*[c for c in names if c in out_cols or keep_text and c == text], *digests)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     """op5: every document without the strings of 100 bytes that also start earlier."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return remove(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return remove(docs, keep_text=False).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
