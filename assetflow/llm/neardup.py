@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored, table, text_buffers
+from .common import pack, slices, stored, table, text_buffers, unpack
 from .words import LOWER, MASK, mix, split
 
 WORDS = 5
@@ -32,7 +32,7 @@ BAND = 4
 #: Candidates within a bucket are verified from this share of equal registers (threshold less 4 standard deviations).
 LIKELY = 0.63
 #: Texts of a bucket compared at a time.
-BLOCK = 2000
+BLOCK = 1000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _NULL = -(1 << 63)
 
@@ -199,35 +199,105 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def _within(buckets: DataFrame, sigs: DataFrame, likely: float, block: int) -> DataFrame:
-    """Pairs of texts of a bucket that have different labels and mostly equal registers.
+def _blocked(rows: DataFrame, group: str, block: int) -> DataFrame:
+    """``rows`` (group, id, ...) dealt to pairs of blocks (p, q) of about ``block`` rows of a group.
 
-    Buckets (bucket, id, label) are compared block by block, so a large one is spread over tasks.
+    ``own`` is a row's block. A group within one block is one task; a larger one is as many as pairs of blocks.
     """
-    size = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
-    rows = (buckets.join(size, "bucket").withColumn("blocks", blocks)
-            .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    size = rows.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
+    return (rows.join(size, group).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("bucket", "id", "label", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own"))
-    rows = rows.join(sigs.select("id", "sig"), "id")
+            .withColumns({"p": F.least("own", "other"), "q": F.greatest("own", "other")}).drop("blocks", "other"))
 
-    def compare(t: pa.Table) -> pa.Table:
+
+class _Sides:
+    """Rows of a pair of blocks: their classes so far, and whom each is still to be compared with."""
+
+    def __init__(self, t: pa.Table, likely: float):
         p, q = t.column("p")[0].as_py(), t.column("q")[0].as_py()
-        own, ids, label = (t.column(c).to_numpy() for c in ("own", "id", "label"))
-        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(len(ids), -1)
-        left, right = np.flatnonzero(own == p), np.flatnonzero(own == q)
-        found = []
-        for i in left:
-            at = right[(ids[right] > ids[i]) | (p != q)]
-            at = at[label[at] != label[i]]
-            at = at[(sig[at] == sig[i]).mean(axis=1) >= likely]
-            found.append((np.minimum(ids[i], ids[at]), np.maximum(ids[i], ids[at])))
-        a = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
-        b = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
+        own, self.ids, self.root = (t.column(c).to_numpy().copy() for c in ("own", "id", "label"))
+        self.sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(len(own), -1)
+        self.left, self.right, self.likely = np.flatnonzero(own == p), own == q, likely
+
+    def central_first(self) -> np.ndarray:
+        """The left rows, those most like the whole first: texts that many were copied from."""
+        usual = np.zeros(len(self.ids))
+        for j in range(self.sig.shape[1]):
+            _, at, n = np.unique(self.sig[:, j], return_inverse=True, return_counts=True)
+            usual += n[at]
+        return self.left[np.argsort(-usual[self.left], kind="stable")]
+
+    def partners(self, i: int) -> np.ndarray:
+        at = np.flatnonzero(self.right & (self.root != self.root[i]))
+        return at[(self.sig[at] == self.sig[i]).mean(axis=1) >= self.likely]
+
+    def unite(self, i: int, others: np.ndarray) -> None:
+        self.root[np.isin(self.root, self.root[others])] = self.root[i]
+
+
+def _families(buckets: DataFrame, sigs: DataFrame, likely: float, block: int) -> DataFrame:
+    """Links between classes (labels) that have texts with nearly equal signatures in one bucket.
+
+    A group's links are a forest, at most one fewer than its classes.
+    """
+    def compare(t: pa.Table) -> pa.Table:
+        s = _Sides(t, likely)
+        label = s.root.copy()
+        a, b = [], []
+        for i in s.left:
+            for j in s.partners(i):
+                if s.root[j] != s.root[i]:
+                    a.append(label[i])
+                    b.append(label[j])
+                    s.unite(i, np.array([j]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    rows = _blocked(buckets, "bucket", block).join(sigs.select("id", "sig"), "id")
+    return rows.groupBy("bucket", "p", "q").applyInArrow(compare, "a long, b long")
+
+
+def _within(families: DataFrame, sigs: DataFrame, texts: DataFrame, threshold: float, likely: float, block: int) -> DataFrame:
+    """Verified links across classes within a family (family, id, label): a forest of them in each pair of blocks.
+
+    Each text is compared with all texts of other classes whose signatures are nearly alike, on the
+    multisets, inside the task; texts that a link has brought into one class need no other.
+    """
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text", 2 << 20):
+            doc, x, c, _ = shingles(*text_buffers(b.column("text")))
+            cut = np.searchsorted(doc, np.arange(b.num_rows + 1))
+            order = np.lexsort((x, doc))
+            x, c = x[order], c[order]
+            blobs = [pack(x[i:j], c[i:j].astype(np.uint32)) for i, j in zip(cut[:-1], cut[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(blobs, pa.binary())], ["id", "multiset"])
+
+    def compare(t: pa.Table) -> pa.Table:
+        s = _Sides(t, likely)
+        sets = [unpack(m, "u8", "u4") for m in t.column("multiset").to_pylist()]
+        weight = np.array([c.sum() for _, c in sets], np.int64)
+        a, b = [], []
+        for i in s.central_first():
+            at = s.partners(i)
+            if not len(at):
+                continue
+            x, c = sets[i]
+            size = np.array([len(sets[j][0]) for j in at])
+            y, d = (np.concatenate([sets[j][k] for j in at]) for k in (0, 1))
+            pos = np.minimum(np.searchsorted(x, y), len(x) - 1)
+            both = np.where(x[pos] == y, np.minimum(c[pos], d), 0)
+            common = np.add.reduceat(both.astype(np.int64), np.cumsum(size) - size)
+            linked = at[common >= (threshold - 1e-12) * (weight[i] + weight[at] - common)]
+            if len(linked):
+                _, one = np.unique(s.root[linked], return_index=True)  # a link for each class that joins
+                a += [s.ids[i]] * len(one)
+                b += s.ids[linked[one]].tolist()
+                s.unite(i, linked)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return rows.groupBy("bucket", "p", "q").applyInArrow(compare, "a long, b long").distinct()
+    ids = families.select("id").distinct()
+    sets = texts.join(ids, "id", "left_semi").select("id", "text").mapInArrow(weigh, "id long, multiset binary")
+    rows = _blocked(families, "family", block).join(sigs.select("id", "sig").join(sets, "id"), "id")
+    return rows.groupBy("family", "p", "q").applyInArrow(compare, "a long, b long")
 
 
 def classes(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
@@ -238,8 +308,9 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: f
 
     1. Texts of the same words are one representative, the least id.
     2. Every representative is paired with the least of each of its buckets and the pairs are verified.
-    3. In buckets that still hold several classes, all pairs across classes whose signatures are
-       nearly alike are verified too. So each candidate pair is verified or already in one class.
+    3. Classes that share a bucket and have nearly equal signatures there form families. Within a
+       family every text is compared with those of other classes, so each candidate pair is either
+       compared or already in one class, and no more links than texts leave a task.
     """
     signed = stored(sign(df, key, text), "signatures")
     worded = signed.where(F.col("d1").isNotNull())
@@ -256,7 +327,10 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: f
     labelled = shared.select("bucket", "id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     several = labelled.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
     rest = stored(labelled.join(several, "bucket"), "open_buckets")
-    more = verify(_within(rest, reps, likely, block).join(pairs, ["a", "b"], "left_anti"), texts, threshold)
+    family = components(_families(rest, reps, likely, block))
+    members = stored(rest.select("id", "label").distinct().join(
+        family.select(F.col("id").alias("label"), F.col("label").alias("family")), "label"), "families")
+    more = _within(members, reps, texts, threshold, likely, block)
     # classes so far count as links from each id to its label
     known = labels.where("id <> label").select(F.col("label").alias("a"), F.col("id").alias("b"))
     labels = components(known.unionByName(more))
