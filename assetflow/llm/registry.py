@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from . import chat, language, licenses, neardup, packing, substrings, viterbi
+from . import chat, forest, language, licenses, neardup, packing, substrings, topk, viterbi
 
 QUERIES = {
     "op1_language_id": language.query,
     "op2_best_fit_packing": packing.query,
+    "op3_forest_neighbours": forest.query,
     "op5_suffix_dedup": substrings.query,
     "op6_piece_encoding": viterbi.query,
     "op7_minhash_neardup": neardup.query,
+    "op8_exact_topk": topk.query,
     "op9_chat_formatting": chat.query,
     "op10_license_scan": licenses.query,
 }
 
 SQL: dict[str, str] = {
     "op7_minhash_neardup": neardup.query,
+    "op8_exact_topk": topk.SQL,
     "op9_chat_formatting": chat.SQL,
     "op10_license_scan": licenses.SQL,
 }
