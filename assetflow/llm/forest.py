@@ -31,8 +31,8 @@ LEAF = 100
 #: Share of all leaves that a query visits, and the least number for each tree.
 VISITED = 0.08
 LEAST_VISITED = 6
-#: Vectors in a slice of a tree's leaves, about: what one task compares.
-SLICE = 8192
+#: Bytes of the vectors in a slice of a tree's leaves, about: what one task compares.
+SLICE = 32 << 20
 
 
 class Tree:
@@ -120,14 +120,14 @@ def build(vectors: DataFrame, trees: int = TREES, sample: int = SAMPLE, leaf: in
     return [pickle.loads(r["blob"]) for r in sorted(got, key=lambda r: r["tree"])]
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int, forest: list[Tree], rows: int, visited: float = VISITED,
-           least_visited: int = LEAST_VISITED, slice_rows: int = SLICE) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int, forest: list[Tree], rows: int, dimension: int, visited: float = VISITED,
+           least_visited: int = LEAST_VISITED, slice_bytes: int = SLICE) -> DataFrame:
     """(query, id, score): for each query (id, v) at least its ``k`` best candidates among vectors (id, v), ties included.
 
     Both sides have distinct ids and vectors of one length; a query finds itself too.
     """
     held = vectors.sparkSession.sparkContext.broadcast(forest)
-    parts = max(1, math.ceil(rows / slice_rows))
+    parts = max(1, math.ceil(rows * 8 * (dimension or 1) / slice_bytes))
     total = sum(t.leaves for t in forest)
     probes = min(total, max(least_visited * len(forest), math.ceil(visited * total)))
 
@@ -232,11 +232,14 @@ def nearest(df: DataFrame, is_query: Column, k: int = NEAREST, key: str = "vec_i
     for r in entries.groupBy(F.size("v").alias("d")).count().collect():  # usually one length
         own = entries.where(F.size("v") == r["d"])
         asked = own.join(asking.where(F.col("d") == r["d"]).select(F.col("query").alias("id")).distinct(), "id", "left_semi")
-        part = search(own, asked, k + 1, build(own, trees, sample, leaf), r["count"], visited)
+        part = search(own, asked, k + 1, build(own, trees, sample, leaf), r["count"], r["d"], visited)
         found = part if found is None else found.unionByName(part)
     if found is None:
         return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     ranked = Window.partitionBy("query").orderBy(F.desc("score"), "one")
+    # a vector of a later rank has no id before those of k + 1 others that are as near
+    first = Window.partitionBy("query").orderBy(F.desc("score"), "id")
+    found = found.withColumn("r", F.row_number().over(first)).where(F.col("r") <= k + 1).drop("r")
     each = (found.join(entries.select("id", "ids"), "id").select("query", "score", F.explode("ids").alias("one"))
             .withColumn("r", F.row_number().over(ranked)).where(F.col("r") <= k + 1))
     lists = each.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("r", F.col("one").alias("vec_id"), "score"))).alias("best"))

@@ -145,7 +145,7 @@ def identify(df: DataFrame, model: tuple[list[str], np.ndarray], vocabulary: str
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = P.load(vocabulary)
         known, values = Known(), [np.zeros((0, len(names)))]
-        for b in slices(batches, text, 3 << 20):
+        for b in slices(batches, text, 1 << 20):
             col = b.column(b.schema.get_field_index(text))
             letters = pc.fill_null(pc.match_substring_regex(col, r"\p{L}"), False).to_numpy(zero_copy_only=False)
             data, off = text_buffers(pc.utf8_lower(col))

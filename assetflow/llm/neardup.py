@@ -134,7 +134,7 @@ def _overlaps(left: pa.Array, right: pa.Array) -> np.ndarray:
 def sign(df: DataFrame, key: str, text: str) -> DataFrame:
     """Per row: id, two halves of the digest of its words (null: no words) and the signature."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 2 << 20):
+        for b in slices(batches, "text", 1 << 20):
             doc, x, c, digest = shingles(*text_buffers(b.column("text")))
             sig = signatures(doc, x, c, b.num_rows)
             none = (digest == 0).all(axis=1)
@@ -166,7 +166,7 @@ def bands(reps: DataFrame) -> DataFrame:
 def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose texts are at least ``threshold`` similar."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "ta", 2 << 20):
+        for b in slices(batches, "ta", 1 << 20):
             ok = _overlaps(b.column("ta"), b.column("tb")) >= threshold - 1e-12
             yield b.select(["a", "b"]).filter(pa.array(ok))
 
@@ -263,7 +263,7 @@ def _within(families: DataFrame, sigs: DataFrame, texts: DataFrame, threshold: f
     multisets, inside the task; texts that a link has brought into one class need no other.
     """
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 2 << 20):
+        for b in slices(batches, "text", 1 << 20):
             doc, x, c, _ = shingles(*text_buffers(b.column("text")))
             cut = np.searchsorted(doc, np.arange(b.num_rows + 1))
             order = np.lexsort((x, doc))

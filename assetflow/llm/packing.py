@@ -112,7 +112,7 @@ def pieces(df: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "tex
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = WordIds(vocabulary)
-        for b in slices(batches, "text", 3 << 20):
+        for b in slices(batches, "text", 3 << 19):
             ids, off = coder.encode(*text_buffers(b.column("text")), end)
             size = np.diff(off)
             count = -(-size // capacity)

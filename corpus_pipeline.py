@@ -31,9 +31,10 @@ def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     gone = classes.where("doc_id <> class_id").select(F.col("doc_id").alias("__gone")).distinct()
     named = docs.where(F.col("doc_id").isNotNull())
     left = named.join(gone, named["doc_id"] == F.col("__gone"), "left_anti")
-    one = left.groupBy(F.col("doc_id").alias("__key")).agg(
-        F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("__row"))
-    return one.select("__row.*").unionByName(docs.where(F.col("doc_id").isNull()))
+    if not named.groupBy("doc_id").count().where("count > 1").isEmpty():
+        left = (left.groupBy(F.col("doc_id").alias("__key"))
+                .agg(F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("__row")).select("__row.*"))
+    return left.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
