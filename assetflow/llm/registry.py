@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat, forest, language, licenses, neardup, packing, substrings, topk, viterbi
+from . import chat, forest, language, licenses, lm, neardup, packing, substrings, topk, viterbi
 
 QUERIES = {
     "op1_language_id": language.query,
     "op2_best_fit_packing": packing.query,
     "op3_forest_neighbours": forest.query,
+    "op4_lm_scoring": lm.query,
     "op5_suffix_dedup": substrings.query,
     "op6_piece_encoding": viterbi.query,
     "op7_minhash_neardup": neardup.query,
