@@ -18,7 +18,6 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
-    "op7_minhash_neardup": neardup.query,
     "op8_exact_topk": topk.SQL,
     "op9_chat_formatting": chat.SQL,
     "op10_license_scan": licenses.SQL,
