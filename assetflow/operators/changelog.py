@@ -107,14 +107,15 @@ def change_feed(log: DataFrame, keys: list[str], minimal: bool = False) -> DataF
 
 
 def latest_change(feed: DataFrame, keys: list[str]) -> DataFrame:
-    """Newest change per key, pre-images excluded, metadata dropped.
+    """Newest change per key, pre-images excluded, metadata dropped; a key whose
+    newest change is a ``delete`` is gone.
 
     ``dense_rank() = 1`` over descending versions; Spark plans this as a
     window-group limit that also runs before the shuffle.
     """
     w = Window.partitionBy(*keys).orderBy(F.col(VERSION).desc())
     return (feed.withColumn("_rank", F.dense_rank().over(w))
-            .where((F.col("_rank") == 1) & (F.col(CHANGE) != "update_preimage"))
+            .where((F.col("_rank") == 1) & ~F.col(CHANGE).isin("update_preimage", "delete"))
             .drop("_rank", *META))
 
 

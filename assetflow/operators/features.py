@@ -20,29 +20,30 @@ def with_age(rows: DataFrame, events: DataFrame, only_true: bool = False,
              key: str = "asset_id") -> DataFrame:
     """Add days since the last and until the next event to every row.
 
-    A two-way as-of join done as one window pass: event days are unioned into
-    the rows of each asset and ordered by day; the greatest event day at or
-    before a row's day (RANGE frame, so the same day counts both ways) and the
-    least one at or after it are found without a fan-out join. No earlier
-    event gives age 0, no later event remaining life 0, unless
-    ``censored_as_null``. Rows may be any grain (dates, hourly readings).
+    A two-way as-of join on the distinct (asset, day) pairs, whatever the rows'
+    grain: event days are unioned into an asset's days, and the greatest event
+    day up to a day and the least one from it on are running extremes, one in
+    each direction (frames that only grow; the same day counts both ways). The
+    result, one row per asset and day, is joined back. No earlier event gives
+    age 0, no later event remaining life 0, unless ``censored_as_null``.
     """
     if only_true:
         events = events.where(F.col("maintenance"))
-    tagged = rows.withColumn("_is_row", F.lit(True)).withColumn("_event", F.lit(None).cast("date"))
-    ev = events.select(F.col(date_col), F.col(key), F.lit(False).alias("_is_row"),
-                       F.col(date_col).alias("_event"))
-    w = Window.partitionBy(key).orderBy(F.unix_date(date_col))
-    both = tagged.unionByName(ev, allowMissingColumns=True).select(
-        "*",
-        F.max("_event").over(w.rangeBetween(Window.unboundedPreceding, 0)).alias("_last"),
-        F.min("_event").over(w.rangeBetween(0, Window.unboundedFollowing)).alias("_next"))
-    age = F.datediff(date_col, "_last")
-    life = F.datediff("_next", date_col)
+    days = rows.select(date_col, key).distinct().withColumn("_event", F.lit(None).cast("date"))
+    ev = events.select(date_col, key, F.col(date_col).alias("_event"))
+    day = F.unix_date(date_col)
+    up_to = Window.partitionBy(key).orderBy(day).rangeBetween(Window.unboundedPreceding, 0)
+    from_on = Window.partitionBy(key).orderBy(day.desc()).rangeBetween(Window.unboundedPreceding, 0)
+    both = days.unionByName(ev).select(
+        F.col(date_col).alias("_day"), F.col(key).alias("_key"), "_event",
+        F.max("_event").over(up_to).alias("_last"), F.min("_event").over(from_on).alias("_next"))
+    age = F.datediff("_day", "_last")
+    life = F.datediff("_next", "_day")
     if not censored_as_null:
         age, life = F.coalesce(age, F.lit(0)), F.coalesce(life, F.lit(0))
-    return (both.where("_is_row").withColumn("age", age).withColumn("remaining_life", life)
-            .drop("_is_row", "_event", "_last", "_next"))
+    ages = both.where("_event IS NULL").select("_day", "_key", age.alias("age"), life.alias("remaining_life"))
+    return (rows.join(ages, rows[key].eqNullSafe(F.col("_key")) & rows[date_col].eqNullSafe(F.col("_day")))
+            .drop("_day", "_key"))
 
 
 def asset_age(dates: DataFrame, events: DataFrame, only_true: bool = False,
@@ -66,9 +67,7 @@ def feature_base(gold: DataFrame, maintenance: DataFrame, as_of: _dt.date = conf
     """Gold readings before ``as_of`` with age and remaining life.
 
     The date filter sits below the look-ahead window, so rows of ``as_of`` and
-    later never serve as labels. Age is computed on the readings themselves
-    (a reading's age depends only on its date and the events), so there is no
-    separate age table to build and join back.
+    later never serve as labels.
     """
     return with_age(gold.where(F.col("reading_date") < F.lit(as_of)), maintenance)
 

@@ -35,23 +35,36 @@ def file_stats(spark: SparkSession, path: str, date_col: str) -> DataFrame:
     return df.groupBy(date_col).agg(F.countDistinct("_file").alias("files"), F.count(F.lit(1)).alias("rows"))
 
 
+def _streamed(spark: SparkSession, path: str) -> bool:
+    log = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_spark_metadata")
+    return log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log)
+
+
 def compact(spark: SparkSession, path: str, date_col: str, before: _dt.date,
             cluster_by: list[str], target_file_bytes: int = TARGET_FILE_BYTES,
             bytes_per_row: int | None = None) -> int:
-    """Compact and cluster the partitions of ``path`` older than ``before``.
+    """Compact and cluster the partitions of ``path`` older than ``before`` that have too many files.
 
-    The number of output files follows the size of the closed data (rows times
-    an estimated row width), not a fixed count. Returns the rows rewritten.
+    Rows are range-partitioned by (date, cluster columns), so n tasks over d
+    dates write at most n + d files; n follows the size of the rewritten data
+    (rows times an estimated row width). Returns the rows rewritten. A table
+    written by Spark's file stream sink is refused: its readers go by the sink's
+    own list of files.
     """
+    if _streamed(spark, path):
+        raise ValueError(f"{path} is written by a file stream, whose own list of files would name the replaced ones")
     table = spark.read.parquet(path)
-    closed = closed_partitions(table, date_col, before)
-    rows = closed.count()
-    if rows == 0:
-        return 0
     width = bytes_per_row or 8 * max(1, len(table.columns))
+    found = file_stats(spark, path, date_col).where(F.col(date_col) < F.lit(before))
+    # dates with more files than their size needs; the others are left alone
+    todo = found.where(F.col("files") > F.ceil(F.col("rows") * F.lit(width) / F.lit(target_file_bytes)))
+    rows = todo.agg(F.sum("rows")).first()[0]
+    if not rows:
+        return 0
+    closed = closed_partitions(table, date_col, before).join(todo.select(date_col), date_col, "left_semi")
     n = max(1, math.ceil(rows * width / target_file_bytes))
     checkpoint_root(spark)
-    staged = (closed.repartitionByRange(n, *cluster_by)
+    staged = (closed.repartitionByRange(n, date_col, *cluster_by)
               .sortWithinPartitions(date_col, *cluster_by)
               .checkpoint(eager=True))
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -1,7 +1,7 @@
 """Per-asset (or per-group) regression models as Spark jobs.
 
-A least-squares fit needs only sums: the count, the feature sums, the sums of
-pairwise products and the products with the label. Those come from ONE
+A least-squares fit needs only moments: the count, the means and the covariances
+of the features and the label. Those come from ONE
 ``groupBy(group).agg(...)`` over the training rows; it is a partial aggregate,
 so an asset with a third of all rows is combined inside every input partition
 and never lands whole in one task. The per-group solve then works on one small
@@ -54,7 +54,10 @@ def _pairs(p: int) -> list[tuple[int, int]]:
 
 def gram(df: DataFrame, group: list[str], features: list[str], label: str,
          where: Column | None = None) -> DataFrame:
-    """Per-group sums for a least-squares fit, over rows with no NULL input."""
+    """Per-group means and centred second moments for a least-squares fit, over rows with no NULL input.
+
+    The built-in moments are merged about their means, so a channel far from 0 loses no digits.
+    """
     complete = F.lit(True)
     for c in features + [label]:
         complete = complete & F.col(c).isNotNull()
@@ -62,10 +65,10 @@ def gram(df: DataFrame, group: list[str], features: list[str], label: str,
         complete = complete & where
     x = [F.col(c).cast("double") for c in features]
     y = F.col(label).cast("double")
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy")]
-    aggs += [F.sum(x[j]).alias(f"s{j}") for j in range(len(x))]
-    aggs += [F.sum(x[j] * y).alias(f"sy{j}") for j in range(len(x))]
-    aggs += [F.sum(x[j] * x[k]).alias(f"s{j}_{k}") for j, k in _pairs(len(x))]
+    aggs = [F.count(F.lit(1)).alias("n"), F.avg(y).alias("my"), F.var_pop(y).alias("vy")]
+    aggs += [F.avg(x[j]).alias(f"m{j}") for j in range(len(x))]
+    aggs += [F.covar_pop(x[j], y).alias(f"cy{j}") for j in range(len(x))]
+    aggs += [F.covar_pop(x[j], x[k]).alias(f"c{j}_{k}") for j, k in _pairs(len(x))]
     return df.where(complete).groupBy(*group).agg(*aggs)
 
 
@@ -78,6 +81,13 @@ def _coef_schema(group_fields: list[T.StructField], features: list[str]) -> T.St
     return T.StructType(f)
 
 
+def _solve_one(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    try:
+        return np.linalg.solve(a, b)
+    except np.linalg.LinAlgError:
+        return np.linalg.pinv(a) @ b
+
+
 def _solver(group: list[str], features: list[str]):
     p = len(features)
     pairs = _pairs(p)
@@ -86,17 +96,16 @@ def _solver(group: list[str], features: list[str]):
         for pdf in batches:
             if pdf.empty:
                 continue
-            n = pdf["n"].to_numpy(dtype=float)
             lam = pdf["ridge"].to_numpy(dtype=float)
-            m = np.stack([pdf[f"s{j}"].to_numpy(dtype=float) for j in range(p)], axis=1) / n[:, None]
-            my = pdf["sy"].to_numpy(dtype=float) / n
+            m = np.stack([pdf[f"m{j}"].to_numpy(dtype=float) for j in range(p)], axis=1)
+            my = pdf["my"].to_numpy(dtype=float)
             cov = np.empty((len(pdf), p, p))
             for j, k in pairs:
-                v = pdf[f"s{j}_{k}"].to_numpy(dtype=float) / n - m[:, j] * m[:, k]
+                v = pdf[f"c{j}_{k}"].to_numpy(dtype=float)
                 cov[:, j, k] = v
                 cov[:, k, j] = v
-            cxy = np.stack([pdf[f"sy{j}"].to_numpy(dtype=float) / n - m[:, j] * my for j in range(p)], axis=1)
-            vy = np.maximum(pdf["syy"].to_numpy(dtype=float) / n - my * my, 0.0)
+            cxy = np.stack([pdf[f"cy{j}"].to_numpy(dtype=float) for j in range(p)], axis=1)
+            vy = np.maximum(pdf["vy"].to_numpy(dtype=float), 0.0)
             sd = np.sqrt(np.maximum(np.diagonal(cov, axis1=1, axis2=2), 0.0))
             sdy = np.sqrt(vy)
             ok = sd > 1e-12 * (1.0 + np.abs(m))
@@ -109,8 +118,8 @@ def _solver(group: list[str], features: list[str]):
             rhs = np.where(ok, cxy / (safe * np.where(sdy > 0, sdy, 1.0)[:, None]), 0.0)
             try:
                 beta_std = np.linalg.solve(corr, rhs[:, :, None])[:, :, 0]
-            except np.linalg.LinAlgError:  # singular without a penalty: minimum-norm solution
-                beta_std = (np.linalg.pinv(corr) @ rhs[:, :, None])[:, :, 0]
+            except np.linalg.LinAlgError:  # a group is singular without a penalty: its minimum-norm solution
+                beta_std = np.stack([_solve_one(a, b) for a, b in zip(corr, rhs, strict=True)])
             beta = np.where(ok & (sdy[:, None] > 0), beta_std * sdy[:, None] / safe, 0.0)
             out = pdf[group].copy()
             out["ridge"] = lam

@@ -42,10 +42,11 @@ def sweep_predictions(grid: DataFrame, output_coefs: DataFrame, life_coefs: Data
 def profit(pred: DataFrame, price: float = config.PRICE, hours: int = config.HOURS_PER_YEAR) -> DataFrame:
     """Revenue = output * hours * price; Cost = Revenue / life; Profit = Revenue - Cost.
 
-    A predicted life of 0 leaves cost and profit NULL and keeps the row.
+    A predicted life of 0 or less is no life to spread the cost over: cost and
+    profit are NULL, and the row is kept.
     """
     rev = F.col("expected_output") * F.lit(float(hours)) * F.lit(float(price))
-    cost = F.try_divide(rev, F.col("expected_life"))
+    cost = F.when(F.col("expected_life") > 0, rev / F.col("expected_life"))
     return (pred.withColumn("revenue", rev).withColumn("cost", cost)
             .withColumn("profit", F.col("revenue") - F.col("cost")))
 

@@ -130,14 +130,9 @@ def windowed_avg_stream(spark, sf_dir):
     return _out(m.silver_current().drop(changelog.TIMESTAMP))
 
 
-HOURLY_MIN_SQL = """SELECT min(sensor1) AS sensor1, min(sensor2) AS sensor2,
-                          date_trunc('hour', event_time) AS event_hour
-                   FROM sensor_stream GROUP BY date_trunc('hour', event_time)"""
-
-
 def hourly_min_stream(spark, sf_dir):
-    """The hourly-minimum SQL run live over the raw CSV stream (a temp view)."""
-    m = Medallion(spark, scratch_path(spark, "live"), live={"hourly_min": (HOURLY_MIN_SQL, ["event_hour"])})
+    """The hourly minimum run live over the raw CSV stream (a temp view)."""
+    m = Medallion(spark, scratch_path(spark, "live"), live={"hourly_min": (aggregate.hourly_min, ["event_hour"])})
     stream_in_slices(m, Views(spark, sf_dir).readings, config.BATCH_CUTOFFS, chain=False)
     return _out(m.live_current("hourly_min").drop(changelog.TIMESTAMP))
 

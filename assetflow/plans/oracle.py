@@ -1,8 +1,8 @@
 """DuckDB SQL twins of the registered analytics.
 
-Each statement runs on the raw parquet views (``events``, ``nation``, ``region``)
-and restates the computation independently in plain SQL: the readings mapping,
-the hourly means, the range-join form of the age view, and so on.
+Each statement runs on the raw parquet views (``events``, ``customer``, ``nation``,
+``region``) and restates the computation independently in plain SQL: the readings
+mapping, the hourly means, as-of joins for the age, and so on.
 """
 
 from __future__ import annotations
@@ -13,23 +13,23 @@ CH = [f"sensor{i}" for i in range(1, 10)]
 _CTES: dict[str, tuple[str, list[str]]] = {
     "reading": ("""
       SELECT CAST(ts AS TIMESTAMP) AS event_time, CAST(ts AS DATE) AS reading_date,
-             CAST(user_id % 25 AS INTEGER) AS asset_id,
+             CAST(user_id AS INTEGER) AS asset_id,
              value AS sensor1, CAST(k AS DOUBLE) AS sensor2, value / 10 AS sensor3,
              value - k AS sensor4, CAST(k AS DOUBLE) / 10 AS sensor5, value * k / 100 AS sensor6,
              sqrt(abs(value)) AS sensor7, -value AS sensor8,
              CASE WHEN event_type = 'error' THEN NULL ELSE value + k END AS sensor9
       FROM (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) e""", []),
     "asset": ("""
-      SELECT n_name AS country, 'M' || CAST(n_nationkey % 5 AS VARCHAR) AS manufacturer,
-             CAST(n_nationkey AS INTEGER) AS asset_id, r_name AS region
-      FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 23""", []),
+      SELECT n_name AS country, 'M' || CAST(c_nationkey % 5 AS VARCHAR) AS manufacturer,
+             CAST(c_custkey AS INTEGER) AS asset_id, r_name AS region
+      FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""", []),
     "output_t": ("""
       SELECT CAST(date_trunc('hour', CAST(ts AS TIMESTAMP)) AS DATE) AS reading_date,
              date_trunc('hour', CAST(ts AS TIMESTAMP)) AS window_start,
-             CAST(user_id % 25 AS INTEGER) AS asset_id, sum(value) AS oil_output
-      FROM events WHERE event_type <> 'signup' GROUP BY ALL""", []),
+             CAST(user_id AS INTEGER) AS asset_id, sum(value) AS oil_output
+      FROM events GROUP BY ALL""", []),
     "maint": ("""
-      SELECT CAST(ts AS DATE) AS reading_date, CAST(user_id % 25 AS INTEGER) AS asset_id,
+      SELECT CAST(ts AS DATE) AS reading_date, CAST(user_id AS INTEGER) AS asset_id,
              bool_or(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 <> 0) AS maintenance
       FROM events
       WHERE event_type = 'error' AND TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) >= 95
@@ -44,30 +44,27 @@ _CTES: dict[str, tuple[str, list[str]]] = {
       SELECT h.*, a.country, a.manufacturer, a.region FROM hourly h JOIN asset a USING (asset_id)""",
                  ["hourly", "asset"]),
     "gold": ("""
-      SELECT r.*, p.oil_output, ifnull(m.maintenance, false) AS maintenance
-      FROM enriched r
-        JOIN output_t p ON (r.reading_date = p.reading_date AND r.window_start = p.window_start
-                            AND r.asset_id = p.asset_id)
-        LEFT JOIN maint m ON (r.reading_date = m.reading_date AND r.asset_id = m.asset_id)""",
+      SELECT enriched.*, output_t.oil_output, coalesce(maint.maintenance, false) AS maintenance
+      FROM output_t NATURAL JOIN enriched LEFT JOIN maint USING (asset_id, reading_date)""",
              ["enriched", "output_t", "maint"]),
     "age": ("""
-      SELECT reading_date, asset_id,
-             CAST(ifnull(min(datediff_last), 0) AS INTEGER) AS age,
-             CAST(ifnull(min(datediff_next), 0) AS INTEGER) AS remaining_life
-      FROM (SELECT d.*, date_diff('day', d.reading_date, nm.reading_date) AS datediff_next,
-                   date_diff('day', lm.reading_date, d.reading_date) AS datediff_last
-            FROM (SELECT DISTINCT reading_date, asset_id FROM output_t) d
-              LEFT JOIN maint nm ON (d.asset_id = nm.asset_id AND d.reading_date <= nm.reading_date)
-              LEFT JOIN maint lm ON (d.asset_id = lm.asset_id AND d.reading_date >= lm.reading_date)) x
-      GROUP BY asset_id, reading_date""", ["output_t", "maint"]),
+      SELECT day.reading_date, day.asset_id,
+             CAST(coalesce(day.reading_date - before.reading_date, 0) AS INTEGER) AS age,
+             CAST(coalesce(after.reading_date - day.reading_date, 0) AS INTEGER) AS remaining_life
+      FROM (SELECT reading_date, asset_id FROM output_t GROUP BY ALL) day
+      ASOF LEFT JOIN maint before ON day.asset_id = before.asset_id AND day.reading_date >= before.reading_date
+      ASOF LEFT JOIN maint after ON day.asset_id = after.asset_id AND day.reading_date <= after.reading_date""",
+            ["output_t", "maint"]),
     "fbase": ("""
-      SELECT r.*, a.age, a.remaining_life
-      FROM gold r JOIN age a ON (r.reading_date = a.reading_date AND r.asset_id = a.asset_id)
-      WHERE r.reading_date < DATE '2024-02-01'""", ["gold", "age"]),
+      FROM gold NATURAL JOIN age SELECT * WHERE reading_date < DATE '2024-02-01'""", ["gold", "age"]),
     "feat": ("""
-      SELECT *, lead(oil_output, 72, oil_output) OVER (PARTITION BY asset_id ORDER BY window_start)
-                AS output_6_hours_ahead
-      FROM fbase""", ["fbase"]),
+      SELECT now.* EXCLUDE (place), CASE WHEN later.place IS NULL THEN now.oil_output ELSE later.oil_output END AS output_6_hours_ahead
+      FROM placed now LEFT JOIN placed later ON later.asset_id = now.asset_id AND later.place = now.place + 72""", ["placed"]),
+    "placed": ("""
+      SELECT *, row_number() OVER (PARTITION BY asset_id ORDER BY window_start) AS place FROM fbase""", ["fbase"]),
+    "by_hour": ("""
+      SELECT time_bucket(INTERVAL 1 HOUR, event_time) AS event_hour, list(sensor1) AS first, list(sensor2) AS second
+      FROM reading GROUP BY ALL""", ["reading"]),
     "per_slice": ("""
       SELECT asset_id, date_trunc('hour', event_time) AS window_start,
              CAST((event_time >= TIMESTAMP '2024-01-05 12:30:00') AS INTEGER)
@@ -126,14 +123,12 @@ FEAT_D = GOLD_D + ["output_6_hours_ahead"]
 
 SQL: dict[str, str] = {
     "bronze_readings": _with("reading") + f"SELECT {_r(CH)} FROM reading",
-    "hourly_min": _with("reading") + """
-      SELECT round(round(min(sensor1), 10), 6) AS sensor1, round(round(min(sensor2), 10), 6) AS sensor2,
-             date_trunc('hour', event_time) AS event_hour
-      FROM reading GROUP BY date_trunc('hour', event_time)""",
-    "hourly_min_stream": _with("reading") + """
-      SELECT round(round(min(sensor1), 10), 6) AS sensor1, round(round(min(sensor2), 10), 6) AS sensor2,
-             date_trunc('hour', event_time) AS event_hour
-      FROM reading GROUP BY date_trunc('hour', event_time)""",
+    "hourly_min": _with("by_hour") + """
+      SELECT event_hour, round(round(list_min(first), 10), 6) AS sensor1, round(round(list_min(second), 10), 6) AS sensor2
+      FROM by_hour""",
+    "hourly_min_stream": _with("by_hour") + """
+      SELECT event_hour, round(round(list_min(first), 10), 6) AS sensor1, round(round(list_min(second), 10), 6) AS sensor2
+      FROM by_hour""",
     "count_by_asset": _with("reading") + """
       SELECT asset_id, count(sensor1) AS n_sensor1, count(sensor9) AS n_sensor9
       FROM reading GROUP BY asset_id ORDER BY asset_id""",

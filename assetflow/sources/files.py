@@ -5,10 +5,16 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # microsecond timestamps survive a CSV round trip
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+# a file counts as new however old its time stamp is (the source's default drops files a week
+# older than the newest one)
+MAX_FILE_AGE = "36500d"
+# files of one header that the types of its columns are inferred from
+INFER_FILES = 100
 
 
 def write_landing(df: DataFrame, landing_dir: str) -> None:
@@ -17,10 +23,22 @@ def write_landing(df: DataFrame, landing_dir: str) -> None:
      .csv(landing_dir))
 
 
-def infer_schema(spark: SparkSession, landing_dir: str) -> T.StructType:
-    """Column types of the files present (one batch read with inference)."""
-    return (spark.read.option("header", True).option("inferSchema", True)
-            .option("timestampFormat", TS_FORMAT).csv(landing_dir).schema)
+def infer_schema(spark: SparkSession, landing_dir: str, key: str = "event_time") -> T.StructType:
+    """Columns of all files present, by the header of each; types are inferred per header.
+
+    A header line is one that names ``key`` (its first column). The distinct headers are few; the types
+    of one come from at most ``INFER_FILES`` files that carry it.
+    """
+    lines = spark.read.text(landing_dir).select("value", F.col("_metadata.file_path").alias("path"))
+    first = lines.where(F.split("value", ",")[0] == key)
+    seen = first.groupBy("value").agg(F.min("path").alias("path")).orderBy(F.length("value"), "value").collect()
+    merged = T.StructType([])
+    for header in seen:
+        paths = [r["path"] for r in first.where(F.col("value") == header["value"]).select("path").distinct()
+                 .orderBy("path").limit(INFER_FILES).collect()]
+        merged = merge_schemas(merged, spark.read.option("header", True).option("inferSchema", True)
+                               .option("timestampFormat", TS_FORMAT).csv(paths).schema)
+    return merged
 
 
 def save_schema(spark: SparkSession, schema: T.StructType, location: str) -> None:
@@ -45,8 +63,8 @@ def merge_schemas(old: T.StructType, new: T.StructType) -> T.StructType:
 def evolving_schema(spark: SparkSession, landing_dir: str, location: str) -> T.StructType:
     """Schema for a stream restart: the remembered one, widened by new columns.
 
-    CSV columns are matched by position, so added columns must come last; rows
-    of older files then read NULL in them.
+    Added columns must come last; a file whose header is not that of the schema
+    stops the stream (see ``csv_stream``) instead of being read by position.
     """
     seen = infer_schema(spark, landing_dir)
     old = load_schema(spark, location)
@@ -60,15 +78,21 @@ def csv_stream(spark: SparkSession, landing_dir: str, schema: T.StructType,
                max_files: int | None = None, corrupt_column: str | None = None) -> DataFrame:
     """Incremental CSV source; ``max_files`` caps files per micro-batch.
 
-    With ``corrupt_column``, a line whose cells do not parse keeps NULLs in the
-    typed columns and its raw text in that column instead of failing the batch.
+    Every new file is taken, whatever its age. A file's header must have the
+    schema's names in their order, else the batch fails. With
+    ``corrupt_column``, a line whose cells do not parse keeps NULLs in the typed
+    columns and its raw text in that column; without it such a line fails the
+    batch, so no value is lost silently.
     """
     if corrupt_column:
         schema = T.StructType(list(schema.fields) + [T.StructField(corrupt_column, T.StringType())])
     r = (spark.readStream.schema(schema).option("header", True)
-         .option("timestampFormat", TS_FORMAT))
+         .option("timestampFormat", TS_FORMAT).option("enforceSchema", False)
+         .option("maxFileAge", MAX_FILE_AGE))
     if corrupt_column:
         r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_column)
+    else:
+        r = r.option("mode", "FAILFAST")
     if max_files:
         r = r.option("maxFilesPerTrigger", int(max_files))
     return r.csv(landing_dir)
@@ -79,9 +103,10 @@ def idempotent_load(spark: SparkSession, src_dir: str, schema: T.StructType | st
     """Load new files of ``src_dir`` into ``target`` exactly once.
 
     A file source with a checkpoint remembers which files it has committed, so
-    a second run with ``availableNow`` adds nothing. Returns rows loaded.
+    a second run with ``availableNow`` adds nothing; a file is new however old its
+    time stamp is. Returns rows loaded.
     """
-    q = (spark.readStream.schema(schema).format(fmt).load(src_dir)
+    q = (spark.readStream.schema(schema).format(fmt).option("maxFileAge", MAX_FILE_AGE).load(src_dir)
          .selectExpr(*select)
          .writeStream.format("parquet").option("path", target)
          .option("checkpointLocation", checkpoint)

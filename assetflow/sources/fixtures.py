@@ -1,7 +1,7 @@
 """Telemetry tables derived from the driver's parquet tables.
 
-``events`` becomes a stream of asset readings with nine channels; ``nation`` and
-``region`` become asset metadata; output and maintenance history are aggregates of
+``events`` becomes a stream of asset readings with nine channels, a user being an asset;
+``customer``, ``nation`` and ``region`` become asset metadata; output and maintenance history are aggregates of
 the events. All of it is lazy DataFrame code: the scans prune to the columns used.
 """
 
@@ -16,9 +16,7 @@ from .. import config
 from ..functions.columns import window_start
 
 # --- fixed values of the mapping -----------------------------------------
-N_ASSETS = 25            # asset_id = user_id % 25 (25 = number of nations)
-ASSET_MAX_KEY = 23       # metadata exists for n_nationkey < 23
-MANUFACTURERS = 5        # manufacturer = 'M' || n_nationkey % 5
+MANUFACTURERS = 5        # manufacturer = 'M' || c_nationkey % 5
 MAINT_MIN_K = 95         # maintenance rows: event_type = 'error' and k >= 95
 # ------------------------------------------------------------------------
 
@@ -49,7 +47,7 @@ def reading_columns(events: DataFrame) -> DataFrame:
     k = F.col("k").cast("double")
     return (events
             .select(F.col("ts").cast("timestamp").alias("event_time"),
-                    (F.col("user_id") % N_ASSETS).cast("int").alias("asset_id"),
+                    F.col("user_id").cast("int").alias("asset_id"),
                     "event_type", "value", _k().alias("k"))
             .select("event_time",
                     F.to_date("event_time").alias("reading_date"),
@@ -72,26 +70,26 @@ def readings(spark: SparkSession, sf_dir: str, before=None) -> DataFrame:
 
 def assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Asset metadata: ``country, manufacturer, asset_id, region``."""
+    c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    return (n.where(F.col("n_nationkey") < ASSET_MAX_KEY)
+    return (c.join(n, c.c_nationkey == n.n_nationkey)
             .join(r, n.n_regionkey == r.r_regionkey)
             .select(F.col("n_name").alias("country"),
-                    F.concat(F.lit("M"), (F.col("n_nationkey") % MANUFACTURERS).cast("string")).alias("manufacturer"),
-                    F.col("n_nationkey").cast("int").alias("asset_id"),
+                    F.concat(F.lit("M"), (F.col("c_nationkey") % MANUFACTURERS).cast("string")).alias("manufacturer"),
+                    F.col("c_custkey").cast("int").alias("asset_id"),
                     F.col("r_name").alias("region")))
 
 
 def output(spark: SparkSession, sf_dir: str, length: str = config.WINDOW, before=None) -> DataFrame:
-    """Output per (asset, window): sum of ``value`` over non-signup events.
+    """Output per (asset, window): sum of ``value`` over all its events.
 
     Grouped on ``(asset_id, window_start)`` in that order, the same keys the
     hourly sensor aggregate uses, so the two can be joined without a re-shuffle.
     """
     e = events(spark, sf_dir, before)
-    return (e.where(F.col("event_type") != "signup")
-            .select(F.col("ts").cast("timestamp").alias("event_time"),
-                    (F.col("user_id") % N_ASSETS).cast("int").alias("asset_id"), "value")
+    return (e.select(F.col("ts").cast("timestamp").alias("event_time"),
+                    F.col("user_id").cast("int").alias("asset_id"), "value")
             .groupBy("asset_id", window_start("event_time", length).alias("window_start"))
             .agg(F.sum("value").alias("oil_output"))
             .select(F.to_date("window_start").alias("reading_date"), "window_start",
@@ -103,7 +101,7 @@ def maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = events(spark, sf_dir)
     return (e.where((F.col("event_type") == "error"))
             .select(F.col("ts").cast("timestamp").alias("event_time"),
-                    (F.col("user_id") % N_ASSETS).cast("int").alias("asset_id"),
+                    F.col("user_id").cast("int").alias("asset_id"),
                     _k().alias("k"))
             .where(F.col("k") >= MAINT_MIN_K)
             .groupBy(F.to_date("event_time").alias("reading_date"), "asset_id")

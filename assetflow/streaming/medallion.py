@@ -57,7 +57,7 @@ class Medallion:
     def __init__(self, spark: SparkSession, root: str, assets: Callable[[], DataFrame] | None = None,
                  length: str = config.WINDOW, watermark: str = config.WATERMARK,
                  schema: T.StructType = READING_SCHEMA, max_files: int | None = None,
-                 live: dict[str, tuple[str, list[str]]] | None = None, gold_from_version: int = 0,
+                 live: dict[str, tuple[str | Callable[[DataFrame], DataFrame], list[str]]] | None = None, gold_from_version: int = 0,
                  corrupt_column: str | None = None, state_partitions: int | None = None):
         self.spark, self.root = spark, root.rstrip("/")
         self.assets, self.length, self.watermark = assets, length, watermark
@@ -67,7 +67,7 @@ class Medallion:
         self.silver = f"{self.root}/silver_log"
         self.gold = f"{self.root}/gold_log"
         self.queries: dict[str, StreamingQuery] = {}
-        # name -> (SQL over the view "sensor_stream", group keys): live aggregates
+        # name -> (SQL over the view "sensor_stream" or a function of its frame, group keys): live aggregates
         self.live = dict(live or {})
         # first silver version the gold stream consumes (a change feed's starting version)
         self.gold_from_version = gold_from_version
@@ -127,16 +127,16 @@ class Medallion:
         return f"{self.root}/live_{name}_log"
 
     def live_writer(self, name: str):
-        """A SQL aggregate over the raw stream, kept current in a change log.
+        """An aggregate over the raw stream, kept current in a change log.
 
-        The CSV stream is registered as the temp view ``sensor_stream``; the SQL
+        The CSV stream is registered as the temp view ``sensor_stream``; the
         result is emitted in update mode (only groups that changed) and
         appended as a version, so ``current`` is the live table.
         """
-        sql, keys = self.live[name]
+        build, _ = self.live[name]
         files.csv_stream(self.spark, self.landing, self.schema, self.max_files)\
             .createOrReplaceTempView("sensor_stream")
-        agg = self.spark.sql(sql)
+        agg = self.spark.sql(build) if isinstance(build, str) else build(self.spark.table("sensor_stream"))
         path = self.live_log(name)
 
         def upsert(batch: DataFrame, batch_id: int) -> None:
@@ -221,7 +221,10 @@ class Medallion:
 
     # -- readers ------------------------------------------------------------
     def bronze_table(self) -> DataFrame:
-        return self.spark.read.schema(BRONZE_SCHEMA).parquet(self.bronze)
+        """Bronze with every column of the chain's reading schema, and the bad lines kept beside."""
+        extra = [T.StructField(self.corrupt_column, T.StringType())] if self.corrupt_column else []
+        fields = [*self.schema.fields, *extra, T.StructField("reading_date", T.DateType())]
+        return self.spark.read.schema(T.StructType(fields)).parquet(self.bronze)
 
     def silver_log(self) -> DataFrame:
         return self.spark.read.schema(log_schema(SILVER_FIELDS)).parquet(self.silver)

@@ -85,3 +85,9 @@ def test_fold_then_read_base_plus_newer_versions(spark):
     log = spark.read.parquet(path)
     got = changelog.current_from(spark.read.parquet(path + "_base"), log, K, base_v)
     assert rows(got) == rows(changelog.current(log, K)) == [("a", 2.0), ("b", 1.0), ("c", 2.0)]
+
+
+def test_a_deleted_key_is_not_a_latest_change(spark):
+    feed = spark.createDataFrame([("a", 1.0, "insert", 0, None), ("a", None, "delete", 1, None), ("b", 2.0, "insert", 0, None)],
+                                 "k string, v double, _change_type string, _commit_version long, _commit_timestamp timestamp")
+    assert rows(changelog.latest_change(feed, K)) == [("b", 2.0)]

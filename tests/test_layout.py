@@ -26,3 +26,23 @@ def test_compaction_keeps_rows_and_reduces_files(spark):
             assert files == 1 and before[d] > 1
         else:
             assert files == before[d]  # open partitions untouched
+
+
+def test_compaction_of_many_dates_with_several_tasks(spark):
+    path = scratch_path(spark, "t_many")
+    df = spark.range(0, 9000).select((F.col("id") % 50).cast("int").alias("asset_id"), (F.col("id") * 0.5).alias("x"),
+                                     F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 31).cast("int")).alias("reading_date"))
+    df.repartition(4).write.partitionBy("reading_date").parquet(path)
+    n = layout.compact(spark, path, "reading_date", dt.date(2024, 2, 1), ["asset_id"], target_file_bytes=20_000)
+    after = layout.file_stats(spark, path, "reading_date").collect()
+    tasks = -(-9000 * 24 // 20_000)
+    assert n == 9000 and sum(r["files"] for r in after) <= 31 + tasks < 124 and sum(r["rows"] for r in after) == 9000
+
+
+def test_streamed_tables_are_refused(spark):
+    import pytest
+
+    path = scratch_path(spark, "t_streamed")
+    spark.range(1).write.parquet(f"{path}/_spark_metadata")
+    with pytest.raises(ValueError):
+        layout.compact(spark, path, "reading_date", dt.date(2024, 2, 1), ["asset_id"])

@@ -79,7 +79,8 @@ def test_sweep_profit_and_optimum_are_consistent(spark):
     curve = Q["profit_curve"](spark, SF_CHECK).toPandas()
     assert curve.groupby("asset_id").size().eq(config.SWEEP_POINTS).all()
     rev = curve.expected_output * config.HOURS_PER_YEAR * config.PRICE
-    np.testing.assert_allclose(curve.revenue, rev.round(6), atol=1e-5)
+    # the output is reported to 6 digits: revenue carries hours * 5e-7 of rounding
+    np.testing.assert_allclose(curve.revenue, rev, rtol=1e-9, atol=config.HOURS_PER_YEAR * config.PRICE * 5.1e-7)
     life = curve.expected_life.replace(0, np.nan)
     # life is reported to 6 digits: rev / life carries rev * 5e-7 / life^2 of rounding
     bound = (rev.abs() * 1e-6 / life ** 2 + 1e-3).to_numpy()

@@ -166,7 +166,7 @@ def test_chain_keeps_bad_lines_in_bronze(spark):
     good = spark.createDataFrame([_reading(dt.datetime(2024, 1, 4, 1, 0))], READING_SCHEMA)
     files.write_landing(good, m.landing)
     spark.createDataFrame([("2024-01-04T02:00:00.000000Z", "1") + ("x",) * len(config.CHANNELS)],
-                          ", ".join(f"c{i} string" for i in range(2 + len(config.CHANNELS))))\
+                          ", ".join(f"{f.name} string" for f in READING_SCHEMA.fields))\
         .coalesce(1).write.mode("append").option("header", True).csv(m.landing)
     m.run_available_now(gold=False)
     bronze = spark.read.parquet(m.bronze)
@@ -202,3 +202,42 @@ def test_stream_start_keeps_the_session_setting(spark):
     m.run_available_now(gold=False)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert m.silver_current().count() == 1
+
+
+def test_old_files_are_loaded_too(spark):
+    import os
+    import time
+
+    root = scratch_path(spark, "t_old")
+    args = (f"{root}/src", "name string, id string", ["name", "cast(id as int) as id"], f"{root}/t", f"{root}/c")
+    spark.createDataFrame([("x", "1")], "name string, id string").coalesce(1).write.mode("append").json(f"{root}/src")
+    assert files.idempotent_load(spark, *args) == 1
+    known = set(os.listdir(f"{root}/src"))
+    spark.createDataFrame([("y", "2")], "name string, id string").coalesce(1).write.mode("append").json(f"{root}/src")
+    for f in set(os.listdir(f"{root}/src")) - known:
+        if f.endswith(".json") and not f.startswith("."):
+            os.utime(f"{root}/src/{f}", (time.time() - 60 * 86400,) * 2)
+    assert files.idempotent_load(spark, *args) == 1
+    assert spark.read.parquet(f"{root}/t").count() == 2
+
+
+def test_swapped_header_stops_the_stream(spark):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    m = Medallion(spark, scratch_path(spark, "t_swap"))
+    m.ensure_dirs()
+    names = [f.name for f in READING_SCHEMA.fields]
+    names[2], names[3] = names[3], names[2]
+    files.write_landing(spark.createDataFrame([_reading(dt.datetime(2024, 1, 4, 1, 0))], READING_SCHEMA).select(*names), m.landing)
+    with pytest.raises(StreamingQueryException):
+        m.run_available_now(gold=False)
+    assert m.bronze_table().count() == 0
+
+
+def test_growth_is_found_in_a_small_file(spark):
+    root = scratch_path(spark, "t_small")
+    t = dt.datetime(2024, 1, 1, 1, 0)
+    files.write_landing(spark.createDataFrame([(t, i, 1.5) for i in range(300)], "event_time timestamp, asset_id int, sensor1 double").coalesce(1), root)
+    files.write_landing(spark.createDataFrame([(t, 2, 2.5, 7.0)], "event_time timestamp, asset_id int, sensor1 double, sensor2 double"), root)
+    assert files.infer_schema(spark, root).fieldNames() == ["event_time", "asset_id", "sensor1", "sensor2"]
