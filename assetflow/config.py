@@ -17,8 +17,8 @@ FEATURES = ["age"] + CHANNELS + ["oil_output"]
 WINDOW = "1 hour"
 # event-time watermark: rows later than this behind the max event time are dropped
 WATERMARK = "6 hours"
-# look-ahead label: 72 rows ahead (row based), or 6 hours ahead (time based)
-HORIZON_ROWS = 72
+# look-ahead labels: 72 rows ahead (row based, own value past the end), or 6 hours ahead
+LEAD_ROWS = 72
 HORIZON = "6 hours"
 # pressure sweep on sensor1: 8 settings from -0.015, step 0.001 (last -0.008)
 SWEEP_START = -0.015
@@ -32,6 +32,8 @@ GBT_PARAMS = {"maxDepth": 5, "stepSize": 0.5, "featureSubsetStrategy": "0.5", "m
 HOURS_PER_YEAR = 24 * 365
 # ------------------------------------------------------------------------
 
+# rows of WINDOW length that make up HORIZON
+HORIZON_ROWS = 6
 # explicit "today" for the feature view (the data ends on 2024-01-30)
 AS_OF = _dt.date(2024, 2, 1)
 # price per unit of output (the formulas carry a price, the code uses 1)

@@ -16,11 +16,6 @@ def window_start(ts: str | Column, length: str) -> Column:
     return F.window(ts, length).start
 
 
-def window_bounds(ts: str | Column, length: str) -> list[Column]:
-    w = F.window(ts, length)
-    return [w.start.alias("window_start"), w.end.alias("window_end")]
-
-
 def avg_channels(channels: list[str]) -> list[Column]:
     """Null-ignoring mean of every channel, named after the channel."""
     return [F.avg(c).alias(c) for c in channels]

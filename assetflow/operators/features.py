@@ -74,10 +74,13 @@ def feature_base(gold: DataFrame, maintenance: DataFrame, as_of: _dt.date = conf
 
 def feature_table(gold: DataFrame, maintenance: DataFrame, as_of: _dt.date = config.AS_OF,
                   horizon_rows: int = config.HORIZON_ROWS, label: str = "output_6_hours_ahead",
-                  default_own: bool = True) -> DataFrame:
+                  lead: int = config.LEAD_ROWS, lead_label: str = "output_72_rows_ahead") -> DataFrame:
+    """Feature rows with two look-ahead columns in one window pass: the horizon's label, NULL where the
+    series ends before it (so nothing is trained on a row's own output), and the plain lead by
+    ``lead`` rows, which falls back on the row's own output."""
     base = feature_base(gold, maintenance, as_of)
-    return base.withColumn(label, lead_rows("oil_output", horizon_rows, "window_start",
-                                            default_own=default_own))
+    return base.withColumns({label: lead_rows("oil_output", horizon_rows, "window_start", default_own=False),
+                             lead_label: lead_rows("oil_output", lead, "window_start")})
 
 
 def label_by_time(base: DataFrame, horizon: str = config.HORIZON, value: str = "oil_output",

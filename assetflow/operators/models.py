@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config
-from ..functions.joins import join_small
 
 
 # --- split ---------------------------------------------------------------
@@ -164,7 +163,7 @@ def score(df: DataFrame, coefs: DataFrame, group: list[str], features: list[str]
     """Add ``out``: each row scored by its own group's model (NULL if it has none)."""
     keep = [c for c in df.columns if c != out]
     cols = group + ["intercept"] + [f"b_{c}" for c in features] + [f"mean_{c}" for c in features]
-    joined = join_small(df.select(*keep), coefs.select(*cols), group, "left")
+    joined = df.select(*keep).join(coefs.select(*cols), group, "left")  # coefs: one row per group, sized at run time
     return joined.select(*keep, prediction(features).alias(out))
 
 
@@ -188,7 +187,7 @@ def run_log(df: DataFrame, coefs: DataFrame, group: list[str], features: list[st
     cand = coefs.select(*group, "ridge", "intercept", *[f"b_{c}" for c in features],
                         *[f"mean_{c}" for c in features])
     rows = df.select(*group, *features, label, "is_test")
-    scored = join_small(rows, cand, group, "inner").withColumn("_pred", prediction(features))
+    scored = rows.join(cand, group, "inner").withColumn("_pred", prediction(features))
     m = rmse(scored, group + ["ridge"], label, "_pred")
     run_id = F.concat_ws("-", F.lit(model), *[F.col(c).cast("string") for c in group],
                          F.format_number("ridge", 4), F.lit(str(created_version)))

@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.columns import ntz_all, round_doubles
-from ..functions.joins import join_small
 from ..operators import aggregate, changelog, features, models, scenario
 from ..session import scratch_path
 from ..sources import files
 from ..streaming.medallion import KEYS, Medallion, stream_in_slices
 from . import modeling as M
+from . import tables
 from .views import Views
 
 
@@ -81,6 +81,12 @@ def feature_table(spark, sf_dir):
     return _out(Views(spark, sf_dir).features)
 
 
+def feature_table_by_name(spark, sf_dir):
+    """The feature table as a user reads it: by name, through the session's views."""
+    tables.create_views(spark, sf_dir)
+    return _out(spark.sql("SELECT * FROM feature_table"))
+
+
 def label_by_time(spark, sf_dir):
     v = Views(spark, sf_dir)
     return _out(features.label_by_time(features.feature_base(v.gold, v.maintenance, v.as_of)))
@@ -251,10 +257,9 @@ def group_model(spark, sf_dir):
     Train and held-out RMSE per group."""
     v = Views(spark, sf_dir)
     f = M.training_frame(v)
-    by_region = join_small(f, v.assets.select("asset_id", F.col("region").alias("grp")), "asset_id")
+    by_region = f.join(v.assets.select("asset_id", F.col("region").alias("grp")), "asset_id")
     clusters = models.usage_clusters(f, config.FEATURES)
-    by_usage = join_small(f, clusters.select("asset_id", F.col("cluster").cast("string").alias("grp")),
-                          "asset_id")
+    by_usage = f.join(clusters.select("asset_id", F.col("cluster").cast("string").alias("grp")), "asset_id")
     out = None
     for name, g in (("region", by_region), ("usage_cluster", by_usage)):
         c = models.fit(g, ["grp"], config.FEATURES, M.OUT_LABEL, config.RIDGE, M.train())
@@ -349,6 +354,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_readings": gold_readings,
     "asset_age": asset_age,
     "feature_table": feature_table,
+    "feature_table_by_name": feature_table_by_name,
     "label_by_time": label_by_time,
     "life_curve": life_curve,
     "split_counts": split_counts,

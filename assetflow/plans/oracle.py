@@ -58,8 +58,11 @@ _CTES: dict[str, tuple[str, list[str]]] = {
     "fbase": ("""
       FROM gold NATURAL JOIN age SELECT * WHERE reading_date < DATE '2024-02-01'""", ["gold", "age"]),
     "feat": ("""
-      SELECT now.* EXCLUDE (place), CASE WHEN later.place IS NULL THEN now.oil_output ELSE later.oil_output END AS output_6_hours_ahead
-      FROM placed now LEFT JOIN placed later ON later.asset_id = now.asset_id AND later.place = now.place + 72""", ["placed"]),
+      SELECT now.* EXCLUDE (place), soon.oil_output AS output_6_hours_ahead,
+             CASE WHEN later.place IS NULL THEN now.oil_output ELSE later.oil_output END AS output_72_rows_ahead
+      FROM placed now
+      LEFT JOIN placed soon ON soon.asset_id = now.asset_id AND soon.place = now.place + 6
+      LEFT JOIN placed later ON later.asset_id = now.asset_id AND later.place = now.place + 72""", ["placed"]),
     "placed": ("""
       SELECT *, row_number() OVER (PARTITION BY asset_id ORDER BY window_start) AS place FROM fbase""", ["fbase"]),
     "by_hour": ("""
@@ -119,7 +122,7 @@ def _r(cols: list[str]) -> str:
 
 
 GOLD_D = CH + ["oil_output"]
-FEAT_D = GOLD_D + ["output_6_hours_ahead"]
+FEAT_D = GOLD_D + ["output_6_hours_ahead", "output_72_rows_ahead"]
 
 SQL: dict[str, str] = {
     "bronze_readings": _with("reading") + f"SELECT {_r(CH)} FROM reading",
@@ -160,6 +163,7 @@ SQL: dict[str, str] = {
     "gold_readings": _with("gold") + f"SELECT {_r(GOLD_D)} FROM gold ORDER BY asset_id, window_start",
     "asset_age": _with("age") + "SELECT * FROM age",
     "feature_table": _with("feat") + f"SELECT {_r(FEAT_D)} FROM feat",
+    "feature_table_by_name": _with("feat") + f"SELECT {_r(FEAT_D)} FROM feat",
     "label_by_time": _with("fbase") + f"""
       SELECT {_r(GOLD_D + ["output_6h_by_time"])} FROM (
         SELECT b.*, n.oil_output AS output_6h_by_time

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import config
 from ..operators import aggregate, enrich, features
-from ..session import checkpoint_root, ensure_utc
+from ..session import ensure_utc, scratch_path
 from ..sources import fixtures
 
 
@@ -23,16 +23,17 @@ class Views:
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
 
     def materialized(self, name: str, build) -> DataFrame:
-        """``build()`` computed once and checkpointed to the shared checkpoint folder.
+        """``build()`` computed once, written as Parquet to the shared checkpoint folder and read back.
 
         Used for artifacts read by several later jobs (training rows, model
-        coefficients): the lineage is cut, so consumers read files instead of
-        recomputing the stack, and a lost executor does not trigger a rebuild.
+        coefficients): the lineage is cut, so consumers read the columns they
+        need from files, and a lost executor does not trigger a rebuild.
         """
         memo = self.__dict__.setdefault("_materialized", {})
         if name not in memo:
-            checkpoint_root(self.spark)
-            memo[name] = build().checkpoint(eager=True)
+            path, df = scratch_path(self.spark, name), build()
+            df.write.parquet(path)
+            memo[name] = self.spark.read.schema(df.schema).parquet(path)
         return memo[name]
 
     @cached_property
