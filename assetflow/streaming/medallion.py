@@ -67,6 +67,7 @@ class Medallion:
         self.silver = f"{self.root}/silver_log"
         self.gold = f"{self.root}/gold_log"
         self.queries: dict[str, StreamingQuery] = {}
+        self._first: dict[str, int] = {}
         # name -> (SQL over the view "sensor_stream" or a function of its frame, group keys): live aggregates
         self.live = dict(live or {})
         # first silver version the gold stream consumes (a change feed's starting version)
@@ -93,6 +94,30 @@ class Medallion:
     def ckpt(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
 
+    def first_version(self, name: str, log_path: str) -> int:
+        """The log version of a stage's batch 0: above every version that was there when its checkpoint was begun.
+
+        Kept beside the checkpoint's own files, so a restart goes on with it and a fresh checkpoint, whose
+        batches count from 0 again, neither overwrites nor falls behind older versions.
+        """
+        if name not in self._first:
+            place = f"{self.ckpt(name)}/first_version"
+            if self._exists(place):
+                first = int(self.spark.read.text(place).first()[0])
+            else:
+                newest = None
+                if self._exists(log_path):
+                    log = self.spark.read.schema(f"{changelog.VERSION} long").parquet(log_path)
+                    newest = log.agg(F.max(changelog.VERSION)).first()[0]
+                first = 0 if newest is None else int(newest) + 1
+                self.spark.createDataFrame([(str(first),)], "value string").coalesce(1).write.text(place)
+            self._first[name] = first
+        return self._first[name]
+
+    def _exists(self, path: str) -> bool:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+
     # -- stream definitions ----------------------------------------------
     def bronze_writer(self):
         src = files.csv_stream(self.spark, self.landing, self.schema, self.max_files, self.corrupt_column)
@@ -105,18 +130,20 @@ class Medallion:
         return aggregate.windowed_avg(b.withWatermark("event_time", self.watermark), self.length)
 
     def _upsert_silver(self, batch: DataFrame, batch_id: int) -> None:
-        changelog.append_version(batch.dropDuplicates(KEYS), self.silver, batch_id)
+        changelog.append_version(batch.dropDuplicates(KEYS), self.silver, self.first_version("silver", self.silver) + batch_id)
 
     def silver_writer(self):
+        self.first_version("silver", self.silver)
         return (self.silver_frame().writeStream.foreachBatch(self._upsert_silver)
                 .outputMode("update").option("checkpointLocation", self.ckpt("silver")))
 
     def _upsert_gold(self, batch: DataFrame, batch_id: int) -> None:
         newest = changelog.current(batch, KEYS)
         enriched = join_small(newest, self.assets(), "asset_id", "inner")
-        changelog.append_version(enriched, self.gold, batch_id)
+        changelog.append_version(enriched, self.gold, self.first_version("gold", self.gold) + batch_id)
 
     def gold_writer(self):
+        self.first_version("gold", self.gold)
         s = self.spark.readStream.schema(log_schema(SILVER_FIELDS)).parquet(self.silver)
         if self.gold_from_version:
             s = s.where(F.col(changelog.VERSION) >= F.lit(self.gold_from_version))
@@ -138,9 +165,10 @@ class Medallion:
             .createOrReplaceTempView("sensor_stream")
         agg = self.spark.sql(build) if isinstance(build, str) else build(self.spark.table("sensor_stream"))
         path = self.live_log(name)
+        self.first_version(f"live_{name}", path)
 
         def upsert(batch: DataFrame, batch_id: int) -> None:
-            changelog.append_version(batch, path, batch_id)
+            changelog.append_version(batch, path, self.first_version(f"live_{name}", path) + batch_id)
 
         return (agg.writeStream.foreachBatch(upsert).outputMode("update")
                 .option("checkpointLocation", self.ckpt(f"live_{name}")))

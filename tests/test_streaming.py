@@ -241,3 +241,28 @@ def test_growth_is_found_in_a_small_file(spark):
     files.write_landing(spark.createDataFrame([(t, i, 1.5) for i in range(300)], "event_time timestamp, asset_id int, sensor1 double").coalesce(1), root)
     files.write_landing(spark.createDataFrame([(t, 2, 2.5, 7.0)], "event_time timestamp, asset_id int, sensor1 double, sensor2 double"), root)
     assert files.infer_schema(spark, root).fieldNames() == ["event_time", "asset_id", "sensor1", "sensor2"]
+
+
+class _Renewed(Medallion):
+    def ckpt(self, name):
+        return f"{super().ckpt(name)}_renewed" if name == "silver" else super().ckpt(name)
+
+
+def test_a_fresh_checkpoint_writes_above_older_versions(spark):
+    root = scratch_path(spark, "t_renew")
+    m = Medallion(spark, root)
+    base = dt.datetime(2024, 1, 9, 0, 0)
+    files.write_landing(spark.createDataFrame([_reading(base, v=1.0)], READING_SCHEMA), m.landing)
+    m.run_available_now(gold=False)
+    files.write_landing(spark.createDataFrame([_reading(base + dt.timedelta(minutes=5), v=3.0)], READING_SCHEMA), m.landing)
+    m.run_available_now(gold=False)
+    before = {tuple(r) for r in m.silver_log().select("_commit_version", "sensor1").collect()}
+    newest = max(v for v, _ in before)
+    files.write_landing(spark.createDataFrame([_reading(base + dt.timedelta(minutes=9), v=98.0)], READING_SCHEMA), m.landing)
+    m2 = _Renewed(spark, root, state_partitions=2)
+    m2.run_available_now(gold=False)
+    after = {tuple(r) for r in m2.silver_log().select("_commit_version", "sensor1").collect()}
+    assert before < after and all(v > newest for v, _ in after - before)
+    assert [r.sensor1 for r in m2.silver_current().collect()] == [34.0]
+    # a restart goes on from where the checkpoint began
+    assert _Renewed(spark, root).first_version("silver", m2.silver) == newest + 1
