@@ -213,15 +213,15 @@ def life_predictions(spark, sf_dir):
     return _out(M.life_predictions(Views(spark, sf_dir)))
 
 
-def actual_vs_predicted(spark, sf_dir):
-    """Daily mean label and prediction over rows above the label's median.
+def actual_vs_predicted(spark, sf_dir, threshold: float | None = None):
+    """Daily mean label and prediction over rows whose label is above ``threshold``.
 
-    The reference's fixed threshold is in its data's units; the median is the
-    scale-free equivalent here.
+    Without one it is the label's median, the scale-free equivalent of a fixed
+    value in the data's units.
     """
     p = M.output_predictions(Views(spark, sf_dir))
     # a scalar subquery over a mergeable quantile sketch (bounded memory per task)
-    thr = p.agg(F.percentile_approx(M.OUT_LABEL, 0.5, 100000)).scalar()
+    thr = F.lit(threshold) if threshold is not None else p.agg(F.percentile_approx(M.OUT_LABEL, 0.5, 100000)).scalar()
     return _out(p.where(F.col(M.OUT_LABEL) > thr)
                 .groupBy("reading_date")
                 .agg(F.avg(M.OUT_LABEL).alias("actual"), F.avg(M.OUT_PRED).alias("predicted"))
@@ -251,37 +251,41 @@ def promoted_models(spark, sf_dir):
     return _out(models.registry_stages(M.registrations(spark, sf_dir)))
 
 
+def _group_rmse(f: DataFrame, groups: DataFrame, name: str) -> DataFrame:
+    """Train and held-out RMSE of one model per group; ``groups`` gives each asset's ``grp``."""
+    g = f.join(groups, "asset_id")
+    c = models.fit(g, ["grp"], config.FEATURES, M.OUT_LABEL, config.RIDGE, M.train())
+    s = models.score(g, c, ["grp"], config.FEATURES, M.OUT_PRED)
+    return models.rmse(s, ["grp"], M.OUT_LABEL, M.OUT_PRED).select(
+        F.lit(name).alias("grouping"), F.col("grp").alias("group"), "train_rmse", "test_rmse")
+
+
 def group_model(spark, sf_dir):
-    """One model per group of similar assets instead of per asset: groups by
-    region (location) and by usage cluster (KMeans on each asset's mean profile).
-    Train and held-out RMSE per group."""
+    """One model per region instead of per asset."""
     v = Views(spark, sf_dir)
-    f = M.training_frame(v)
-    by_region = f.join(v.assets.select("asset_id", F.col("region").alias("grp")), "asset_id")
+    return _out(_group_rmse(M.training_frame(v), v.assets.select("asset_id", F.col("region").alias("grp")), "region"))
+
+
+def usage_cluster_model(spark, sf_dir):
+    """One model per group of similar assets (KMeans on each asset's mean profile)."""
+    f = M.training_frame(Views(spark, sf_dir))
     clusters = models.usage_clusters(f, config.FEATURES)
-    by_usage = f.join(clusters.select("asset_id", F.col("cluster").cast("string").alias("grp")), "asset_id")
-    out = None
-    for name, g in (("region", by_region), ("usage_cluster", by_usage)):
-        c = models.fit(g, ["grp"], config.FEATURES, M.OUT_LABEL, config.RIDGE, M.train())
-        s = models.score(g, c, ["grp"], config.FEATURES, M.OUT_PRED)
-        r = models.rmse(s, ["grp"], M.OUT_LABEL, M.OUT_PRED).select(
-            F.lit(name).alias("grouping"), F.col("grp").alias("group"), "train_rmse", "test_rmse")
-        out = r if out is None else out.unionByName(r)
-    return _out(out)
+    return _out(_group_rmse(f, clusters.select("asset_id", F.col("cluster").cast("string").alias("grp")),
+                            "usage_cluster"))
 
 
 def feature_importance(spark, sf_dir):
-    """Per-asset shares of the ridge output models, plus the fleet trees' importances
-    (asset_id NULL: one model for the fleet)."""
-    v = Views(spark, sf_dir)
-    lin = models.importance(M.output_coefs(v), M.G, config.FEATURES)\
-        .withColumn("model", F.lit(M.OUTPUT_MODEL))
+    """Per-asset shares of the features in the ridge output models."""
+    return _out(models.importance(M.output_coefs(Views(spark, sf_dir)), M.G, config.FEATURES)
+                .withColumn("model", F.lit(M.OUTPUT_MODEL)))
+
+
+def tree_importance(spark, sf_dir):
+    """The fleet trees' importances, the asset key being a feature."""
     feats = config.FEATURES + ["asset_id"]
-    model, _ = models.fit_trees(M.training_frame(v), feats, M.OUT_LABEL, M.train())
-    trees = spark.createDataFrame(models.tree_importance(model, feats), "feature string, importance double")\
-        .select(F.lit(None).cast("int").alias("asset_id"), "feature", "importance",
-                F.lit("fleet_gbt").alias("model"))
-    return _out(lin.unionByName(trees))
+    model, _ = models.fit_trees(M.training_frame(Views(spark, sf_dir)), feats, M.OUT_LABEL, M.train())
+    return _out(spark.createDataFrame(models.tree_importance(model, feats), "feature string, importance double")
+                .withColumn("model", F.lit("fleet_gbt")))
 
 
 def tree_model(spark, sf_dir):
@@ -305,17 +309,23 @@ def sweep_predictions(spark, sf_dir):
     return _out(M.sweep(Views(spark, sf_dir)))
 
 
+def _profit(v: Views) -> DataFrame:
+    """Money follows from the predictions as they are reported (rounded): a life near 0 would
+    otherwise multiply their last digits."""
+    return scenario.profit(_out(M.sweep(v)))
+
+
 def profit_curve(spark, sf_dir):
-    return _out(scenario.profit(M.sweep(Views(spark, sf_dir))))
+    return _out(_profit(Views(spark, sf_dir)))
 
 
 def optimal_setting(spark, sf_dir):
-    return _out(scenario.optimal_setting(scenario.profit(M.sweep(Views(spark, sf_dir)))))
+    return _out(scenario.optimal_setting(_profit(Views(spark, sf_dir))))
 
 
 def fleet_kpis(spark, sf_dir):
     v = Views(spark, sf_dir)
-    return _out(scenario.fleet_kpis(scenario.optimal_setting(scenario.profit(M.sweep(v))), v.assets))
+    return _out(scenario.fleet_kpis(scenario.optimal_setting(_profit(v)), v.assets))
 
 
 # --- layout ----------------------------------------------------------------------
@@ -367,7 +377,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "best_model": best_model,
     "promoted_models": promoted_models,
     "group_model": group_model,
+    "usage_cluster_model": usage_cluster_model,
     "feature_importance": feature_importance,
+    "tree_importance": tree_importance,
     "tree_model": tree_model,
     "sweep_grid": sweep_grid,
     "sweep_predictions": sweep_predictions,

@@ -1,4 +1,4 @@
-"""Registered model analytics (no SQL twin) against brute force in numpy/pandas."""
+"""Registered model analytics against brute force in numpy/pandas."""
 
 import numpy as np
 import pandas as pd
@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from assetflow import config
+from assetflow.plans import catalog
 from assetflow.plans import modeling as M
 from assetflow.plans.views import Views
 from conftest import SF_CHECK
@@ -104,3 +105,23 @@ def test_registry_has_one_production_version_per_model_and_asset(spark):
     assert set(map(tuple, prod[["model_name", "asset_id"]].values)) == \
         set(map(tuple, reg[["model_name", "asset_id"]].values))
     assert (prod.version == reg.groupby(["model_name", "asset_id"]).version.transform("max")[prod.index]).all()
+
+
+def test_actual_vs_predicted_takes_a_threshold(spark, train_pdf):
+    got = catalog.actual_vs_predicted(spark, SF_CHECK, 300.0).toPandas().set_index("reading_date").actual
+    want = train_pdf[train_pdf[M.OUT_LABEL] > 300.0].groupby("reading_date")[M.OUT_LABEL].mean()
+    np.testing.assert_allclose(got.loc[want.index], want, atol=2e-6)
+    assert len(got) == len(want)
+
+
+def test_usage_clusters_beat_the_mean(spark, train_pdf):
+    got = Q["usage_cluster_model"](spark, SF_CHECK).toPandas()
+    y = train_pdf[~train_pdf.is_test][M.OUT_LABEL].dropna()
+    assert (got.grouping == "usage_cluster").all() and got.group.is_unique
+    assert got.train_rmse.min() <= y.std()
+
+
+def test_tree_importances_are_shares(spark):
+    got = Q["tree_importance"](spark, SF_CHECK).toPandas()
+    assert sorted(got.feature) == sorted(config.FEATURES + ["asset_id"])
+    assert (got.importance >= 0).all() and abs(got.importance.sum() - 1) < 1e-5
