@@ -248,7 +248,7 @@ def best_model(spark, sf_dir):
 
 
 def promoted_models(spark, sf_dir):
-    return _out(models.registry_stages(M.registrations(spark, sf_dir)))
+    return _out(M.registry(spark, sf_dir).stages())
 
 
 def _group_rmse(f: DataFrame, groups: DataFrame, name: str) -> DataFrame:

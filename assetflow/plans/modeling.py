@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
-from ..operators import models, scenario
+from ..operators import changelog, models, scenario
 from ..session import scratch_path
 from .views import Views
 
@@ -17,6 +17,8 @@ LIFE_PRED = LIFE_LABEL + "_predicted"
 OUTPUT_MODEL = "asset_output_prediction"
 LIFE_MODEL = "asset_life_prediction"
 G = ["asset_id"]
+
+
 def train():
     return ~F.col("is_test")
 
@@ -82,29 +84,49 @@ def candidates(v: Views, round_no: int = 0) -> tuple[DataFrame, DataFrame, DataF
     return runs, coefs, f
 
 
-def promoted_coefs(v: Views) -> DataFrame:
-    """Coefficients of the best run per (model, asset): what serving loads."""
-    def build():
-        runs, coefs, _ = candidates(v)
-        best = models.best_runs(runs, G).select("model", *G, "ridge")
-        return coefs.join(best, ["model", *G, "ridge"], "inner")
-    return v.materialized("promoted_coefs", build)
+class ModelStore:
+    """The run log and the model registry as tables that are kept: one version per training round.
+
+    A round that is recorded again replaces itself. The newest registered version of a (model, asset)
+    is Production, earlier ones are Archived; serving loads the Production coefficients.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self._runs, self._registry = spark, f"{root}/runs", f"{root}/registry"
+
+    def record(self, v: Views, round_no: int = 0) -> None:
+        """Append the round's runs and register the best one per (model, asset) with its coefficients."""
+        runs, coefs, _ = candidates(v, round_no)
+        changelog.append_version(runs, self._runs, round_no)
+        mine = self.runs().where(F.col("created_version") == round_no)
+        best = models.best_runs(mine, G).select("model", *G, "ridge", "run_id")
+        changelog.append_version(coefs.join(best, ["model", *G, "ridge"], "inner"), self._registry, round_no)
+
+    def runs(self) -> DataFrame:
+        return changelog.read_log(self.spark, self._runs).drop(*changelog.META)
+
+    def stages(self) -> DataFrame:
+        registered = changelog.read_log(self.spark, self._registry)
+        return models.registry_stages(registered.select(F.col("model").alias("model_name"), *G, "run_id",
+                                                        F.col(changelog.VERSION).alias("registered_round")))
+
+    def production(self, model: str) -> DataFrame:
+        registered = changelog.read_log(self.spark, self._registry).where(F.col("model") == model)
+        return changelog.current(registered, ["model", *G])
 
 
-def registrations(spark, sf_dir) -> DataFrame:
-    """Each retraining round registers its best run per (model, asset)."""
-    regs = None
+def registry(spark: SparkSession, sf_dir: str) -> ModelStore:
+    """A store in which each retraining round registered its best run per (model, asset)."""
+    store = ModelStore(spark, scratch_path(spark, "models"))
     for rnd, as_of in enumerate(config.RETRAIN_AS_OF):
-        runs, _, _ = candidates(Views(spark, sf_dir, as_of), rnd)
-        b = models.best_runs(runs, G).select(F.col("model").alias("model_name"), *G, "run_id",
-                                             F.lit(rnd).cast("long").alias("registered_round"))
-        regs = b if regs is None else regs.unionByName(b)
-    return regs
+        store.record(Views(spark, sf_dir, as_of), rnd)
+    return store
 
 
-def sweep(v: Views) -> DataFrame:
-    pc = promoted_coefs(v)
+def sweep(v: Views, store: ModelStore | None = None) -> DataFrame:
+    """The sweep scored by the store's Production models (default: a store with one round on ``v``)."""
+    if store is None:
+        store = ModelStore(v.spark, scratch_path(v.spark, "models"))
+        store.record(v)
     grid = scenario.sweep_grid(scenario.latest_payload(training_frame(v)))
-    oc = pc.where(F.col("model") == OUTPUT_MODEL)
-    lc = pc.where(F.col("model") == LIFE_MODEL)
-    return scenario.sweep_predictions(grid, oc, lc)
+    return scenario.sweep_predictions(grid, store.production(OUTPUT_MODEL), store.production(LIFE_MODEL))
