@@ -11,8 +11,10 @@ Training tells observed classes from noise drawn by class frequency (numpy, batc
 matrix products, Adagrad), which needs no Z; scoring works Z out, once per distinct context.
 
 All counts cover the whole training fold: tokens per hash bucket, class trigrams per hash
-bucket. Training tasks draw their examples from the trigram counts of their own buckets, and
-their parameters are averaged after each round.
+bucket of their context. Each round is a full pass: every counted trigram is an example, weighted
+by its count, and frequent ones are several. The buckets form shards of about equally many
+trigrams, however many tasks there are; a shard holds all that follows its contexts. Parameters
+and Adagrad's sums are averaged over the shards after each round.
 
 Words are told apart by 64-bit hashes; two of a billion words share one with probability 0.03.
 """
@@ -35,8 +37,8 @@ SMOOTHING = 0.1
 FREQUENT, RARE = 192, 64
 WIDTH = 24
 ROUNDS, NOISE, BATCH, RATE = 3, 64, 1024, 0.15
-#: Examples drawn in a round for each trigram counted.
-DRAWS = 0.7
+#: Trigrams in a training shard, about; sets the steps between two averages, whatever the number of tasks.
+SHARD = 1_000_000
 #: Bytes of text in a group, about; sets the number of groups and buckets, not the result.
 GROUP_BYTES = 3 << 20
 END = np.uint64(0)
@@ -92,8 +94,9 @@ def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
     return (mix(key + np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _blobs(buckets: int, key: np.ndarray, n: np.ndarray, tag: np.ndarray) -> pa.RecordBatch:
-    rows = [(b, pack(key[i], n[i], tag[i])) for b, i in by_bucket(_bucket(key, buckets))]
+def _blobs(buckets: int, key: np.ndarray, n: np.ndarray, tag: np.ndarray, shift: int = 0) -> pa.RecordBatch:
+    """Packed rows by bucket of the key without its lowest ``shift`` bits."""
+    rows = [(b, pack(key[i], n[i], tag[i])) for b, i in by_bucket(_bucket(key >> np.uint64(shift), buckets))]
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "blob"])
 
 
@@ -175,7 +178,7 @@ def contexts(c: np.ndarray, size: np.ndarray, before: int) -> tuple[np.ndarray,
 
 
 def count_trigrams(texts: DataFrame, c: Classes, buckets: int) -> DataFrame:
-    """Per bucket: class trigrams (as one number) and how often they occur."""
+    """Per bucket of contexts: class trigrams (as one number), how often they occur, and how many there are."""
     held = texts.sparkSession.sparkContext.broadcast(c)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,17 +189,30 @@ def count_trigrams(texts: DataFrame, c: Classes, buckets: int) -> DataFrame:
             two, one = contexts(own, t.size, held.value.size)
             key, n = np.unique((two << 2 * _BITS | one << _BITS | own).astype(np.uint64), return_counts=True)
             total.add(key, n, np.zeros(len(key), np.int16))
-        yield _blobs(buckets, *total.total())
+        yield _blobs(buckets, *total.total(), shift=_BITS)
 
     def merge(t: pa.Table) -> pa.Table:
         total = Counted()
         for x in t.column("blob").to_pylist():
             total.add(*unpack(x, "u8", "i8", "i2"))
         key, n, tag = total.total()
-        return pa.table({"bucket": t.column("bucket").slice(0, 1), "blob": pa.array([pack(key, n, tag)], pa.binary())})
+        return pa.table({"bucket": t.column("bucket").slice(0, 1), "blob": pa.array([pack(key, n, tag)], pa.binary()), "trigrams": pa.array([len(key)], pa.int64())})
 
     return stored(texts.select("text").mapInArrow(count, "bucket int, blob binary").groupBy("bucket")
-                  .applyInArrow(merge, "bucket int, blob binary"), "trigram-counts")
+                  .applyInArrow(merge, "bucket int, blob binary, trigrams long"), "trigram-counts")
+
+
+def training_shards(trigrams: DataFrame, most: int = SHARD) -> DataFrame:
+    """Per shard: the trigrams and counts of its buckets; about ``most`` trigrams, or one bucket if that has more."""
+    shards = groups_for(trigrams.agg(F.sum("trigrams").alias("n")).first()["n"], most)
+
+    def merge(t: pa.Table) -> pa.Table:
+        got = [unpack(x, "u8", "i8", "i2") for _, x in sorted(zip(t.column("bucket").to_pylist(), t.column("blob").to_pylist(), strict=True))]
+        key, n = (np.concatenate([g[i] for g in got]) for i in (0, 1))
+        return pa.table({"shard": t.column("shard").slice(0, 1), "blob": pa.array([pack(key, n)], pa.binary())})
+
+    return stored(trigrams.select((F.col("bucket") % shards).alias("shard"), "bucket", "blob").repartition(shards, "shard").groupBy("shard")
+                  .applyInArrow(merge, "shard int, blob binary"), "training-shards")
 
 
 class Model(NamedTuple):
@@ -226,20 +242,37 @@ def start_model(c: Classes, width: int = WIDTH, seed: int = 7) -> Model:
     return Model(r(c.size + 1), r(c.size + 1), r(c.size), np.log(f).astype(np.float32))
 
 
-def train(m: Model, key: np.ndarray, n: np.ndarray, noise: np.ndarray, draws: int, seed: int, k: int = NOISE, rate: float = RATE) -> Model:
-    """Noise-contrastive estimation on ``draws`` examples drawn from the counted trigrams.
+def examples(n: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """A full pass over trigrams counted ``n`` times: positions in random order and their weights, 1 on average.
+
+    Each has its count as its weight; what is counted more often than the mean is dealt to several examples
+    of equal weight, at most as many again as there are trigrams.
+    """
+    copies = np.ceil(n / (n.sum() / len(n))).astype(np.int64)
+    at = rng.permutation(np.repeat(np.arange(len(n)), copies))
+    return at, ((n / copies)[at] * (len(at) / n.sum())).astype(np.float32)
+
+
+def start_sums(m: Model) -> Model:
+    """Adagrad's sums before the first step."""
+    return Model(*(np.full(x.shape, 1e-2, np.float32) for x in m))
+
+
+def train(m: Model, key: np.ndarray, n: np.ndarray, noise: np.ndarray, draws: int | None, seed: int, k: int = NOISE, rate: float = RATE,
+          sums: Model | None = None) -> Model:
+    """Noise-contrastive estimation on a full pass over the counted trigrams, or on ``draws`` examples drawn from them.
 
     Each batch shares ``k`` noise classes, drawn from the frequencies ``noise``; a batch is three matrix
-    products forward and back. Steps follow Adagrad.
+    products forward and back. Steps follow Adagrad, whose ``sums`` are added to in place.
     """
     rng = np.random.default_rng(seed)
     a2, a1, b, bias = (x.astype(np.float32, copy=True) for x in m)
-    g2, g1, gb, gbias = (np.full(x.shape, 1e-2, np.float32) for x in (a2, a1, b, bias))
+    g2, g1, gb, gbias = sums or start_sums(m)
     cum, cum_noise = np.cumsum(n), np.cumsum(noise)
     log_kn = np.log(k * noise / noise.sum()).astype(np.float32)
     mask = (1 << _BITS) - 1
 
-    def step(x: np.ndarray, sums: np.ndarray, rows: np.ndarray, grad: np.ndarray) -> None:
+    def step(x: np.ndarray, sum_: np.ndarray, rows: np.ndarray, grad: np.ndarray) -> None:
         """Adds up the gradients of equal rows, then one step for each row."""
         one, inverse = np.unique(rows, return_inverse=True)
         if grad.ndim == 1:
@@ -248,18 +281,27 @@ def train(m: Model, key: np.ndarray, n: np.ndarray, noise: np.ndarray, draws: in
             g = np.zeros((len(one), grad.shape[1]), np.float32)
             order = np.argsort(inverse, kind="stable")
             g[:] = np.add.reduceat(grad[order], np.searchsorted(inverse[order], np.arange(len(one))), axis=0)
-        sums[one] += g * g
-        x[one] += rate * g / np.sqrt(sums[one])
+        sum_[one] += g * g
+        x[one] += rate * g / np.sqrt(sum_[one])
+
+    def batches() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if draws is None:
+            at, weight = examples(n, rng)
+            for i in range(0, len(at), BATCH):
+                yield at[i:i + BATCH], weight[i:i + BATCH]
+        else:
+            for _ in range(max(1, draws // BATCH)):
+                yield np.searchsorted(cum, rng.integers(0, cum[-1], BATCH), side="right"), np.ones(BATCH, np.float32)
 
-    for _ in range(max(1, draws // BATCH)):
-        pick = key[np.searchsorted(cum, rng.integers(0, cum[-1], BATCH), side="right")].astype(np.int64)
+    for at, weight in batches():
+        pick = key[at].astype(np.int64)
         two, one, w = pick >> 2 * _BITS, pick >> _BITS & mask, pick & mask
         fake = np.searchsorted(cum_noise, rng.random(k) * cum_noise[-1], side="right")
         q = a2[two] + a1[one]
         true = np.einsum("ij,ij->i", q, b[w]) + bias[w] - log_kn[w]
         false = q @ b[fake].T + (bias[fake] - log_kn[fake])
-        up = 1 / (1 + np.exp(np.clip(true, -30, 30)))
-        down = -1 / (1 + np.exp(-np.clip(false, -30, 30)))
+        up = weight / (1 + np.exp(np.clip(true, -30, 30)))
+        down = -weight[:, None] / (1 + np.exp(-np.clip(false, -30, 30)))
         dq = (up[:, None] * b[w] + down @ b[fake]) / BATCH
         db = np.concatenate([up[:, None] * q, down.T @ q]) / BATCH
         dbias = np.concatenate([up, down.sum(axis=0)]) / BATCH
@@ -271,33 +313,34 @@ def train(m: Model, key: np.ndarray, n: np.ndarray, noise: np.ndarray, draws: in
     return Model(a2, a1, b, bias)
 
 
-def fit(trigrams: DataFrame, c: Classes, rounds: int = ROUNDS, draws: float = DRAWS) -> Model:
-    """Rounds of training in every task from the last average; tasks are averaged by the tokens they hold.
+def fit(shards: DataFrame, c: Classes, rounds: int = ROUNDS) -> Model:
+    """Rounds of a full pass in every shard from the last average; shards are averaged by the tokens they hold.
 
     The averages are added up in the tasks of a second stage, so only a few parameter sets reach the driver.
     """
-    sc = trigrams.sparkSession.sparkContext
+    sc = shards.sparkSession.sparkContext
     model = start_model(c)
-    shapes = [x.shape for x in model]
+    sums = start_sums(model)
+    shapes = [x.shape for x in model + sums]
     for r in range(rounds):
-        held = sc.broadcast((model, c.mass + SMOOTHING))
+        held = sc.broadcast((model, sums, c.mass + SMOOTHING))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            got = [(b, unpack(x, "u8", "i8", "i2")) for t in batches for b, x in zip(t.column("bucket").to_pylist(), t.column("blob").to_pylist(), strict=True)]
-            if not got:
-                return
-            got.sort(key=lambda g: g[0])
-            key, n = (np.concatenate([g[1][i] for g in got]) for i in (0, 1))
-            m = train(held.value[0], key, n, held.value[1], int(draws * len(key)), 100 * r + 31 * got[0][0])
-            flat = np.concatenate([x.reshape(-1) for x in m]).astype(np.float64) * float(n.sum())
-            yield pa.RecordBatch.from_arrays([pa.array([got[0][0] % 8], pa.int32()), pa.array([float(n.sum())]), pa.array([flat.tobytes()], pa.binary())],
-                                             ["part", "weight", "sums"])
+            for t in batches:
+                for shard, x in zip(t.column("shard").to_pylist(), t.column("blob").to_pylist(), strict=True):
+                    key, n = unpack(x, "u8", "i8")
+                    model, sums, noise = held.value
+                    sums = Model(*(x.copy() for x in sums))
+                    m = train(model, key, n, noise, None, 100 * r + 31 * shard, sums=sums)
+                    flat = np.concatenate([x.reshape(-1) for x in m + sums]).astype(np.float64) * float(n.sum())
+                    yield pa.RecordBatch.from_arrays([pa.array([shard % 8], pa.int32()), pa.array([float(n.sum())]), pa.array([flat.tobytes()], pa.binary())],
+                                                     ["part", "weight", "sums"])
 
         def add(t: pa.Table) -> pa.Table:
             flat = sum(np.frombuffer(x, np.float64) for x in t.column("sums").to_pylist())
             return pa.table({"weight": pa.array([sum(t.column("weight").to_pylist())]), "sums": pa.array([flat.tobytes()], pa.binary())})
 
-        rows = (trigrams.mapInArrow(run, "part int, weight double, sums binary").groupBy("part")
+        rows = (shards.mapInArrow(run, "part int, weight double, sums binary").groupBy("part")
                 .applyInArrow(add, "weight double, sums binary").collect())
         held.unpersist()
         flat = sum(np.frombuffer(x["sums"], np.float64) for x in rows) / sum(x["weight"] for x in rows)
@@ -305,7 +348,7 @@ def fit(trigrams: DataFrame, c: Classes, rounds: int = ROUNDS, draws: float = DR
         for s in shapes:
             parts.append(flat[at:at + int(np.prod(s))].reshape(s).astype(np.float32))
             at += int(np.prod(s))
-        model = Model(*parts)
+        model, sums = Model(*parts[:4]), Model(*parts[4:])
     return model
 
 
@@ -397,7 +440,7 @@ def score_texts(df: DataFrame, learns: Column, key: str = "doc_id", text: str =
     fold = df.where(learns).select(F.col(text).alias("text"))
     counts = count_tokens(fold, groups)
     c = classes(counts)
-    model = fit(count_trigrams(fold, c, groups), c) if c.tokens else None
+    model = fit(training_shards(count_trigrams(fold, c, groups)), c) if c.tokens else None
     return score(df, counts, groups, c, model, groups, key, text).withColumn("train_tokens", F.lit(c.tokens).cast("long"))
 
 

@@ -181,6 +181,29 @@ def test_lm_training_finds_what_follows():
     assert p[0, 1] > 0.9 and p[1, 0] > 0.9
 
 
+def test_lm_pass_takes_every_trigram_by_its_count():
+    n = np.array([1, 1, 2, 3, 50, 1000])
+    at, weight = lm.examples(n, np.random.default_rng(1))
+    assert len(at) <= 2 * len(n) and weight.mean() == pytest.approx(1)
+    assert np.bincount(at, weights=weight) / weight.sum() == pytest.approx(n / n.sum(), rel=1e-5)
+
+
+def test_lm_shards_hold_whole_contexts_whatever_the_buckets(spark):
+    """All that follows a context is in one shard, every token counts, and the steps do not depend on the buckets."""
+    docs = table(spark, SF, "documents").select("text").where("text is not null").repartition(5)
+    tokens = sum(len(re.findall(rb"[^\x20\x09-\x0d]+", d.text.encode())) + 1 for d in docs.collect())
+    of = []
+    for buckets in (8, 50):
+        c = lm.classes(lm.count_tokens(docs, buckets))
+        trigrams = lm.count_trigrams(docs, c, buckets)
+        rows = [lm.unpack(r.blob, "u8", "i8") for r in lm.training_shards(trigrams, 20_000).collect()]
+        contexts = [set((key >> np.uint64(lm._BITS)).tolist()) for key, _ in rows]
+        assert len(rows) > 1 and sum(map(len, contexts)) == len(set().union(*contexts))
+        assert sum(int(n.sum()) for _, n in rows) == tokens
+        of.append((len(rows), sum(len(key) for key, _ in rows)))
+    assert of[0] == of[1]
+
+
 def test_lm_awkward(docs, none):
     from pyspark.sql import functions as F
 
