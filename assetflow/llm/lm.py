@@ -2,7 +2,8 @@
 
 Tokens are white-space-delimited words (ASCII letters in lower case) and one end per text. The
 model predicts a token's class from the classes of the two tokens before it: the most frequent
-tokens are classes of their own, all others fall into classes by how they begin. Within a class
+tokens are classes of their own, as many as the root of the number of distinct tokens counted (192
+at least), all others fall into classes by how they begin. Within a class
 tokens have their smoothed share of the counts, with one share for all unseen ones.
 
     log P(class | a, b) = (A1[a] + A2[b]) . B[class] + bias[class] - log Z(a, b)
@@ -21,6 +22,7 @@ Words are told apart by 64-bit hashes; two of a billion words share one with pro
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -33,7 +35,7 @@ from .common import by_bucket, groups_for, id_remainder, pack, slices, stored, t
 from .words import LOWER, Prefix, boundaries, mix
 
 SMOOTHING = 0.1
-#: Classes of single frequent tokens (the end among them), and of all other tokens.
+#: Classes of single frequent tokens (the end among them; the least number, see ``own_tokens``), and of all other tokens.
 FREQUENT, RARE = 192, 64
 WIDTH = 24
 ROUNDS, NOISE, BATCH, RATE = 3, 64, 1024, 0.15
@@ -42,9 +44,20 @@ SHARD = 1_000_000
 #: Bytes of text in a group, about; sets the number of groups and buckets, not the result.
 GROUP_BYTES = 3 << 20
 END = np.uint64(0)
+#: Bits of a class in a trigram, at least.
 _BITS = 9
 
 
+def own_tokens(words: int) -> int:
+    """How many tokens are classes of their own, of so many distinct ones counted."""
+    return max(FREQUENT, math.isqrt(words))
+
+
+def bits_of(contexts: int) -> int:
+    """Bits that hold a class out of so many, the one before a text included."""
+    return max(_BITS, (contexts - 1).bit_length())
+
+
 class Tokens(NamedTuple):
     """Tokens of the rows in order, each row closed by the end."""
     hash: np.ndarray
@@ -101,7 +114,7 @@ def _blobs(buckets: int, key: np.ndarray, n: np.ndarray, tag: np.ndarray, shift:
 
 
 def count_tokens(texts: DataFrame, buckets: int) -> DataFrame:
-    """Per bucket: the tokens' hashes, counts and rare classes, their totals by rare class, and the most frequent."""
+    """Per bucket: the tokens' hashes, counts and rare classes, and their totals by rare class."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = Counted()
         for b in slices(batches, "text", 1 << 20):
@@ -115,17 +128,26 @@ def count_tokens(texts: DataFrame, buckets: int) -> DataFrame:
         for x in t.column("blob").to_pylist():
             c.add(*unpack(x, "u8", "i8", "i2"))
         key, n, tag = c.total()
-        top = np.lexsort((key, -n))[:FREQUENT]
         by_class = [np.bincount(tag, weights=w, minlength=RARE).astype(np.int64).tolist() for w in (n, np.ones(len(n)))]
-        most = [{"hash": int(h), "n": int(m), "rare": int(r)} for h, m, r in zip(key[top].view(np.int64), n[top], tag[top], strict=True)]
         return pa.Table.from_arrays(
-            [t.column("bucket").slice(0, 1), pa.array([pack(key, n, tag)], pa.binary()), pa.array([by_class[0]]), pa.array([by_class[1]]),
-             pa.array([most], pa.list_(pa.struct([("hash", pa.int64()), ("n", pa.int64()), ("rare", pa.int64())])))],
-            ["bucket", "blob", "tokens", "words", "most"])
+            [t.column("bucket").slice(0, 1), pa.array([pack(key, n, tag)], pa.binary()), pa.array([by_class[0]]), pa.array([by_class[1]])],
+            ["bucket", "blob", "tokens", "words"])
 
     got = texts.select("text").mapInArrow(count, "bucket int, blob binary")
     return stored(got.groupBy("bucket").applyInArrow(
-        merge, "bucket int, blob binary, tokens array<bigint>, words array<bigint>, most array<struct<hash:bigint,n:bigint,rare:bigint>>"), "token-counts")
+        merge, "bucket int, blob binary, tokens array<bigint>, words array<bigint>"), "token-counts")
+
+
+def most_frequent(counts: DataFrame, top: int) -> list:
+    """The ``top`` most frequent tokens of all buckets (hash, n, rare)."""
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for x in b.column("blob").to_pylist():
+                key, n, tag = unpack(x, "u8", "i8", "i2")
+                at = np.lexsort((key, -n))[:top]
+                yield pa.RecordBatch.from_arrays([pa.array(key[at].view(np.int64)), pa.array(n[at]), pa.array(tag[at].astype(np.int64))], ["hash", "n", "rare"])
+
+    return counts.select("blob").mapInArrow(candidates, "hash long, n long, rare long").orderBy(F.desc("n"), "hash").limit(top).collect()
 
 
 class Classes(NamedTuple):
@@ -147,16 +169,20 @@ class Classes(NamedTuple):
     def size(self) -> int:
         return len(self.frequent) + RARE
 
+    @property
+    def bits(self) -> int:
+        return bits_of(self.size + 1)
+
 
 def classes(counts: DataFrame) -> Classes:
-    """From sums by rare class (as many as there are) and the most frequent tokens of all buckets."""
+    """From sums by rare class (as many as there are) and the most frequent tokens of all buckets, more of them the more distinct ones there are."""
     sums = counts.select(F.posexplode(F.arrays_zip("tokens", "words")).alias("r", "x")).groupBy("r").agg(
         F.sum("x.tokens").alias("tokens"), F.sum("x.words").alias("words")).collect()
     n, w = np.zeros(RARE), np.zeros(RARE)
     for r in sums:
         n[r["r"]], w[r["r"]] = r["tokens"], r["words"]
     total, words = int(n.sum()), int(w.sum())
-    most = counts.select(F.explode("most").alias("m")).select("m.*").orderBy(F.desc("n"), "hash").limit(FREQUENT).collect()
+    most = most_frequent(counts, own_tokens(words))
     frequent = np.array([r["hash"] for r in most], np.int64).view(np.uint64)
     order = np.argsort(frequent)
     count = np.array([r["n"] for r in most], float)
@@ -180,6 +206,7 @@ def contexts(c: np.ndarray, size: np.ndarray, before: int) -> tuple[np.ndarray,
 def count_trigrams(texts: DataFrame, c: Classes, buckets: int) -> DataFrame:
     """Per bucket of contexts: class trigrams (as one number), how often they occur, and how many there are."""
     held = texts.sparkSession.sparkContext.broadcast(c)
+    bits = c.bits
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = Counted()
@@ -187,9 +214,9 @@ def count_trigrams(texts: DataFrame, c: Classes, buckets: int) -> DataFrame:
             t = tokens(*text_buffers(b.column("text")))
             own = held.value.of(t.hash, t.rare)
             two, one = contexts(own, t.size, held.value.size)
-            key, n = np.unique((two << 2 * _BITS | one << _BITS | own).astype(np.uint64), return_counts=True)
+            key, n = np.unique((two << 2 * bits | one << bits | own).astype(np.uint64), return_counts=True)
             total.add(key, n, np.zeros(len(key), np.int16))
-        yield _blobs(buckets, *total.total(), shift=_BITS)
+        yield _blobs(buckets, *total.total(), shift=bits)
 
     def merge(t: pa.Table) -> pa.Table:
         total = Counted()
@@ -227,10 +254,12 @@ class Model(NamedTuple):
     def log_z(self, q: np.ndarray) -> np.ndarray:
         """Log of the sum over all classes, for contexts in rows."""
         out = np.empty(len(q))
-        for a in range(0, len(q), 8192):
-            s = q[a:a + 8192] @ self.b.T + self.bias
+        for a in range(0, len(q), 1024):
+            s = q[a:a + 1024] @ self.b.T
+            s += self.bias
             top = s.max(axis=1)
-            out[a:a + 8192] = top + np.log(np.exp(s - top[:, None]).sum(axis=1))
+            s -= top[:, None]
+            out[a:a + 1024] = top + np.log(np.exp(s, out=s).sum(axis=1))
         return out
 
 
@@ -270,7 +299,8 @@ def train(m: Model, key: np.ndarray, n: np.ndarray, noise: np.ndarray, draws: in
     g2, g1, gb, gbias = sums or start_sums(m)
     cum, cum_noise = np.cumsum(n), np.cumsum(noise)
     log_kn = np.log(k * noise / noise.sum()).astype(np.float32)
-    mask = (1 << _BITS) - 1
+    bits = bits_of(len(a2))
+    mask = (1 << bits) - 1
 
     def step(x: np.ndarray, sum_: np.ndarray, rows: np.ndarray, grad: np.ndarray) -> None:
         """Adds up the gradients of equal rows, then one step for each row."""
@@ -295,7 +325,7 @@ def train(m: Model, key: np.ndarray, n: np.ndarray, noise: np.ndarray, draws: in
 
     for at, weight in batches():
         pick = key[at].astype(np.int64)
-        two, one, w = pick >> 2 * _BITS, pick >> _BITS & mask, pick & mask
+        two, one, w = pick >> 2 * bits, pick >> bits & mask, pick & mask
         fake = np.searchsorted(cum_noise, rng.random(k) * cum_noise[-1], side="right")
         q = a2[two] + a1[one]
         true = np.einsum("ij,ij->i", q, b[w]) + bias[w] - log_kn[w]
@@ -410,8 +440,8 @@ def score(df: DataFrame, counts: DataFrame, buckets: int, c: Classes, model: Mod
             else:
                 k = c.of(x.hash, x.rare)
                 two, one = contexts(k, x.size, c.size)
-                pair, inverse = np.unique(two << _BITS | one, return_inverse=True)
-                q = m.context(pair >> _BITS, pair & ((1 << _BITS) - 1))
+                pair, inverse = np.unique(two << c.bits | one, return_inverse=True)
+                q = m.context(pair >> c.bits, pair & ((1 << c.bits) - 1))
                 z = m.log_z(q)
                 p = np.einsum("ij,ij->i", q[inverse], m.b[k]) + m.bias[k] - z[inverse]
                 rare = k >= len(c.frequent)

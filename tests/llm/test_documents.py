@@ -197,13 +197,28 @@ def test_lm_shards_hold_whole_contexts_whatever_the_buckets(spark):
         c = lm.classes(lm.count_tokens(docs, buckets))
         trigrams = lm.count_trigrams(docs, c, buckets)
         rows = [lm.unpack(r.blob, "u8", "i8") for r in lm.training_shards(trigrams, 20_000).collect()]
-        contexts = [set((key >> np.uint64(lm._BITS)).tolist()) for key, _ in rows]
+        contexts = [set((key >> np.uint64(c.bits)).tolist()) for key, _ in rows]
         assert len(rows) > 1 and sum(map(len, contexts)) == len(set().union(*contexts))
         assert sum(int(n.sum()) for _, n in rows) == tokens
         of.append((len(rows), sum(len(key) for key, _ in rows)))
     assert of[0] == of[1]
 
 
+def test_lm_own_words_grow_with_the_words_counted(spark):
+    """A corpus with more distinct words has more classes of single words, and all trigrams of them are told apart."""
+    words = [f"w{i}" for i in range(160_000)]
+    docs = spark.createDataFrame([(" ".join(words[i:i + 8000] + words[:500]),) for i in range(0, len(words), 8000)], "text string")
+    c = lm.classes(lm.count_tokens(docs, 8))
+    assert len(c.frequent) == 400 and c.mass.sum() == c.tokens and (c.mass[:400] >= 20).all()
+    n = 700 - lm.RARE
+    c = lm.Classes(np.arange(n, dtype=np.uint64), np.concatenate([np.ones(n), np.zeros(lm.RARE)]), np.ones(lm.RARE), n, n)
+    key = np.array([600 << 2 * c.bits | 610 << c.bits | 620, 610 << 2 * c.bits | 600 << c.bits | 630], np.uint64)
+    m = lm.train(lm.start_model(c), key, np.array([50, 50]), c.mass + 0.1, 60 * lm.BATCH, 3)
+    q = m.context(np.array([600, 610]), np.array([610, 600]))
+    p = np.exp(q @ m.b.T + m.bias - m.log_z(q)[:, None])
+    assert p.shape[1] == c.size == 700 and p[0].argmax() == 620 and p[1].argmax() == 630
+
+
 def test_lm_awkward(docs, none):
     from pyspark.sql import functions as F
 
