@@ -1,13 +1,16 @@
 """Licence scans by sentence rules, in DataFrame operations only.
 
 A text is cut into sentences; each, in normal form, is looked up among known licence
-sentences and becomes its identifier. A rule is an ordered list of identifiers; it holds
+sentences and becomes its identifier. A known sentence may also be wrapped over several lines,
+behind comment marks or not, begin after a colon or a list marker and end at a colon. A rule is an ordered list of identifiers; it holds
 where these follow one another among the recognised sentences of a text, whatever
 unknown sentences lie between. A licence is found if one of its rules holds.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,6 +81,13 @@ RULES = [
 # --------------------------------------------------------------------------------------------
 NOISE = r"[^\p{L}\p{N}\n.!?]+"
 SENTENCE_END = r" ?[.!?]+(?:[ \n]+|$)| ?\n[ \n]*"
+#: For wrapped sentences, in texts that keep their colons: what stands before one (a list marker too), between
+#: two of its words (a line break, no blank line) and after it.
+FOLD_NOISE = r"[^\p{L}\p{N}\n.!?:]+"
+MARKER = r"(?:[0-9]{1,2}|[a-z]|[ivx]{2,4}) "
+BEFORE = rf"(?:(?:^|\n) ?(?:{MARKER})?|[.!?:] (?:{MARKER})?)"
+BETWEEN = r"(?: ?:? ?\n ?| ?: ?| )"
+AFTER = r"(?= ?(?:[.!?:]+(?:[ \n]|$)|\n|$))"
 
 
 def sentences(text: Column) -> Column:
@@ -89,11 +99,57 @@ def sentences(text: Column) -> Column:
     return F.filter(F.split(F.trim(plain), SENTENCE_END), lambda s: s != "")
 
 
+def clues(forms: list[str]) -> list[str]:
+    """A few words one of which stands in every form; a text without any of them holds no form."""
+    left, out = set(forms), []
+    while left:
+        words = {w for f in left for w in f.split(" ") if len(w) > 5 or w == max(f.split(" "), key=len)}
+        out.append(max(sorted(words), key=lambda w: (sum(w in f.split(" ") for f in left), len(w))))
+        left = {f for f in left if out[-1] not in f.split(" ")}
+    return out
+
+
+def wrapped(df: DataFrame, text: str, first: list[str], later: list[str], ids: Column, at: str) -> DataFrame:
+    """``df`` with the known sentences of a text as ``at`` (position, identifier), whatever line breaks and colons they
+    hold; the longest where several begin.
+
+    ``later`` are the parts of a known sentence after its first; they must be whole lines or sentences, as "2.0" says
+    little after a colon. Positions count the sentences of ``sentences`` before the one it begins in.
+    """
+    one_of = lambda forms: "|".join(BETWEEN.join(re.sub(r"([.!?])", r"\\\1", w) for w in f.split(" ")) for f in sorted(forms, key=lambda f: (-len(f), f)))
+    either = rf"{BEFORE}(?:{one_of(first)}){AFTER}"
+    if later:
+        either += rf"|(?:(?:^|\n) ?|[.!?] )(?:{one_of(later)})(?= ?(?:[.!?]+(?:[ \n]|$)|\n|$))"
+    hint = F.lit(False)
+    for w in clues(first + later):
+        hint = hint | F.contains(F.col("__lower"), F.lit(w))
+    found = F.when(hint, F.regexp_extract_all(F.trim(F.regexp_replace("__lower", FOLD_NOISE, " ")), F.lit(either), F.lit(0)))
+    gaps = F.when(F.size("__found") > 0, F.split(F.trim(F.regexp_replace("__lower", FOLD_NOISE, " ")), either))
+
+    def breaks(hit: Column, i: Column) -> Column:
+        """Sentence ends between the match before and this one, and within this one; a letter stands for a match."""
+        lead = F.regexp_extract(hit, r"^[^\p{L}\p{N}]*", 0)
+        gap = F.concat(F.when(i > 0, "x").otherwise(""), F.element_at("__gaps", i + 1), lead, F.lit("x"))
+        return F.struct((F.size(sentences(gap)) - 1).alias("before"), (F.size(sentences(hit)) - 1).alias("inside"))
+
+    def told(hit: Column, i: Column) -> Column:
+        form = F.regexp_replace(F.trim(F.regexp_replace(hit, r"[ \n:]+", " ")), r"^[.!?]* ?", "")
+        until = F.aggregate(F.slice("__breaks", F.lit(1), i), F.lit(0), lambda n, x: n + x["before"] + x["inside"])
+        return F.struct((until + F.element_at("__breaks", i + 1)["before"]).alias("position"),
+                        F.coalesce(F.try_element_at(ids, form), F.try_element_at(ids, F.regexp_replace(form, rf"^{MARKER}", ""))).alias("id"))
+
+    nothing = F.array().cast("array<struct<position:int,id:string>>")
+    return (df.withColumn("__lower", F.lower(F.coalesce(F.col(text), F.lit("")))).withColumn("__found", found).withColumn("__gaps", gaps)
+            .withColumn("__breaks", F.transform("__found", breaks)).withColumn(at, F.coalesce(F.transform("__found", told), nothing))
+            .drop("__lower", "__found", "__gaps", "__breaks"))
+
+
 def scan(df: DataFrame, text: str = "text", known: dict[str, str] = SENTENCES,
          rules: list[tuple[str, list[str]]] = RULES, at: str = "license_sentences", found: str = "licenses") -> DataFrame:
     """``df`` with its recognised sentences (position from 0, identifier) and the licences found, sorted.
 
-    One pass without a shuffle; the known sentences and the rules are literals of the plan.
+    One pass without a shuffle; the known sentences and the rules are literals of the plan. A rule holds if it does
+    among the wrapped sentences or among those that are whole lines, which may be the beginning of a wrapped one.
     A longer rule of the same beginning does not hide a shorter one, except that a licence
     whose rules all lie within a longer rule that holds is not reported (BSD-2 within BSD-3).
     """
@@ -107,13 +163,14 @@ def scan(df: DataFrame, text: str = "text", known: dict[str, str] = SENTENCES,
     ids = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
     pairs = F.filter(F.transform(sentences(F.col(text)), lambda s, i: F.struct(i.alias("position"), F.try_element_at(ids, s).alias("id"))),
                      lambda x: x["id"].isNotNull())
+    first = {p[0] for p in parts.values()}
     sequence = [(name, "," + ",".join(names[f] for k in rule for f in parts[k]) + ",") for name, rule in rules]
     inside = {name: {other for other, seq in sequence if other != name
                      and all(any(s in t for o, t in sequence if o == other) for n, s in sequence if n == name)} for name, _ in sequence}
-    string = F.concat(F.lit(","), F.array_join(F.transform(F.col(at), lambda x: x["id"]), ","), F.lit(","))
+    string = lambda c: F.concat(F.lit(","), F.array_join(F.transform(F.col(c), lambda x: x["id"]), ","), F.lit(","))
     held = {name: F.lit(False) for name, _ in sequence}
     for name, seq in sequence:
-        held[name] = held[name] | F.contains(F.col("__seq"), F.lit(seq))
+        held[name] = held[name] | F.contains(F.col("__seq"), F.lit(seq)) | F.coalesce(F.contains(F.col("__lines_seq"), F.lit(seq)), F.lit(False))
     shown = []
     for name in sorted(held):
         hidden = F.lit(False)
@@ -121,9 +178,10 @@ def scan(df: DataFrame, text: str = "text", known: dict[str, str] = SENTENCES,
             hidden = hidden | held[other]
         shown.append(F.when(held[name] & ~hidden, F.lit(name)))
     nothing = F.size(at) == 0
-    return (df.withColumn(at, pairs).withColumn("__seq", string)
+    return (wrapped(df, text, sorted(first), sorted(set(names) - first), ids, at).withColumn("__lines", F.when(~nothing, pairs))
+            .withColumn("__seq", string(at)).withColumn("__lines_seq", string("__lines"))
             .withColumn(found, F.when(nothing, F.array().cast("array<string>"))
-                        .otherwise(F.filter(F.array(*shown), lambda x: x.isNotNull()))).drop("__seq"))
+                        .otherwise(F.filter(F.array(*shown), lambda x: x.isNotNull()))).drop("__seq", "__lines", "__lines_seq"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

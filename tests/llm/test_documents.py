@@ -393,5 +393,32 @@ def test_licence_rules(spark):
                    10: ["GPL-2.0-or-later", "MIT"], 11: ["MIT"]}
 
 
+def test_wrapped_licences(spark):
+    """The public texts hard-wrapped, bare and behind comment marks, with list markers, and behind a colon on one line."""
+    import textwrap
+
+    known = {"MIT": ["mit_grant", "mit_notice"], "Apache-2.0": ["apache_head", "apache_copy", "apache_as_is"],
+             "GPL-3.0-or-later": ["gpl3_head", "gpl_no_warranty"], "GPL-2.0-or-later": ["gpl2_head", "gpl_no_warranty"],
+             "BSD-2-Clause": ["bsd_head", "bsd_source", "bsd_binary"], "BSD-3-Clause": ["bsd_head", "bsd_source", "bsd_binary", "bsd_names"],
+             "MPL-2.0": ["mpl2_head"]}
+    rows, want = [], {}
+    for name, ids in known.items():
+        for width in (12, 30, 70):
+            for mark, item in (("", ""), ("# ", "1. "), (" * ", "(2) "), ("// ", "a) "), ("", "* ")):
+                paragraphs = [textwrap.fill((item if i in ("bsd_source", "bsd_binary") else "") + licenses.SENTENCES[i], width, break_long_words=False) for i in ids]
+                lines = ["Copyright (c) 2020 A. Person", "", *"\n\n".join(paragraphs).split("\n"), "", "More words."]
+                rows.append((len(rows), "\n".join((mark + line).rstrip() for line in lines)))
+                want[rows[-1][0]] = [name]
+    grant, notice = licenses.SENTENCES["mit_grant"], licenses.SENTENCES["mit_notice"]
+    rows += [(1000, f"{grant} {notice}"), (1001, grant.replace("hereby granted", "hereby\n\ngranted") + "\n" + notice),
+             (1002, "Licensed under the Apache License, Version 2.0\n(the \"License\"); you may not use this file except in compliance\nwith the License."),
+             (1003, "Version: 2.0"), (1004, "I have\nlicensed under the MIT License by now."), (1005, "One. Two\nthree: released under\r\nthe MIT License.")]
+    want |= {1000: ["MIT"], 1001: [], 1002: ["Apache-2.0"], 1003: [], 1004: [], 1005: ["MIT"]}
+    out = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k: r.licenses for k, r in out.items()} == want
+    assert all(x.id for r in out.values() for x in r.license_sentences)
+    assert [x.position for x in out[1000].license_sentences] == [0, 0] and [x.position for x in out[1005].license_sentences] == [2]
+
+
 def test_licences_awkward(docs, none):
     assert licenses.scan(docs).count() == 11 and licenses.scan(none).count() == 0
