@@ -9,7 +9,7 @@ from assetflow import config
 from assetflow.plans import catalog
 from assetflow.plans import modeling as M
 from assetflow.plans.views import Views
-from conftest import SF_CHECK
+from paths import SF_CHECK
 
 Q = E.queries()
 

@@ -96,7 +96,7 @@ def test_fleet_trees_beat_the_mean_on_training_rows(spark):
     from assetflow.plans import modeling as M
     from assetflow.plans.views import Views
     from assetflow import config
-    from conftest import SF_CHECK
+    from paths import SF_CHECK
     f = M.training_frame(Views(spark, SF_CHECK))
     model, dbl = models.fit_trees(f, config.FEATURES, M.OUT_LABEL, M.train(), dict(config.GBT_PARAMS, maxIter=3))
     s = models.score_trees(model, dbl, f, config.FEATURES, "p").where(~F.col("is_test"))

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from compare import compare, duck
-from conftest import SF_CHECK
+from paths import SF_CHECK
 
 SQL = E.oracle_sql()
 Q = E.queries()

@@ -4,7 +4,7 @@ from assetflow import config
 from assetflow.plans import modeling as M
 from assetflow.plans.views import Views
 from assetflow.session import scratch_path
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _swept(v, store):

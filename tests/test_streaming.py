@@ -7,7 +7,7 @@ from assetflow.operators import aggregate
 from assetflow.session import scratch_path
 from assetflow.sources import files, fixtures
 from assetflow.streaming.medallion import READING_SCHEMA, Medallion, stream_in_slices
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _round(df):

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from assetflow.plans import tables
 from assetflow.plans.views import Views
 from assetflow.session import scratch_path
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_views_by_name_equal_the_frames(spark):
