@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, forest, language, licenses, lm, neardup, packing, substrings, topk, viterbi
+from . import chat, forest, language, licenses, lm, neardup, packing, repair, substrings, topk, viterbi
 
 QUERIES = {
     "op1_language_id": language.query,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_exact_topk": topk.query,
     "op9_chat_formatting": chat.query,
     "op10_license_scan": licenses.query,
+    "op12_structure_repair": repair.query,
 }
 
 SQL: dict[str, str] = {
     "op8_exact_topk": topk.SQL,
     "op9_chat_formatting": chat.SQL,
     "op10_license_scan": licenses.SQL,
+    "op12_structure_repair": repair.SQL,
 }
