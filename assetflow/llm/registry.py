@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, forest, language, licenses, lm, neardup, packing, repair, substrings, topk, viterbi
+from . import chat, forest, language, licenses, lm, neardup, packing, repair, substrings, topk, viterbi, whitening
 
 QUERIES = {
     "op1_language_id": language.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_chat_formatting": chat.query,
     "op10_license_scan": licenses.query,
     "op12_structure_repair": repair.query,
+    "op13_embedding_whitening": whitening.query,
 }
 
 SQL: dict[str, str] = {
