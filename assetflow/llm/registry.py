@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, forest, language, licenses, lm, neardup, packing, repair, substrings, topk, viterbi, whitening
+from . import chat, forest, language, licenses, lm, neardup, packing, personal, repair, substrings, topk, viterbi, whitening
 
 QUERIES = {
     "op1_language_id": language.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_exact_topk": topk.query,
     "op9_chat_formatting": chat.query,
     "op10_license_scan": licenses.query,
+    "op11_personal_data": personal.query,
     "op12_structure_repair": repair.query,
     "op13_embedding_whitening": whitening.query,
 }
