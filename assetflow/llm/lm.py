@@ -23,6 +23,7 @@ Words are told apart by 64-bit hashes; two of a billion words share one with pro
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -263,6 +264,31 @@ class Model(NamedTuple):
         return out
 
 
+#: Contexts whose Z a Python worker keeps between slices and tasks, at most (about 16 bytes each).
+MEMO = 4_000_000
+_memo: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def log_z_of(m: Model, name: str, pair: np.ndarray, bits: int) -> np.ndarray:
+    """``log_z`` of the contexts ``pair`` (sorted), kept for the model ``name``: the same contexts come again and again.
+
+    A memo only: the last model's, started afresh when it is full.
+    """
+    known, z = _memo.get(name) or (np.zeros(0, np.int64), np.zeros(0))
+    at = np.minimum(np.searchsorted(known, pair), max(len(known) - 1, 0))
+    new = known[at] != pair if len(known) else np.ones(len(pair), bool)
+    out = np.empty(len(pair))
+    out[~new] = z[at[~new]]
+    out[new] = m.log_z(m.context(pair[new] >> bits, pair[new] & ((1 << bits) - 1)))
+    if new.any():
+        if len(known) > MEMO:
+            known, z = np.zeros(0, np.int64), np.zeros(0)
+        spot = np.searchsorted(known, pair[new])
+        _memo.clear()
+        _memo[name] = np.insert(known, spot, pair[new]), np.insert(z, spot, out[new])
+    return out
+
+
 def start_model(c: Classes, width: int = WIDTH, seed: int = 7) -> Model:
     """Small random vectors; biases at the logarithm of the classes' frequencies, so Z starts near 1."""
     rng = np.random.default_rng(seed)
@@ -346,9 +372,11 @@ def train(m: Model, key: np.ndarray, n: np.ndarray, noise: np.ndarray, draws: in
 def fit(shards: DataFrame, c: Classes, rounds: int = ROUNDS) -> Model:
     """Rounds of a full pass in every shard from the last average; shards are averaged by the tokens they hold.
 
-    The averages are added up in the tasks of a second stage, so only a few parameter sets reach the driver.
+    One task trains one shard. The averages are taken in the tasks of two more stages, so one parameter set
+    reaches the driver and goes out again: about 300 bytes a class, and classes grow with the root of the words.
     """
     sc = shards.sparkSession.sparkContext
+    count = max(1, shards.count())
     model = start_model(c)
     sums = start_sums(model)
     shapes = [x.shape for x in model + sums]
@@ -362,26 +390,27 @@ def fit(shards: DataFrame, c: Classes, rounds: int = ROUNDS) -> Model:
                     model, sums, noise = held.value
                     sums = Model(*(x.copy() for x in sums))
                     m = train(model, key, n, noise, None, 100 * r + 31 * shard, sums=sums)
-                    flat = np.concatenate([x.reshape(-1) for x in m + sums]).astype(np.float64) * float(n.sum())
+                    flat = np.concatenate([x.reshape(-1) for x in m + sums]).astype(np.float32)
                     yield pa.RecordBatch.from_arrays([pa.array([shard % 8], pa.int32()), pa.array([float(n.sum())]), pa.array([flat.tobytes()], pa.binary())],
                                                      ["part", "weight", "sums"])
 
         def add(t: pa.Table) -> pa.Table:
-            flat = sum(np.frombuffer(x, np.float64) for x in t.column("sums").to_pylist())
-            return pa.table({"weight": pa.array([sum(t.column("weight").to_pylist())]), "sums": pa.array([flat.tobytes()], pa.binary())})
+            weight = sum(t.column("weight").to_pylist())
+            flat = sum(np.frombuffer(x, np.float32).astype(np.float64) * w for x, w in zip(t.column("sums").to_pylist(), t.column("weight").to_pylist(), strict=True))
+            return pa.table({"part": pa.array([0], pa.int32()), "weight": pa.array([weight]), "sums": pa.array([(flat / weight).astype(np.float32).tobytes()], pa.binary())})
 
-        rows = (shards.mapInArrow(run, "part int, weight double, sums binary").groupBy("part")
-                .applyInArrow(add, "weight double, sums binary").collect())
+        parts = shards.repartitionByRange(count, "shard").mapInArrow(run, _PART).groupBy("part").applyInArrow(add, _PART)
+        flat = np.frombuffer(parts.groupBy("part").applyInArrow(add, _PART).first()["sums"], np.float32)
         held.unpersist()
-        flat = sum(np.frombuffer(x["sums"], np.float64) for x in rows) / sum(x["weight"] for x in rows)
         parts, at = [], 0
         for s in shapes:
-            parts.append(flat[at:at + int(np.prod(s))].reshape(s).astype(np.float32))
+            parts.append(flat[at:at + int(np.prod(s))].reshape(s).copy())
             at += int(np.prod(s))
         model, sums = Model(*parts[:4]), Model(*parts[4:])
     return model
 
 
+_PART = "part int, weight double, sums binary"
 _ASK = "bucket int, src int, blob binary"
 _TOLD = "__group int, blob binary"
 _OUT = "n_tokens long, n_known long, base_score double, score double"
@@ -393,9 +422,10 @@ def score(df: DataFrame, counts: DataFrame, buckets: int, c: Classes, model: Mod
     Groups of texts ask the buckets for the counts of their distinct tokens, then score their texts.
     """
     held = df.sparkSession.sparkContext.broadcast((c, model))
+    name = uuid.uuid4().hex
     kind = df.schema[key].dataType.simpleString()
     grouped = df.select(F.col(key).alias("__key"), F.coalesce(F.col(text), F.lit("")).alias("__text"),
-                        F.pmod(F.xxhash64(key), F.lit(groups)).cast("int").alias("__group"))
+                        F.pmod(F.xxhash64(key, text), F.lit(groups)).cast("int").alias("__group"))
 
     def cut(t: pa.Table) -> Iterator[tuple[pa.RecordBatch, Tokens]]:
         for b in slices(iter(t.combine_chunks().to_batches()), "__text", 1 << 20):
@@ -442,7 +472,7 @@ def score(df: DataFrame, counts: DataFrame, buckets: int, c: Classes, model: Mod
                 two, one = contexts(k, x.size, c.size)
                 pair, inverse = np.unique(two << c.bits | one, return_inverse=True)
                 q = m.context(pair >> c.bits, pair & ((1 << c.bits) - 1))
-                z = m.log_z(q)
+                z = log_z_of(m, name, pair, c.bits)
                 p = np.einsum("ij,ij->i", q[inverse], m.b[k]) + m.bias[k] - z[inverse]
                 rare = k >= len(c.frequent)
                 p[rare] += np.log((n[rare] + SMOOTHING) / c.share[k[rare] - len(c.frequent)])
@@ -463,7 +493,8 @@ def score_texts(df: DataFrame, learns: Column, key: str = "doc_id", text: str =
     """Learns from the rows that ``learns`` and scores every row's whole text: ``key``, n_tokens, n_known,
     train_tokens, base_score, score.
 
-    A null text is empty: its one token is the end. With nothing to learn from, score is base_score.
+    A null text is empty: its one token is the end. With nothing to learn from, score is base_score. Rows without
+    an id, with one id or repeated are scored each; other columns play no part, whatever their names.
     """
     total = df.agg(F.sum(F.octet_length(F.col(text)).cast("long")).alias("b")).first()["b"]
     groups = groups_for(total, GROUP_BYTES, 48)

@@ -219,6 +219,45 @@ def test_lm_own_words_grow_with_the_words_counted(spark):
     assert p.shape[1] == c.size == 700 and p[0].argmax() == 620 and p[1].argmax() == 630
 
 
+def test_lm_scores_worked_out_token_by_token(spark):
+    """Each document's score again: a softmax over all classes per token, and the token's share within its class."""
+    df = table(spark, SF, "documents").where("doc_id < 60").select("doc_id", "text")
+    counts = lm.count_tokens(df, 8)
+    c = lm.classes(counts)
+    model = lm.fit(lm.training_shards(lm.count_trigrams(df, c, 8), 5_000), c, rounds=1)
+    got = {r.doc_id: r.score for r in lm.score(df, counts, 8, c, model, 3).collect()}
+    n = {}
+    for r in counts.collect():
+        key, count, _ = lm.unpack(r.blob, "u8", "i8", "i2")
+        n.update(zip(key.tolist(), count.tolist(), strict=True))
+    own = {h: i for i, h in enumerate(c.frequent.tolist())}
+    for r in df.where("doc_id < 12 or text is null").collect():
+        t = lm.tokens(*text_buffers(pa.array([r.text or ""])))
+        two = one = c.size
+        total = 0.0
+        for h, rare in zip(t.hash.tolist(), t.rare.tolist(), strict=True):
+            k = own.get(h, len(own) + rare)
+            s = np.exp((model.a2[two] + model.a1[one]) @ model.b.T + model.bias)
+            total += np.log10(s[k] / s.sum())
+            if h not in own:
+                total += np.log10((n.get(h, 0) + lm.SMOOTHING) / c.share[k - len(own)])
+            two, one = one, k
+        assert got[r.doc_id] == pytest.approx(total, rel=1e-4)
+
+
+def test_lm_memo_of_normalisers(monkeypatch):
+    c = lm.Classes(np.arange(5, dtype=np.uint64), np.ones(5 + lm.RARE), np.ones(lm.RARE), 5, 5)
+    m = lm.start_model(c)
+    rng = np.random.default_rng(0)
+    for most in (10, 1000):
+        monkeypatch.setattr(lm, "MEMO", most)
+        for name in "ab":
+            for _ in range(20):
+                pair = np.unique(rng.integers(0, c.size + 1, 30) << c.bits | rng.integers(0, c.size + 1, 30))
+                want = m.log_z(m.context(pair >> c.bits, pair & ((1 << c.bits) - 1)))
+                assert np.allclose(lm.log_z_of(m, name, pair, c.bits), want, atol=1e-5)
+
+
 def test_lm_awkward(docs, none):
     from pyspark.sql import functions as F
 
