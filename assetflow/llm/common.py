@@ -107,6 +107,12 @@ def batch_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
         [c if isinstance(c := columns[f.name], pa.Array) else pa.array(c, f.type) for f in schema], schema=schema)
 
 
+def with_columns(batch: pa.RecordBatch, names: list[str], new: dict[str, pa.Array]) -> pa.RecordBatch:
+    """``batch`` with ``new`` columns as ``withColumn`` puts them: in the place of one of that name, whatever its case, or last."""
+    by = {n.lower(): c for n, c in new.items()}
+    return pa.RecordBatch.from_arrays([by[n.lower()] if n.lower() in by else batch.column(batch.schema.get_field_index(n)) for n in names], names)
+
+
 def is_finite_vector(col: str) -> Column:
     """True for a non-empty array of finite, non-null components."""
     v = F.col(col)

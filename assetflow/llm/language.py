@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import pieces as P
-from .common import id_remainder, slices, text_buffers
+from .common import id_remainder, slices, text_buffers, with_columns
 from .words import Known, distinct, split
 
 #: Labelled texts per language that a model is fitted on; the only bound of this operator.
@@ -37,7 +37,12 @@ def forward(v: P.Pieces, probs: np.ndarray, data: np.ndarray, start: np.ndarray,
     """
     k = probs.shape[1]
     out = np.empty((len(start), k))
-    for part in P.lanes(length + 1, 1 << 18):
+    long = np.flatnonzero(length >= P.LONG)
+    for i in long:
+        out[i] = forward_long(v, probs, np.concatenate([[np.uint8(32)], data[start[i]:start[i] + length[i]]]))
+    short = np.flatnonzero(length < P.LONG)
+    for at in P.lanes(length[short] + 1, 1 << 18):
+        part = short[at]
         m = P.block(data, start[part], length[part], lead=True)
         size = length[part] + 1
         n, width = m.shape
@@ -66,6 +71,29 @@ def forward(v: P.Pieces, probs: np.ndarray, data: np.ndarray, start: np.ndarray,
     return out
 
 
+def forward_long(v: P.Pieces, probs: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """The same for one long word, mark included: the pieces of a stretch are looked up together, then summed byte by byte.
+
+    Only the sums of the last ``longest`` positions are kept from one stretch to the next.
+    """
+    padded = np.concatenate([probs, np.zeros((1, probs.shape[1]))])  # row -1: no piece
+    last = np.zeros((v.longest, probs.shape[1]))
+    last[-1] = 1.0
+    scale = np.zeros(probs.shape[1])
+    for _, rows in P.stretches(v, data):
+        alpha = np.concatenate([last, np.zeros((len(rows), probs.shape[1]))])
+        weight = padded[rows]
+        for i in range(len(rows)):
+            end = i + v.longest
+            np.einsum("wk,wk->k", alpha[i:end], weight[i], out=alpha[end])
+            if i % _RESCALE == 0:
+                top = alpha[i + 1:end + 1].max(axis=0)
+                alpha[i + 1:end + 1] /= top
+                scale += np.log(top)
+        last = alpha[len(rows):].copy()
+    return np.log(last[-1]) + scale
+
+
 def fit(df: DataFrame, vocabulary: str, text: str = "text", lang: str = "lang", key: str = "doc_id",
         sample: int = SAMPLE, smoothing: float = SMOOTHING) -> tuple[list[str], np.ndarray]:
     """Languages and their piece probabilities (pieces by languages).
@@ -122,7 +150,8 @@ def identify(df: DataFrame, model: tuple[list[str], np.ndarray], vocabulary: str
 
     One pass, no shuffle. A text that is null or has no letter gets ``und`` and score 0, and
     so does every text when no language was learned. The word forms of a slice of rows
-    are scored once each. Exact ties go to the language first in code point order.
+    are scored once each. Exact ties go to the language first in code point order. Columns of the new
+    ones' names are replaced.
     """
     names, probs = model
     held = df.sparkSession.sparkContext.broadcast(probs)
@@ -162,8 +191,7 @@ def identify(df: DataFrame, model: tuple[list[str], np.ndarray], vocabulary: str
             ok = letters & bool(names)
             pred = [names[best[i]] if ok[i] else UNDEFINED for i in range(b.num_rows)]
             sure = np.where(ok, post if names else 0.0, 0.0)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pred, pa.string()), pa.array(sure)],
-                                             [*b.schema.names, lang_col, score_col])
+            yield with_columns(b, schema.names, {lang_col: pa.array(pred, pa.string()), score_col: pa.array(sure)})
 
     return df.mapInArrow(score, schema)
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import groups_for, ragged, slices, table, text_buffers
-from .words import LOWER, Known, distinct, split
+from .words import LOWER, Known, boundaries, distinct, split
 
 CAPACITY = 2048
 #: Id that ends each document.
@@ -47,7 +47,9 @@ class WordIds:
     The vocabulary's pre-tokenizer never joins characters across white space and its
     normalizer acts within a word, so a text's ids are those of its words in a row. It also
     starts a new token at a stop that follows a letter, and ignores case, so words are cut
-    there and met in lower case (not where a control token, which minds case, may stand).
+    there and met in lower case. Not so words that may hold a control token, which minds case, or
+    a combining mark: the normalizer composes letters and marks before it lowers them, and some
+    compose in lower case only. No character below U+0300, the last of two bytes led by 0xCB, is one.
     """
 
     letter = np.zeros(256, bool)
@@ -64,14 +66,26 @@ class WordIds:
         self.known.clear()
         self.flat, self.ptr, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    @staticmethod
+    def lowered(data: np.ndarray, off: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+        """ASCII letters in lower case in every word that it makes no difference to."""
+        low = LOWER[data]
+        as_is = np.flatnonzero(data >= 0xCC)
+        as_is = np.union1d(as_is, np.flatnonzero((data[:-1] == 60) & (data[1:] == 124)))
+        if len(as_is):
+            start, end, _ = boundaries(data, off, cuts)
+            word = np.unique(np.searchsorted(start, as_is, side="right") - 1)
+            at = ragged(start[word], end[word] - start[word])
+            low[at] = data[at]
+        return low
+
     def encode(self, data: np.ndarray, off: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows, ``end`` closing each row, and the rows' offsets among them."""
         n = len(off) - 1
+        cuts = np.flatnonzero(self.stop[data[1:]] & self.letter[data[:-1]]) + 1
+        data = self.lowered(data, off, cuts)
         raw = data.tobytes()
-        if b"<|" not in raw:
-            data = LOWER[data]
-            raw = data.tobytes()
-        w = split(data, off, np.flatnonzero(self.stop[data[1:]] & self.letter[data[:-1]]) + 1)
+        w = split(data, off, cuts)
         first, inverse = distinct(w.h1, w.h2)
         if self.known.size > self.known.most:
             self._reset()

@@ -109,6 +109,27 @@ def load(path: str) -> Pieces:
     return Pieces(path)
 
 
+#: Items longer than this are gone through alone, by ``stretches``; a step of a few lanes costs as much as one of many.
+LONG = 1024
+#: Positions of a long item looked up together.
+STRETCH = 1 << 13
+
+
+def stretches(v: Pieces, data: np.ndarray):
+    """For a long item, stretch by stretch: its first position, and the row of the piece that ends at each position
+    after so many bytes before it (``[position, longest - back]``, -1: none)."""
+    for a in range(0, len(data), STRETCH):
+        n = min(STRETCH, len(data) - a)
+        out = np.full((n, v.longest), -1, np.int32)
+        h = np.zeros(n, np.uint64)
+        for back in range(1, v.longest + 1):
+            at = a + np.arange(n) + 1 - back
+            inside = at >= 0
+            h = v.extend(h, data[np.maximum(at, 0)])
+            out[inside, v.longest - back] = v.rows(h[inside])
+        yield a, out
+
+
 def lanes(length: np.ndarray, most: int = 1 << 20, wide: int = 4096):
     """Positions of items by growing length, cut so that a block's padded size stays near ``most`` bytes."""
     order = np.argsort(length, kind="stable")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import pieces as P
-from .common import ragged, slices, table, text_buffers
+from .common import ragged, slices, table, text_buffers, with_columns
 from .words import Known, Prefix, distinct
 
 BREAK = 0x0A
@@ -112,6 +112,46 @@ def segment(v: P.Pieces, m: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, n
     return np.concatenate([x[2] for x in out])[order], np.bincount(lane, minlength=n)
 
 
+def segment_long(v: P.Pieces, data: np.ndarray) -> np.ndarray:
+    """Best pieces of one long stream: the pieces of a stretch are looked up together, then chosen byte by byte.
+
+    After each stretch the paths that end in the last ``longest`` positions are led back to where they meet; the
+    ids up to there are committed and their back pointers dropped.
+    """
+    scores, window = np.append(v.scores, -np.inf), v.longest  # row -1: no piece
+    last = np.full(window, -np.inf)
+    last[-1] = 0.0
+    since, piece = np.zeros(0, np.int64), np.zeros(0, np.int32)  # of the positions from ``first`` + 1 on
+    first, out = 0, []
+    for a, rows in P.stretches(v, data):
+        n = len(rows)
+        best = np.concatenate([last, np.zeros(n)])
+        choice = np.empty(n, np.int64)
+        weight = scores[rows]
+        for i in range(n):
+            s = best[i:i + window] + weight[i]
+            c = s.argmax()  # of equal ones the longest piece
+            choice[i] = c
+            best[i + window] = s[c]
+        last = best[n:].copy()
+        since = np.concatenate([since, a + np.arange(n) + 1 + choice - window])
+        piece = np.concatenate([piece, v.ids[rows[np.arange(n), choice]]])
+        end = a + n
+        paths = {end} if end == len(data) else set(range(max(first, end - window + 1), end + 1))
+        while len(paths) > 1:  # the furthest goes back until all are one
+            top = max(paths)
+            paths.remove(top)
+            paths.add(int(since[top - first - 1]))
+        meet = paths.pop()
+        ids, at = [], meet
+        while at > first:
+            ids.append(piece[at - first - 1])
+            at = int(since[at - first - 1])
+        out.append(np.array(ids[::-1], np.int32))
+        since, piece, first = since[meet - first:].copy(), piece[meet - first:].copy(), meet
+    return np.concatenate(out)
+
+
 class PieceIds:
     """Ids of texts, each distinct part segmented once."""
 
@@ -141,7 +181,14 @@ class PieceIds:
         rows[miss] = number
         ptr, count, at = np.zeros(len(miss), np.int64), np.zeros(len(miss), np.int64), len(self.flat)
         got = [self.flat]
-        for part in P.lanes(size, 1 << 18):
+        for i in np.flatnonzero(size > P.LONG):
+            ids = segment_long(self.v, data[s[i]:s[i] + size[i]])
+            ptr[i], count[i] = at, len(ids)
+            got.append(ids)
+            at += len(ids)
+        short = np.flatnonzero(size <= P.LONG)
+        for lane in P.lanes(size[short], 1 << 18):
+            part = short[lane]
             ids, k = segment(self.v, P.block(data, s[part], size[part], lead=False), size[part])
             ptr[part], count[part] = at + np.cumsum(k) - k, k
             got.append(ids)
@@ -176,21 +223,21 @@ def _list_array(flat: np.ndarray, off: np.ndarray) -> pa.Array:
 
 
 def encode(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``df`` with the ids of each whole text. A null or empty text has no ids. One pass, no shuffle."""
+    """``df`` with the ids of each whole text. A null or empty text has no ids; a column ``ids`` is replaced. One pass, no shuffle."""
     schema = df.withColumn(ids, F.lit(None).cast("array<int>")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = PieceIds(vocabulary)
         for b in slices(batches, text, 3 << 20):
             got = _list_array(*coder.encode(*text_buffers(b.column(b.schema.get_field_index(text)))))
-            yield pa.RecordBatch.from_arrays([*b.columns, got], [*b.schema.names, ids])
+            yield with_columns(b, schema.names, {ids: got})
 
     return df.mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``df`` with the text of each row of ids. Null ids, and null ids within a row, give no bytes;
-    bytes that are not UTF-8 become the replacement character."""
+    bytes that are not UTF-8 become the replacement character; a column ``text`` is replaced."""
     schema = df.withColumn(text, F.lit("")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +250,7 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decode
             raw, at = coder.decode(np.fromiter((x for r in kept for x in r), np.int64, int(off[-1])), off)
             raw = raw.tobytes()
             texts = [raw[x:y].decode("utf-8", "replace") for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, text])
+            yield with_columns(b, schema.names, {text: pa.array(texts, pa.string())})
 
     return df.mapInArrow(run, schema)
 

@@ -61,15 +61,47 @@ def test_language_awkward(docs, none):
     vocabulary = pieces.default_vocabulary()
     model = language.fit(docs, vocabulary)
     assert model[0] == ["de", "en"]
-    out = language.identify(docs.drop("score"), model, vocabulary).collect()
+    out = language.identify(docs, model, vocabulary).collect()
     got = {r.doc_id: (r.lang_pred, r.score) for r in out}
     assert len(out) == 11 and got[4] == got[5] == got[6] == got[8] == ("und", 0.0)
     assert got[3][0] == got[7][0] == "de" and got[1][0] == "en" and all(0 <= s <= 1 for _, s in got.values())
     empty = language.fit(none, vocabulary)
-    assert empty[0] == [] and {r.lang_pred for r in language.identify(docs.drop("score"), empty, vocabulary).collect()} == {"und"}
+    assert empty[0] == [] and {r.lang_pred for r in language.identify(docs, empty, vocabulary).collect()} == {"und"}
     assert language.identify(none.drop("score"), model, vocabulary).count() == 0
 
 
+def test_long_words_equal_short_ones(monkeypatch):
+    """Words gone through alone give what words side by side give, over several stretches."""
+    v = pieces.load(pieces.default_vocabulary())
+    p = np.random.default_rng(1).random((len(v.ids), 3))
+    p /= p.sum(axis=0)
+    r, rnd = _random(9, "abcdeéthin日")
+    words = [rnd(n).encode() for n in (1, 30, 200, 700)]
+    data = np.frombuffer(b"".join(words), np.uint8)
+    size = np.array([len(w) for w in words])
+    start = np.cumsum(size) - size
+    plain = language.forward(v, p, data, start, size)
+    flat, count = viterbi.segment(v, pieces.block(data, start, size, lead=False), size)
+    for stretch in (64, 1 << 13):
+        monkeypatch.setattr(pieces, "STRETCH", stretch)
+        monkeypatch.setattr(pieces, "LONG", 0)
+        assert language.forward(v, p, data, start, size) == pytest.approx(plain, rel=1e-12)
+        ids = [viterbi.segment_long(v, data[a:a + n]) for a, n in zip(start, size, strict=True)]
+        assert [len(x) for x in ids] == count.tolist() and np.concatenate(ids).tolist() == flat.tolist()
+
+
+def test_a_megabyte_without_a_blank():
+    import time
+
+    v = pieces.load(pieces.default_vocabulary())
+    p = np.random.default_rng(1).random((len(v.ids), 4))
+    data = np.random.default_rng(2).integers(97, 123, 1 << 20).astype(np.uint8)
+    t = time.time()
+    assert np.isfinite(language.forward(v, p / p.sum(axis=0), data, np.array([0]), np.array([len(data)]))).all()
+    assert viterbi.segment_long(v, data).size > len(data) / v.longest
+    assert time.time() - t < 30
+
+
 # --- packing ----------------------------------------------------------------------------
 
 def _whole(rows, capacity):
@@ -109,6 +141,7 @@ def test_word_ids_equal_the_tokenizer_on_odd_texts():
     r, rnd = _random(5, "aAbB'sStT.,!?<|>é́İΣς \n\t ​日本1２")
     texts = ["<|endoftext|> a<|ENDOFTEXT|>b <|startoftext|>", "I'll DON'T x.y.Z ...a", "\x1c a\x85b", "", " "] + [rnd(r.randint(0, 60)) for _ in range(300)]
     coder = packing.WordIds(packing.default_vocabulary())
+    texts += ["J\u030c H\u0331 T\u0308 W\u030a Y\u030a", "J\u0323\u030c.A", "xJ\u030cX ÜBER J.\u030c <|J>"]
     for group in (texts, [x.replace("<|", "") for x in texts]):
         ids, off = coder.encode(*text_buffers(pa.array(group)), 0)
         for i, x in enumerate(group):
