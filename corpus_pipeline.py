@@ -11,7 +11,8 @@ from assetflow.llm.common import stored, table
 
 #: Least posterior of the predicted language.
 CONFIDENT = 0.5
-_NULL = -(1 << 63)
+#: Keys from here on are hashes of rows that their id does not tell apart.
+_ODD = 1 << 62
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,16 +26,23 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each class, and of rows with one id the one with the least
-    text (null is empty). Rows without an id cannot be told apart and all stay."""
-    classes = neardup.classes(docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text"))
-    gone = classes.where("doc_id <> class_id").select(F.col("doc_id").alias("__gone")).distinct()
-    named = docs.where(F.col("doc_id").isNotNull())
-    left = named.join(gone, named["doc_id"] == F.col("__gone"), "left_anti")
-    if not named.groupBy("doc_id").count().where("count > 1").isEmpty():
-        left = (left.groupBy(F.col("doc_id").alias("__key"))
-                .agg(F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("__row")).select("__row.*"))
-    return left.unionByName(docs.where(F.col("doc_id").isNull()))
+    """Keeps one document of each class, that with the least key; rows are told apart by row, not by id.
+
+    A row's key is its id. Rows without an id or sharing one with others have a hash of id and text above all
+    ids instead, so of texts with one id each is judged by itself and goes only with its own likes. Rows of one
+    id and one text are copies, of which the least by the other columns stays.
+    """
+    odd = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("__odd"))
+    plain = odd.isEmpty()
+    mixed = F.lit(_ODD) + F.pmod(F.xxhash64("doc_id", "text"), F.lit(_ODD - 1))
+    keyed = docs.withColumn("__key", F.col("doc_id").cast("long")) if plain else (
+        docs.join(odd, F.col("doc_id").eqNullSafe(F.col("__odd")), "left")
+        .withColumn("__key", F.when(F.col("__odd").isNotNull() | F.col("doc_id").isNull(), mixed).otherwise(F.col("doc_id"))).drop("__odd"))
+    gone = neardup.classes(keyed.select("__key", "text"), key="__key").where("__key <> class_id").select("__key").distinct()
+    left = keyed.join(gone, "__key", "left_anti")
+    if not plain:
+        left = left.groupBy("__key").agg(F.min(F.struct(*docs.columns)).alias("__row")).select("__row.*")
+    return left.select(*docs.columns)
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
