@@ -494,3 +494,18 @@ def test_wrapped_licences(spark):
 
 def test_licences_awkward(docs, none):
     assert licenses.scan(docs).count() == 11 and licenses.scan(none).count() == 0
+
+
+@pytest.mark.parametrize("sizes", [[30], [40, 1], [25, 25, 3], [5] * 9, [1] * 7])
+def test_blocks_of_a_bucket_bring_rows_of_different_classes_together(spark, sizes):
+    rows = [(1, 100 * c + i, 100 * c) for c, n in enumerate(sizes) for i in range(n)]
+    got = neardup._blocked(spark.createDataFrame(rows, "bucket long, id long, label long"), "bucket", 10).collect()
+    tasks = {}
+    for r in got:
+        tasks.setdefault((r.p, r.q), []).append(r)
+    met = set()
+    for (p, q), t in tasks.items():
+        met |= {frozenset((a.id, b.id)) for a in t for b in t if a.own == p and b.own == q and a.label != b.label}
+    assert met == {frozenset((a, b)) for _, a, x in rows for _, b, y in rows if x != y}
+    if sizes == [40, 1]:  # 40 copies in four blocks, each in one task; the other row in every task
+        assert len(got) == 40 + 5

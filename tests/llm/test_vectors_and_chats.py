@@ -181,6 +181,18 @@ def test_pipeline_stages(spark, docs, none):
         assert stage(spark, none, CHECK).count() == 0
 
 
+def test_near_duplicate_stage_judges_rows_not_ids(spark):
+    """Of rows that share an id, or have none, each goes with its own likes only."""
+    a, b = ("one two three four five six seven eight", "the cat sat on the mat and looked at the dog")
+    rows = [(1, a, "x"), (2, a, "x"), (2, b, "y"), (2, "other words that stand alone here", "z"), (None, b, "x"), (None, "no id at all here", None),
+            (3, "a row given twice word for word", "p"), (3, "a row given twice word for word", "q"), (4, None, "x"), (4, "", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = [tuple(r) for r in corpus_pipeline.neardup_stage(spark, df, CHECK).collect()]
+    assert len(kept) == len(set(kept)) == 7
+    assert (1, a, "x") in kept and (2, a, "x") not in kept and (2, rows[3][1], "z") in kept and (None, rows[5][1], None) in kept
+    assert sum(k[1] == b for k in kept) == 1 and (3, rows[6][1], "p") in kept and {k[1] for k in kept if k[0] == 4} == {None, ""}
+
+
 def test_pipeline_equals_its_stages(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert rows and all(r.length <= 2048 for r in rows)
