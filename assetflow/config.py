@@ -53,5 +53,7 @@ BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 # the hour, so open hourly windows are re-emitted as updates
 BATCH_CUTOFFS = ["2024-01-05 12:30:00", "2024-01-10 12:30:00", "2024-01-15 12:30:00",
                  "2024-01-20 12:30:00", "2024-01-25 12:30:00"]
+# every so many assets one is retired in the typed feed's history, every other of these returns
+RETIRED_EVERY = 50
 # training rounds for the registry: models retrained with data before each date
 RETRAIN_AS_OF = [_dt.date(2024, 1, 16), AS_OF]

@@ -11,13 +11,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import config
 from ..functions.columns import ntz_all, round_doubles
-from ..operators import aggregate, changelog, features, models, scenario
+from ..operators import aggregate, changelog, features, keyed, models, scenario
 from ..session import scratch_path
 from ..sources import files
-from ..streaming.medallion import KEYS, Medallion, stream_in_slices
+from ..streaming.medallion import KEYS, SILVER_FIELDS, Medallion, stream_in_slices
 from . import modeling as M
 from . import tables
 from .views import Views
@@ -121,6 +122,38 @@ def latest_change(spark, sf_dir):
     return _out(changelog.latest_change(feed, KEYS))
 
 
+def typed_feed_stream(spark, sf_dir):
+    """A keyed table by date under a stream of change sets, deletes among them; its typed feed as a stream.
+
+    The change sets are the versions of an update-mode stream, then the windows of retired assets are deleted,
+    then those of some of them come back. The feed is streamed from the second version on, and started twice.
+    """
+    v = Views(spark, sf_dir)
+    root = scratch_path(spark, "typed_feed")
+    fields = [f for f in SILVER_FIELDS]
+    cols = [f.name for f in fields]
+    sets = changelog.backfill_versions(v.readings, config.BATCH_CUTOFFS, config.WINDOW, config.CHANNELS).withColumn(keyed.DELETED, F.lit(False))
+    n = len(config.BATCH_CUTOFFS) + 1
+    again = lambda every, gone, version: (v.hourly.where(F.col("asset_id") % every == 0).select(*cols)
+                                          .withColumn(keyed.DELETED, F.lit(gone)).withColumn(changelog.VERSION, F.lit(version).cast("long")))
+    order = [*cols, keyed.DELETED, changelog.VERSION]
+    every = sets.select(*order).unionByName(again(config.RETIRED_EVERY, True, n)).unionByName(again(2 * config.RETIRED_EVERY, False, n + 1))
+    every.write.partitionBy(changelog.VERSION).parquet(f"{root}/sets")
+    table = keyed.KeyedTable(spark, f"{root}/table", fields, KEYS, fold_every=2)
+
+    def apply(batch: DataFrame, _: int) -> None:
+        for r in batch.select(changelog.VERSION).distinct().orderBy(changelog.VERSION).collect():  # one row a version
+            table.upsert(batch.where(F.col(changelog.VERSION) == r[0]), int(r[0]))
+
+    schema = T.StructType([*[f for f in every.schema.fields if f.name != changelog.VERSION], every.schema[changelog.VERSION]])
+    (spark.readStream.schema(schema).parquet(f"{root}/sets").writeStream.foreachBatch(apply)
+     .option("checkpointLocation", f"{root}/_sets").trigger(availableNow=True).start().awaitTermination())
+    for _ in range(2):
+        (table.feed_stream(from_version=1).writeStream.format("parquet").option("path", f"{root}/out")
+         .option("checkpointLocation", f"{root}/_feed").trigger(availableNow=True).start().awaitTermination())
+    return _out(spark.read.schema(table.feed_schema).parquet(f"{root}/out").drop(changelog.TIMESTAMP))
+
+
 # --- streaming ---------------------------------------------------------------
 
 def _medallion(spark, sf_dir) -> Medallion:
@@ -357,6 +390,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_latest": upsert_latest,
     "change_feed": change_feed,
     "latest_change": latest_change,
+    "typed_feed_stream": typed_feed_stream,
     "enriched_assets": enriched_assets,
     "enriched_upsert": enriched_upsert,
     "maintenance_events": maintenance_events,

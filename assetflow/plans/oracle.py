@@ -56,7 +56,9 @@ _CTES: dict[str, tuple[str, list[str]]] = {
       ASOF LEFT JOIN maint after ON day.asset_id = after.asset_id AND day.reading_date <= after.reading_date""",
             ["output_t", "maint"]),
     "fbase": ("""
-      FROM gold NATURAL JOIN age SELECT * WHERE reading_date < DATE '2024-02-01'""", ["gold", "age"]),
+      SELECT gold.*, age.age, age.remaining_life
+      FROM gold JOIN age USING (reading_date, asset_id)
+      WHERE gold.reading_date < DATE '2024-02-01'""", ["gold", "age"]),
     "feat": ("""
       SELECT now.* EXCLUDE (place), soon.oil_output AS output_6_hours_ahead,
              CASE WHEN later.place IS NULL THEN now.oil_output ELSE later.oil_output END AS output_72_rows_ahead
@@ -66,8 +68,8 @@ _CTES: dict[str, tuple[str, list[str]]] = {
     "placed": ("""
       SELECT *, row_number() OVER (PARTITION BY asset_id ORDER BY window_start) AS place FROM fbase""", ["fbase"]),
     "by_hour": ("""
-      SELECT time_bucket(INTERVAL 1 HOUR, event_time) AS event_hour, list(sensor1) AS first, list(sensor2) AS second
-      FROM reading GROUP BY ALL""", ["reading"]),
+      SELECT date_trunc('hour', event_time) AS event_hour, min(sensor1) AS sensor1, min(sensor2) AS sensor2
+      FROM reading GROUP BY event_hour""", ["reading"]),
     "per_slice": ("""
       SELECT asset_id, date_trunc('hour', event_time) AS window_start,
              CAST((event_time >= TIMESTAMP '2024-01-05 12:30:00') AS INTEGER)
@@ -93,6 +95,16 @@ _CTES: dict[str, tuple[str, list[str]]] = {
                row_number() OVER w AS rn
         FROM versions WINDOW w AS (PARTITION BY asset_id, window_start ORDER BY _commit_version))""",
              ["versions"]),
+    "change_sets": ("""
+      SELECT asset_id, reading_date, window_start, window_end, """ + ", ".join(CH) + """, _commit_version, false AS gone FROM versions
+      UNION ALL
+      SELECT asset_id, reading_date, window_start, window_end, """ + ", ".join(CH) + """, 6, true FROM hourly WHERE asset_id % 50 = 0
+      UNION ALL
+      SELECT asset_id, reading_date, window_start, window_end, """ + ", ".join(CH) + """, 7, false FROM hourly WHERE asset_id % 100 = 0""",
+                    ["versions", "hourly"]),
+    "steps": ("""
+      SELECT *, coalesce(lag(gone) OVER w, true) AS absent, """ + ", ".join(f"lag({c}) OVER w AS p_{c}" for c in CH) + """
+      FROM change_sets WINDOW w AS (PARTITION BY asset_id, window_start ORDER BY _commit_version)""", ["change_sets"]),
     "train": ("""
       SELECT reading_date, window_start, asset_id, remaining_life, age, """ + ", ".join(CH) + """,
              oil_output, output_6_hours_ahead,
@@ -126,12 +138,8 @@ FEAT_D = GOLD_D + ["output_6_hours_ahead", "output_72_rows_ahead"]
 
 SQL: dict[str, str] = {
     "bronze_readings": _with("reading") + f"SELECT {_r(CH)} FROM reading",
-    "hourly_min": _with("by_hour") + """
-      SELECT event_hour, round(round(list_min(first), 10), 6) AS sensor1, round(round(list_min(second), 10), 6) AS sensor2
-      FROM by_hour""",
-    "hourly_min_stream": _with("by_hour") + """
-      SELECT event_hour, round(round(list_min(first), 10), 6) AS sensor1, round(round(list_min(second), 10), 6) AS sensor2
-      FROM by_hour""",
+    "hourly_min": _with("by_hour") + f"SELECT {_r(CH[:2])} FROM by_hour",
+    "hourly_min_stream": _with("by_hour") + f"SELECT {_r(CH[:2])} FROM by_hour",
     "count_by_asset": _with("reading") + """
       SELECT asset_id, count(sensor1) AS n_sensor1, count(sensor9) AS n_sensor9
       FROM reading GROUP BY asset_id ORDER BY asset_id""",
@@ -156,6 +164,14 @@ SQL: dict[str, str] = {
       SELECT asset_id, window_start, p_reading_date, p_window_end, {", ".join(f"round(round(p_{c}, 10), 6)" for c in CH)},
              'update_preimage', _commit_version
       FROM feed WHERE rn > 1""",
+    "typed_feed_stream": _with("steps") + f"""
+      SELECT asset_id, reading_date, window_start, window_end, {", ".join(f"round(round({c}, 10), 6) AS {c}" for c in CH)},
+             CASE WHEN absent THEN 'insert' ELSE 'update_postimage' END AS _change_type, CAST(_commit_version AS BIGINT) AS _commit_version
+      FROM steps WHERE NOT gone AND _commit_version >= 1
+      UNION ALL
+      SELECT asset_id, reading_date, window_start, window_end, {", ".join(f"round(round(p_{c}, 10), 6)" for c in CH)},
+             CASE WHEN gone THEN 'delete' ELSE 'update_preimage' END, CAST(_commit_version AS BIGINT)
+      FROM steps WHERE NOT absent AND _commit_version >= 1""",
     "enriched_upsert": _with("enriched") + f"SELECT {_r(CH)} FROM enriched",
     "maintenance_events": _with("maint") + "SELECT * FROM maint",
     "enriched_assets": _with("enriched") + f"SELECT {_r(CH)} FROM enriched",

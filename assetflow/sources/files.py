@@ -1,11 +1,8 @@
-"""File sources: a CSV landing zone, remembered / evolving schemas, idempotent loads."""
+"""File sources: CSV files written to and streamed from a folder, idempotent loads."""
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # microsecond timestamps survive a CSV round trip
@@ -13,8 +10,6 @@ TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 # a file counts as new however old its time stamp is (the source's default drops files a week
 # older than the newest one)
 MAX_FILE_AGE = "36500d"
-# files of one header that the types of its columns are inferred from
-INFER_FILES = 100
 
 
 def write_landing(df: DataFrame, landing_dir: str) -> None:
@@ -23,57 +18,6 @@ def write_landing(df: DataFrame, landing_dir: str) -> None:
      .csv(landing_dir))
 
 
-def infer_schema(spark: SparkSession, landing_dir: str, key: str = "event_time") -> T.StructType:
-    """Columns of all files present, by the header of each; types are inferred per header.
-
-    A header line is one that names ``key`` (its first column). The distinct headers are few; the types
-    of one come from at most ``INFER_FILES`` files that carry it.
-    """
-    lines = spark.read.text(landing_dir).select("value", F.col("_metadata.file_path").alias("path"))
-    first = lines.where(F.split("value", ",")[0] == key)
-    seen = first.groupBy("value").agg(F.min("path").alias("path")).orderBy(F.length("value"), "value").collect()
-    merged = T.StructType([])
-    for header in seen:
-        paths = [r["path"] for r in first.where(F.col("value") == header["value"]).select("path").distinct()
-                 .orderBy("path").limit(INFER_FILES).collect()]
-        merged = merge_schemas(merged, spark.read.option("header", True).option("inferSchema", True)
-                               .option("timestampFormat", TS_FORMAT).csv(paths).schema)
-    return merged
-
-
-def save_schema(spark: SparkSession, schema: T.StructType, location: str) -> None:
-    spark.createDataFrame([(schema.json(),)], "schema string").coalesce(1)\
-        .write.mode("overwrite").text(location)
-
-
-def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
-    try:
-        row = spark.read.text(location).first()
-    except Exception:  # nothing saved yet
-        return None
-    return T.StructType.fromJson(json.loads(row[0])) if row else None
-
-
-def merge_schemas(old: T.StructType, new: T.StructType) -> T.StructType:
-    """Additive merge by name: old columns keep their type and place, new ones append."""
-    names = {f.name for f in old.fields}
-    return T.StructType(list(old.fields) + [f for f in new.fields if f.name not in names])
-
-
-def evolving_schema(spark: SparkSession, landing_dir: str, location: str) -> T.StructType:
-    """Schema for a stream restart: the remembered one, widened by new columns.
-
-    Added columns must come last; a file whose header is not that of the schema
-    stops the stream (see ``csv_stream``) instead of being read by position.
-    """
-    seen = infer_schema(spark, landing_dir)
-    old = load_schema(spark, location)
-    merged = seen if old is None else merge_schemas(old, seen)
-    if old is None or merged != old:
-        save_schema(spark, merged, location)
-    return merged
-
-
 def csv_stream(spark: SparkSession, landing_dir: str, schema: T.StructType,
                max_files: int | None = None, corrupt_column: str | None = None) -> DataFrame:
     """Incremental CSV source; ``max_files`` caps files per micro-batch.

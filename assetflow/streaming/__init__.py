@@ -1,5 +1,5 @@
 """Structured Streaming: CSV landing -> bronze table -> silver change log -> gold change log."""
 
-from .medallion import Medallion, READING_SCHEMA, log_schema
+from .medallion import Medallion, READING_SCHEMA
 
-__all__ = ["Medallion", "READING_SCHEMA", "log_schema"]
+__all__ = ["Medallion", "READING_SCHEMA"]

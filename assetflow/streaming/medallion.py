@@ -1,16 +1,18 @@
 """The three chained streams.
 
-* bronze: incremental CSV files -> Parquet table partitioned by date (append).
+* bronze: new CSV files, each by its own header -> Parquet table partitioned by
+  date (append; see ``streaming.bronze``).
 * silver: bronze as a stream -> watermark -> tumbling-window means in update
-  mode -> ``foreachBatch`` upsert into the silver change log.
-* gold:   the silver log's new versions as a stream -> newest per key within
-  the micro-batch -> join asset metadata (re-read each batch) -> upsert into
-  the gold change log.
+  mode -> ``foreachBatch`` upsert into the silver table.
+* gold:   the silver table's typed changes as a stream -> newest per key within
+  the micro-batch, deletes included -> join asset metadata (re-read each batch)
+  -> upsert into the gold table.
 
 Stages hand over through storage, never memory, and every stage keeps its
 progress in a checkpoint under the shared checkpoint root, so any stage can be
-stopped, restarted or lose executors and resume where it committed. Upserts
-are replay-safe (see ``operators.changelog``).
+stopped, restarted or lose executors and resume where it committed. Silver and
+gold are keyed tables by date with a folded base and a feed; upserts are
+replay-safe (see ``operators.keyed``).
 
 The silver stage keeps Spark's no-data micro-batches: rows are judged late
 against the watermark of the previous batch, and a no-data batch is what
@@ -20,6 +22,8 @@ accepted for one more trigger.
 
 from __future__ import annotations
 
+import datetime as _dt
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,25 +34,28 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import config
 from ..functions.joins import join_small
 from ..operators import aggregate, changelog
-from ..sources import files
+from ..operators.keyed import KeyedTable, newest_changes
+from ..operators.layout import TARGET_FILE_BYTES
+from ..sources import files, landing
+from ..sources.storage import Storage
+from .bronze import Bronze, read_by_stream
 
+_STARTING = threading.Lock()
 KEYS = ["asset_id", "window_start"]
 
 READING_SCHEMA = T.StructType(
     [T.StructField("event_time", T.TimestampType()), T.StructField("asset_id", T.IntegerType())]
     + [T.StructField(c, T.DoubleType()) for c in config.CHANNELS])
 
-BRONZE_SCHEMA = T.StructType(READING_SCHEMA.fields + [T.StructField("reading_date", T.DateType())])
-
-
-def log_schema(value_fields: list[T.StructField]) -> T.StructType:
-    return T.StructType(value_fields + [T.StructField(changelog.TIMESTAMP, T.TimestampType()),
-                                        T.StructField(changelog.VERSION, T.LongType())])
+# what silver reads of bronze: the columns of the folders last, in their order
+BRONZE_SCHEMA = T.StructType(READING_SCHEMA.fields + [
+    T.StructField("layout", T.IntegerType()), T.StructField("batch", T.IntegerType()), T.StructField("reading_date", T.DateType())])
 
 
 SILVER_FIELDS = ([T.StructField("asset_id", T.IntegerType()), T.StructField("reading_date", T.DateType()),
                   T.StructField("window_start", T.TimestampType()), T.StructField("window_end", T.TimestampType())]
                  + [T.StructField(c, T.DoubleType()) for c in config.CHANNELS])
+ASSET_FIELDS = [T.StructField(c, T.StringType()) for c in ("country", "manufacturer", "region")]
 
 
 class Medallion:
@@ -58,14 +65,17 @@ class Medallion:
                  length: str = config.WINDOW, watermark: str = config.WATERMARK,
                  schema: T.StructType = READING_SCHEMA, max_files: int | None = None,
                  live: dict[str, tuple[str | Callable[[DataFrame], DataFrame], list[str]]] | None = None, gold_from_version: int = 0,
-                 corrupt_column: str | None = None, state_partitions: int | None = None):
+                 corrupt_column: str | None = None, state_partitions: int | None = None,
+                 evolve: bool = False, archive: str | None = None, fold_every: int = 4,
+                 gold_table: str | None = None):
         self.spark, self.root = spark, root.rstrip("/")
+        self.store = Storage(spark)
         self.assets, self.length, self.watermark = assets, length, watermark
         self.schema, self.max_files = schema, max_files
         self.landing = f"{self.root}/landing"
         self.bronze = f"{self.root}/bronze"
-        self.silver = f"{self.root}/silver_log"
-        self.gold = f"{self.root}/gold_log"
+        self.silver = KeyedTable(spark, f"{self.root}/silver", SILVER_FIELDS, KEYS, fold_every=fold_every)
+        self.gold = KeyedTable(spark, f"{self.root}/gold", SILVER_FIELDS + ASSET_FIELDS, KEYS, fold_every=fold_every)
         self.queries: dict[str, StreamingQuery] = {}
         self._first: dict[str, int] = {}
         # name -> (SQL over the view "sensor_stream" or a function of its frame, group keys): live aggregates
@@ -74,80 +84,99 @@ class Medallion:
         self.gold_from_version = gold_from_version
         # keep unparseable CSV lines in bronze under this column instead of failing
         self.corrupt_column = corrupt_column
+        # a table of the catalog that gold's current rows are kept in, such as the declared enriched_readings
+        self.gold_table = gold_table
+        # take columns that ``schema`` does not declare, with inferred and remembered types
+        self.evolve = evolve
+        # move consumed landing files there; a live aggregate reads the same files, so not with both
+        self.archive = archive
+        if archive and self.live:
+            raise ValueError("live aggregates read the landing folder as well: its files cannot be archived")
+        self.remembered = landing.Remembered(spark, f"{self.root}/_schema")
+        self.table = Bronze(spark, self.bronze)
         # shuffle partitions of the streams, fixed by the first start of a checkpoint:
         # sized for the state (assets x open windows), not for a batch job's input
         self.state_partitions = int(state_partitions or spark.sparkContext.defaultParallelism)
 
     @classmethod
     def evolving(cls, spark: SparkSession, root: str, **kw) -> "Medallion":
-        """A chain whose reading schema is inferred from the landed files and
-        remembered under ``<root>/_schema``; on each restart it widens by any new
-        trailing columns (older rows read NULL in them). The remembered schema
-        must keep the reading columns the silver stage aggregates."""
-        m = cls(spark, root, **kw)
-        m.schema = files.evolving_schema(spark, m.landing, f"{m.root}/_schema")
-        missing = {f.name for f in READING_SCHEMA.fields} - {f.name for f in m.schema.fields}
-        if missing:
-            raise ValueError(f"landed files lack reading columns {sorted(missing)}")
-        return m
+        """A chain whose files may hold more columns than the reading schema declares.
+
+        Their types are inferred from the files of the micro-batch they come in and remembered under
+        ``<root>/_schema``; the table grows while the stream runs, and older rows read NULL in new columns.
+        """
+        return cls(spark, root, evolve=True, **kw)
 
     def ckpt(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
 
-    def first_version(self, name: str, log_path: str) -> int:
-        """The log version of a stage's batch 0: above every version that was there when its checkpoint was begun.
+    def first_version(self, name: str, newest: Callable[[], int | None]) -> int:
+        """The version of a stage's batch 0: above every one (``newest``) that was there when its checkpoint was begun.
 
         Kept beside the checkpoint's own files, so a restart goes on with it and a fresh checkpoint, whose
         batches count from 0 again, neither overwrites nor falls behind older versions.
         """
         if name not in self._first:
             place = f"{self.ckpt(name)}/first_version"
-            if self._exists(place):
+            if self.store.exists(place):
                 first = int(self.spark.read.text(place).first()[0])
             else:
-                newest = None
-                if self._exists(log_path):
-                    log = self.spark.read.schema(f"{changelog.VERSION} long").parquet(log_path)
-                    newest = log.agg(F.max(changelog.VERSION)).first()[0]
-                first = 0 if newest is None else int(newest) + 1
+                last = newest()
+                first = 0 if last is None else int(last) + 1
                 self.spark.createDataFrame([(str(first),)], "value string").coalesce(1).write.text(place)
             self._first[name] = first
         return self._first[name]
 
-    def _exists(self, path: str) -> bool:
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+    def _newest_in(self, log_path: str) -> Callable[[], int | None]:
+        def newest() -> int | None:
+            return max((int(n.split("=")[1]) for n in self.store.names(log_path) if n.startswith(f"{changelog.VERSION}=")), default=None)
+        return newest
 
     # -- stream definitions ----------------------------------------------
+    def _first_bronze(self) -> int:
+        return self.first_version("bronze", lambda: max(self.table.batches(), default=None))
+
+    def _append_bronze(self, new: DataFrame, batch_id: int) -> None:
+        batch = self._first_bronze() + batch_id
+        if batch in self.table.batches():  # replayed: it has its place already
+            return
+        groups, without = landing.by_header(self.spark, [r["path"] for r in new.collect()], self.schema.fields[0].name)
+        schema, version = self.schema, 0
+        if self.evolve:
+            known = self.remembered.newest()
+            schema = landing.grown(known[1] if known else self.schema, landing.infer(self.spark, groups, self.schema))
+            version = self.remembered.keep(schema)
+        rows = landing.read(self.spark, groups, schema, without, self.corrupt_column)
+        self.table.append(aggregate.with_reading_date(rows), batch, version)
+
     def bronze_writer(self):
-        src = files.csv_stream(self.spark, self.landing, self.schema, self.max_files, self.corrupt_column)
-        return (aggregate.with_reading_date(src).writeStream.format("parquet")
-                .partitionBy("reading_date").option("path", self.bronze)
-                .option("checkpointLocation", self.ckpt("bronze")))
+        self._first_bronze()
+        src = landing.new_files(self.spark, self.landing, self.max_files, self.archive)
+        return src.writeStream.foreachBatch(self._append_bronze).option("checkpointLocation", self.ckpt("bronze"))
 
     def silver_frame(self) -> DataFrame:
         b = self.spark.readStream.schema(BRONZE_SCHEMA).parquet(self.bronze)
         return aggregate.windowed_avg(b.withWatermark("event_time", self.watermark), self.length)
 
     def _upsert_silver(self, batch: DataFrame, batch_id: int) -> None:
-        changelog.append_version(batch.dropDuplicates(KEYS), self.silver, self.first_version("silver", self.silver) + batch_id)
+        if not self.silver.upsert(batch.dropDuplicates(KEYS), self.first_version("silver", self.silver.newest_version) + batch_id):
+            batch.write.format("noop").mode("overwrite").save()  # replayed: its state is still to be committed
 
     def silver_writer(self):
-        self.first_version("silver", self.silver)
+        self.first_version("silver", self.silver.newest_version)
         return (self.silver_frame().writeStream.foreachBatch(self._upsert_silver)
                 .outputMode("update").option("checkpointLocation", self.ckpt("silver")))
 
     def _upsert_gold(self, batch: DataFrame, batch_id: int) -> None:
-        newest = changelog.current(batch, KEYS)
-        enriched = join_small(newest, self.assets(), "asset_id", "inner")
-        changelog.append_version(enriched, self.gold, self.first_version("gold", self.gold) + batch_id)
+        enriched = join_small(newest_changes(batch, KEYS), self.assets(), "asset_id", "inner")
+        version = self.first_version("gold", self.gold.newest_version) + batch_id
+        self.gold.upsert(enriched, version)
+        if self.gold_table:
+            self.gold.publish(self.gold_table, version)
 
     def gold_writer(self):
-        self.first_version("gold", self.gold)
-        s = self.spark.readStream.schema(log_schema(SILVER_FIELDS)).parquet(self.silver)
-        if self.gold_from_version:
-            s = s.where(F.col(changelog.VERSION) >= F.lit(self.gold_from_version))
-        return (s.writeStream.foreachBatch(self._upsert_gold)
+        self.first_version("gold", self.gold.newest_version)
+        return (self.silver.feed_stream(self.gold_from_version).writeStream.foreachBatch(self._upsert_gold)
                 .option("checkpointLocation", self.ckpt("gold")))
 
     def live_log(self, name: str) -> str:
@@ -165,10 +194,10 @@ class Medallion:
             .createOrReplaceTempView("sensor_stream")
         agg = self.spark.sql(build) if isinstance(build, str) else build(self.spark.table("sensor_stream"))
         path = self.live_log(name)
-        self.first_version(f"live_{name}", path)
+        self.first_version(f"live_{name}", self._newest_in(path))
 
         def upsert(batch: DataFrame, batch_id: int) -> None:
-            changelog.append_version(batch, path, self.first_version(f"live_{name}", path) + batch_id)
+            changelog.append_version(batch, path, self.first_version(f"live_{name}", self._newest_in(path)) + batch_id)
 
         return (agg.writeStream.foreachBatch(upsert).outputMode("update")
                 .option("checkpointLocation", self.ckpt(f"live_{name}")))
@@ -179,11 +208,8 @@ class Medallion:
     # -- lifecycle ----------------------------------------------------------
     def ensure_dirs(self) -> None:
         # file stream sources need their folder to exist before the first file lands
-        empty = self.spark.createDataFrame([], log_schema(SILVER_FIELDS))
-        empty.write.mode("append").partitionBy(changelog.VERSION).parquet(self.silver)
-        self.spark.createDataFrame([], BRONZE_SCHEMA).write.mode("append")\
-            .partitionBy("reading_date").parquet(self.bronze)
-        self.spark.createDataFrame([], self.schema).write.mode("append").csv(self.landing)
+        for path in (self.landing, self.bronze):
+            self.store.make(path)
 
     def stages(self, gold: bool = True, chain: bool = True, upto: str = "gold") -> list:
         out = [("bronze", self.bronze_writer), ("silver", self.silver_writer)] if chain else []
@@ -202,12 +228,13 @@ class Medallion:
         is set for the start only and the session's own value is restored.
         """
         key = "spark.sql.shuffle.partitions"
-        before = self.spark.conf.get(key)
-        self.spark.conf.set(key, str(self.state_partitions))
-        try:
-            return w.start()
-        finally:
-            self.spark.conf.set(key, before)
+        with _STARTING:  # one at a time, or one start would restore another's value
+            before = self.spark.conf.get(key)
+            self.spark.conf.set(key, str(self.state_partitions))
+            try:
+                return w.start()
+            finally:
+                self.spark.conf.set(key, before)
 
     def start(self, gold: bool = True, trigger: dict | None = None, chain: bool = True) -> "Medallion":
         """Start the chain (bronze, silver, gold when metadata is given) and any
@@ -249,22 +276,35 @@ class Medallion:
 
     # -- readers ------------------------------------------------------------
     def bronze_table(self) -> DataFrame:
-        """Bronze with every column of the chain's reading schema, and the bad lines kept beside."""
+        """Bronze with every column known so far, and the bad lines kept beside."""
         extra = [T.StructField(self.corrupt_column, T.StringType())] if self.corrupt_column else []
-        fields = [*self.schema.fields, *extra, T.StructField("reading_date", T.DateType())]
-        return self.spark.read.schema(T.StructType(fields)).parquet(self.bronze)
+        return self.table.read({k: T.StructType([*s.fields, *extra]) for k, s in self.schemas().items()})
+
+    def schemas(self) -> dict[int, T.StructType]:
+        """The reading schema by version; one version, the declared one, if it does not evolve."""
+        return (self.remembered.versions() if self.evolve else {}) or {0: self.schema}
+
+    def compact_bronze(self, before: _dt.date, target_file_bytes: int = TARGET_FILE_BYTES) -> int:
+        """Replaces the landed files of closed dates by few clustered ones; the streams may go on."""
+        extra = [T.StructField(self.corrupt_column, T.StringType())] if self.corrupt_column else []
+        return self.table.compact({k: T.StructType([*s.fields, *extra]) for k, s in self.schemas().items()}, before,
+                                  ["asset_id", "event_time"], target_file_bytes)
+
+    def clean_bronze(self, keep: int = 1) -> int:
+        """Deletes replaced files that the silver stream has read and that no kept version needs."""
+        return self.table.clean(keep, read_by_stream(self.spark, self.ckpt("silver")))
 
     def silver_log(self) -> DataFrame:
-        return self.spark.read.schema(log_schema(SILVER_FIELDS)).parquet(self.silver)
+        return self.silver.log()
 
     def gold_log(self) -> DataFrame:
-        return changelog.read_log(self.spark, self.gold)
+        return self.gold.log()
 
     def silver_current(self) -> DataFrame:
-        return changelog.current(self.silver_log(), KEYS)
+        return self.silver.current()
 
     def gold_current(self) -> DataFrame:
-        return changelog.current(self.gold_log(), KEYS)
+        return self.gold.current()
 
 
 def slice_index(ts: str, cutoffs: list):

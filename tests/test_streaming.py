@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from assetflow import config
 from assetflow.operators import aggregate
 from assetflow.session import scratch_path
-from assetflow.sources import files, fixtures
+from assetflow.sources import files, fixtures, landing
 from assetflow.streaming.medallion import READING_SCHEMA, Medallion, stream_in_slices
 from paths import SF_SMALL
 
@@ -54,22 +54,107 @@ def test_late_rows_are_dropped_and_counted(spark):
     assert starts == {dt.datetime(2024, 1, 2, 12, 0), dt.datetime(2024, 1, 2, 9, 0)}
 
 
-def test_schema_growth_fills_nulls(spark):
-    root = scratch_path(spark, "t_schema")
-    land, loc = f"{root}/landing", f"{root}/_schema"
-    t = dt.datetime(2024, 1, 1, 1, 0)
-    files.write_landing(spark.createDataFrame([(t, 1, 1.5)], "event_time timestamp, asset_id int, sensor1 double"), land)
-    s1 = files.evolving_schema(spark, land, loc)
-    assert [f.name for f in s1.fields] == ["event_time", "asset_id", "sensor1"]
-    files.write_landing(spark.createDataFrame([(t, 2, 2.5, 7.0)],
-                                              "event_time timestamp, asset_id int, sensor1 double, sensor2 double"), land)
-    s2 = files.evolving_schema(spark, land, loc)
-    assert [f.name for f in s2.fields] == ["event_time", "asset_id", "sensor1", "sensor2"]
-    assert files.load_schema(spark, loc) == s2
-    got = sorted((r.asset_id, r.sensor2) for r in
-                 spark.read.schema(s2).option("header", True).option("timestampFormat", files.TS_FORMAT)
-                 .csv(land).collect())
-    assert got == [(1, None), (2, 7.0)]
+def _land(spark, path, text):
+    """One CSV file as given."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("append").text(path)
+
+
+def test_files_of_any_width_and_order_in_one_landing_folder(spark):
+    """Narrow, wide and reordered files, all unread: every one is read by its own header, absent columns are NULL."""
+    root = scratch_path(spark, "t_width")
+    names = [f.name for f in READING_SCHEMA.fields]
+    one = lambda h, **more: {**{c: "1.5" for c in config.CHANNELS}, "event_time": f"2024-01-06T0{h}:00:00.000000Z", "asset_id": str(h), **more}
+    files_ = [(names, one(1)), (names[:4], one(2)), (names[::-1], one(3)), ([*names, "sensor10"], one(4, sensor10="7")),
+              (["sensor10", "note", *names[:3]], one(5, sensor10="8", note="ok"))]
+    for cols, row in files_:
+        _land(spark, f"{root}/landing", ",".join(cols) + "\n" + ",".join(row[c] for c in cols))
+    _land(spark, f"{root}/landing", "")
+    m = Medallion.evolving(spark, root)
+    m.run_available_now(gold=False)
+    got = {r.asset_id: r for r in m.bronze_table().collect()}
+    assert sorted(got) == [1, 2, 3, 4, 5]
+    assert [got[i].sensor10 for i in range(1, 6)] == [None, None, None, 7, 8] and got[5].note == "ok"
+    assert (got[2].sensor2, got[2].sensor3, got[3].sensor9, got[5].sensor1, got[5].sensor2) == (1.5, None, 1.5, 1.5, None)
+    assert m.silver_current().count() == 5
+
+
+def test_types_grow_with_later_files_and_no_file_is_read_twice(spark, monkeypatch):
+    """Whole numbers in the first files, decimals later, then text; a restart looks at new files only."""
+    root = scratch_path(spark, "t_types")
+    seen = []
+    plain = landing.by_header
+    monkeypatch.setattr(landing, "by_header", lambda s, paths, key: seen.extend(paths) or plain(s, paths, key))
+    row = lambda i, x: f"event_time,asset_id,sensor1,extra,blank\n2024-01-06T01:00:00.000000Z,{i},1.0,{x},"
+    for i in range(105):
+        _land(spark, f"{root}/landing", row(i, i))
+    Medallion.evolving(spark, root).run_available_now(gold=False)
+    kind = lambda m: dict(m.bronze_table().dtypes)
+    m = Medallion.evolving(spark, root)
+    assert kind(m)["extra"] == "int" and kind(m)["blank"] == "string" and len(seen) == 105
+    for i, x, want in ((200, 2.5, "double"), (201, 3_000_000_000, "double"), (202, "high", "string")):
+        before = len(seen)
+        _land(spark, f"{root}/landing", row(i, x))
+        m = Medallion.evolving(spark, root)  # a restart
+        m.run_available_now(gold=False)
+        assert kind(m)["extra"] == want and len(seen) == before + 1
+    got = {r.asset_id: r.extra for r in m.bronze_table().collect()}
+    assert len(got) == 108 and float(got[3]) == 3 and float(got[200]) == 2.5 and got[202] == "high"
+    assert sorted(m.remembered.versions()) == [0, 1, 2]
+
+
+def test_types_join_in_a_lattice():
+    from pyspark.sql import types as T
+
+    i, l, d, s, t, v = T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType(), T.TimestampType(), T.NullType()
+    for a, b, want in ((i, l, l), (l, d, d), (i, d, d), (d, i, d), (i, s, s), (t, d, s), (t, t, t), (v, t, t), (i, v, i), (v, v, v)):
+        assert landing.wider(a, b) == want == landing.wider(b, a)
+    old = T.StructType([T.StructField("a", i), T.StructField("b", s)])
+    assert landing.grown(old, T.StructType([T.StructField("c", t), T.StructField("A", d)])).simpleString() == "struct<a:double,b:string,c:timestamp>"
+
+
+def test_consumed_files_leave_the_landing_folder(spark):
+    root = scratch_path(spark, "t_archive")
+    from assetflow.sources.storage import Storage
+
+    names = lambda p: [n for n in Storage(spark).names(p) if n.endswith((".csv", ".txt"))]
+    for h in range(1, 4):
+        files.write_landing(spark.createDataFrame([_reading(dt.datetime(2024, 1, 6, h))], READING_SCHEMA).coalesce(1), f"{root}/landing")
+        m = Medallion(spark, root, archive=f"{root}_archive")
+        m.run_available_now(gold=False)
+    assert m.bronze_table().count() == 3 and m.silver_current().count() == 3
+    left = names(f"{root}/landing")
+    archived = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{root}_archive").select("path").count()
+    assert len(left) == 1 and archived == 2  # the last batch's file goes with the next one's commit
+
+
+def test_bronze_is_compacted_between_two_triggers(spark):
+    """Silver goes on over a compaction and a clean-up; no row is lost or comes twice; old versions stay readable."""
+    root = scratch_path(spark, "t_compact")
+    m = Medallion(spark, root, max_files=1)
+    rows = []
+    for h in range(6):
+        rows.append(_reading(dt.datetime(2024, 1, 6, h), asset=h % 2, v=float(h)))
+        files.write_landing(spark.createDataFrame([rows[-1]], READING_SCHEMA).coalesce(1), m.landing)
+    m.run_available_now(gold=False)
+    key = lambda df: sorted((r.event_time, r.asset_id, r.sensor1) for r in df.collect())
+    want = [(r[0], r[1], r[2]) for r in rows]
+    assert key(m.bronze_table()) == sorted(want) and m.table.files().count() == 6
+    assert m.compact_bronze(dt.date(2024, 1, 7)) == 6
+    assert key(m.bronze_table()) == sorted(want) and m.table.files().count() == 1
+    assert key(m.table.read(m.schemas(), version=-1)) == sorted(want)
+    late = _reading(dt.datetime(2024, 1, 6, 5, 30), asset=1, v=9.0)  # for a date that is compacted already
+    files.write_landing(spark.createDataFrame([late], READING_SCHEMA).coalesce(1), m.landing)
+    m.run_available_now(gold=False)
+    want.append((late[0], late[1], late[2]))
+    assert key(m.bronze_table()) == sorted(want) and m.table.files().count() == 2
+    assert m.clean_bronze(keep=1) == 0 and m.compact_bronze(dt.date(2024, 1, 7)) == 7
+    assert m.clean_bronze(keep=1) == 6 and key(m.bronze_table()) == sorted(want) and m.table.files().count() == 1
+    again = Medallion(spark, root)
+    again.run_available_now(gold=False)
+    assert key(again.bronze_table()) == sorted(want)
+    got = {(r.asset_id, r.window_start.hour): r.sensor1 for r in again.silver_current().collect()}
+    assert got == {(h % 2, h): float(h) for h in range(5)} | {(1, 5): 7.0}
+    assert m.compact_bronze(dt.date(2024, 1, 6)) == 0
 
 
 def test_idempotent_load_second_run_adds_nothing(spark):
@@ -169,32 +254,12 @@ def test_chain_keeps_bad_lines_in_bronze(spark):
                           ", ".join(f"{f.name} string" for f in READING_SCHEMA.fields))\
         .coalesce(1).write.mode("append").option("header", True).csv(m.landing)
     m.run_available_now(gold=False)
-    bronze = spark.read.parquet(m.bronze)
+    bronze = m.bronze_table()
     assert bronze.count() == 2
     assert bronze.where(F.col("_corrupt").isNotNull()).count() == 1
     assert m.silver_current().count() == 2  # the bad line's typed cells are NULL; its window still counts
 
 
-def test_restart_with_a_widened_schema(spark):
-    root = scratch_path(spark, "t_evolve")
-    land = f"{root}/landing"
-    first = spark.createDataFrame([_reading(dt.datetime(2024, 1, 6, 1, 0))], READING_SCHEMA)
-    files.write_landing(first, land)
-    m = Medallion.evolving(spark, root)
-    m.run_available_now(gold=False)
-    # a new device firmware adds a tenth channel at the end of the file
-    wide = first.withColumn("event_time", F.lit("2024-01-06 02:00:00").cast("timestamp"))\
-        .withColumn("sensor10", F.lit(5.0))
-    files.write_landing(wide, land)
-    m2 = Medallion.evolving(spark, root)
-    assert m2.schema.fieldNames()[-1] == "sensor10"
-    m2.run_available_now(gold=False)
-    got = {r.event_time.hour: r.sensor10 for r in
-           spark.read.option("mergeSchema", True).parquet(m2.bronze).collect()}
-    assert got == {1: None, 2: 5.0}
-    assert m2.silver_current().count() == 2
-
-
 def test_stream_start_keeps_the_session_setting(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     m = Medallion(spark, scratch_path(spark, "t_parts"), state_partitions=3)
@@ -221,26 +286,20 @@ def test_old_files_are_loaded_too(spark):
     assert spark.read.parquet(f"{root}/t").count() == 2
 
 
-def test_swapped_header_stops_the_stream(spark):
+def test_a_declared_schema_takes_no_other_columns(spark):
     import pytest
     from pyspark.errors import StreamingQueryException
 
-    m = Medallion(spark, scratch_path(spark, "t_swap"))
+    m = Medallion(spark, scratch_path(spark, "t_declared"))
     m.ensure_dirs()
-    names = [f.name for f in READING_SCHEMA.fields]
-    names[2], names[3] = names[3], names[2]
-    files.write_landing(spark.createDataFrame([_reading(dt.datetime(2024, 1, 4, 1, 0))], READING_SCHEMA).select(*names), m.landing)
+    good = spark.createDataFrame([_reading(dt.datetime(2024, 1, 4, 1, 0))], READING_SCHEMA)
+    files.write_landing(good.select(*reversed(good.columns)), m.landing)
+    m.run_available_now(gold=False)
+    assert m.bronze_table().count() == 1 and m.bronze_table().first().sensor1 == 1.0
+    files.write_landing(good.withColumn("unknown", F.lit(1)), m.landing)
     with pytest.raises(StreamingQueryException):
         m.run_available_now(gold=False)
-    assert m.bronze_table().count() == 0
-
-
-def test_growth_is_found_in_a_small_file(spark):
-    root = scratch_path(spark, "t_small")
-    t = dt.datetime(2024, 1, 1, 1, 0)
-    files.write_landing(spark.createDataFrame([(t, i, 1.5) for i in range(300)], "event_time timestamp, asset_id int, sensor1 double").coalesce(1), root)
-    files.write_landing(spark.createDataFrame([(t, 2, 2.5, 7.0)], "event_time timestamp, asset_id int, sensor1 double, sensor2 double"), root)
-    assert files.infer_schema(spark, root).fieldNames() == ["event_time", "asset_id", "sensor1", "sensor2"]
+    assert m.bronze_table().count() == 1
 
 
 class _Renewed(Medallion):
@@ -265,4 +324,5 @@ def test_a_fresh_checkpoint_writes_above_older_versions(spark):
     assert before < after and all(v > newest for v, _ in after - before)
     assert [r.sensor1 for r in m2.silver_current().collect()] == [34.0]
     # a restart goes on from where the checkpoint began
-    assert _Renewed(spark, root).first_version("silver", m2.silver) == newest + 1
+    m3 = _Renewed(spark, root)
+    assert m3.first_version("silver", m3.silver.newest_version) == newest + 1
