@@ -28,6 +28,8 @@ SWEEP_DECIMALS = 3
 # boosted trees: learning rate 0.5, column sample 0.5, depth 5; 10 rounds (no count is
 # given, and 10 is the boosting library's default round count)
 GBT_PARAMS = {"maxDepth": 5, "stepSize": 0.5, "featureSubsetStrategy": "0.5", "maxIter": 10}
+# L1 term of the boosted trees
+GBT_ALPHA = 10.0
 # hours per year used by the revenue formula
 HOURS_PER_YEAR = 24 * 365
 # ------------------------------------------------------------------------

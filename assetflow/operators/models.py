@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config
+from . import trees
 
 
 # --- split ---------------------------------------------------------------
@@ -160,11 +161,18 @@ def prediction(features: list[str]) -> Column:
 
 
 def score(df: DataFrame, coefs: DataFrame, group: list[str], features: list[str], out: str) -> DataFrame:
-    """Add ``out``: each row scored by its own group's model (NULL if it has none)."""
+    """Add ``out``: each row scored by its own group's model (NULL if it has none).
+
+    A model row is a line of coefficients or, where its column ``trees`` is set, an ensemble.
+    """
     keep = [c for c in df.columns if c != out]
-    cols = group + ["intercept"] + [f"b_{c}" for c in features] + [f"mean_{c}" for c in features]
+    mixed = "trees" in coefs.columns
+    cols = group + ["intercept"] + [f"b_{c}" for c in features] + [f"mean_{c}" for c in features] + (["trees"] if mixed else [])
     joined = df.select(*keep).join(coefs.select(*cols), group, "left")  # coefs: one row per group, sized at run time
-    return joined.select(*keep, prediction(features).alias(out))
+    p = prediction(features)
+    if mixed:
+        p = F.when(F.col("trees").isNotNull(), trees.prediction(features)).otherwise(p)
+    return joined.select(*keep, p.alias(out))
 
 
 # --- metrics, runs, selection ------------------------------------------------
@@ -235,9 +243,10 @@ def fit_trees(df: DataFrame, features: list[str], label: str, train: Column,
               params: dict = config.GBT_PARAMS, seed: int = 42):
     """One gradient-boosted tree ensemble for the whole fleet (MLlib, distributed).
 
-    Depth 5, learning rate 0.5, half the features per tree. MLlib trains one
-    model per fit, so this is the fleet (or group) model; the asset key can be
-    passed as a feature. NULL inputs are imputed with training means.
+    Depth 5, learning rate 0.5; half the features are drawn for each node (MLlib
+    has no sample per tree; ``operators.trees`` has). MLlib trains one model per
+    fit, so this is the fleet (or group) model. NULL inputs are imputed with
+    training means.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import Imputer, VectorAssembler

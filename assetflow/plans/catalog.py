@@ -88,6 +88,13 @@ def feature_table_by_name(spark, sf_dir):
     return _out(spark.sql("SELECT * FROM feature_table"))
 
 
+def feature_table_by_block(spark, sf_dir):
+    """The feature table for series of any length: rows numbered over periods, leads within blocks of rows."""
+    v = Views(spark, sf_dir)
+    base = v.materialized("feature_base", lambda: features.feature_base(v.gold, v.maintenance, v.as_of))
+    return _out(features.feature_table_by_block(base))
+
+
 def label_by_time(spark, sf_dir):
     v = Views(spark, sf_dir)
     return _out(features.label_by_time(features.feature_base(v.gold, v.maintenance, v.as_of)))
@@ -280,6 +287,18 @@ def best_model(spark, sf_dir):
     return _out(models.best_runs(runs, M.G))
 
 
+def boosting_rounds(spark, sf_dir):
+    """Train and held-out error of every asset's boosted trees for the output, by round."""
+    return _out(M.tree_models(Views(spark, sf_dir), M.OUTPUT_MODEL, M.OUT_LABEL)[1])
+
+
+def best_model_of_all(spark, sf_dir):
+    """The best run per asset for the output among the ridge fits and the boosted trees."""
+    v = Views(spark, sf_dir)
+    runs = M.candidates(v)[0].where(F.col("model") == M.OUTPUT_MODEL)
+    return _out(models.best_runs(runs.unionByName(M.tree_runs(M.tree_models(v, M.OUTPUT_MODEL, M.OUT_LABEL)[1], M.OUTPUT_MODEL)), M.G))
+
+
 def promoted_models(spark, sf_dir):
     return _out(M.registry(spark, sf_dir).stages())
 
@@ -400,6 +419,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feature_table": feature_table,
     "feature_table_by_name": feature_table_by_name,
     "label_by_time": label_by_time,
+    "feature_table_by_block": feature_table_by_block,
     "life_curve": life_curve,
     "split_counts": split_counts,
     "linear_model": linear_model,
@@ -410,6 +430,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_rmse": model_rmse,
     "best_model": best_model,
     "promoted_models": promoted_models,
+    "boosting_rounds": boosting_rounds,
+    "best_model_of_all": best_model_of_all,
     "group_model": group_model,
     "usage_cluster_model": usage_cluster_model,
     "feature_importance": feature_importance,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
-from ..operators import changelog, models, scenario
+from ..operators import changelog, models, scenario, trees
 from ..session import scratch_path
 from .views import Views
 
@@ -84,6 +84,22 @@ def candidates(v: Views, round_no: int = 0) -> tuple[DataFrame, DataFrame, DataF
     return runs, coefs, f
 
 
+def tree_models(v: Views, model: str, label: str, p: trees.Params = trees.Params()) -> tuple[DataFrame, DataFrame]:
+    """Boosted trees of every asset for a label: node rows, and train and held-out error by asset and round."""
+    memo = v.__dict__.setdefault("_trees", {})
+    if model not in memo:
+        memo[model] = trees.fit(training_frame(v), G, ["window_start"], config.FEATURES, label, p=p)
+    return memo[model]
+
+
+def tree_runs(errors: DataFrame, model: str, round_no: int = 0) -> DataFrame:
+    """The ensembles as runs like any other: error after the last round, no penalty."""
+    last = errors.groupBy(*G).agg(F.max_by(F.struct("train_rmse", "test_rmse"), "round").alias("_e")).select(*G, "_e.*")
+    run_id = F.concat_ws("-", F.lit(model), *[F.col(c).cast("string") for c in G], F.lit("trees"), F.lit(str(round_no)))
+    return last.select(run_id.alias("run_id"), F.lit(model).alias("model"), *G, F.lit(None).cast("double").alias("ridge"), F.lit("FINISHED").alias("status"),
+                       "train_rmse", "test_rmse", F.lit(int(round_no)).cast("long").alias("created_version"))
+
+
 class ModelStore:
     """The run log and the model registry as tables that are kept: one version per training round.
 
@@ -94,13 +110,28 @@ class ModelStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self._runs, self._registry = spark, f"{root}/runs", f"{root}/registry"
 
-    def record(self, v: Views, round_no: int = 0) -> None:
-        """Append the round's runs and register the best one per (model, asset) with its coefficients."""
+    def record(self, v: Views, round_no: int = 0, boosted: trees.Params | None = None) -> None:
+        """Append the round's runs and register the best one per (model, asset) with what it takes to score by it.
+
+        With ``boosted``, the assets' boosted trees compete with the ridge fits; a registered model is then a row
+        of coefficients or an ensemble of node rows.
+        """
         runs, coefs, _ = candidates(v, round_no)
+        coefs = coefs.withColumn("trees", F.lit(None).cast(trees.MODEL))
+        ensembles = None
+        if boosted:
+            for model, label in ((OUTPUT_MODEL, OUT_LABEL), (LIFE_MODEL, LIFE_LABEL)):
+                nodes, errors = tree_models(v, model, label, boosted)
+                runs = runs.unionByName(tree_runs(errors, model, round_no))
+                mine = trees.packed(nodes, G, config.FEATURES).withColumn("model", F.lit(model))
+                ensembles = mine if ensembles is None else ensembles.unionByName(mine)
         changelog.append_version(runs, self._runs, round_no)
         mine = self.runs().where(F.col("created_version") == round_no)
         best = models.best_runs(mine, G).select("model", *G, "ridge", "run_id")
-        changelog.append_version(coefs.join(best, ["model", *G, "ridge"], "inner"), self._registry, round_no)
+        chosen = coefs.join(best, ["model", *G, "ridge"], "inner")
+        if ensembles is not None:
+            chosen = chosen.unionByName(ensembles.join(best.where(F.col("ridge").isNull()), ["model", *G], "inner"), allowMissingColumns=True)
+        changelog.append_version(chosen, self._registry, round_no)
 
     def runs(self) -> DataFrame:
         return changelog.read_log(self.spark, self._runs).drop(*changelog.META)

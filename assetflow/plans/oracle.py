@@ -180,6 +180,7 @@ SQL: dict[str, str] = {
     "asset_age": _with("age") + "SELECT * FROM age",
     "feature_table": _with("feat") + f"SELECT {_r(FEAT_D)} FROM feat",
     "feature_table_by_name": _with("feat") + f"SELECT {_r(FEAT_D)} FROM feat",
+    "feature_table_by_block": _with("feat") + f"SELECT {_r(FEAT_D)} FROM feat",
     "label_by_time": _with("fbase") + f"""
       SELECT {_r(GOLD_D + ["output_6h_by_time"])} FROM (
         SELECT b.*, n.oil_output AS output_6h_by_time

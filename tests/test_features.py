@@ -101,3 +101,34 @@ def test_same_day_double_maintenance_repeats_the_reading(spark):
     # the fixture aggregates maintenance to one row per day first
     one = raw.groupBy("reading_date", "asset_id").agg(F.bool_or("maintenance").alias("maintenance"))
     assert [r.maintenance for r in enrich.gold_readings(hourly, out, one).collect()] == [True]
+
+
+def test_blocked_leads_equal_plain_ones_on_a_hot_series(spark):
+    """One asset with most rows, at one-minute windows, gaps and NULLs: the same labels, and no task near a whole series."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(6000).selectExpr("cast(case when id % 10 < 4 then 1 else 2 + id % 7 end as int) asset_id",
+                                        "timestamp_seconds(1704067200 + id * 60 + case when id > 3000 then 9000000 else 0 end) window_start",
+                                        "case when id % 11 = 0 then null else cast(id as double) end oil_output")
+    for n in (1, 72):
+        plain = rows.withColumns({"x": features.lead_rows("oil_output", n, "window_start"), "y": features.lead_rows("oil_output", n, "window_start", default_own=False)})
+        mine = features.leads_by_block(rows, {"x": ("oil_output", n, True), "y": ("oil_output", n, False)}, block=100)
+        key = lambda df: sorted(map(tuple, df.select("asset_id", "window_start", "oil_output", "x", "y").collect()), key=str)
+        assert key(plain) == key(mine)
+    past = features.leads_by_block(rows, {"x": ("oil_output", 10_000, True)}, block=100)
+    assert past.where("NOT x <=> oil_output").count() == 0
+    placed = features.numbered(rows)
+    want = rows.groupBy("asset_id").count().collect()
+    assert {(r.asset_id, r["count"]) for r in want} == {(r.asset_id, r.n) for r in placed.groupBy("asset_id").agg(F.max("_place").alias("n")).collect()}
+    assert placed.select("asset_id", "_place").distinct().count() == 6000
+
+
+def test_time_label_over_period_ends(spark):
+    """The label reaches into the next period; only rows exactly the horizon later count."""
+    import datetime as dt
+
+    t = dt.datetime(2024, 1, 31, 20)
+    rows = [(1, t + dt.timedelta(hours=h), float(h)) for h in range(12) if h != 9] + [(2, dt.datetime(2024, 2, 1, 2), 5.0)]
+    df = spark.createDataFrame(rows, "asset_id int, window_start timestamp, oil_output double")
+    got = {(r.asset_id, r.oil_output): r.output_6h_by_time for r in features.label_by_time(df).collect()}
+    assert got == {(1, float(h)): (float(h + 6) if h + 6 < 12 and h + 6 != 9 else None) for h in range(12) if h != 9} | {(2, 5.0): None}
