@@ -76,11 +76,6 @@ def current_from(base: DataFrame, log: DataFrame, keys: list[str], base_version:
     return current(base.select(*cols).unionByName(newer.select(*cols)), keys)
 
 
-def current_between(log: DataFrame, keys: list[str], date_col: str, lo, hi) -> DataFrame:
-    """``current`` restricted to a date range (the pruning bound of an upsert)."""
-    return current(log.where(F.col(date_col).between(F.lit(lo), F.lit(hi))), keys)
-
-
 def change_feed(log: DataFrame, keys: list[str], minimal: bool = False) -> DataFrame:
     """Typed changes: the first version of a key is an ``insert``; every later
     version gives an ``update_preimage`` (previous values) and an

@@ -1,7 +1,8 @@
 """The view stack over one data directory: each view a lazy DataFrame.
 
 This mirrors the chain readings -> hourly -> enriched -> gold -> age -> features.
-Nothing is materialised; Catalyst inlines the whole stack into each query.
+Only the maintenance history is stored when it is first used (three views read it);
+for the rest Catalyst inlines the whole stack into each query.
 """
 
 from __future__ import annotations
@@ -50,7 +51,8 @@ class Views:
 
     @cached_property
     def maintenance(self) -> DataFrame:
-        return fixtures.maintenance(self.spark, self.sf_dir)
+        """The maintenance history, stored once: the events it is found in are not scanned again by each of its uses."""
+        return self.materialized("maintenance", lambda: fixtures.maintenance(self.spark, self.sf_dir))
 
     @cached_property
     def hourly(self) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Structured Streaming: CSV landing -> bronze table -> silver change log -> gold change log."""
+"""Structured Streaming: CSV landing -> bronze -> silver -> gold."""
 
 from .medallion import Medallion, READING_SCHEMA
 

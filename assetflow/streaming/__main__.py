@@ -1,7 +1,7 @@
 """Run the bronze -> silver -> gold chain as a long-lived streaming job.
 
     python -m assetflow.streaming --root <shared folder> --assets <parquet metadata> \
-        [--trigger "1 minute"] [--max-files N] [--window "1 hour"] [--watermark "6 hours"]
+        [--trigger "1 minute"] [--max-files N] [--window "1 hour"] [--watermark "6 hours"] [--cores N] [--archive <folder>] [--evolve]
 
 Reading files land in ``<root>/landing``; tables and checkpoints live under
 ``<root>``. Every stage restarts from its checkpoint after a failure.
@@ -12,7 +12,7 @@ from __future__ import annotations
 import argparse
 
 from .. import config
-from ..session import build_session
+from ..session import build_session, scale_settings
 from .medallion import Medallion
 
 
@@ -25,10 +25,14 @@ def main() -> None:
     ap.add_argument("--window", default=config.WINDOW)
     ap.add_argument("--watermark", default=config.WATERMARK)
     ap.add_argument("--state-partitions", type=int, default=None)
+    ap.add_argument("--cores", type=int, default=None, help="cores of the cluster: settings for a large one, state in RocksDB")
+    ap.add_argument("--archive", default=None, help="folder that consumed landing files are moved to")
+    ap.add_argument("--evolve", action="store_true", help="take columns that are not declared")
     a = ap.parse_args()
-    spark = build_session(app="assetflow-streams")
+    spark = build_session(app="assetflow-streams", extra=scale_settings(a.cores) if a.cores else None)
     m = Medallion(spark, a.root, assets=lambda: spark.read.parquet(a.assets), length=a.window,
-                  watermark=a.watermark, max_files=a.max_files, state_partitions=a.state_partitions)
+                  watermark=a.watermark, max_files=a.max_files, state_partitions=a.state_partitions,
+                  archive=a.archive, evolve=a.evolve)
     m.start(trigger={"processingTime": a.trigger})
     spark.streams.awaitAnyTermination()
 
