@@ -31,6 +31,8 @@ LEAF = 100
 #: Share of all leaves that a query visits, and the least number for each tree.
 VISITED = 0.08
 LEAST_VISITED = 6
+#: Products of a leaf's rows and its queries worked out at a time; the k best of each such block stay.
+CELLS = 4 << 20
 #: Bytes of the vectors in a slice of a tree's leaves, about: what one task compares.
 SLICE = 32 << 20
 
@@ -184,15 +186,18 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, forest: list[Tree], r
             if not len(rows_):
                 continue
             qs = who[by_want[np.searchsorted(wanted[by_want], one):np.searchsorted(wanted[by_want], one, side="right")]]
-            s = y[qs] @ x[rows_].T
-            if len(rows_) > k:  # rounding differs by the shape of the product: keep what may be equal to the last
-                kth = -np.partition(-s, k - 1, axis=1)[:, k - 1]
-                qi, ri = np.nonzero(s >= kth[:, None] - 1e-9 * (1 + np.abs(kth[:, None])))
-            else:
-                qi, ri = np.nonzero(np.ones_like(s, bool))
-            q_all.append(qs[qi])
-            i_all.append(rows_[ri])
-            s_all.append(s[qi, ri])
+            across = min(len(rows_), CELLS // 64)
+            for a, b in ((a, b) for a in range(0, len(qs), CELLS // across) for b in range(0, len(rows_), across)):
+                ask, have_ = qs[a:a + CELLS // across], rows_[b:b + across]
+                s = y[ask] @ x[have_].T
+                if len(have_) > k:  # rounding differs by the shape of the product: keep what may be equal to the last
+                    kth = -np.partition(-s, k - 1, axis=1)[:, k - 1]
+                    qi, ri = np.nonzero(s >= kth[:, None] - 1e-9 * (1 + np.abs(kth[:, None])))
+                else:
+                    qi, ri = np.nonzero(np.ones_like(s, bool))
+                q_all.append(ask[qi])
+                i_all.append(have_[ri])
+                s_all.append(s[qi, ri])
         if not q_all:
             return pa.table(empty)
         q, i, s = np.concatenate(q_all), np.concatenate(i_all), np.concatenate(s_all)

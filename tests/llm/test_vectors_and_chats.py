@@ -103,20 +103,26 @@ def test_searches_on_awkward_vectors(vectors):
     assert topk.top(none, asks).count() == 0 and forest.nearest(none, asks).count() == 0
 
 
-def test_topk_bounds_hold_and_stop_early():
+def test_topk_reads_lists_until_outsiders_cannot_qualify():
+    """Equal to brute force for any batch; with few large components most of the lists is left unread."""
     rng = np.random.default_rng(3)
-    x, q = np.floor(1024 * rng.normal(size=(500, 6))), np.floor(1024 * rng.normal(size=(7, 6)))
-    s = q @ x.T
-    for depth in (1, 50, 250, 500):
-        low, high = topk.bounds(x, np.sort(x, axis=0), q, depth)
-        assert (low <= s).all() and (s <= high).all()
-    assert np.array_equal(low, s) and np.array_equal(high, s)
-    ids = np.arange(500)
-    for depths in ((1.0,), (0.05, 0.1, 0.2, 0.4, 1.0)):
-        at, row, score = topk.best_rows(x, ids, q, np.full(7, -1), 10, depths)
-        for i in range(7):
-            o = np.lexsort((ids, -s[i]))[:10]
-            assert row[at == i].tolist() == o.tolist() and score[at == i].tolist() == s[i][o].tolist()
+    plain, skewed = np.floor(1024 * rng.normal(size=(700, 6))), np.floor(np.exp(3 * rng.normal(size=(3000, 6))) * 4)
+    ties = np.repeat(np.floor(3 * rng.normal(size=(40, 4))), 10, axis=0)
+    for x, most in ((plain, 1.0), (skewed, 0.5), (ties, 1.0)):
+        lists, ids = topk.Lists(x), rng.permutation(len(x))
+        q = np.vstack([x[:6], np.zeros(x.shape[1]), -x[7]])
+        own = np.append(ids[:6], [-1, -1])
+        s = q @ x.T
+        depths = []
+        for batch in (1, 7, 256, 10_000):
+            at, row, score = topk.best_rows(lists, ids, q, own, 10, batch)
+            for i in range(len(q)):
+                o = [j for j in np.lexsort((ids, -s[i])) if ids[j] != own[i]][:10]
+                assert row[at == i].tolist() == o and score[at == i].tolist() == s[i][o].tolist()
+        for i in range(6):
+            alive, depth = topk.candidates(lists, q[i], 10, np.flatnonzero(ids == own[i]), 50)
+            depths.append(depth / len(x))
+        assert np.mean(depths) <= most
 
 
 # --- chats ------------------------------------------------------------------------------------
