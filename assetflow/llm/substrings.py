@@ -95,7 +95,9 @@ def refine(body: np.ndarray, end: np.ndarray, starts: np.ndarray, length: int =
 
     ``end``: for each byte, where its own item ends; strings don't cross. Bucket identifiers
     of depth d are refined to 2d by sorting on (identifier here, identifier d later); only
-    buckets of several positions are sorted, the others keep their identifier.
+    buckets of several positions are sorted, the others keep their identifier. Updated
+    identifiers are reused from one depth to the next, not within a depth: one that is refined
+    further than its depth would tell apart strings that agree in all of their ``length`` bytes.
     """
     n = len(body)
     room = end - np.arange(n)
