@@ -32,7 +32,8 @@ FOLD = "_fold"
 
 class KeyedTable:
     def __init__(self, spark: SparkSession, root: str, fields: list[T.StructField], keys: list[str], date: str = "reading_date",
-                 fold_every: int = 4):
+                 fold_every: int = 4, with_feed: bool = True):
+        self.with_feed = with_feed  # a table that nobody follows needs no feed
         self.spark, self.root, self.store = spark, root.rstrip("/"), Storage(spark)
         self.keys, self.date, self.fold_every = keys, date, fold_every
         self.fields = list(fields)
@@ -139,7 +140,7 @@ class KeyedTable:
             given = rows if DELETED in rows.columns else rows.withColumn(DELETED, F.lit(False))
             if not self._put(given.select(*self.columns, DELETED, F.current_timestamp().alias(TIMESTAMP)), "log", version):
                 return True
-        if not self.store.exists(self._at("feed", version)):
+        if self.with_feed and not self.store.exists(self._at("feed", version)):
             self._put(self._changes(version, minimal).drop(VERSION), "feed", version)
         if len([v for v in self._numbers("log") if v > self.folded()]) >= self.fold_every:
             self.fold()

@@ -32,6 +32,24 @@ def sweep_grid(payload: DataFrame, column: str = "sensor1", start: float = confi
     return g.withColumn(column, F.round(F.lit(start) + F.col("setting") * F.lit(step), decimals))
 
 
+def own_ranges(rows: DataFrame, column: str = "sensor1", group: list[str] = ["asset_id"]) -> DataFrame:
+    """Per asset the least and greatest value it has run at: ``low``, ``high``."""
+    return rows.groupBy(*group).agg(F.min(column).alias("low"), F.max(column).alias("high"))
+
+
+def own_range_grid(payload: DataFrame, ranges: DataFrame, column: str = "sensor1", points: int = config.SWEEP_POINTS,
+                   decimals: int = config.SWEEP_DECIMALS, group: list[str] = ["asset_id"]) -> DataFrame:
+    """One row per (asset, setting) with settings evenly spaced over the asset's own range, ends included.
+
+    A fixed grid may lie where an asset never runs, and a model is then asked about what it has not seen.
+    """
+    step = (F.col("high") - F.col("low")) / F.lit(points - 1)
+    rest = [c for c in payload.columns if c != column]
+    i = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("setting")
+    g = payload.select(*rest).join(ranges, group).select(*rest, "low", step.alias("_step"), i)
+    return g.withColumn(column, F.round(F.col("low") + F.col("setting") * F.col("_step"), decimals)).drop("low", "_step")
+
+
 def sweep_predictions(grid: DataFrame, output_coefs: DataFrame, life_coefs: DataFrame,
                       features: list[str] = config.FEATURES, group: list[str] = ["asset_id"]) -> DataFrame:
     """Expected output from the output model and expected life from the life model."""

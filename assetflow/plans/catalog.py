@@ -375,6 +375,11 @@ def optimal_setting(spark, sf_dir):
     return _out(scenario.optimal_setting(_profit(Views(spark, sf_dir))))
 
 
+def optimal_setting_own_range(spark, sf_dir):
+    """The best setting of each asset within the range it has run at."""
+    return _out(scenario.optimal_setting(scenario.profit(_out(M.sweep(Views(spark, sf_dir), own_range=True)))))
+
+
 def fleet_kpis(spark, sf_dir):
     v = Views(spark, sf_dir)
     return _out(scenario.fleet_kpis(scenario.optimal_setting(_profit(v)), v.assets))
@@ -441,6 +446,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sweep_predictions": sweep_predictions,
     "profit_curve": profit_curve,
     "optimal_setting": optimal_setting,
+    "optimal_setting_own_range": optimal_setting_own_range,
     "fleet_kpis": fleet_kpis,
     "compacted_rows": compacted_rows,
 }

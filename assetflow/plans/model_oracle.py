@@ -107,25 +107,39 @@ _RMSE = {"train_rmse": DIGITS, "test_rmse": DIGITS}
 _MONEY = {"revenue": DIGITS, "cost": DIGITS, "profit": DIGITS}
 _PRED = {"expected_output": DIGITS, "expected_life": DIGITS}
 _BEST = [_train()] + _best("ob", "train", OUT_MODEL, OUT, 0) + _best("lb", "train", LIFE_MODEL, LIFE, 0)
-_SWEEP = _BEST + [
-    "oprom AS (SELECT * FROM ob_fit SEMI JOIN ob USING (asset_id, ridge))",
-    "lprom AS (SELECT * FROM lb_fit SEMI JOIN lb USING (asset_id, ridge))",
-    f"""grid AS (
+_NEWEST = "(SELECT * FROM train QUALIFY row_number() OVER (PARTITION BY asset_id ORDER BY window_start DESC) = 1) newest"
+_FIXED_GRID = f"""grid AS (
       SELECT newest.* REPLACE (round(CAST({config.SWEEP_START} AS DOUBLE) + place * CAST({config.SWEEP_STEP} AS DOUBLE),
                                      {config.SWEEP_DECIMALS}) AS sensor1), CAST(place AS INTEGER) AS setting
-      FROM (SELECT * FROM train QUALIFY row_number() OVER (PARTITION BY asset_id ORDER BY window_start DESC) = 1) newest,
-           range(0, {config.SWEEP_POINTS}) s(place))""",
-    _scored("grid_o", "grid", "oprom", "asset_id", "expected_output"),
-    _scored("swept", "grid_o", "lprom", "asset_id", "expected_life")]
+      FROM {_NEWEST}, range(0, {config.SWEEP_POINTS}) s(place))"""
+_OWN_GRID = f"""grid AS (
+      SELECT newest.* REPLACE (round(r.low + place * ((r.high - r.low) / {config.SWEEP_POINTS - 1}), {config.SWEEP_DECIMALS}) AS sensor1),
+             CAST(place AS INTEGER) AS setting
+      FROM {_NEWEST} JOIN (SELECT asset_id, min(sensor1) AS low, max(sensor1) AS high FROM train GROUP BY asset_id) r USING (asset_id),
+           range(0, {config.SWEEP_POINTS}) s(place))"""
+
+
+def _swept(grid: str) -> list[str]:
+    return _BEST + [
+        "oprom AS (SELECT * FROM ob_fit SEMI JOIN ob USING (asset_id, ridge))",
+        "lprom AS (SELECT * FROM lb_fit SEMI JOIN lb USING (asset_id, ridge))",
+        grid,
+        _scored("grid_o", "grid", "oprom", "asset_id", "expected_output"),
+        _scored("swept", "grid_o", "lprom", "asset_id", "expected_life")]
+
+
+_SWEEP = _swept(_FIXED_GRID)
 # money follows from the predictions as reported
-_PROFIT = _SWEEP + [f"reported AS MATERIALIZED ({_select('swept', _PRED)})", f"""curve AS MATERIALIZED (
+_MONEY_STEPS = [f"reported AS MATERIALIZED ({_select('swept', _PRED)})", f"""curve AS MATERIALIZED (
       SELECT *, revenue - cost AS profit FROM (
         SELECT *, expected_output * {float(config.HOURS_PER_YEAR)} * {float(config.PRICE)} AS revenue,
                CASE WHEN expected_life > 0 THEN revenue / expected_life END AS cost FROM reported))"""]
-_OPTIMUM = _PROFIT + ["""optimum AS MATERIALIZED (
+_BEST_SETTING = """optimum AS MATERIALIZED (
       SELECT asset_id, sensor1 AS best_setting, expected_output, expected_life, revenue, cost, profit
       FROM curve WHERE profit IS NOT NULL
-      QUALIFY row_number() OVER (PARTITION BY asset_id ORDER BY profit DESC, sensor1) = 1)"""]
+      QUALIFY row_number() OVER (PARTITION BY asset_id ORDER BY profit DESC, sensor1) = 1)"""
+_PROFIT = _SWEEP + _MONEY_STEPS
+_OPTIMUM = _PROFIT + [_BEST_SETTING]
 _ASSET = "asset AS (" + _with("asset") + " SELECT * FROM asset)"
 
 
@@ -168,6 +182,7 @@ SQL: dict[str, str] = {
     "sweep_predictions": _sql(_SWEEP, _select("swept", _PRED, _INPUTS + [OUT])),
     "profit_curve": _sql(_PROFIT, _select("curve", {**_PRED, **_MONEY}, _INPUTS + [OUT])),
     "optimal_setting": _sql(_OPTIMUM, _select("optimum", {**_PRED, **_MONEY}, ["best_setting"])),
+    "optimal_setting_own_range": _sql(_swept(_OWN_GRID) + _MONEY_STEPS + [_BEST_SETTING], _select("optimum", {**_PRED, **_MONEY}, ["best_setting"])),
     "fleet_kpis": _sql(_OPTIMUM + [_ASSET], _select("""(
       SELECT region, count(*) AS assets, sum(profit) AS total_profit, avg(profit) AS mean_profit, avg(expected_life) AS mean_life
       FROM optimum JOIN asset USING (asset_id) GROUP BY region)""", {"total_profit": DIGITS, "mean_profit": DIGITS, "mean_life": DIGITS})),

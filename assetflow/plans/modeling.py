@@ -154,10 +154,14 @@ def registry(spark: SparkSession, sf_dir: str) -> ModelStore:
     return store
 
 
-def sweep(v: Views, store: ModelStore | None = None) -> DataFrame:
-    """The sweep scored by the store's Production models (default: a store with one round on ``v``)."""
+def sweep(v: Views, store: ModelStore | None = None, own_range: bool = False) -> DataFrame:
+    """The sweep scored by the store's Production models (default: a store with one round on ``v``).
+
+    Over the fixed grid, or over the range that each asset has run at.
+    """
     if store is None:
         store = ModelStore(v.spark, scratch_path(v.spark, "models"))
         store.record(v)
-    grid = scenario.sweep_grid(scenario.latest_payload(training_frame(v)))
+    payload = scenario.latest_payload(training_frame(v))
+    grid = scenario.own_range_grid(payload, scenario.own_ranges(training_frame(v))) if own_range else scenario.sweep_grid(payload)
     return scenario.sweep_predictions(grid, store.production(OUTPUT_MODEL), store.production(LIFE_MODEL))

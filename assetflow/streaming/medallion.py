@@ -67,7 +67,7 @@ class Medallion:
                  live: dict[str, tuple[str | Callable[[DataFrame], DataFrame], list[str]]] | None = None, gold_from_version: int = 0,
                  corrupt_column: str | None = None, state_partitions: int | None = None,
                  evolve: bool = False, archive: str | None = None, fold_every: int = 4,
-                 gold_table: str | None = None):
+                 gold_table: str | None = None, gold_feed: bool = False):
         self.spark, self.root = spark, root.rstrip("/")
         self.store = Storage(spark)
         self.assets, self.length, self.watermark = assets, length, watermark
@@ -75,7 +75,7 @@ class Medallion:
         self.landing = f"{self.root}/landing"
         self.bronze = f"{self.root}/bronze"
         self.silver = KeyedTable(spark, f"{self.root}/silver", SILVER_FIELDS, KEYS, fold_every=fold_every)
-        self.gold = KeyedTable(spark, f"{self.root}/gold", SILVER_FIELDS + ASSET_FIELDS, KEYS, fold_every=fold_every)
+        self.gold = KeyedTable(spark, f"{self.root}/gold", SILVER_FIELDS + ASSET_FIELDS, KEYS, fold_every=fold_every, with_feed=gold_feed)
         self.queries: dict[str, StreamingQuery] = {}
         self._first: dict[str, int] = {}
         # name -> (SQL over the view "sensor_stream" or a function of its frame, group keys): live aggregates

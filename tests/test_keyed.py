@@ -113,7 +113,8 @@ def test_newest_change_of_a_slice(spark):
 def test_gold_follows_deletes_and_fills_the_catalog_table(spark):
     """Deletes in silver reach gold; gold's current rows are in the declared table of the catalog."""
     spark.sql(f"CREATE DATABASE keyed_test LOCATION '{scratch_path(spark, 't_catalog')}'")
-    m = Medallion(spark, scratch_path(spark, "t_gold"), assets=lambda: fixtures.assets(spark, SF_SMALL), gold_table="keyed_test.enriched_readings", fold_every=2)
+    m = Medallion(spark, scratch_path(spark, "t_gold"), assets=lambda: fixtures.assets(spark, SF_SMALL), gold_table="keyed_test.enriched_readings", gold_feed=True,
+                  fold_every=2)
     ids = [r.asset_id for r in fixtures.assets(spark, SF_SMALL).orderBy("asset_id").limit(2).collect()]
     t0 = dt.datetime(2024, 1, 6, 1)
     rows = [(t0 + dt.timedelta(days=d), a) + (float(d),) * 9 for d in range(2) for a in ids]
