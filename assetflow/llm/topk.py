@@ -23,7 +23,7 @@ SCALE = 1024
 #: Queries and rows that one task compares.
 QUERIES, ROWS = 4096, 8192
 #: Entries of each list read between two looks at the bounds.
-BATCH = 256
+BATCH = 512
 
 
 class Lists:
@@ -68,7 +68,8 @@ def candidates(lists: Lists, q: np.ndarray, k: int, own: np.ndarray, batch: int
                 unseen[rows, place[d]] = 0
                 last[place[d]] = gain[-1]
         depth = end
-        rest = unseen[alive] @ np.stack([least, last], axis=1)
+        ends = np.stack([least, last], axis=1)
+        rest = (unseen @ ends)[alive] if 8 * len(alive) > n else unseen[alive] @ ends
         lower, upper = total[alive] + rest[:, 0], total[alive] + rest[:, 1]
         kth = -np.partition(-lower, k - 1)[k - 1] if len(alive) > k else -np.inf
         alive = alive[upper >= kth]
