@@ -1,10 +1,12 @@
 """Gradient-boosted trees for every asset at once, by histograms.
 
-Each asset has its own ensemble, and all of them grow together: per level ONE
+Each asset has its own ensemble. Assets of at most ``LOCAL_ROWS`` rows are dealt to blocks of about
+``BLOCK_ROWS``, and one task grows all trees of a block's assets together, level by level, from dense histograms
+(``grow``): one job, however many trees and levels. Longer assets grow together over all tasks: per level ONE
 ``groupBy(asset, node, feature, bin)`` over the training rows sums counts and gradients (a partial aggregate,
 so an asset with a third of all rows is combined inside every input partition), window sums over the at most
-``BINS`` bins of a node's feature give the gain of every split, and ``max_by`` takes the best one. No asset's
-rows meet in one task, and no Python runs.
+``BINS`` bins of a node's feature give the gain of every split, and ``max_by`` takes the best one. Their rows
+never meet in one task. Both ways take the same splits.
 
 Squared error; gradients are prediction minus label. With G and n the gradient sum and rows of a node,
 ``T(G) = sign(G) max(|G| - alpha, 0)``:
@@ -21,6 +23,8 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +36,11 @@ MODEL = "array<struct<round:int,nodes:map<int,struct<feature:int,cut:double,valu
 #: Cuts of a feature, at most: bin 0 is NULL, bin i the values up to cut i, the last one those above all cuts.
 BINS = 32
 LEFT = 0
+#: Rows of an asset whose trees one task may grow, at most, and rows of a task's block of such assets, about.
+LOCAL_ROWS = 50_000
+BLOCK_ROWS = 16_384
+#: What a block returns: a node's row, or (without a node) the error after a round.
+_GROWN = ("_group long, round int, node int, feature int, bin int, value double, n long, gain double, train_rmse double, test_rmse double")
 
 
 class Params(NamedTuple):
@@ -105,7 +114,122 @@ def _as_map(splits: DataFrame, group: list[str], fields: list[str], name: str) -
     return splits.groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct(F.col("node"), F.struct(*fields)))).alias(name))
 
 
-def fit(rows: DataFrame, group: list[str], key: list[str], features: list[str], label: str, test: str = "is_test", p: Params = Params()) -> tuple[DataFrame, DataFrame]:
+def grow(bins: np.ndarray, at: np.ndarray, y: np.ndarray, test: np.ndarray, start: np.ndarray, picks: np.ndarray, p: Params) -> tuple[dict, dict]:
+    """Node columns and error columns of the ensembles of several groups of rows, grown side by side.
+
+    ``at``: the number of each row's group; ``start``: the groups' mean labels; ``picks``: by group and round, the
+    features of its tree, rising. A level's histogram has a line for each node that can still be split.
+    """
+    m, width, size = len(start), BINS + 1, 1 << (p.depth + 1)
+    shrunk = lambda g: np.sign(g) * np.maximum(np.abs(g) - p.alpha, 0.0)
+    score = lambda g, n: shrunk(g) ** 2 / (n + p.l2)
+    value = lambda g, n: -p.rate * shrunk(g) / (n + p.l2)
+    train = np.flatnonzero(~test)
+    f = start[at]
+    nodes: dict[str, list] = {c: [] for c in ("group", "round", "node", "feature", "bin", "value", "n", "gain")}
+    errors: dict[str, list] = {c: [] for c in ("group", "round", "train_rmse", "test_rmse")}
+
+    def note(r: int) -> None:
+        errors["group"].append(np.arange(m))
+        errors["round"].append(np.full(m, r))
+        for name, part in (("train_rmse", train), ("test_rmse", np.flatnonzero(test))):
+            n = np.bincount(at[part], minlength=m)
+            errors[name].append(np.sqrt(np.bincount(at[part], weights=(f[part] - y[part]) ** 2, minlength=m) / np.where(n > 0, n, np.nan)))
+
+    def add(r: int, **columns: np.ndarray) -> None:
+        n = len(columns["node"])
+        for c in nodes:
+            nodes[c].append(np.full(n, r) if c == "round" else columns.get(c, np.full(n, np.nan)))
+
+    note(0)
+    for r in range(1, p.rounds + 1):
+        g = f - y
+        feature, cut, leaf = np.full((m, size), -1), np.zeros((m, size), np.int64), np.zeros((m, size))
+        row, node = train, np.ones(len(train), np.int64)
+        for level in range(p.depth):
+            key = (at[row] << level) + node - (1 << level)
+            count = np.bincount(key, minlength=m << level)
+            open_ = np.flatnonzero(count >= max(2, 2 * p.least_rows))
+            line = np.full(m << level, -1)
+            line[open_] = np.arange(len(open_))
+            line = line[key]
+            row, line = row[line >= 0], line[line >= 0]
+            if not len(row):
+                break
+            group, name = open_ >> level, (open_ & ((1 << level) - 1)) + (1 << level)
+            pick = picks[group, r - 1]
+            k = pick.shape[1]
+            cell = ((line[:, None] * k + np.arange(k)) * width + bins[row[:, None], pick[line]]).ravel()
+            cells = len(open_) * k * width
+            nl = np.bincount(cell, minlength=cells).reshape(-1, k, width).cumsum(axis=2)
+            gl = np.bincount(cell, weights=np.repeat(g[row], k), minlength=cells).reshape(-1, k, width).cumsum(axis=2)
+            n, whole = nl[:, :, -1:], gl[:, :, -1:]
+            gain = np.round(score(gl, nl) + score(whole - gl, n - nl) - score(whole, n), 9)
+            gain[(nl < p.least_rows) | (n - nl < p.least_rows)] = -np.inf
+            # the first of equal ones has the least feature, then the least bin
+            best = gain.reshape(len(open_), -1).argmax(axis=1)
+            line_no = np.arange(len(open_))
+            i, b = best // width, best % width
+            has = gain[line_no, i, b] > 1e-9
+            w, i, b = line_no[has], i[has], b[has]
+            feature[group[w], name[w]], cut[group[w], name[w]] = pick[w, i], b
+            add(r, group=group[w], node=name[w], feature=pick[w, i], bin=b, n=n[w, i, 0], gain=gain[w, i, b])
+            for child, cn, cg in ((0, nl[w, i, b], gl[w, i, b]), (1, n[w, i, 0] - nl[w, i, b], whole[w, i, 0] - gl[w, i, b])):
+                leaf[group[w], 2 * name[w] + child] = value(cg, cn)
+                # a child that is split later counts as an inner node, its value is not looked up
+                add(r, group=group[w], node=2 * name[w] + child, value=value(cg, cn), n=cn)
+            row, line = row[has[line]], line[has[line]]
+            node = 2 * name[line] + (bins[row, feature[group[line], name[line]]] > cut[group[line], name[line]])
+        end = np.ones(len(f), np.int64)
+        for _ in range(p.depth):
+            chosen = feature[at, end]
+            end = np.where(chosen >= 0, 2 * end + (bins[np.arange(len(f)), np.maximum(chosen, 0)] > cut[at, end]), end)
+        f = f + leaf[at, end]
+        note(r)
+    out = {c: np.concatenate(v) if v else np.zeros(0) for c, v in nodes.items()}
+    # of a node's two rows, the one it got as a child and the one of its split, the split's
+    inner = ~np.isnan(out["feature"])
+    code = lambda s: (out["group"][s].astype(np.int64) * (p.rounds + 1) + out["round"][s].astype(np.int64)) * size + out["node"][s].astype(np.int64)
+    kept = inner.copy()
+    kept[~inner] = ~np.isin(code(~inner), code(inner))
+    return {c: v[kept] for c, v in out.items()}, {c: np.concatenate(v) for c, v in errors.items()}
+
+
+def _grown(rows: DataFrame, head: DataFrame, group: list[str], blocks: int, p: Params) -> DataFrame:
+    """The ensembles of groups that each fit a task, one task a block of groups (see ``_GROWN``)."""
+    block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
+    have = rows.select(block("_group").alias("_block"), "_group", "_y", "_test", "bins")
+    heads = head.select(F.col("_group").alias("_of"), "_f", "_picks").withColumn("_in", block("_of"))
+    null = lambda v, t: pa.array(v, t, from_pandas=True)
+
+    def build(left: pa.Table, right: pa.Table) -> pa.Table:
+        schema = [("_group", pa.int64()), ("round", pa.int32()), ("node", pa.int32()), ("feature", pa.int32()), ("bin", pa.int32()), ("value", pa.float64()),
+                  ("n", pa.int64()), ("gain", pa.float64()), ("train_rmse", pa.float64()), ("test_rmse", pa.float64())]
+        if not left.num_rows or not right.num_rows:
+            return pa.table([pa.array([], t) for _, t in schema], names=[c for c, _ in schema])
+        ids = right.column("_of").to_numpy()
+        by = np.argsort(ids)
+        at = by[np.searchsorted(ids, left.column("_group").to_numpy(), sorter=by)]
+        bins = left.column("bins").combine_chunks().flatten().to_numpy().reshape(left.num_rows, -1)
+        picks = np.sort(right.column("_picks").combine_chunks().flatten().flatten().to_numpy().reshape(len(ids), p.rounds, -1), axis=2)
+        nodes, errors = grow(bins, at, left.column("_y").to_numpy(), left.column("_test").to_numpy(), right.column("_f").to_numpy(), picks, p)
+        n, e = len(nodes["node"]), len(errors["round"])
+        out = []
+        for c, t in schema:
+            source = "group" if c == "_group" else c
+            parts = [d[source] if source in d else np.full(size, np.nan) for d, size in ((nodes, n), (errors, e))]
+            if c == "_group":
+                parts = [ids[v.astype(np.int64)] for v in parts]
+                out.append(pa.array(np.concatenate(parts), t))
+            else:
+                out.append(pa.concat_arrays([null(v, pa.float64()).cast(t) for v in parts]))
+        return pa.table(out, names=[c for c, _ in schema])
+
+    return have.groupBy("_block").cogroup(heads.groupBy("_in")).applyInArrow(build, _GROWN)
+
+
+def fit(rows: DataFrame, group: list[str], key: list[str], features: list[str], label: str, test: str = "is_test", p: Params = Params(),
+        local_rows: int = LOCAL_ROWS) -> tuple[DataFrame, DataFrame]:
     """Node rows of every group's ensemble, and the error per group and round.
 
     ``rows`` hold the group, a key within it, the features, the label and ``test``; those with a NULL label, and
@@ -115,8 +239,9 @@ def fit(rows: DataFrame, group: list[str], key: list[str], features: list[str],
       2i + 1), feature, cut, is_leaf, value, n, gain;
     * errors: group, round, train_rmse, test_rmse after that many trees.
 
-    Every level is one job over the stored rows; splits and predictions are stored as they come, so a lost
-    executor costs a task and not the levels before.
+    Groups of at most ``local_rows`` rows take one job, of which a lost executor costs a task. Where there are
+    longer ones, every level of theirs is one job over their stored rows; splits and predictions are stored as
+    they come, so a lost executor costs a task and not the levels before.
     """
     spark = rows.sparkSession
     root = scratch_path(spark, "trees")
@@ -128,27 +253,52 @@ def fit(rows: DataFrame, group: list[str], key: list[str], features: list[str],
     known = rows.where(F.col(label).isNotNull()).select(*group, *key, *[F.col(c).cast("double").alias(c) for c in features],
                                                         F.col(label).cast("double").alias("_y"), F.coalesce(F.col(test), F.lit(False)).alias("_test"))
     edges = stored(cuts(known.where("NOT _test"), group, features), "cuts")
-    start = stored(known.where("NOT _test").groupBy(*group).agg(F.avg("_y").alias("_f"), F.count(F.lit(1)).alias("n")), "start")
-    state = stored(binned(known, edges, group, features).join(start.drop("n"), group).select(*group, "_y", "_test", "bins", "_f"), "round=0")
-    errors = [_errors(state, group, 0)]
+    fitted = F.when(~F.col("_test"), F.col("_y"))
+    start = stored(known.groupBy(*group).agg(F.avg(fitted).alias("_f"), F.count(fitted).alias("n"), F.count(F.lit(1)).alias("_rows")).where("n > 0"), "start")
+    picks = F.array(*[sampled(group, r, len(features), p) for r in range(1, p.rounds + 1)])
+    head = stored(edges.join(start, group).withColumn("_picks", picks).withColumn("_group", F.monotonically_increasing_id()), "head")
+    short = F.col("_rows") <= local_rows
+    size = head.agg(F.coalesce(F.sum(F.when(short, F.col("_rows"))), F.lit(0)).alias("local"), F.count_if(~short).alias("long")).first()
     nodes = [start.select(*group, F.lit(0).alias("round"), F.lit(0).alias("node"), F.lit(None).cast("int").alias("feature"), F.lit(None).cast("double").alias("cut"),
                           F.lit(True).alias("is_leaf"), F.col("_f").alias("value"), "n", F.lit(None).cast("double").alias("gain"))]
+    errors = []
+    if size["local"] or not size["long"]:
+        near = head.where(short)
+        state = binned(known, near.select(*group, "_group", "cuts"), group, features)
+        grown = stored(_grown(state, near, group, -(-size["local"] // BLOCK_ROWS) or 1, p), "grown")
+        named = grown.join(near.select(*group, "_group", "cuts"), "_group")
+        nodes.append(named.where(F.col("node").isNotNull()).select(*group, "round", "node", "feature", _cut().alias("cut"), F.col("feature").isNull().alias("is_leaf"), "value", "n", "gain"))
+        errors.append(grown.where(F.col("node").isNull()).join(near.select(*group, "_group"), "_group").select(*group, "round", "train_rmse", "test_rmse"))
+    if size["long"]:
+        more_nodes, more_errors = _by_level(known, head.where(~short), group, features, p, stored)
+        nodes, errors = nodes + more_nodes, errors + more_errors
+    return _union(nodes), _union(errors)
+
+
+def _by_level(known: DataFrame, head: DataFrame, group: list[str], features: list[str], p: Params, stored) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Node rows by round and errors by round of groups that no task may hold, by one job a level."""
+    edges = head.select(*group, "cuts")
+    state = stored(binned(known, head.select(*group, "cuts", "_f"), group, features).select(*group, "_y", "_test", "bins", "_f"), "round=0")
+    errors, nodes = [_errors(state, group, 0)], []
     for r in range(1, p.rounds + 1):
         splits = None
+        picks = head.select(*group, F.col("_picks")[r - 1].alias("_pick"))
         for level in range(p.depth):
-            at = state.where("NOT _test").withColumn("node", F.lit(1))
-            if splits is not None:
+            at = state.where("NOT _test").join(picks, group)
+            if splits is None:
+                at = at.withColumn("node", F.lit(1))
+            else:
                 tree = _as_map(splits, group, ["feature", "bin"], "_tree")
-                at = (state.where("NOT _test").join(tree, group).withColumn("node", _walk(
+                at = (at.join(tree, group).withColumn("node", _walk(
                     F.col("_tree"), level, lambda s: (F.get(F.col("bins"), s["feature"]) > s["bin"]).cast("int"))).where(F.col("node") >= 1 << level))
-            some = F.explode(F.transform(sampled(group, r, len(features), p), lambda i: F.struct(i.alias("feature"), F.get(F.col("bins"), i).alias("bin"))))
+            some = F.explode(F.transform("_pick", lambda i: F.struct(i.alias("feature"), F.get(F.col("bins"), i).alias("bin"))))
             hist = (at.select(*group, "node", (F.col("_f") - F.col("_y")).alias("g"), some.alias("_s"))
                     .groupBy(*group, "node", F.col("_s.feature").alias("feature"), F.col("_s.bin").alias("bin"))
                     .agg(F.count(F.lit(1)).alias("n"), F.sum("g").alias("g")))
             found = stored(best_splits(hist, group, p), f"splits-{r}-{level}")
             splits = found if splits is None else splits.unionByName(found)
         tree = stored(_nodes(splits, edges, group, r, p), f"nodes-{r}")
-        nodes.append(tree)
+        nodes.append(tree.drop("bin"))
         values = tree.groupBy(*group).agg(
             F.map_from_entries(F.collect_list(F.when(~F.col("is_leaf"), F.struct("node", F.struct("feature", "bin"))))).alias("_tree"),
             F.map_from_entries(F.collect_list(F.when(F.col("is_leaf"), F.struct("node", "value")))).alias("_value"))
@@ -156,7 +306,7 @@ def fit(rows: DataFrame, group: list[str], key: list[str], features: list[str],
         moved = state.join(values, group, "left").withColumn("_f", F.col("_f") + F.coalesce(F.col("_value")[leaf], F.lit(0.0)))
         state = stored(moved.select(*group, "_y", "_test", "bins", "_f"), f"round={r}")
         errors.append(_errors(state, group, r))
-    return _union([n.drop("bin") for n in nodes]), _union(errors)
+    return nodes, errors
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -172,12 +322,16 @@ def _errors(state: DataFrame, group: list[str], r: int) -> DataFrame:
         *group, F.lit(r).alias("round"), "train_rmse", "test_rmse")
 
 
+def _cut() -> Column:
+    """The value of a row's ``cuts`` that its split's ``bin`` ends at; NULL at a leaf."""
+    return F.when(F.col("bin") == 0, F.lit(float("-inf"))).otherwise(F.get(F.get(F.col("cuts"), F.col("feature")), F.col("bin") - 1))
+
+
 def _nodes(splits: DataFrame, edges: DataFrame, group: list[str], r: int, p: Params) -> DataFrame:
     """Inner nodes of a tree with their cuts, and as leaves those children that were not split."""
     value = lambda g, n: -p.rate * _shrunk(g, p.alpha) / (n + p.l2)
-    cut = F.when(F.col("bin") == 0, F.lit(float("-inf"))).otherwise(F.get(F.get(F.col("cuts"), F.col("feature")), F.col("bin") - 1))
     s = splits.join(edges, group)
-    inner = s.select(*group, "node", "feature", F.col("bin").cast("int").alias("bin"), cut.alias("cut"), F.lit(False).alias("is_leaf"), F.lit(None).cast("double").alias("value"), "n", "gain")
+    inner = s.select(*group, "node", "feature", F.col("bin").cast("int").alias("bin"), _cut().alias("cut"), F.lit(False).alias("is_leaf"), F.lit(None).cast("double").alias("value"), "n", "gain")
     child = F.explode(F.array(F.struct((F.col("node") * 2).alias("node"), F.col("nl").alias("n"), F.col("gl").alias("g")),
                               F.struct((F.col("node") * 2 + 1).alias("node"), F.col("nr").alias("n"), F.col("gr").alias("g"))))
     leaves = (splits.select(*group, child.alias("c")).select(*group, "c.node", "c.n", "c.g").join(splits.select(*group, "node"), [*group, "node"], "left_anti")

@@ -169,3 +169,42 @@ def test_an_ensemble_in_production_serves_the_sweep(spark):
     assert all(after[k] == pytest.approx(before[k]) for k in before if k[0] == 2)
     stages = {(r.asset_id, r.stage): r.run_id for r in store.stages().where(F.col("model_name") == M.OUTPUT_MODEL).collect()}
     assert "trees" in stages[1, "Production"] and "trees" not in stages[1, "Archived"]
+
+
+def _fields(frame, *order):
+    """Rows with doubles to 9 digits, in order."""
+    return [tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in frame.orderBy(*order).collect()]
+
+
+def test_short_and_long_groups_grow_the_same_trees(spark):
+    """By one task a block of groups, by one job a level, and both beside one another."""
+    df = spark.createDataFrame([r for r in _data() if r[0] != 2 or r[1] < 90] + [(None, 0, 1.0, 1.0, 1.0, 1.0, False)], SCHEMA).repartition(3)
+    p = P._replace(least_rows=3)
+    found = [trees.fit(df, ["asset_id"], ["i"], FEATURES, "y", p=p, local_rows=most) for most in (1000, 0, 100)]
+    nodes = [_fields(n, "asset_id", "round", "node") for n, _ in found]
+    errors = [_fields(e, "asset_id", "round") for _, e in found]
+    assert nodes[0] == nodes[1] == nodes[2] and len(nodes[0]) > 60
+    assert errors[0] == errors[1] == errors[2] and len(errors[0]) == 3 * (p.rounds + 1)
+    assert found[0][0].columns == found[1][0].columns and [t for _, t in found[0][0].dtypes] == [t for _, t in found[1][0].dtypes]
+
+
+def test_jobs_do_not_grow_with_the_trees_of_short_groups(spark):
+    df = spark.createDataFrame(_data(60), SCHEMA)
+    jobs = []
+    for rounds in (1, 6):
+        spark.sparkContext.setJobGroup(f"t_trees_{rounds}", "")
+        trees.fit(df, ["asset_id"], ["i"], FEATURES, "y", p=P._replace(rounds=rounds))
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"t_trees_{rounds}")))
+    spark.sparkContext.setJobGroup("t_rest", "")
+    assert 0 < jobs[1] <= jobs[0] + 2 and jobs[1] < 25, jobs
+
+
+def test_blocks_hold_groups_whole(spark, monkeypatch):
+    """Many groups over several blocks: each is found once, and none depends on its neighbours."""
+    monkeypatch.setattr(trees, "BLOCK_ROWS", 64)
+    rows = [(10 * k + r[0], *r[1:]) for k in range(6) for r in _data(40, seed=k)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    nodes, errors = trees.fit(df, ["asset_id"], ["i"], FEATURES, "y", p=P)
+    assert errors.count() == 18 * (P.rounds + 1) and errors.select("asset_id", "round").distinct().count() == 18 * (P.rounds + 1)
+    alone = trees.fit(df.where("asset_id = 31"), ["asset_id"], ["i"], FEATURES, "y", p=P)
+    assert _fields(nodes.where("asset_id = 31"), "round", "node") == _fields(alone[0], "round", "node")
