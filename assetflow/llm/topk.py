@@ -6,6 +6,9 @@ score. It keeps for every row the sum of what it has been seen with and the list
 row's score lies between that sum plus the least entry, and plus the last entry read, of those lists. A row
 whose upper bound falls under the k-th best lower bound is out for good. Reading stops when few rows are left;
 only their scores are resolved.
+
+A block is read in pieces, each with its own lists: the k-th best score that a query has from the pieces before
+is a bound for the next one too, under which rows are out long before lower bounds come together.
 """
 
 from __future__ import annotations
@@ -22,65 +25,72 @@ BEST = 10
 SCALE = 1024
 #: Queries and rows that one task compares.
 QUERIES, ROWS = 4096, 8192
-#: Entries of each list read between two looks at the bounds.
+#: Rows of a piece, and entries of each of its lists read between two looks at the bounds.
+PIECE = 2048
 BATCH = 512
+#: Reading stops when a query has one row in so many left, or four times as many as it asks for.
+FEW = 16
 
 
 class Lists:
-    """The rows of a block as sorted lists: for each dimension row numbers and components, rising."""
+    """Rows as sorted lists: for each dimension row numbers and components, rising (a list is a line of both)."""
 
     def __init__(self, x: np.ndarray):
         self.x = x
-        self.rows = np.argsort(x, axis=0, kind="stable")
-        self.values = np.take_along_axis(x, self.rows, axis=0)
-
-    def read(self, q: np.ndarray, start: int, end: int, dims: np.ndarray, falling: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Row numbers and contributions of entries ``start`` to ``end`` of some lists (entries by lists)."""
+        columns = np.ascontiguousarray(x.T)
+        self.rows = np.argsort(columns, axis=1, kind="stable")
+        self.values = np.take_along_axis(columns, self.rows, axis=1)
+        #: the cell of each entry in a table of dimensions by rows
+        self.cells = self.rows + np.arange(len(columns))[:, None] * len(x)
+
+    def read(self, q: np.ndarray, start: int, end: int, dims: np.ndarray, falling: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row numbers, cells and contributions of entries ``start`` to ``end`` of some lists (lists by entries, the last one read last or, falling, first)."""
         n = len(self.x)
-        part = slice(start, end) if not falling else slice(n - 1 - start, None if end == n else n - 1 - end, -1)
-        return self.rows[part, dims], self.values[part, dims] * q[dims]
+        part = slice(n - end, n - start) if falling else slice(start, end)
+        return self.rows[dims, part], self.cells[dims, part], self.values[dims, part] * q[dims, None]
 
 
-def candidates(lists: Lists, q: np.ndarray, k: int, own: np.ndarray, batch: int = BATCH) -> tuple[np.ndarray, int]:
+def candidates(lists: Lists, q: np.ndarray, k: int, own: np.ndarray, batch: int = BATCH, floor: float = -np.inf) -> tuple[np.ndarray, int]:
     """Rows that may be among the ``k`` best of a query (all of these among them), and how many entries of each list were read.
 
-    ``own``: rows that are not to be found.
+    ``own``: rows that are not to be found. Rows whose score is under ``floor`` are not asked for.
     """
     n = len(lists.x)
     alive = np.setdiff1d(np.arange(n), own)
-    sides = [(np.flatnonzero(q < 0), False), (np.flatnonzero(q > 0), True)]
-    dims = np.concatenate([d for d, _ in sides])
-    if not len(dims):
+    sides = [(d, falling) for d, falling in ((np.flatnonzero(q < 0), False), (np.flatnonzero(q > 0), True)) if len(d)]
+    if not sides:
         return alive, 0
-    least = np.concatenate([lists.read(q, n - 1, n, d, f)[1][0] for d, f in sides])
-    place = np.full(len(q), -1)
-    place[dims] = np.arange(len(dims))
+    ends = np.zeros((2, len(q)))  # what a list's least and last entry add
+    for d, falling in sides:
+        ends[0, d] = lists.read(q, n - 1, n, d, falling)[2][:, 0]
     total = np.zeros(n)
-    unseen = np.ones((n, len(dims)), np.float64)
+    unseen = np.ones((len(q), n))
     depth = 0
-    while depth < n and len(alive) > max(4 * k, k):
+    while depth < n and len(alive) > max(4 * k, n // FEW):
         end = min(n, depth + batch)
-        last = np.empty(len(dims))
         for d, falling in sides:
-            if len(d):
-                rows, gain = lists.read(q, depth, end, d, falling)
-                total += np.bincount(rows.ravel(), weights=gain.ravel(), minlength=n)
-                unseen[rows, place[d]] = 0
-                last[place[d]] = gain[-1]
+            rows, cells, gain = lists.read(q, depth, end, d, falling)
+            total += np.bincount(rows.ravel(), weights=gain.ravel(), minlength=n)
+            unseen.reshape(-1)[cells] = 0
+            ends[1, d] = gain[:, 0 if falling else -1]
         depth = end
-        ends = np.stack([least, last], axis=1)
-        rest = (unseen @ ends)[alive] if 8 * len(alive) > n else unseen[alive] @ ends
-        lower, upper = total[alive] + rest[:, 0], total[alive] + rest[:, 1]
-        kth = -np.partition(-lower, k - 1)[k - 1] if len(alive) > k else -np.inf
-        alive = alive[upper >= kth]
+        rest = ends @ unseen
+        lower, upper = (total + rest)[:, alive]
+        if len(alive) > k:
+            floor = max(floor, np.partition(lower, len(lower) - k)[len(lower) - k])
+        alive = alive[upper >= floor]
     return alive, depth
 
 
-def best_rows(lists: Lists, ids: np.ndarray, q: np.ndarray, own: np.ndarray, k: int, batch: int = BATCH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, row, score) of the k best rows of each query, ties by id; a row with the query's ``own`` id is left out."""
+def best_rows(lists: Lists, ids: np.ndarray, q: np.ndarray, own: np.ndarray, k: int, batch: int = BATCH,
+              floors: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, score) of the k best rows of each query, ties by id; a row with the query's ``own`` id is left out.
+
+    With ``floors``, rows under a query's floor may be missing.
+    """
     at, row, score = [], [], []
     for i in range(len(q)):
-        few, _ = candidates(lists, q[i], k, np.flatnonzero(ids == own[i]), batch)
+        few, _ = candidates(lists, q[i], k, np.flatnonzero(ids == own[i]), batch, -np.inf if floors is None else floors[i])
         s = np.einsum("ij,j->i", lists.x[few], q[i])
         order = np.lexsort((ids[few], -s))[:k]
         at.append(np.full(len(order), i))
@@ -89,6 +99,21 @@ def best_rows(lists: Lists, ids: np.ndarray, q: np.ndarray, own: np.ndarray, k:
     return tuple(np.concatenate(v) if v else np.zeros(0, np.int64) for v in (at, row, score))
 
 
+def best_of_pieces(x: np.ndarray, ids: np.ndarray, q: np.ndarray, own: np.ndarray, k: int, piece: int = PIECE, batch: int = BATCH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``best_rows`` of rows that are read in pieces, by query; the k-th best score so far is the next piece's floor."""
+    best, floors = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)), np.full(len(q), -np.inf)
+    for start in range(0, len(x), piece):
+        part = slice(start, start + piece)
+        at, row, score = best_rows(Lists(x[part]), ids[part], q, own, k, batch, floors)
+        at, row, score = np.concatenate([best[0], at]), np.concatenate([best[1], row + start]), np.concatenate([best[2], score])
+        order = np.lexsort((ids[row], -score, at))
+        at, row, score = at[order], row[order], score[order]
+        place = np.arange(len(at)) - np.searchsorted(at, at)
+        best = at[place < k], row[place < k], score[place < k]
+        floors[at[place == k - 1]] = score[place == k - 1]
+    return best
+
+
 def top(df: DataFrame, is_query: Column, k: int = BEST, key: str = "vec_id", vector: str = "embedding", scale: int = SCALE) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` highest integer inner products of floor(scale * x) for every query.
 
@@ -114,7 +139,7 @@ def top(df: DataFrame, is_query: Column, k: int = BEST, key: str = "vec_id", vec
             return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.int64())})
         x, q = _matrix(left.column("v")), _matrix(right.column("v"))
         ids, own = left.column("id").to_numpy(), right.column("id").to_numpy()
-        at, row, score = best_rows(Lists(x), ids, q, own, k)
+        at, row, score = best_of_pieces(x, ids, q, own, k)
         return pa.table({"query_id": own[at], "vec_id": ids[row], "score": score.astype(np.int64)})
 
     part = (have.groupBy("d", "block", "shard").cogroup(asked.groupBy("d", "block", "shard"))

@@ -125,6 +125,30 @@ def test_topk_reads_lists_until_outsiders_cannot_qualify():
         assert np.mean(depths) <= most
 
 
+def test_topk_floors_leave_entries_unread_and_keep_ties():
+    """Pieces give what one block gives, ties on a floor among them; a floor stops the reading before bounds come together."""
+    rng = np.random.default_rng(5)
+    x = np.floor(1024 * rng.normal(size=(2000, 16)))
+    ties = np.floor(2 * rng.normal(size=(300, 3)))
+    for rows in (x, ties):
+        ids = rng.permutation(len(rows))
+        q, own = np.vstack([rows[:8], np.zeros(rows.shape[1])]), np.append(ids[:8], -1)
+        s = q @ rows.T
+        for piece, batch in ((64, 16), (len(rows), 100), (7, 3)):
+            at, row, score = topk.best_of_pieces(rows, ids, q, own, 10, piece, batch)
+            for i in range(len(q)):
+                o = [j for j in np.lexsort((ids, -s[i])) if ids[j] != own[i]][:10]
+                assert row[at == i].tolist() == o and score[at == i].tolist() == s[i][o].tolist()
+    lists, read = topk.Lists(x[1000:]), {True: 0, False: 0}
+    for i in range(8):
+        floor = np.sort(x[8:1000] @ x[i])[-10]
+        for known in read:
+            alive, depth = topk.candidates(lists, x[i], 10, np.zeros(0, int), 50, floor if known else -np.inf)
+            read[known] += depth
+            assert set(np.flatnonzero(x[1000:] @ x[i] >= max(floor, np.sort(x[1000:] @ x[i])[-10]))) <= set(alive)
+    assert read[True] < 0.8 * read[False]
+
+
 # --- chats ------------------------------------------------------------------------------------
 
 def test_events_fold_into_final_messages(spark):
