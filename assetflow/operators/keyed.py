@@ -113,6 +113,8 @@ class KeyedTable:
             newer = newer.where(F.col(self.date) <= F.lit(hi))
         rows = newer.select(*self.columns, DELETED, VERSION).unionByName(self.base(lo, hi).withColumn(DELETED, F.lit(False)))
         row = F.max_by(F.struct(*self._values, DELETED), F.col(VERSION))
+        # few rows share a key (a version each, at most fold_every and one): sorted once, where they meet, and not before
+        rows = rows.repartition(*self.keys, self.date)
         return (rows.groupBy(*self.keys, self.date).agg(row.alias("_row")).where(~F.col(f"_row.{DELETED}"))
                 .select(*[F.col(f"_row.{c}").alias(c) if c in self._values else F.col(c) for c in self.columns]))
 
@@ -217,11 +219,16 @@ class KeyedTable:
                 self.store.delete(self._at("pointer", f))
 
 
-def newest_changes(feed: DataFrame, keys: list[str]) -> DataFrame:
+def newest_changes(feed: DataFrame, keys: list[str], one_version: bool = False) -> DataFrame:
     """The newest change of each key in a slice of a feed, with ``_deleted``; pre-images do not count.
 
-    A key has one change per version that is not a pre-image, so ``max_by`` picks one row before the shuffle.
+    A key has one change per version that is not a pre-image, so ``max_by`` picks one row before the shuffle, and
+    a slice of ``one_version`` has nothing to choose from: no row is moved.
     """
     rest = [c for c in feed.columns if c not in (*keys, CHANGE, VERSION, TIMESTAMP)]
-    row = F.max_by(F.struct(*rest, (F.col(CHANGE) == "delete").alias(DELETED)), F.col(VERSION))
-    return feed.where(F.col(CHANGE) != "update_preimage").groupBy(*keys).agg(row.alias("_row")).select(*keys, "_row.*")
+    changes = feed.where(F.col(CHANGE) != "update_preimage")
+    deleted = (F.col(CHANGE) == "delete").alias(DELETED)
+    if one_version:
+        return changes.select(*keys, *rest, deleted)
+    row = F.max_by(F.struct(*rest, deleted), F.col(VERSION))
+    return changes.groupBy(*keys).agg(row.alias("_row")).select(*keys, "_row.*")

@@ -29,6 +29,7 @@ def build_session(master: str | None = None, app: str = "assetflow",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.maxMetadataStringLength": "1000",  # plans name a scan's filters in full
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

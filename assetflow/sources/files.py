@@ -18,8 +18,14 @@ def write_landing(df: DataFrame, landing_dir: str) -> None:
      .csv(landing_dir))
 
 
+def write_slices(df: DataFrame, by: str, place: str) -> None:
+    """``df`` as CSV files (with header) in one folder per value of ``by``, in one pass over its rows."""
+    (df.write.mode("overwrite").option("header", True).option("timestampFormat", TS_FORMAT)
+     .partitionBy(by).csv(place))
+
+
 def csv_stream(spark: SparkSession, landing_dir: str, schema: T.StructType,
-               max_files: int | None = None, corrupt_column: str | None = None) -> DataFrame:
+               max_files: int | None = None, corrupt_column: str | None = None, nested: bool = False) -> DataFrame:
     """Incremental CSV source; ``max_files`` caps files per micro-batch.
 
     Every new file is taken, whatever its age. A file's header must have the
@@ -39,6 +45,8 @@ def csv_stream(spark: SparkSession, landing_dir: str, schema: T.StructType,
         r = r.option("mode", "FAILFAST")
     if max_files:
         r = r.option("maxFilesPerTrigger", int(max_files))
+    if nested:  # files of folders in the landing folder too
+        r = r.option("recursiveFileLookup", True)
     return r.csv(landing_dir)
 
 

@@ -28,15 +28,18 @@ FILES_A_BATCH = 10_000
 Groups = dict[tuple[str, ...], list[str]]
 
 
-def new_files(spark: SparkSession, landing: str, max_files: int | None = None, archive: str | None = None) -> DataFrame:
+def new_files(spark: SparkSession, landing: str, max_files: int | None = None, archive: str | None = None, nested: bool = False) -> DataFrame:
     """The landing folder as a stream of ``path``; contents are not read.
 
     Oldest files first, whatever their age. With ``archive``, files of committed micro-batches are moved there,
-    so the folder and its listing hold only what is still to be read.
+    so the folder and its listing hold only what is still to be read. With ``nested``, folders in it are looked
+    into, so files can land together by the move of their folder.
     """
     r = (spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
          .option("maxFileAge", MAX_FILE_AGE).option("latestFirst", False)
          .option("maxFilesPerTrigger", int(max_files or FILES_A_BATCH)))
+    if nested:
+        r = r.option("recursiveFileLookup", True)
     if archive:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return r.load(landing).select("path")
@@ -55,8 +58,9 @@ def by_header(spark: SparkSession, paths: list[str], key: str = "event_time") ->
     if not paths:
         return {}, []
     lines = spark.read.text([_plain(p) for p in paths]).select("value", F.col("_metadata.file_path").alias("path"))
-    found = (lines.groupBy("path").agg(F.max(F.when(F.col("value").contains(key), F.col("value"))).alias("header"),
-                                         F.max(F.trim("value") != "").alias("filled")).where("filled").collect())
+    # few distinct lines hold the key: with them as a group's key all lines go through a hash aggregate, unsorted
+    told = lines.groupBy("path", F.when(F.col("value").contains(key), F.col("value")).alias("header")).agg(F.max(F.trim("value") != "").alias("filled"))
+    found = told.groupBy("path").agg(F.max("header").alias("header"), F.max("filled").alias("filled")).where("filled").collect()
     groups: Groups = {}
     without = []
     for r in found:  # one row per file of the micro-batch

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -90,6 +91,8 @@ class Medallion:
         self.evolve = evolve
         # move consumed landing files there; a live aggregate reads the same files, so not with both
         self.archive = archive
+        # look into folders of the landing folder: their files land together, by one move
+        self.nested = False
         if archive and self.live:
             raise ValueError("live aggregates read the landing folder as well: its files cannot be archived")
         self.remembered = landing.Remembered(spark, f"{self.root}/_schema")
@@ -151,7 +154,7 @@ class Medallion:
 
     def bronze_writer(self):
         self._first_bronze()
-        src = landing.new_files(self.spark, self.landing, self.max_files, self.archive)
+        src = landing.new_files(self.spark, self.landing, self.max_files, self.archive, self.nested)
         return src.writeStream.foreachBatch(self._append_bronze).option("checkpointLocation", self.ckpt("bronze"))
 
     def silver_frame(self) -> DataFrame:
@@ -168,7 +171,10 @@ class Medallion:
                 .outputMode("update").option("checkpointLocation", self.ckpt("silver")))
 
     def _upsert_gold(self, batch: DataFrame, batch_id: int) -> None:
-        enriched = join_small(newest_changes(batch, KEYS), self.assets(), "asset_id", "inner")
+        # versions are folders of the feed: none of its rows is read for this
+        span = batch.agg(F.min(changelog.VERSION), F.max(changelog.VERSION)).first()
+        changes = newest_changes(batch, KEYS, one_version=span[0] == span[1])
+        enriched = join_small(changes, self.assets(), "asset_id", "inner")
         version = self.first_version("gold", self.gold.newest_version) + batch_id
         self.gold.upsert(enriched, version)
         if self.gold_table:
@@ -190,7 +196,7 @@ class Medallion:
         appended as a version, so ``current`` is the live table.
         """
         build, _ = self.live[name]
-        files.csv_stream(self.spark, self.landing, self.schema, self.max_files)\
+        files.csv_stream(self.spark, self.landing, self.schema, self.max_files, nested=self.nested)\
             .createOrReplaceTempView("sensor_stream")
         agg = self.spark.sql(build) if isinstance(build, str) else build(self.spark.table("sensor_stream"))
         path = self.live_log(name)
@@ -315,14 +321,19 @@ def stream_in_slices(m: Medallion, readings: DataFrame, cutoffs: list, **start)
     """Feed history to a running chain one time slice at a time, draining in between.
 
     Slices arrive in event-time order, as a live feed would, so no row falls
-    behind the watermark; each slice is written by a distributed job.
+    behind the watermark; one distributed job writes all of them aside, and a
+    slice's folder is moved to the landing folder when its turn comes, so the
+    chain sees all of its files or none.
     """
+    cols, aside = [f.name for f in m.schema.fields], f"{m.root}/_slices"
+    sliced = readings.select(*cols, slice_index("event_time", cutoffs).alias("_slice")).where("_slice IS NOT NULL")
+    files.write_slices(sliced, "_slice", aside)
+    m.nested = True
     m.start(**start)
     try:
-        cols = [f.name for f in m.schema.fields]
-        sl = slice_index("event_time", cutoffs)
         for b in range(len(cutoffs) + 1):
-            files.write_landing(readings.where(sl == b).select(*cols), m.landing)
+            if m.store.exists(f"{aside}/_slice={b}"):
+                m.store.move(f"{aside}/_slice={b}", f"{m.landing}/slice-{b}-{uuid.uuid4().hex[:12]}")
             m.drain()
     finally:
         m.stop()

@@ -110,6 +110,21 @@ def test_newest_change_of_a_slice(spark):
     assert got == {"a": (5.0, False), "b": (2.0, True)}
 
 
+def test_a_slice_of_one_version_and_the_current_rows_move_no_row_needlessly(spark):
+    """One version's changes are taken without a shuffle; the current rows are sorted after theirs, not before as well."""
+    t = _table(spark, "t_one", every=9)
+    t.upsert(_set(spark, [("a", 0, 1.0), ("b", 0, 2.0), (None, 0, 3.0)]), 0)
+    t.upsert(_set(spark, [("a", 0, 5.0), ("b", 0, None)]), 1)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    second = t.feed().where(F.col(changelog.VERSION) == 1)
+    every, one = keyed.newest_changes(second, ["k"]), keyed.newest_changes(second, ["k"], one_version=True)
+    assert set(map(tuple, every.collect())) == set(map(tuple, one.select(*every.columns).collect())) and one.count() == 2 and every.dtypes == one.dtypes
+    assert "Exchange" not in plan(one) and "Sort" not in plan(one)
+    assert {(r.k, r.x) for r in t.current().collect()} == {("a", 5.0), (None, 3.0)}
+    after = plan(t.current()).split("Exchange")
+    assert len(after) == 2 and "Aggregate" not in after[1] and after[0].count("Sort [") == 1
+
+
 def test_gold_follows_deletes_and_fills_the_catalog_table(spark):
     """Deletes in silver reach gold; gold's current rows are in the declared table of the catalog."""
     spark.sql(f"CREATE DATABASE keyed_test LOCATION '{scratch_path(spark, 't_catalog')}'")

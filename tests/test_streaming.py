@@ -32,6 +32,33 @@ def test_stream_equals_batch_and_gold_is_enriched(spark):
     assert (m.silver_log().count(), m.gold_log().count()) == (n_silver, n_gold)
 
 
+def test_history_is_read_once_for_all_its_slices(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    rows = [_reading(dt.datetime(2024, 1, d, 12), asset=a) for d in range(1, 10) for a in (1, 2)] + [_reading(None)]
+    r = spark.createDataFrame(rows, READING_SCHEMA)
+    m = Medallion(spark, scratch_path(spark, "t_slices"))
+    stream_in_slices(m, r.mapInArrow(count, READING_SCHEMA), ["2024-01-03 00:00:00", "2024-01-05 00:00:00", "2024-01-05 06:00:00", "2024-01-08 00:00:00"])
+    assert read.value == len(rows)  # one slice holds no row
+    assert _round(m.silver_current()) == _round(aggregate.windowed_avg(r.where("event_time IS NOT NULL")))
+    assert len(m.silver._numbers("log")) >= 4 and m.dropped_late_rows() == 0
+
+
+def test_headers_are_found_among_lines_that_hold_the_key(spark):
+    path = scratch_path(spark, "t_heads")
+    spark.createDataFrame([("event_time,asset_id\n2024-01-01T00:00:00.000000Z,1\n",)], "value string").coalesce(1).write.mode("append").text(path)
+    spark.createDataFrame([("1,2\n\n3,4",)], "value string").coalesce(1).write.mode("append").text(path)
+    spark.createDataFrame([(" \n",)], "value string").coalesce(1).write.mode("append").text(path)
+    paths = sorted(r.path for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).select("path").collect())
+    groups, without = landing.by_header(spark, paths)
+    assert [(h, len(p)) for h, p in groups.items()] == [(("event_time", "asset_id"), 1)] and len(without) == 1
+
+
 def _reading(t, asset=1, v=1.0):
     return (t, asset) + tuple(v for _ in config.CHANNELS)
 
