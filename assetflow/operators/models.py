@@ -1,8 +1,9 @@
 """Per-asset (or per-group) regression models as Spark jobs.
 
 A least-squares fit needs only moments: the count, the means and the covariances
-of the features and the label. Those come from ONE
-``groupBy(group).agg(...)`` over the training rows; it is a partial aggregate,
+of the features and the label. Those come from two
+``groupBy(group).agg(...)`` over the training rows, one for the means and one
+for the products about them; both are partial aggregates,
 so an asset with a third of all rows is combined inside every input partition
 and never lands whole in one task. The per-group solve then works on one small
 row per group (``mapInPandas``, a batched ``numpy`` solve of a p x p system),
@@ -56,20 +57,31 @@ def gram(df: DataFrame, group: list[str], features: list[str], label: str,
          where: Column | None = None) -> DataFrame:
     """Per-group means and centred second moments for a least-squares fit, over rows with no NULL input.
 
-    The built-in moments are merged about their means, so a channel far from 0 loses no digits.
+    The rows are read twice, once for the means and once for the sums of products about them, so a channel far
+    from 0 loses no digits. Plain sums need one field each in the aggregate (the built-in moments need four and run
+    without generated code from 24 pairs on). A constant channel is centred on its value: its variance is 0.
     """
     complete = F.lit(True)
     for c in features + [label]:
         complete = complete & F.col(c).isNotNull()
     if where is not None:
         complete = complete & where
-    x = [F.col(c).cast("double") for c in features]
-    y = F.col(label).cast("double")
-    aggs = [F.count(F.lit(1)).alias("n"), F.avg(y).alias("my"), F.var_pop(y).alias("vy")]
-    aggs += [F.avg(x[j]).alias(f"m{j}") for j in range(len(x))]
-    aggs += [F.covar_pop(x[j], y).alias(f"cy{j}") for j in range(len(x))]
-    aggs += [F.covar_pop(x[j], x[k]).alias(f"c{j}_{k}") for j, k in _pairs(len(x))]
-    return df.where(complete).groupBy(*group).agg(*aggs)
+    names = [f"m{j}" for j in range(len(features))] + ["my"]
+    values = {m: F.col(c).cast("double") for m, c in zip(names, [*features, label], strict=True)}
+    keys = [f"_k{i}" for i in range(len(group))]
+    rows = df.where(complete).select(*[F.col(g).alias(k) for g, k in zip(group, keys, strict=True)], *[v.alias(f"_{m}") for m, v in values.items()])
+    means = rows.groupBy(*keys).agg(*[f(f"_{m}").alias(f"_{a}_{m}") for m in names for a, f in (("avg", F.avg), ("min", F.min), ("max", F.max))])
+    means = means.select(*[F.col(k).alias(g) for g, k in zip(group, keys, strict=True)],
+                         *[F.when(F.col(f"_min_{m}") == F.col(f"_max_{m}"), F.col(f"_min_{m}")).otherwise(F.col(f"_avg_{m}")).alias(m) for m in names])
+    same = F.lit(True)
+    for g, k in zip(group, keys, strict=True):
+        same = same & F.col(k).eqNullSafe(F.col(g))
+    off = rows.join(means, same).select(*group, *names, *[(F.col(f"_{m}") - F.col(m)).alias(f"_{m}") for m in names])
+    x = names[:-1]
+    sums = {"vy": ("my", "my"), **{f"cy{j}": (m, "my") for j, m in enumerate(x)}, **{f"c{j}_{k}": (x[j], x[k]) for j, k in _pairs(len(x))}}
+    # a group's rows all hold its means
+    return (off.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), *[F.min(m).alias(m) for m in names], *[F.sum(F.col(f"_{a}") * F.col(f"_{b}")).alias(s) for s, (a, b) in sums.items()])
+            .select(*group, "n", *names, *[(F.col(s) / F.col("n")).alias(s) for s in sums]))
 
 
 def _coef_schema(group_fields: list[T.StructField], features: list[str]) -> T.StructType:
@@ -88,7 +100,7 @@ def _solve_one(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return np.linalg.pinv(a) @ b
 
 
-def _solver(group: list[str], features: list[str]):
+def _solver(group: list[str], features: list[str], ridges: list[float]):
     p = len(features)
     pairs = _pairs(p)
 
@@ -96,7 +108,6 @@ def _solver(group: list[str], features: list[str]):
         for pdf in batches:
             if pdf.empty:
                 continue
-            lam = pdf["ridge"].to_numpy(dtype=float)
             m = np.stack([pdf[f"m{j}"].to_numpy(dtype=float) for j in range(p)], axis=1)
             my = pdf["my"].to_numpy(dtype=float)
             cov = np.empty((len(pdf), p, p))
@@ -112,27 +123,20 @@ def _solver(group: list[str], features: list[str]):
             safe = np.where(ok, sd, 1.0)
             corr = cov / (safe[:, :, None] * safe[:, None, :])
             corr = np.where(ok[:, :, None] & ok[:, None, :], corr, 0.0)
-            # penalty on usable columns; a constant column gets a unit diagonal and beta 0
-            eye = np.broadcast_to(np.eye(p), corr.shape)
-            corr = corr + eye * np.where(ok, lam[:, None], 1.0)[:, None, :]
             rhs = np.where(ok, cxy / (safe * np.where(sdy > 0, sdy, 1.0)[:, None]), 0.0)
-            try:
-                beta_std = np.linalg.solve(corr, rhs[:, :, None])[:, :, 0]
-            except np.linalg.LinAlgError:  # a group is singular without a penalty: its minimum-norm solution
-                beta_std = np.stack([_solve_one(a, b) for a, b in zip(corr, rhs, strict=True)])
-            beta = np.where(ok & (sdy[:, None] > 0), beta_std * sdy[:, None] / safe, 0.0)
-            out = pdf[group].copy()
-            out["ridge"] = lam
-            out["n_train"] = pdf["n"].astype("int64")
-            out["intercept"] = my - (beta * m).sum(axis=1)
-            out["sd_label"] = sdy
-            for j, c in enumerate(features):
-                out[f"b_{c}"] = beta[:, j]
-            for j, c in enumerate(features):
-                out[f"mean_{c}"] = m[:, j]
-            for j, c in enumerate(features):
-                out[f"sd_{c}"] = sd[:, j]
-            yield out
+            for lam in ridges:
+                # penalty on usable columns; a constant column gets a unit diagonal and beta 0
+                penalised = corr + np.eye(p) * np.where(ok, lam, 1.0)[:, None, :]
+                try:
+                    beta_std = np.linalg.solve(penalised, rhs[:, :, None])[:, :, 0]
+                except np.linalg.LinAlgError:  # a group is singular without a penalty: its minimum-norm solution
+                    beta_std = np.stack([_solve_one(a, b) for a, b in zip(penalised, rhs, strict=True)])
+                beta = np.where(ok & (sdy[:, None] > 0), beta_std * sdy[:, None] / safe, 0.0)
+                yield pd.concat([pdf[group], pd.DataFrame({
+                    "ridge": lam, "n_train": pdf["n"].astype("int64"), "intercept": my - (beta * m).sum(axis=1), "sd_label": sdy,
+                    **{f"b_{c}": beta[:, j] for j, c in enumerate(features)},
+                    **{f"mean_{c}": m[:, j] for j, c in enumerate(features)},
+                    **{f"sd_{c}": sd[:, j] for j, c in enumerate(features)}}, index=pdf.index)], axis=1)
 
     return solve
 
@@ -143,13 +147,12 @@ def fit(df: DataFrame, group: list[str], features: list[str], label: str,
 
     Output: group columns, ``ridge``, ``n_train``, ``intercept``, ``sd_label``,
     ``b_<feature>``, ``mean_<feature>``, ``sd_<feature>``. Several penalties
-    reuse the same statistics (an ``explode`` of the penalty list, no join).
+    reuse the same statistics: a group's row is solved for each.
     """
-    ridges = [ridges] if isinstance(ridges, (int, float)) else list(ridges)
+    ridges = [float(r) for r in ([ridges] if isinstance(ridges, (int, float)) else ridges)]
     g = gram(df, group, features, label, train)
-    g = g.withColumn("ridge", F.explode(F.array(*[F.lit(float(r)) for r in ridges])))
     gfields = [g.schema[c] for c in group]
-    return g.mapInPandas(_solver(group, features), _coef_schema(gfields, features))
+    return g.mapInPandas(_solver(group, features, ridges), _coef_schema(gfields, features))
 
 
 def prediction(features: list[str]) -> Column:

@@ -1,8 +1,8 @@
 """Gradient-boosted trees for every asset at once, by histograms.
 
 Each asset has its own ensemble. Assets of at most ``LOCAL_ROWS`` rows are dealt to blocks of about
-``BLOCK_ROWS``, and one task grows all trees of a block's assets together, level by level, from dense histograms
-(``grow``): one job, however many trees and levels. Longer assets grow together over all tasks: per level ONE
+``BLOCK_ROWS``, and one task cuts the features of a block's assets and grows all their trees together, level by level,
+from histograms (``local_cuts``, ``grow``): one job, however many trees and levels. Longer assets grow together over all tasks: per level ONE
 ``groupBy(asset, node, feature, bin)`` over the training rows sums counts and gradients (a partial aggregate,
 so an asset with a third of all rows is combined inside every input partition), window sums over the at most
 ``BINS`` bins of a node's feature give the gain of every split, and ``max_by`` takes the best one. Their rows
@@ -39,8 +39,12 @@ LEFT = 0
 #: Rows of an asset whose trees one task may grow, at most, and rows of a task's block of such assets, about.
 LOCAL_ROWS = 50_000
 BLOCK_ROWS = 16_384
+#: Tasks of that job, at most; beyond, a task takes several blocks, one after another.
+BLOCK_TASKS = 1024
+#: From so many rows on ``percentile_approx`` may return another value than the exact quantile; shorter assets are cut by their task.
+EXACT_ROWS = 5_000
 #: What a block returns: a node's row, or (without a node) the error after a round.
-_GROWN = ("_group long, round int, node int, feature int, bin int, value double, n long, gain double, train_rmse double, test_rmse double")
+_GROWN = ("_group long, round int, node int, feature int, cut double, value double, n long, gain double, train_rmse double, test_rmse double")
 
 
 class Params(NamedTuple):
@@ -73,10 +77,14 @@ def binned(rows: DataFrame, edges: DataFrame, group: list[str], features: list[s
 def sampled(group: list[str], round_no: int, n: int, p: Params) -> Column:
     """Numbers of the features that a tree may split on, the ones with the least hash."""
     k = max(1, int(p.columns * n))
-    draw = F.array(*[F.struct(F.xxhash64(*group, F.lit(p.seed + round_no), F.lit(i)).alias("h"), F.lit(i).alias("i")) for i in range(n)])
+    draw = F.array(*[F.struct(h.alias("h"), F.lit(i).alias("i")) for i, h in enumerate(_hashes(group, round_no, n, p))])
     return F.transform(F.slice(F.array_sort(draw), 1, k), lambda x: x["i"])
 
 
+def _hashes(group: list[str], round_no: int, n: int, p: Params) -> list[Column]:
+    return [F.xxhash64(*group, F.lit(p.seed + round_no), F.lit(i)) for i in range(n)]
+
+
 def _shrunk(g: Column, alpha: float) -> Column:
     return F.signum(g) * F.greatest(F.abs(g) - F.lit(alpha), F.lit(0.0))
 
@@ -114,11 +122,43 @@ def _as_map(splits: DataFrame, group: list[str], fields: list[str], name: str) -
     return splits.groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct(F.col("node"), F.struct(*fields)))).alias(name))
 
 
+def local_cuts(x: np.ndarray, null: np.ndarray, at: np.ndarray, train: np.ndarray, given: list) -> tuple[np.ndarray, np.ndarray]:
+    """What ``cuts`` and ``binned`` give, for several groups of rows that are in one task.
+
+    ``at``: the number of each row's group; ``given``: by group its cuts, or None for a group that is cut here. Returns
+    cuts by group and feature, NaN beyond their number, and the bins of the rows.
+    """
+    m, p, most = len(given), x.shape[1], BINS - 1
+    edges, bins = np.full((m, p, most), np.nan), np.zeros(x.shape, np.int8)
+    for i in range(p):
+        has = np.flatnonzero(train & ~null[:, i])
+        n = np.bincount(at[has], minlength=m)[:, None]
+        if len(has):
+            v = x[has[np.lexsort((x[has, i], at[has]))], i]
+            place = np.cumsum(n)[:, None] - n + (np.arange(1, BINS) * n + BINS - 1) // BINS - 1
+            found = v[np.clip(place, 0, len(v) - 1)]
+            new = np.broadcast_to(n > 0, found.shape).copy()
+            new[:, 1:] &= (found[:, 1:] != found[:, :-1]) & ~(np.isnan(found[:, 1:]) & np.isnan(found[:, :-1]))
+        else:
+            found, new = np.full((m, most), np.nan), np.zeros((m, most), bool)
+        for g, own in enumerate(given):
+            if own is not None:
+                found[g, :len(own[i])], new[g] = own[i], np.arange(most) < len(own[i])
+        g, j = np.nonzero(new)
+        edges[g, i, np.cumsum(new, axis=1)[g, j] - 1] = found[g, j]
+        # a NaN is above all else
+        value, cut = x[:, i, None], edges[at, i]
+        below = (cut < value) | (np.isnan(value) & ~np.isnan(cut))
+        bins[:, i] = np.where(null[:, i], 0, below.sum(axis=1) + 1)
+    return edges, bins
+
+
 def grow(bins: np.ndarray, at: np.ndarray, y: np.ndarray, test: np.ndarray, start: np.ndarray, picks: np.ndarray, p: Params) -> tuple[dict, dict]:
     """Node columns and error columns of the ensembles of several groups of rows, grown side by side.
 
     ``at``: the number of each row's group; ``start``: the groups' mean labels; ``picks``: by group and round, the
-    features of its tree, rising. A level's histogram has a line for each node that can still be split.
+    features of its tree, rising. A level's histogram has a line for each node that can still be split; a bin without
+    rows splits like the one before it, so gains are taken at the others only.
     """
     m, width, size = len(start), BINS + 1, 1 << (p.depth + 1)
     shrunk = lambda g: np.sign(g) * np.maximum(np.abs(g) - p.alpha, 0.0)
@@ -161,20 +201,45 @@ def grow(bins: np.ndarray, at: np.ndarray, y: np.ndarray, test: np.ndarray, star
             k = pick.shape[1]
             cell = ((line[:, None] * k + np.arange(k)) * width + bins[row[:, None], pick[line]]).ravel()
             cells = len(open_) * k * width
-            nl = np.bincount(cell, minlength=cells).reshape(-1, k, width).cumsum(axis=2)
-            gl = np.bincount(cell, weights=np.repeat(g[row], k), minlength=cells).reshape(-1, k, width).cumsum(axis=2)
-            n, whole = nl[:, :, -1:], gl[:, :, -1:]
-            gain = np.round(score(gl, nl) + score(whole - gl, n - nl) - score(whole, n), 9)
-            gain[(nl < p.least_rows) | (n - nl < p.least_rows)] = -np.inf
-            # the first of equal ones has the least feature, then the least bin
-            best = gain.reshape(len(open_), -1).argmax(axis=1)
-            line_no = np.arange(len(open_))
-            i, b = best // width, best % width
-            has = gain[line_no, i, b] > 1e-9
-            w, i, b = line_no[has], i[has], b[has]
+            has_rows = np.zeros(cells, bool)
+            has_rows[cell] = True
+            at_bin = np.flatnonzero(has_rows)
+            place = np.empty(cells, np.int32)
+            place[at_bin] = np.arange(len(at_bin))
+            place = place[cell]
+            nl = np.bincount(place, minlength=len(at_bin))
+            gl = np.bincount(place, weights=np.repeat(g[row], k), minlength=len(at_bin))
+            # running sums over the bins of a line's feature, each from its first bin on
+            part = at_bin // width
+            first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+            bins_of = np.diff(np.append(first, len(part)))
+            of = np.repeat(np.arange(len(first)), bins_of)
+            before, nl = nl, nl.cumsum()
+            nl -= (nl[first] - before[first])[of]
+            longer = np.arange(len(first))
+            for j in range(1, int(bins_of.max())):
+                longer = longer[bins_of[longer] > j]
+                gl[first[longer] + j] += gl[first[longer] + j - 1]
+            last = first + bins_of - 1
+            n, whole, unsplit = nl[last][of], gl[last][of], score(gl[last], nl[last])[of]
+            gain = np.round(score(gl, nl) + score(whole - gl, n - nl) - unsplit, 9)
+            can = np.flatnonzero((nl >= p.least_rows) & (n - nl >= p.least_rows) & (gain > 1e-9))
+            has = np.zeros(len(open_), bool)
+            of = part[can] // k
+            if len(can):
+                # the first of equal ones has the least feature, then the least bin
+                w, first = np.unique(of, return_index=True)
+                has[w] = True
+                top = np.repeat(np.maximum.reduceat(gain[can], first), np.diff(np.append(first, len(can))))
+                equal = np.flatnonzero(gain[can] == top)
+                can = can[equal[np.unique(of[equal], return_index=True)[1]]]
+            else:
+                w = of
+            n, whole, nl, gl, gain = n[can], whole[can], nl[can], gl[can], gain[can]
+            i, b = part[can] % k, at_bin[can] % width
             feature[group[w], name[w]], cut[group[w], name[w]] = pick[w, i], b
-            add(r, group=group[w], node=name[w], feature=pick[w, i], bin=b, n=n[w, i, 0], gain=gain[w, i, b])
-            for child, cn, cg in ((0, nl[w, i, b], gl[w, i, b]), (1, n[w, i, 0] - nl[w, i, b], whole[w, i, 0] - gl[w, i, b])):
+            add(r, group=group[w], node=name[w], feature=pick[w, i], bin=b, n=n, gain=gain)
+            for child, cn, cg in ((0, nl, gl), (1, n - nl, whole - gl)):
                 leaf[group[w], 2 * name[w] + child] = value(cg, cn)
                 # a child that is split later counts as an inner node, its value is not looked up
                 add(r, group=group[w], node=2 * name[w] + child, value=value(cg, cn), n=cn)
@@ -195,24 +260,37 @@ def grow(bins: np.ndarray, at: np.ndarray, y: np.ndarray, test: np.ndarray, star
     return {c: v[kept] for c, v in out.items()}, {c: np.concatenate(v) for c, v in errors.items()}
 
 
-def _grown(rows: DataFrame, head: DataFrame, group: list[str], blocks: int, p: Params) -> DataFrame:
+def _grown(rows: DataFrame, head: DataFrame, group: list[str], features: list[str], blocks: int, p: Params) -> DataFrame:
     """The ensembles of groups that each fit a task, one task a block of groups (see ``_GROWN``)."""
+    width, k = len(features), max(1, int(p.columns * len(features)))
+    tasks = min(blocks, BLOCK_TASKS)
     block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
-    have = rows.select(block("_group").alias("_block"), "_group", "_y", "_test", "bins")
-    heads = head.select(F.col("_group").alias("_of"), "_f", "_picks").withColumn("_in", block("_of"))
+    have = (rows.join(head.select(*group, "_group"), group)
+            .select(block("_group").alias("_block"), "_group", "_y", "_test", *[F.col(c).alias(f"_x{i}") for i, c in enumerate(features)]).repartition(tasks, "_block"))
+    draw = F.array(*[h for r in range(1, p.rounds + 1) for h in _hashes(group, r, width, p)])
+    heads = head.select(F.col("_group").alias("_of"), "_f", "cuts", draw.alias("_draw")).withColumn("_in", block("_of")).repartition(tasks, "_in")
     null = lambda v, t: pa.array(v, t, from_pandas=True)
+    schema = [("_group", pa.int64()), ("round", pa.int32()), ("node", pa.int32()), ("feature", pa.int32()), ("cut", pa.float64()), ("value", pa.float64()),
+              ("n", pa.int64()), ("gain", pa.float64()), ("train_rmse", pa.float64()), ("test_rmse", pa.float64())]
 
     def build(left: pa.Table, right: pa.Table) -> pa.Table:
-        schema = [("_group", pa.int64()), ("round", pa.int32()), ("node", pa.int32()), ("feature", pa.int32()), ("bin", pa.int32()), ("value", pa.float64()),
-                  ("n", pa.int64()), ("gain", pa.float64()), ("train_rmse", pa.float64()), ("test_rmse", pa.float64())]
         if not left.num_rows or not right.num_rows:
             return pa.table([pa.array([], t) for _, t in schema], names=[c for c, _ in schema])
         ids = right.column("_of").to_numpy()
         by = np.argsort(ids)
         at = by[np.searchsorted(ids, left.column("_group").to_numpy(), sorter=by)]
-        bins = left.column("bins").combine_chunks().flatten().to_numpy().reshape(left.num_rows, -1)
-        picks = np.sort(right.column("_picks").combine_chunks().flatten().flatten().to_numpy().reshape(len(ids), p.rounds, -1), axis=2)
-        nodes, errors = grow(bins, at, left.column("_y").to_numpy(), left.column("_test").to_numpy(), right.column("_f").to_numpy(), picks, p)
+        columns = [left.column(f"_x{i}") for i in range(width)]
+        x, missing = (np.column_stack([c.to_numpy() for c in v]) for v in (columns, [c.is_null() for c in columns]))
+        test = left.column("_test").to_numpy()
+        edges, bins = local_cuts(x, missing, at, ~test, right.column("cuts").to_pylist())
+        # as ``sampled``: the features of least hash, of equal ones the first
+        draw = right.column("_draw").combine_chunks().flatten().to_numpy().reshape(len(ids), p.rounds, width)
+        picks = np.sort(np.argsort(draw, axis=2, kind="stable")[:, :, :k], axis=2)
+        nodes, errors = grow(bins, at, left.column("_y").to_numpy(), test, right.column("_f").to_numpy(), picks, p)
+        inner = np.flatnonzero(~np.isnan(nodes["feature"]))
+        of, feature, b = (nodes[c][inner].astype(np.int64) for c in ("group", "feature", "bin"))
+        nodes["cut"] = np.full(len(nodes["node"]), np.nan)
+        nodes["cut"][inner] = np.where(b == 0, -np.inf, edges[of, feature, np.maximum(b, 1) - 1])
         n, e = len(nodes["node"]), len(errors["round"])
         out = []
         for c, t in schema:
@@ -252,25 +330,29 @@ def fit(rows: DataFrame, group: list[str], key: list[str], features: list[str],
 
     known = rows.where(F.col(label).isNotNull()).select(*group, *key, *[F.col(c).cast("double").alias(c) for c in features],
                                                         F.col(label).cast("double").alias("_y"), F.coalesce(F.col(test), F.lit(False)).alias("_test"))
-    edges = stored(cuts(known.where("NOT _test"), group, features), "cuts")
     fitted = F.when(~F.col("_test"), F.col("_y"))
-    start = stored(known.groupBy(*group).agg(F.avg(fitted).alias("_f"), F.count(fitted).alias("n"), F.count(F.lit(1)).alias("_rows")).where("n > 0"), "start")
-    picks = F.array(*[sampled(group, r, len(features), p) for r in range(1, p.rounds + 1)])
-    head = stored(edges.join(start, group).withColumn("_picks", picks).withColumn("_group", F.monotonically_increasing_id()), "head")
-    short = F.col("_rows") <= local_rows
-    size = head.agg(F.coalesce(F.sum(F.when(short, F.col("_rows"))), F.lit(0)).alias("local"), F.count_if(~short).alias("long")).first()
+    start = stored(known.groupBy(*group).agg(F.avg(fitted).alias("_f"), F.count(fitted).alias("n"), F.count(F.lit(1)).alias("_rows")).where("n > 0")
+                   .withColumn("_group", F.monotonically_increasing_id()), "start")
+    head = start.dropna(subset=group)
+    short, by_task = F.col("_rows") <= local_rows, F.col("_rows") < min(EXACT_ROWS, local_rows + 1)
+    size = head.agg(F.coalesce(F.sum(F.when(short, F.col("_rows"))), F.lit(0)).alias("local"), F.count_if(~short).alias("long"), F.count_if(~by_task).alias("cut")).first()
+    if size["cut"]:
+        most = known.where("NOT _test").join(head.where(~by_task).select(*group), group, "left_semi")
+        head = stored(head.join(cuts(most, group, features), group, "left"), "head")
+    else:
+        head = head.withColumn("cuts", F.lit(None).cast("array<array<double>>"))
     nodes = [start.select(*group, F.lit(0).alias("round"), F.lit(0).alias("node"), F.lit(None).cast("int").alias("feature"), F.lit(None).cast("double").alias("cut"),
                           F.lit(True).alias("is_leaf"), F.col("_f").alias("value"), "n", F.lit(None).cast("double").alias("gain"))]
     errors = []
     if size["local"] or not size["long"]:
         near = head.where(short)
-        state = binned(known, near.select(*group, "_group", "cuts"), group, features)
-        grown = stored(_grown(state, near, group, -(-size["local"] // BLOCK_ROWS) or 1, p), "grown")
-        named = grown.join(near.select(*group, "_group", "cuts"), "_group")
-        nodes.append(named.where(F.col("node").isNotNull()).select(*group, "round", "node", "feature", _cut().alias("cut"), F.col("feature").isNull().alias("is_leaf"), "value", "n", "gain"))
-        errors.append(grown.where(F.col("node").isNull()).join(near.select(*group, "_group"), "_group").select(*group, "round", "train_rmse", "test_rmse"))
+        grown = stored(_grown(known, near, group, features, -(-size["local"] // BLOCK_ROWS) or 1, p), "grown")
+        named = grown.join(near.select(*group, "_group"), "_group")
+        nodes.append(named.where(F.col("node").isNotNull()).select(*group, "round", "node", "feature", "cut", F.col("feature").isNull().alias("is_leaf"), "value", "n", "gain"))
+        errors.append(named.where(F.col("node").isNull()).select(*group, "round", "train_rmse", "test_rmse"))
     if size["long"]:
-        more_nodes, more_errors = _by_level(known, head.where(~short), group, features, p, stored)
+        picks = F.array(*[sampled(group, r, len(features), p) for r in range(1, p.rounds + 1)])
+        more_nodes, more_errors = _by_level(known, head.where(~short).withColumn("_picks", picks), group, features, p, stored)
         nodes, errors = nodes + more_nodes, errors + more_errors
     return _union(nodes), _union(errors)
 

@@ -208,3 +208,31 @@ def test_blocks_hold_groups_whole(spark, monkeypatch):
     assert errors.count() == 18 * (P.rounds + 1) and errors.select("asset_id", "round").distinct().count() == 18 * (P.rounds + 1)
     alone = trees.fit(df.where("asset_id = 31"), ["asset_id"], ["i"], FEATURES, "y", p=P)
     assert _fields(nodes.where("asset_id = 31"), "round", "node") == _fields(alone[0], "round", "node")
+
+
+def test_short_groups_are_cut_by_their_task(spark, monkeypatch):
+    """No quantile aggregate over short groups' rows; cuts and bins are those of the aggregate, groups with given cuts keep them."""
+    rows = [r for r in _data(130) if r[0] != 3] + [(3, 0, 2.0, -0.5, 0.5, 1.0, False), (3, 1, None, 0.0, 1.0, 2.0, False), (3, 2, None, 5.0, float("inf"), 3.0, True)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    edges = trees.cuts(df.where("NOT is_test"), ["asset_id"], FEATURES).localCheckpoint()
+    want = {(r.asset_id, r.i): list(r.bins) for r in trees.binned(df, edges, ["asset_id"], FEATURES).collect()}
+    by_group = {r.asset_id: r.cuts for r in edges.collect()}
+    x = np.array([[np.nan if v is None else v for v in r[2:5]] for r in rows])
+    null = np.array([[v is None for v in r[2:5]] for r in rows])
+    at, train = np.array([r[0] - 1 for r in rows]), np.array([not r[6] for r in rows])
+    for given in ([None] * 3, [by_group[1], None, by_group[3]]):
+        found, bins = trees.local_cuts(x, null, at, train, given)
+        assert {(r[0], r[1]): b.tolist() for r, b in zip(rows, bins, strict=True)} == want
+        for g in (1, 2, 3):
+            for i in range(3):
+                np.testing.assert_array_equal(found[g - 1, i, :len(by_group[g][i])], by_group[g][i])
+                assert np.isnan(found[g - 1, i, len(by_group[g][i]):]).all()
+    nan = trees.local_cuts(np.array([[1.0], [np.nan], [2.0]]), np.zeros((3, 1), bool), np.zeros(3, int), np.ones(3, bool), [None])
+    assert nan[1].ravel().tolist() == [1, 3, 2]  # above all else, not as a NULL
+
+    def unused(*_):
+        raise AssertionError("a quantile aggregate over short groups")
+
+    monkeypatch.setattr(trees, "cuts", unused)
+    _, errors = trees.fit(df, ["asset_id"], ["i"], FEATURES, "y", p=P)
+    assert errors.count() == 3 * (P.rounds + 1)
