@@ -70,18 +70,17 @@ def gram(df: DataFrame, group: list[str], features: list[str], label: str,
     values = {m: F.col(c).cast("double") for m, c in zip(names, [*features, label], strict=True)}
     keys = [f"_k{i}" for i in range(len(group))]
     rows = df.where(complete).select(*[F.col(g).alias(k) for g, k in zip(group, keys, strict=True)], *[v.alias(f"_{m}") for m, v in values.items()])
-    means = rows.groupBy(*keys).agg(*[f(f"_{m}").alias(f"_{a}_{m}") for m in names for a, f in (("avg", F.avg), ("min", F.min), ("max", F.max))])
-    means = means.select(*[F.col(k).alias(g) for g, k in zip(group, keys, strict=True)],
-                         *[F.when(F.col(f"_min_{m}") == F.col(f"_max_{m}"), F.col(f"_min_{m}")).otherwise(F.col(f"_avg_{m}")).alias(m) for m in names])
+    means = rows.groupBy(*keys).agg(*[F.expr(f"IF(min(_{m}) = max(_{m}), min(_{m}), avg(_{m})) AS {m}") for m in names])
+    means = means.withColumnsRenamed(dict(zip(keys, group, strict=True)))
     same = F.lit(True)
     for g, k in zip(group, keys, strict=True):
         same = same & F.col(k).eqNullSafe(F.col(g))
-    off = rows.join(means, same).select(*group, *names, *[(F.col(f"_{m}") - F.col(m)).alias(f"_{m}") for m in names])
+    off = rows.join(means, same).select(*group, *names, *[F.expr(f"_{m} - {m} AS _{m}") for m in names])
     x = names[:-1]
     sums = {"vy": ("my", "my"), **{f"cy{j}": (m, "my") for j, m in enumerate(x)}, **{f"c{j}_{k}": (x[j], x[k]) for j, k in _pairs(len(x))}}
     # a group's rows all hold its means
-    return (off.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), *[F.min(m).alias(m) for m in names], *[F.sum(F.col(f"_{a}") * F.col(f"_{b}")).alias(s) for s, (a, b) in sums.items()])
-            .select(*group, "n", *names, *[(F.col(s) / F.col("n")).alias(s) for s in sums]))
+    about = [f"sum(_{a} * _{b}) / count(1) AS {s}" for s, (a, b) in sums.items()]
+    return off.groupBy(*group).agg(*[F.expr(e) for e in ["count(1) AS n", *[f"min({m}) AS {m}" for m in names], *about]])
 
 
 def _coef_schema(group_fields: list[T.StructField], features: list[str]) -> T.StructType:
